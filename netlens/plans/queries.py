@@ -1,3 +1,3 @@
 """Importing this module registers every query family."""
 
-from . import q_graph  # noqa: F401
+from . import q_graph, q_stats  # noqa: F401
