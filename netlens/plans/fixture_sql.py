@@ -116,7 +116,7 @@ view("lsp_hop", [], """
 SELECT l_orderkey AS lsp_id,
   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
                      l_extendedprice) AS hop_sequence,
-  1000000000000 + s_suppkey AS interface_ne_id, s_name AS hop_ne_name, 0 AS is_deleted
+  3000000000000 + s_suppkey * 16 + l_linenumber AS interface_ne_id, s_name AS hop_ne_name, 0 AS is_deleted
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
 
 view("lsp", [], """
@@ -164,3 +164,83 @@ def with_views(sql: str, *names: str) -> str:
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+# ------------------------------------------------------------ inventory views
+view("ne_elements", ["vertices"], """
+SELECT CASE ne_type WHEN 'ROUTER' THEN 1000000000000 WHEN 'SWITCH' THEN 2000000000000
+                    WHEN 'AGG' THEN 100 ELSE 1 END + CAST(substr(ne_id, 2) AS BIGINT) AS id,
+  ne_id, ne_name, ne_type, ne_category,
+  CASE WHEN ne_type = 'ROUTER' AND CAST(substr(ne_id, 2) AS BIGINT) % 2 = 0 THEN 'SDN' ELSE 'EMS' END AS source,
+  'DISCOVERED' AS ne_source, ne_status, vendor, technology, domain, latitude, longitude,
+  CAST(NULL AS DOUBLE) AS capacity, CAST(NULL AS DOUBLE) AS bandwidth, CAST(NULL AS VARCHAR) AS ckt_id,
+  CAST(is_deleted AS INTEGER) AS is_deleted, ipv4, hostname,
+  last_discovery_ts AS last_discovery_time, last_discovery_ts AS modified_time,
+  CASE WHEN ne_type <> 'CORE' THEN
+    CAST(regexp_extract(geography_l2, 'NATION_([0-9]+)', 1) AS BIGINT) * 4
+    + CASE WHEN ne_type IN ('ROUTER', 'SWITCH') THEN CAST(regexp_extract(geography_l3, '_CITY([0-9]+)$', 1) AS INTEGER)
+           ELSE 0 END + 1 END AS ne_location_id_fk,
+  CASE WHEN ne_type IN ('ROUTER', 'SWITCH') THEN 100 + CAST(regexp_extract(geography_l2, 'NATION_([0-9]+)', 1) AS BIGINT)
+       WHEN ne_type = 'AGG' THEN 1 + CAST((SELECT r_regionkey FROM region WHERE r_name = geography_l1) AS BIGINT)
+  END AS parent_ne_id_fk,
+  CAST(NULL AS BIGINT) AS network_element_id_fk
+FROM vertices""")
+
+view("ne_interfaces", [], """
+SELECT id, 'I' || CAST(id AS VARCHAR) AS ne_id, owner || '_' || CAST(l_linenumber AS VARCHAR) AS ne_name,
+  'INTERFACE' AS ne_type, 'INTERFACE' AS ne_category, 'EMS' AS source, 'DISCOVERED' AS ne_source,
+  'UP' AS ne_status, CAST(NULL AS VARCHAR) AS vendor, CAST(NULL AS VARCHAR) AS technology,
+  CAST(NULL AS VARCHAR) AS domain, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
+  CAST(l_linenumber * 100 AS DOUBLE) AS capacity, CAST(l_linenumber * 1000 AS DOUBLE) AS bandwidth,
+  'CKT_IF' || CAST(l_linenumber AS VARCHAR) AS ckt_id, 0 AS is_deleted, CAST(NULL AS VARCHAR) AS ipv4,
+  lower(owner || '_' || CAST(l_linenumber AS VARCHAR)) AS hostname,
+  TIMESTAMP '2001-11-01 00:00:00' AS last_discovery_time, TIMESTAMP '2001-11-01 00:00:00' AS modified_time,
+  CAST(NULL AS BIGINT) AS ne_location_id_fk, pid AS parent_ne_id_fk, CAST(NULL AS BIGINT) AS network_element_id_fk
+FROM (
+  SELECT 3000000000000 + s_suppkey * 16 + l_linenumber AS id, s_name AS owner,
+         1000000000000 + s_suppkey AS pid, l_linenumber
+  FROM (SELECT DISTINCT l_suppkey, l_linenumber FROM lineitem) a JOIN supplier ON l_suppkey = s_suppkey
+  UNION ALL
+  SELECT 4000000000000 + c_custkey * 16 + l_linenumber, c_name, 2000000000000 + c_custkey, l_linenumber
+  FROM (SELECT DISTINCT o_custkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey) b
+  JOIN customer ON o_custkey = c_custkey) z""")
+
+view("network_element", ["ne_elements", "ne_interfaces"], """
+SELECT * FROM ne_elements UNION ALL SELECT * FROM ne_interfaces""")
+
+view("ne_location", ["nation_region"], """
+SELECT CAST(n_nationkey AS BIGINT) * 4 + k + 1 AS id, CAST(n_nationkey AS BIGINT) + 1000 AS nel_id,
+  'PC' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS nel_code, 'POP ' || n_name AS friendly_name,
+  CAST(n_regionkey AS BIGINT) + 1 AS geography_l1_id_fk, CAST(n_nationkey AS BIGINT) + 1 AS geography_l2_id_fk,
+  CAST(n_nationkey AS BIGINT) * 4 + k + 1 AS geography_l3_id_fk,
+  CAST(n_nationkey AS BIGINT) * 2 + k % 2 + 1 AS geography_l4_id_fk
+FROM nation_region, (SELECT unnest([0, 1, 2, 3]) AS k) ks""")
+
+view("geo_l1", [], "SELECT CAST(r_regionkey AS BIGINT) + 1 AS id, r_name AS geo_name FROM region")
+view("geo_l2", ["nation_region"], "SELECT CAST(n_nationkey AS BIGINT) + 1 AS id, n_name AS geo_name FROM nation_region")
+view("geo_l3", ["nation_region"], """
+SELECT CAST(n_nationkey AS BIGINT) * 4 + k + 1 AS id, n_name || '_CITY' || CAST(k AS VARCHAR) AS geo_name
+FROM nation_region, (SELECT unnest([0, 1, 2, 3]) AS k) ks""")
+view("geo_l4", ["nation_region"], """
+SELECT CAST(n_nationkey AS BIGINT) * 2 + k + 1 AS id, n_name || '_ZONE' || CAST(k AS VARCHAR) AS geo_name
+FROM nation_region, (SELECT unnest([0, 1]) AS k) ks""")
+
+
+def _link_table(rel: str) -> str:
+    sw = "l_linenumber % 2 = 0"
+    return f"""
+SELECT CASE WHEN {sw} THEN 2000000000000 + o_custkey ELSE 1000000000000 + l_suppkey END AS source_ne_id,
+  CASE WHEN {sw} THEN 1000000000000 + l_suppkey ELSE 2000000000000 + o_custkey END AS destination_ne_id,
+  CASE WHEN {sw} THEN 4000000000000 + o_custkey * 16 + l_linenumber
+       ELSE 3000000000000 + l_suppkey * 16 + l_linenumber END AS source_interface_ne_id,
+  CASE WHEN {sw} THEN 3000000000000 + l_suppkey * 16 + l_linenumber
+       ELSE 4000000000000 + o_custkey * 16 + l_linenumber END AS destination_interface_ne_id,
+  src_interface || '#' || dest_interface AS link_name, ckt_id, tag, area_ip_address, link_type,
+  'U' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS uuid, 0 AS is_deleted,
+  last_discovery_ts AS last_discovery_time, modified_ts AS modified_time
+FROM link_rows WHERE relation = '{rel}'"""
+
+
+view("lldp_link", ["link_rows"], _link_table("LLDP"))
+view("ospf_link", ["link_rows"], _link_table("OSPF"))
+view("isis_link", ["link_rows"], _link_table("ISIS"))

@@ -248,12 +248,14 @@ class Fixtures:
         l = self.t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                       "l_quantity", "l_extendedprice")
         s = self.t("supplier").select("s_suppkey", "s_name")
+        # hop interface = the router's interface of that line number
         w = Window.partitionBy("l_orderkey").orderBy(
             "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
         return (l.withColumn("hop_sequence", F.row_number().over(w))
                 .join(s, l.l_suppkey == s.s_suppkey)
                 .select(F.col("l_orderkey").alias("lsp_id"), "hop_sequence",
-                        (F.lit(ROUTER_ID) + F.col("s_suppkey")).alias("interface_ne_id"),
+                        (F.lit(ROUTER_IF_ID) + F.col("s_suppkey") * 16 + F.col("l_linenumber"))
+                        .alias("interface_ne_id"),
                         F.col("s_name").alias("hop_ne_name"),
                         F.lit(0).alias("is_deleted")))
 
