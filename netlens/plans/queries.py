@@ -1,3 +1,3 @@
 """Importing this module registers every query family."""
 
-from . import q_graph, q_ingest, q_stats  # noqa: F401
+from . import q_graph, q_ingest, q_merge, q_stats  # noqa: F401
