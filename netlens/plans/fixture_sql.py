@@ -244,3 +244,51 @@ FROM link_rows WHERE relation = '{rel}'"""
 view("lldp_link", ["link_rows"], _link_table("LLDP"))
 view("ospf_link", ["link_rows"], _link_table("OSPF"))
 view("isis_link", ["link_rows"], _link_table("ISIS"))
+
+
+# ------------------------------------------------------------------ LSP feed
+view("mpls_lsp_link", ["lsp_hop", "routers", "lsp"], """
+SELECT nodes[1].ne_id AS source_ip, nodes[len(nodes)].ne_id AS destination_ip, l.lsp_name AS mpls_lsp_name,
+  l.modification_time AS timestamp, nodes AS node_details,
+  [struct_pack(mpls_lsp_name := l.lsp_name, src_ne_id := nodes[1].ne_id, dest_ne_id := nodes[len(nodes)].ne_id,
+               src_ne_name := nodes[1].ne_name, dest_ne_name := nodes[len(nodes)].ne_name,
+               src_parent_ne_name := nodes[1].ne_name, dest_parent_ne_name := nodes[len(nodes)].ne_name,
+               src_ckt_id := 'CKT' || CAST(per.lsp_id AS VARCHAR), src_ne_type := nodes[1].ne_type,
+               dest_ne_type := nodes[len(nodes)].ne_type, src_ne_category := nodes[1].ne_category,
+               dest_ne_category := nodes[len(nodes)].ne_category)] AS link_details,
+  struct_pack(fields := map(['mplsLspAge', 'mplsLspState', 'mplsLspHops'],
+                            [CAST(l.o_totalprice AS VARCHAR), l.o_orderstatus, CAST(len(nodes) AS VARCHAR)])) AS meta_info
+FROM (
+  SELECT h.lsp_id, list(struct_pack(ne_id := r.ne_id, ne_name := r.ne_name, hostname := r.hostname, ipv4 := r.ipv4,
+           ne_type := r.ne_type, ne_category := r.ne_category, geo_l1_name := r.geography_l1,
+           geo_l2_name := r.geography_l2, latitude := CAST(r.latitude AS VARCHAR),
+           longitude := CAST(r.longitude AS VARCHAR), pop_id := CAST(r.pop_id AS VARCHAR), pop_name := r.pop_name,
+           vendor := r.vendor) ORDER BY h.hop_sequence) AS nodes
+  FROM lsp_hop h JOIN routers r ON h.hop_ne_name = r.ne_name
+  GROUP BY h.lsp_id HAVING count(*) >= 2) per
+JOIN lsp l ON per.lsp_id = l.id""")
+
+view("lsp_links", ["mpls_lsp_link"], """
+SELECT sel[1].ne_name AS start_ne,
+  coalesce(list_filter(sel, lambda n: n.ne_id = destination_ip)[1].ne_name, sel[2].ne_name) AS end_ne,
+  'LSP' AS relation, mpls_lsp_name AS lsp_name, meta_info.fields AS meta, timestamp
+FROM (SELECT *, list_concat(list_filter(node_details, lambda n: n.ne_id = source_ip),
+                            list_filter(node_details, lambda n: n.ne_id <> source_ip AND n.ne_id = destination_ip)) AS sel
+      FROM mpls_lsp_link) z
+WHERE len(sel) >= 2""")
+
+view("lsp_nodes", ["mpls_lsp_link"], """
+SELECT ne_id, n.ne_name AS ne_name, n.hostname AS hostname, n.ipv4 AS ipv4, n.ne_type AS ne_type,
+  n.geo_l1_name AS geo_l1_name, n.latitude AS latitude, n.longitude AS longitude, n.vendor AS vendor
+FROM (SELECT n.ne_id AS ne_id, arg_min(n, mpls_lsp_name) AS n FROM (
+  SELECT mpls_lsp_name, unnest(sel) AS n FROM (
+    SELECT *, list_concat(list_filter(node_details, lambda n: n.ne_id = source_ip),
+                          list_filter(node_details, lambda n: n.ne_id <> source_ip AND n.ne_id = destination_ip)) AS sel
+    FROM mpls_lsp_link) a WHERE len(sel) >= 2) b GROUP BY n.ne_id) c""")
+
+view("config", ["pm_sample", "routers", "lsp", "alarms"], """
+SELECT 'PM_WATERMARK_' || vendor AS config_key, strftime(max(date), '%Y%m%d%H%M') AS config_value
+FROM pm_sample p JOIN routers r ON p.nodename = r.ne_name WHERE granularity = 'hourly' GROUP BY vendor
+UNION ALL SELECT 'LSP_WATERMARK', strftime(max(modification_time), '%Y%m%d%H%M') FROM lsp
+UNION ALL SELECT 'ALARM_CODES', '{"codes":[' || string_agg('"' || alarm_name || '"', ',' ORDER BY alarm_name)
+  || ',"  "]}' FROM (SELECT DISTINCT alarm_name FROM alarms) a""")

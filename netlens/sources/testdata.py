@@ -316,6 +316,22 @@ class Fixtures:
             ).alias("fields")).alias("meta_info"),
         )
 
+    def config(self) -> DataFrame:
+        """Configuration rows derived from the data: one KPI watermark per
+        router vendor (newest hourly sample, ``yyyyMMddHHmm``), the LSP feed
+        watermark, and a JSON list of alarm codes (with one blank entry)."""
+        pm = self.pm_sample().filter(F.col("granularity") == "hourly")
+        r = self.routers().select(F.col("ne_name").alias("nodename"), "vendor")
+        wm = (pm.join(r, "nodename").groupBy("vendor")
+              .agg(F.date_format(F.max("date"), "yyyyMMddHHmm").alias("config_value"))
+              .select(F.concat(F.lit("PM_WATERMARK_"), F.col("vendor")).alias("config_key"), "config_value"))
+        lw = self.lsp().agg(F.date_format(F.max("modification_time"), "yyyyMMddHHmm").alias("config_value")) \
+            .select(F.lit("LSP_WATERMARK").alias("config_key"), "config_value")
+        codes = self.alarms().agg(F.to_json(F.struct(F.concat(
+            F.array_sort(F.collect_set("alarm_name")), F.array(F.lit("  "))).alias("codes"))).alias("config_value")) \
+            .select(F.lit("ALARM_CODES").alias("config_key"), "config_value")
+        return wm.unionByName(lw).unionByName(codes)
+
     # ------------------------------------------------------- KPI / alarms
     def pm_sample(self) -> DataFrame:
         """Long KPI samples: one per view/click/purchase event, hourly and daily.
