@@ -91,7 +91,7 @@ SELECT CASE l_returnflag WHEN 'A' THEN 'LLDP' WHEN 'N' THEN 'OSPF' ELSE 'ISIS' E
   o_orderdate AS modified_ts, o_orderpriority AS tag,
   '10.' || CAST(s_nationkey AS VARCHAR) || '.0.0' AS area_ip_address,
   'CKT' || CAST(l_orderkey AS VARCHAR) AS ckt_id,
-  l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, o_custkey
+  l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax, o_custkey
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey""")
 
@@ -292,3 +292,28 @@ FROM pm_sample p JOIN routers r ON p.nodename = r.ne_name WHERE granularity = 'h
 UNION ALL SELECT 'LSP_WATERMARK', strftime(max(modification_time), '%Y%m%d%H%M') FROM lsp
 UNION ALL SELECT 'ALARM_CODES', '{"codes":[' || string_agg('"' || alarm_name || '"', ',' ORDER BY alarm_name)
   || ',"  "]}' FROM (SELECT DISTINCT alarm_name FROM alarms) a""")
+
+
+# ------------------------------------------------------------------ KPI views
+view("link_samples", ["link_rows"], """
+SELECT src_interface || '#' || dest_interface AS link_name,
+  CASE WHEN l_linenumber <= 2 THEN 'hourly' ELSE 'daily' END AS granularity, last_discovery_ts AS date,
+  l_discount * 100 AS in_util, CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE l_tax * 100 END AS out_util
+FROM link_rows""")
+
+view("kpi_def", ["pm_sample", "routers"], """
+SELECT DISTINCT kpi_id || '_' || lower(vendor) AS kpi_id, upper(kpi_id) || ' RATE' AS kpi_name, domain, vendor
+FROM (SELECT DISTINCT nodename, kpi_id FROM pm_sample) p JOIN routers r ON p.nodename = r.ne_name""")
+
+view("element_sample", [], """
+SELECT 'R' || CAST(s_suppkey AS VARCHAR) AS ne_id, ts,
+  CASE WHEN event_type = 'view' THEN (CASE WHEN value < 1 THEN 'n/a' ELSE CAST(value AS VARCHAR) END) END AS cpu,
+  CASE WHEN event_type = 'click' THEN (CASE WHEN value < 1 THEN 'n/a' ELSE CAST(value AS VARCHAR) END) END AS memory
+FROM events JOIN supplier ON user_id = s_suppkey WHERE event_type IN ('view', 'click')""")
+
+view("pm", ["pm_sample", "routers"], """
+SELECT m.nodename, m.date, m.kpijson, r.domain, r.vendor, r.technology
+FROM (SELECT nodename, date, map(list(kpi_id ORDER BY kpi_id), list(CAST(value AS VARCHAR) ORDER BY kpi_id)) AS kpijson
+      FROM (SELECT nodename, strftime(date, '%Y-%m-%d') AS date, kpi_id, max(value) AS value FROM pm_sample
+            WHERE granularity = 'daily' GROUP BY ALL) a GROUP BY nodename, date) m
+LEFT JOIN routers r ON m.nodename = r.ne_name""")

@@ -181,7 +181,7 @@ class Fixtures:
         and a switch (customer); direction swapped on even line numbers."""
         l = self.t("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
         s = self.t("supplier").select("s_suppkey", "s_name", "s_nationkey")
         c = self.t("customer").select("c_custkey", "c_name")
@@ -207,7 +207,7 @@ class Fixtures:
             F.col("o_orderpriority").alias("tag"),
             F.concat(F.lit("10."), _s("s_nationkey"), F.lit(".0.0")).alias("area_ip_address"),
             F.concat(F.lit("CKT"), _s("l_orderkey")).alias("ckt_id"),
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax",
         )
 
     def edges(self, rows: DataFrame | None = None) -> DataFrame:
@@ -348,6 +348,36 @@ class Fixtures:
                          F.col("event_type").alias("kpi_id"), F.col("value"), "event_id")
         return hourly.unionByName(daily)
 
+    def link_samples(self) -> DataFrame:
+        """Link utilisation samples: one per link row, hourly for line numbers
+        1-2 else daily; in = discount %, out = tax % (missing every 11th part)."""
+        r = self.link_rows()
+        return r.select(
+            F.concat(F.col("src_interface"), F.lit("#"), F.col("dest_interface")).alias("link_name"),
+            F.when(F.col("l_linenumber") <= 2, "hourly").otherwise("daily").alias("granularity"),
+            F.col("last_discovery_ts").alias("date"),
+            (F.col("l_discount") * 100).alias("in_util"),
+            F.when(F.col("l_partkey") % 11 == 0, F.lit(None)).otherwise(F.col("l_tax") * 100).alias("out_util"))
+
+    def kpi_def(self) -> DataFrame:
+        """KPI definitions: one per (KPI, router vendor)."""
+        pm = self.pm_sample().select("nodename", "kpi_id").distinct()
+        r = self.routers().select(F.col("ne_name").alias("nodename"), "vendor", "domain")
+        return (pm.join(r, "nodename").select("kpi_id", "vendor", "domain").distinct()
+                .select(F.concat(F.col("kpi_id"), F.lit("_"), F.lower("vendor")).alias("kpi_id"),
+                        F.concat(F.upper("kpi_id"), F.lit(" RATE")).alias("kpi_name"), "domain", "vendor"))
+
+    def element_sample(self) -> DataFrame:
+        """Element CPU / memory samples as text (view -> cpu, click -> memory;
+        values under 1 are reported as 'n/a')."""
+        e = self.t("events").filter(F.col("event_type").isin("view", "click"))
+        s = self.t("supplier").select("s_suppkey")
+        txt = F.when(F.col("value") < 1, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+        return e.join(s, e.user_id == s.s_suppkey).select(
+            F.concat(F.lit("R"), _s("s_suppkey")).alias("ne_id"), "ts",
+            F.when(F.col("event_type") == "view", txt).alias("cpu"),
+            F.when(F.col("event_type") == "click", txt).alias("memory"))
+
     def alarms(self) -> DataFrame:
         e = self.t("events").filter(F.col("event_type") == "error")
         s = self.t("supplier").select("s_suppkey", "s_name")
