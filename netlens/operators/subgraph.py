@@ -8,6 +8,8 @@ which AQE turns into broadcast joins only when the measured name set is small.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -235,9 +237,10 @@ def bundle_ports(edges: DataFrame, link_name: str) -> DataFrame:
     """Link name ``A_p#B_q`` -> source ports of A->B links whose source
     bundle is p and destination ports where the destination bundle is q.
     The bundle of an interface is its suffix; a null port is ''."""
-    left, right = link_name.split("#", 1)
-    a, p = left.rsplit("_", 1)
-    b, q = right.rsplit("_", 1)
+    m = re.match(r"^(.*)_([^_#]*)#(.*)_([^_]*)$", link_name)
+    if not m:
+        raise ValueError(f"bad bundle link name {link_name!r}")
+    a, p, b, q = m.groups()
     e = _ports(edges.filter((F.col("start_ne") == a) & (F.col("end_ne") == b)))
     src = e.filter(F.col("src_port") == p).select(
         F.lit("SOURCE").alias("side"), F.coalesce("src_port", F.lit("")).alias("port"), "relation",

@@ -165,3 +165,29 @@ FROM steps s LEFT JOIN best b ON s.ne_name = b.ne_name AND s.next_ne = b.next_ne
 def r8_path_hops(fx):
     """The R1 paths as ordered hop rows with oriented ports."""
     return R.path_hops(_r1(fx), fx.edges())
+
+
+@query("r9_paths_to_target", f"""
+WITH RECURSIVE {_HOPS},
+p(last, path, depth, done) AS (
+  SELECT ne_name, [ne_name], 0, false FROM vertices WHERE ne_name = 'Customer#000000004'
+  UNION ALL
+  SELECT h.b, list_append(p.path, h.b), p.depth + 1, h.b = 'Supplier#000000007'
+  FROM p JOIN hops h ON h.a = p.last JOIN vertices v ON v.ne_name = h.b
+  WHERE NOT p.done AND p.depth < 3 AND NOT list_contains(p.path, h.b)
+    AND (upper(v.ne_type) IN ('SWITCH') OR h.b = 'Supplier#000000007')),
+prev AS (SELECT DISTINCT path[len(path) - 1] AS prev FROM p WHERE done),
+te AS (SELECT CASE WHEN start_ne = 'Supplier#000000007' THEN end_ne ELSE start_ne END AS prev,
+         CASE WHEN start_ne = 'Supplier#000000007' THEN regexp_replace(src_interface, '^.*_', '')
+              ELSE regexp_replace(dest_interface, '^.*_', '') END AS target_port
+       FROM edges WHERE start_ne = 'Supplier#000000007' OR end_ne = 'Supplier#000000007')
+SELECT 'Customer#000000004' AS element, 'Supplier#000000007' AS target,
+  (SELECT count(*) FROM p WHERE done) AS paths,
+  (SELECT count(*) FROM te WHERE prev IN (SELECT prev FROM prev) AND target_port <> '3') > 0 AS holds""",
+       views=("vertices", "edges", "parent_edges"))
+def r9_paths_to_target(fx):
+    """Paths over switches from Customer#000000004 to Supplier#000000007;
+    holds when a path link meets the target on a port other than 3."""
+    hops = R.hop_table(fx.edges(), fx.parent_edges())
+    return R.paths_to_target(fx.vertices(), hops, fx.edges(), "Customer#000000004", "Supplier#000000007",
+                             "SWITCH", "3", 3)
