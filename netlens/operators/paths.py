@@ -59,35 +59,37 @@ def simple_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowe
     ``(start_ne, end_ne, depth, path)``."""
     allowed = [t.upper() for t in allowed_types]
     terms = [t.upper() for t in (term_types or [])]
-    vcols = [F.col("ne_name").alias("_b"), F.upper("ne_type").alias("_bt")]
-    if same_attr:
-        vcols.append(F.col(same_attr).alias("_ba"))
-    vb = vertices.select(*vcols)
+    # Hop filters that do not depend on the path are applied once, to the
+    # hop table: the target's type must be allowed (or terminal), it must not
+    # be excluded, and with ``same_attr`` both ends must share the attribute
+    # (exact: every vertex on a path shares the start's value, so the hop's
+    # source does too).  Each round then joins the frontier with this
+    # smaller table only.
+    vb = vertices.select(F.col("ne_name").alias("_b"), F.upper("ne_type").alias("_bt"),
+                         *([F.col(same_attr).alias("_ba")] if same_attr else []))
     if term_names is not None:
-        tn = term_names.select(F.col("ne_name").alias("_b")).distinct().withColumn("_is_term", F.lit(True))
+        tn = term_names.select(F.col("ne_name").alias("_b")).distinct().withColumn("_tn", F.lit(True))
         vb = vb.join(tn, "_b", "left")
     else:
-        vb = vb.withColumn("_is_term", F.lit(False))
+        vb = vb.withColumn("_tn", F.lit(None).cast("boolean"))
+    is_term = F.col("_bt").isin(terms) | F.coalesce(F.col("_tn"), F.lit(False))
+    vb = vb.filter(F.col("_bt").isin(allowed) | is_term).withColumn("_term", is_term)
     if exclude is not None:
         vb = vb.join(exclude.select(F.col("ne_name").alias("_b")), "_b", "left_anti")
-    st = starts.select(F.col("ne_name").alias("start_ne")).distinct()
+    h = hops.select(F.col("a").alias("_last"), F.col("b").alias("_b")).join(vb, "_b")
     if same_attr:
-        st = st.join(vertices.select(F.col("ne_name").alias("start_ne"), F.col(same_attr).alias("_sa")), "start_ne")
-    frontier = st.select("start_ne", *(["_sa"] if same_attr else []),
-                         F.col("start_ne").alias("_last"), F.array(F.col("start_ne")).alias("path"))
-    h = hops.select(F.col("a").alias("_last"), F.col("b").alias("_b"))
+        va = vertices.select(F.col("ne_name").alias("_last"), F.col(same_attr).alias("_la"))
+        h = h.join(va, "_last").filter(F.col("_la") == F.col("_ba"))
+    # materialised once (reliable checkpoint), read by every round
+    h = _cut(h.select("_last", "_b", "_term"))
+    st = starts.select(F.col("ne_name").alias("start_ne")).distinct()
+    frontier = st.select("start_ne", F.col("start_ne").alias("_last"), F.array(F.col("start_ne")).alias("path"))
     done_parts = []
     for depth in range(1, max_depth + 1):
-        step = frontier.join(h, "_last").join(vb, "_b")
-        ok = ~F.array_contains("path", F.col("_b"))
-        is_term = F.col("_bt").isin(terms) | F.col("_is_term")
-        ok = ok & (F.col("_bt").isin(allowed) | is_term)
-        if same_attr:
-            ok = ok & (F.col("_ba") == F.col("_sa"))
-        step = step.filter(ok).select("start_ne", *(["_sa"] if same_attr else []),
-                                      F.col("_b").alias("_last"),
-                                      F.concat("path", F.array(F.col("_b"))).alias("path"),
-                                      is_term.alias("_done"))
+        step = (frontier.join(h, "_last")
+                .filter(~F.array_contains("path", F.col("_b")))
+                .select("start_ne", F.col("_b").alias("_last"),
+                        F.concat("path", F.array(F.col("_b"))).alias("path"), F.col("_term").alias("_done")))
         step = _cut(step)
         done_parts.append(step.filter("_done").select("start_ne", F.col("_last").alias("end_ne"),
                                                       F.lit(depth).alias("depth"), "path"))

@@ -101,7 +101,8 @@ SELECT src_interface, dest_interface, relation,
   CASE WHEN upper(relation) = 'ISIS' THEN coalesce(trim(link_type), '') ELSE '' END AS link_type_key,
   max(start_ne) AS start_ne, max(end_ne) AS end_ne, max(src_type) AS src_type, max(dest_type) AS dest_type,
   max(bandwidth) AS bandwidth, max(last_discovery_ts) AS last_discovery_ts, max(tag) AS tag,
-  max(area_ip_address) AS area_ip_address, min(ckt_id) AS ckt_id, count(*) AS link_count,
+  max(area_ip_address) AS area_ip_address, 'CKT' || CAST(min(l_orderkey) AS VARCHAR) AS ckt_id,
+  count(*) AS link_count,
   'ACTIVE' AS status, false AS is_deleted
 FROM link_rows
 GROUP BY src_interface, dest_interface, relation,
