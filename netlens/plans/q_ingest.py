@@ -67,7 +67,10 @@ def _iface_sql(link: str, rel: str, ptype: str) -> str:
 SELECT DISTINCT '{rel}' AS relation, src.id, src.ne_name, src.ne_type, l.last_discovery_time AS last_discovery_ts,
   src.latitude, src.longitude, src.capacity AS bandwidth, src.ne_source, src.ne_status, src.ckt_id,
   src.is_deleted, src.ne_id, src.ipv4, {host} AS hostname, p.ne_name AS parent_ne{extra}
-FROM {link} l JOIN network_element src ON l.source_interface_ne_id = src.id OR l.destination_interface_ne_id = src.id
+FROM (SELECT source_interface_ne_id AS if_id, last_discovery_time, link_name, modified_time FROM {link}
+      UNION ALL
+      SELECT destination_interface_ne_id, last_discovery_time, link_name, modified_time FROM {link}) l
+JOIN network_element src ON l.if_id = src.id
 LEFT JOIN network_element p ON src.parent_ne_id_fk = p.id
 WHERE p.is_deleted = 0 AND (p.ne_type IN ('{ptype}') OR p.ne_category IN ('{ptype}'))"""
 
@@ -89,9 +92,12 @@ def i5_interface_vertices_ospf(fx):
 @query("i6_interface_vertices_isis", """
 SELECT DISTINCT 'ISIS' AS relation, nb.id, nb.ne_name, nb.ne_type, l.last_discovery_time AS last_discovery_ts,
   nb.ne_source, nb.bandwidth, nb.ne_status, l.uuid, nb.is_deleted, nb.ne_id, nb.ipv4, nb.hostname
-FROM isis_link l JOIN network_element src ON src.id = l.source_ne_id
-JOIN network_element rem ON rem.id = l.destination_ne_id
-LEFT JOIN network_element nb ON nb.id = l.source_interface_ne_id OR nb.id = l.destination_interface_ne_id
+FROM (SELECT k.source_interface_ne_id AS if_id, k.last_discovery_time, k.uuid FROM isis_link k
+        JOIN network_element src ON src.id = k.source_ne_id JOIN network_element rem ON rem.id = k.destination_ne_id
+      UNION ALL
+      SELECT k.destination_interface_ne_id, k.last_discovery_time, k.uuid FROM isis_link k
+        JOIN network_element src ON src.id = k.source_ne_id JOIN network_element rem ON rem.id = k.destination_ne_id) l
+JOIN network_element nb ON nb.id = l.if_id
 WHERE nb.is_deleted = 0 AND nb.ne_type = 'INTERFACE'""", views=("network_element", "isis_link"))
 def i6_interface_vertices_isis(fx):
     """Live interfaces of ISIS links whose two router ends exist."""

@@ -268,7 +268,9 @@ SELECT ne_name, relation, count(*) AS copies FROM (
   SELECT DISTINCT 'LLDP' AS relation, src.id, src.ne_name, src.ne_type, l.last_discovery_time AS last_discovery_ts,
     src.latitude, src.longitude, src.capacity AS bandwidth, src.ne_source, src.ne_status, src.ckt_id,
     src.is_deleted, src.ne_id, src.ipv4, l.link_name AS hostname, p.ne_name AS parent_ne
-  FROM lldp_link l JOIN network_element src ON l.source_interface_ne_id = src.id OR l.destination_interface_ne_id = src.id
+  FROM (SELECT source_interface_ne_id AS if_id, last_discovery_time, link_name FROM lldp_link
+        UNION ALL SELECT destination_interface_ne_id, last_discovery_time, link_name FROM lldp_link) l
+  JOIN network_element src ON l.if_id = src.id
   LEFT JOIN network_element p ON src.parent_ne_id_fk = p.id
   WHERE p.is_deleted = 0 AND (p.ne_type IN ('ROUTER') OR p.ne_category IN ('ROUTER'))) z
 GROUP BY ne_name, relation HAVING count(*) > 1""", views=("network_element", "lldp_link"))
