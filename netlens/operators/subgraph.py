@@ -61,8 +61,10 @@ def remove_reverse_duplicates(links: DataFrame) -> DataFrame:
     joined back: a hot pair reduces to one row before the shuffle, and the join
     of a hot key against a single row is split by AQE's skew handling (a
     window over the pair would put the whole group in one task)."""
-    lo = F.least("start_ne", "end_ne")
-    hi = F.greatest("start_ne", "end_ne")
+    both = F.col("start_ne").isNotNull() & F.col("end_ne").isNotNull()
+    # least / greatest skip nulls, so a link with one null end gets no pair
+    lo = F.when(both, F.least("start_ne", "end_ne"))
+    hi = F.when(both, F.greatest("start_ne", "end_ne"))
     keyed = links.withColumn("_lo", lo).withColumn("_hi", hi)
     first = (keyed.filter(F.col("_lo").isNotNull() & F.col("_hi").isNotNull())
              .groupBy("_lo", "_hi")
