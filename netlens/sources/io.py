@@ -42,11 +42,18 @@ def normalise_types(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def _since_epoch(unit: str, ts: Column) -> Column:
+    """Whole units since 1970-01-01 00:00 of a local (NTZ) timestamp: pure
+    local-time arithmetic, independent of the session time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff(unit, epoch, ts.cast("timestamp_ntz"))
+
+
 def iso_local_string(ts: Column) -> Column:
     """Discovery time as ISO local date-time text with a space instead of
     'T': seconds dropped when seconds and fraction are zero; fraction as 3
     or 6 digits."""
-    micros = F.unix_micros(ts.cast("timestamp")) % 1_000_000
+    micros = _since_epoch("MICROSECOND", ts) % 1_000_000
     sec = F.second(ts)
     base = F.date_format(ts, "yyyy-MM-dd HH:mm")
     with_s = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
@@ -66,7 +73,7 @@ def to_api_types(df: DataFrame, discovery_cols: list[str], modify_cols: list[str
     for c in discovery_cols:
         x = x.withColumn(c, iso_local_string(F.col(c)))
     for c in modify_cols:
-        x = x.withColumn(c, F.unix_millis(F.col(c).cast("timestamp")))
+        x = x.withColumn(c, _since_epoch("MILLISECOND", F.col(c)))
     return x
 
 
