@@ -44,8 +44,14 @@ def hop_table(edges: DataFrame, parent_edges: DataFrame | None = None,
 
 
 def _cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of one round into the shared checkpoint folder.
+    The input is persisted for the duration so the checkpoint job reads the
+    computed rows instead of recomputing them."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def simple_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowed_types: list[str],

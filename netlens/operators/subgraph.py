@@ -82,9 +82,9 @@ def remove_reverse_duplicates(links: DataFrame) -> DataFrame:
 
 def nodes_of_links(vertices: DataFrame, links: DataFrame, names: DataFrame | None = None,
                    strict: bool = False) -> DataFrame:
-    """Names ∪ link starts ∪ link ends, as vertices with coordinates."""
-    ends = links.select(F.col("start_ne").alias("ne_name")).unionByName(
-        links.select(F.col("end_ne").alias("ne_name")))
+    """Names ∪ link starts ∪ link ends, as vertices with coordinates.
+    Both ends come from one pass over the links (explode of the pair)."""
+    ends = links.select(F.explode(F.array("start_ne", "end_ne")).alias("ne_name"))
     if names is not None:
         ends = ends.unionByName(names.select("ne_name"))
     ends = ends.filter(F.col("ne_name").isNotNull()).distinct()

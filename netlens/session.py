@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def materialize(df, name: str = "t"):
+    """Cut lineage by writing ``df`` as a Parquet table under the shared
+    checkpoint folder and reading it back.  One computation (a reliable RDD
+    checkpoint computes its input twice unless cached), columnar re-reads
+    with pruning and pushdown, and the files outlive any executor."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a private one only if
     the session has none (tests).  Never a machine-local folder on a cluster:
