@@ -146,17 +146,21 @@ def level_reachable(vertices: DataFrame, hops: DataFrame, element: str, upper_ty
 
 def reach(seeds: DataFrame, hops: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Vertex-set BFS: every vertex connected to a seed (seeds included)."""
-    visited = _cut(seeds.select(F.col("ne_name").alias("v")).distinct())
-    frontier = visited
+    frontier = _cut(seeds.select(F.col("ne_name").alias("v")).distinct())
+    # visited = union of the checkpointed rounds; compacted every few rounds
+    parts = [frontier]
     h = hops.select(F.col("a").alias("v"), F.col("b").alias("w"))
     for _ in range(max_rounds):
+        visited = reduce(DataFrame.unionByName, parts)
         nxt = frontier.join(h, "v").select(F.col("w").alias("v")).distinct().join(visited, "v", "left_anti")
         nxt = _cut(nxt)
         if nxt.isEmpty():
             break
-        visited = _cut(visited.unionByName(nxt))
+        parts.append(nxt)
+        if len(parts) > 4:
+            parts = [_cut(reduce(DataFrame.unionByName, parts))]
         frontier = nxt
-    return visited.select(F.col("v").alias("ne_name"))
+    return reduce(DataFrame.unionByName, parts).select(F.col("v").alias("ne_name"))
 
 
 def impact(vertices: DataFrame, hops: DataFrame, element: str, upper_types: list[str],

@@ -125,6 +125,18 @@ def r5_impact_nodes(fx):
     return nodes
 
 
+@query("r5_impact_links", _R5_SQL + """
+, h AS (SELECT DISTINCT a, b FROM (
+  SELECT start_ne AS a, end_ne AS b FROM parent_edges UNION ALL SELECT end_ne, start_ne FROM parent_edges) z
+  WHERE a IS NOT NULL AND b IS NOT NULL AND a <> b)
+SELECT a, b FROM h WHERE a IN (SELECT ne_name FROM flag WHERE dependent)
+UNION ALL SELECT a, b FROM h WHERE a = 'NATION_3'""", views=("vertices", "parent_edges"))
+def r5_impact_links(fx):
+    """Hierarchy links of the dependent elements and of the removed one."""
+    _, links = _r5(fx)
+    return links
+
+
 @query("r7_hierarchy", """
 WITH RECURSIVE d(ancestor, descendant, descendant_type, depth) AS (
   SELECT r.ne_name, c.ne_name, c.ne_type, 1 FROM vertices r JOIN vertices c ON c.parent_ne = r.ne_name
