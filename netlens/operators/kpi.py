@@ -10,7 +10,7 @@ only sides broadcast by hint here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -200,6 +200,3 @@ def topology_with_enrichment(links: DataFrame, nodes: DataFrame, alarms: DataFra
         links = links.join(causes, "link_name", "left")
     return links, nodes
 
-
-def link_samples_of(rows: DataFrame) -> Column:
-    return F.concat(F.col("src_interface"), F.lit("#"), F.col("dest_interface"))

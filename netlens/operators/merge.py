@@ -196,7 +196,6 @@ def classify_records(edge_outcomes: DataFrame, snapshot_edges: DataFrame) -> Dat
     matched key, so the join rule gives exactly that)."""
     cls = (F.when(F.col("outcome") == "skipped", "failed")
            .when(F.col("outcome") == "updated", "updated").otherwise("new"))
-    del snapshot_edges
     return edge_outcomes.withColumn("record_class", cls)
 
 

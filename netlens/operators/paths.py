@@ -22,11 +22,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.expr import csv_list
 from ..session import ensure_checkpoint_dir
 
 
@@ -133,12 +132,10 @@ def level_reachable(vertices: DataFrame, hops: DataFrame, element: str, upper_ty
     """Can ``element`` reach an upper-level type without passing
     ``avoid``?  Returns one row (element, reachable, paths found, capped at
     ``max_paths``)."""
-    sp = vertices.sparkSession
     starts = vertices.filter(F.col("ne_name") == element).select("ne_name")
     excl = vertices.filter(F.col("ne_name") == avoid).select("ne_name") if avoid else None
     p = simple_paths(vertices, hops, starts, allowed_types, term_types=upper_types, exclude=excl,
                      max_depth=max_depth)
-    del sp
     n = p.agg(F.count(F.lit(1)).alias("n"))
     return n.select(F.lit(element).alias("element"), (F.col("n") > 0).alias("reachable"),
                     F.least(F.col("n"), F.lit(max_paths)).alias("paths_found"))
@@ -258,10 +255,3 @@ def paths_to_target(vertices: DataFrame, hops: DataFrame, edges: DataFrame, elem
         F.lit(element).alias("element"), F.lit(target).alias("target"), "paths",
         (F.col("other_port_links") > 0).alias("holds"))
 
-
-def types(csv: str) -> list[str]:
-    return csv_list(csv, upper=True)
-
-
-def depth_col() -> Column:
-    return F.col("depth")

@@ -11,11 +11,10 @@ driver-side Python: it decides which lazy plan to build.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import (csv_list, escape_regex, has_coordinates, has_value,
-                              prefix_regex)
+from ..functions.expr import csv_list, has_coordinates, has_value, prefix_regex
 from .subgraph import links_from, links_touching, names_df, nodes_of_links, remove_reverse_duplicates
 
 
@@ -223,10 +222,3 @@ def with_coordinates(vertices: DataFrame, strict: bool = False) -> DataFrame:
     """Q16: vertices with coordinates (strict: both parse as double)."""
     return vertices.filter(has_coordinates(strict))
 
-
-def literal_regex(text: str) -> str:
-    return escape_regex(text)
-
-
-def as_column(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.expr import col_has_value, csv_list, has_coordinates, has_value
+from ..functions.expr import csv_list, has_coordinates, has_value
 
 LINK_COLUMNS = S.EDGE_COLUMNS
 
@@ -347,6 +347,3 @@ def criteria(vertices: DataFrame, edges: DataFrame, mode: str, vertex_filter: Co
         v = v.join(ends, "ne_name", "left_semi")
     return links, v
 
-
-def col_present(c: str) -> Column:
-    return col_has_value(c)

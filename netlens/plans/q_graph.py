@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import search as Q
 from ..operators import subgraph as X
 from .catalog import query
-from .sqlparts import EDGE_COLS, HAS_XY, HAS_XY_STRICT, nodes_of, revdedupe, types_in
+from .sqlparts import HAS_XY, HAS_XY_STRICT, nodes_of, revdedupe, types_in
 
 ALL_TYPES = "ROUTER,SWITCH,AGG,CORE"
 
@@ -249,14 +249,12 @@ SELECT * FROM vertices WHERE geography_l1 = 'AFRICA' OR geography_l2 = 'NATION_9
        views=("vertices",))
 def q14_scope_filter(fx):
     """Q14: area-of-authority filter from a scope table derived from region/nation/segment."""
-    sp = fx.spark
     r = fx.t("region").filter(F.col("r_name") == "AFRICA").select(
         F.lit("geography_l1").alias("column"), F.col("r_name").alias("value"))
     n = fx.t("nation").filter(F.col("n_nationkey") == 9).select(
         F.lit("geography_l2").alias("column"), F.col("n_name").alias("value"))
     c = fx.t("customer").filter(F.col("c_mktsegment") == "BUILDING").select(
         F.lit("domain").alias("column"), F.col("c_mktsegment").alias("value")).distinct()
-    del sp
     return Q.scope_filter(fx.vertices(), r.unionByName(n).unionByName(c))
 
 
@@ -272,5 +270,3 @@ def q16_has_coordinates(fx):
     """Q16 strict: vertices whose coordinates both parse as double."""
     return Q.with_coordinates(fx.vertices(), strict=True)
 
-
-_ = EDGE_COLS

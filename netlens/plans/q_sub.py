@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..operators import subgraph as X
 from .catalog import query
-from .sqlparts import EDGE_COLS, HAS_XY, nodes_of
+from .sqlparts import EDGE_COLS, nodes_of
 
 PORT = "regexp_replace({c}, '^.*_', '')"
 SP, DP = PORT.format(c="src_interface"), PORT.format(c="dest_interface")
@@ -320,5 +320,3 @@ def x6_lsp_nodes(fx):
     _, nodes = _x6(fx)
     return nodes
 
-
-_ = HAS_XY
