@@ -161,22 +161,21 @@ def neighbours(vertices: DataFrame, edges: DataFrame, name: str, category: str |
 
 def connections_by_type(vertices: DataFrame, edges: DataFrame, ne_types: str,
                         relations: str | None = None) -> DataFrame:
-    """Vertices of the given types, each with its sorted list of outgoing
-    connections of the given relations.  The list is per vertex, built by a
-    partial aggregation keyed by vertex."""
+    """Vertices of the given types with their outgoing connections of the
+    given relations: one row per (vertex, connection), plus the vertex's
+    connection count; a vertex without connections gives one row with null
+    connection fields.  Connections stay rows (a hub's list is never gathered
+    into one value); the count is a partial aggregate joined back."""
     types = csv_list(ne_types, upper=True)
     v = vertices.filter(F.upper("ne_type").isin(types)).select("ne_name", "ne_type")
     e = edges
     if has_value(relations):
         e = e.filter(F.upper("relation").isin(csv_list(relations, upper=True)))
-    conn = e.join(v.select(F.col("ne_name").alias("start_ne")), "start_ne", "left_semi")
-    per = conn.groupBy("start_ne").agg(
-        F.array_sort(F.collect_list(F.struct("end_ne", "relation", "src_interface",
-                                             "dest_interface"))).alias("connections"),
-        F.count(F.lit(1)).alias("n_connections"))
-    return v.join(per, v.ne_name == per.start_ne, "left").select(
-        "ne_name", "ne_type", F.coalesce("n_connections", F.lit(0)).alias("n_connections"),
-        F.coalesce("connections", F.array()).alias("connections"))
+    conn = e.join(v.select(F.col("ne_name").alias("start_ne")), "start_ne", "left_semi").select(
+        F.col("start_ne").alias("ne_name"), "end_ne", "relation", "src_interface", "dest_interface")
+    counts = conn.groupBy("ne_name").agg(F.count(F.lit(1)).alias("n_connections"))
+    return (v.join(conn, "ne_name", "left").join(counts, "ne_name", "left")
+            .withColumn("n_connections", F.coalesce("n_connections", F.lit(0).cast("long"))))
 
 
 def city_topology(vertices: DataFrame, edges: DataFrame, city: str) -> tuple[DataFrame, DataFrame]:

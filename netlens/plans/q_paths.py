@@ -152,12 +152,11 @@ def r7_hierarchy(fx):
 
 
 @query("r7_children_by_type", """
-SELECT parent_ne, ne_type AS child_type, count(*) AS children,
-  array_to_string(list_sort(list(ne_name)), ',') AS child_names
+SELECT parent_ne, ne_type AS child_type, count(*) AS children
 FROM vertices WHERE parent_ne IS NOT NULL GROUP BY parent_ne, ne_type""", views=("vertices",))
 def r7_children_by_type(fx):
     """R7 one level: children per parent and type."""
-    return R.children_by_type(fx.vertices()).withColumn("child_names", F.array_join("child_names", ","))
+    return R.children_by_type(fx.vertices())
 
 
 @query("r8_path_hops", _R1_SQL + """

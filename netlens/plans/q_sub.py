@@ -42,16 +42,14 @@ def x8_neighbours_physical(fx):
 
 @query("x9_connections_by_type", """
 WITH v AS (SELECT ne_name, ne_type FROM vertices WHERE upper(ne_type) IN ('ROUTER')),
-c AS (SELECT start_ne, count(*) AS n,
-        string_agg(end_ne || '/' || src_interface, ',' ORDER BY end_ne, relation, src_interface, dest_interface) AS s
-      FROM edges WHERE upper(relation) IN ('ISIS') AND start_ne IN (SELECT ne_name FROM v) GROUP BY start_ne)
-SELECT v.ne_name, v.ne_type, coalesce(c.n, 0) AS n_connections, coalesce(c.s, '') AS connections
-FROM v LEFT JOIN c ON v.ne_name = c.start_ne""", views=("edges", "vertices"))
+c AS (SELECT * FROM edges WHERE upper(relation) IN ('ISIS') AND start_ne IN (SELECT ne_name FROM v)),
+n AS (SELECT start_ne, count(*) AS n FROM c GROUP BY start_ne)
+SELECT v.ne_name, v.ne_type, c.end_ne, c.relation, c.src_interface, c.dest_interface,
+  coalesce(n.n, 0) AS n_connections
+FROM v LEFT JOIN c ON v.ne_name = c.start_ne LEFT JOIN n ON v.ne_name = n.start_ne""", views=("edges", "vertices"))
 def x9_connections_by_type(fx):
-    """Every router with its outgoing ISIS connections (list rendered as text)."""
-    out = X.connections_by_type(fx.vertices(), fx.edges(), "ROUTER", "ISIS")
-    return out.withColumn("connections", F.array_join(
-        F.transform("connections", lambda c: F.concat(c["end_ne"], F.lit("/"), c["src_interface"])), ","))
+    """Every router with its outgoing ISIS connections, one row each."""
+    return X.connections_by_type(fx.vertices(), fx.edges(), "ROUTER", "ISIS")
 
 
 _CITY = """
