@@ -89,19 +89,27 @@ def simple_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowe
     h = _cut(h.select("_last", "_b", "_term"))
     st = starts.select(F.col("ne_name").alias("start_ne")).distinct()
     frontier = st.select("start_ne", F.col("start_ne").alias("_last"), F.array(F.col("start_ne")).alias("path"))
-    done_parts = []
+    # Each round is persisted (one job counts the open paths and fills the
+    # cache); lineage inside the loop is at most ``max_depth`` joins long.
+    # The finished paths are then cut off with one reliable checkpoint and
+    # the round caches released, so the result depends on no cache.
+    done_parts, cached = [], []
     for depth in range(1, max_depth + 1):
         step = (frontier.join(h, "_last")
                 .filter(~F.array_contains("path", F.col("_b")))
                 .select("start_ne", F.col("_b").alias("_last"),
-                        F.concat("path", F.array(F.col("_b"))).alias("path"), F.col("_term").alias("_done")))
-        step = _cut(step)
+                        F.concat("path", F.array(F.col("_b"))).alias("path"), F.col("_term").alias("_done"))
+                .persist())
+        cached.append(step)
         done_parts.append(step.filter("_done").select("start_ne", F.col("_last").alias("end_ne"),
                                                       F.lit(depth).alias("depth"), "path"))
         frontier = step.filter(~F.col("_done")).drop("_done")
-        if depth < max_depth and frontier.isEmpty():
+        if depth < max_depth and frontier.count() == 0:
             break
-    return reduce(DataFrame.unionByName, done_parts)
+    out = _cut(reduce(DataFrame.unionByName, done_parts))
+    for c in cached:
+        c.unpersist()
+    return out
 
 
 def affected_nodes(paths: DataFrame, vertices: DataFrame) -> DataFrame:
