@@ -487,22 +487,27 @@ class Fixtures:
         return elems.unionByName(self.interfaces())
 
     def interfaces(self) -> DataFrame:
-        """Interface elements: distinct (owner, line number) at both link ends."""
+        """Interface elements: distinct (owner, line number) at both link ends.
+        Both ends come from one pass over the line items (the pair of owners
+        exploded, one distinct), then one join with the owner names."""
         l = self.t("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
         o = self.t("orders").select("o_orderkey", "o_custkey")
-        s = self.t("supplier").select("s_suppkey", "s_name")
-        c = self.t("customer").select("c_custkey", "c_name")
-        rif = (l.select("l_suppkey", "l_linenumber").distinct()
-               .join(s, F.col("l_suppkey") == s.s_suppkey)
-               .select((F.lit(ROUTER_IF_ID) + F.col("s_suppkey") * 16 + F.col("l_linenumber")).alias("id"),
-                       F.col("s_name").alias("owner"), (F.lit(ROUTER_ID) + F.col("s_suppkey")).alias("pid"),
-                       "l_linenumber"))
-        sif = (l.join(o, l.l_orderkey == o.o_orderkey).select("o_custkey", "l_linenumber").distinct()
-               .join(c, F.col("o_custkey") == c.c_custkey)
-               .select((F.lit(SWITCH_IF_ID) + F.col("c_custkey") * 16 + F.col("l_linenumber")).alias("id"),
-                       F.col("c_name").alias("owner"), (F.lit(SWITCH_ID) + F.col("c_custkey")).alias("pid"),
-                       "l_linenumber"))
-        ifs = rif.unionByName(sif)
+        ends = (l.join(o, l.l_orderkey == o.o_orderkey, "left")
+                .select(F.explode(F.array(
+                    F.struct(F.lit(1).alias("kind"), F.col("l_suppkey").alias("key")),
+                    F.struct(F.lit(2).alias("kind"), F.col("o_custkey").alias("key")))).alias("e"),
+                    "l_linenumber")
+                .select("e.kind", "e.key", "l_linenumber").filter(F.col("key").isNotNull()).distinct())
+        owners = (self.t("supplier").select(F.lit(1).alias("kind"), F.col("s_suppkey").alias("key"),
+                                            F.col("s_name").alias("owner"))
+                  .unionByName(self.t("customer").select(F.lit(2).alias("kind"), F.col("c_custkey").alias("key"),
+                                                         F.col("c_name").alias("owner"))))
+        is_r = F.col("kind") == 1
+        ifs = ends.join(owners, ["kind", "key"]).select(
+            (F.when(is_r, F.lit(ROUTER_IF_ID)).otherwise(F.lit(SWITCH_IF_ID)) + F.col("key") * 16
+             + F.col("l_linenumber")).alias("id"),
+            "owner", (F.when(is_r, F.lit(ROUTER_ID)).otherwise(F.lit(SWITCH_ID)) + F.col("key")).alias("pid"),
+            "l_linenumber")
         name = F.concat(F.col("owner"), F.lit("_"), _s("l_linenumber"))
         return ifs.select(
             "id", F.concat(F.lit("I"), _s("id")).alias("ne_id"), name.alias("ne_name"),
