@@ -1,0 +1,16 @@
+"""Plan shape of every registered query: no nested-loop or cartesian joins and
+no Python evaluation in the physical plan."""
+
+from netlens.plans.catalog import load_all
+
+from .conftest import SF001
+
+FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
+
+
+def test_no_forbidden_operators_in_any_plan(spark):
+    bad = []
+    for name, (fn, _) in load_all().items():
+        plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        bad += [(name, k) for k in FORBIDDEN if k in plan]
+    assert bad == []
