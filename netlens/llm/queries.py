@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import bpe_decode, bpe_digest, bpe_encode
 from .common import table, text_of
 from .exact_dedup import exact_dedup
 
 
+VOCAB = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the bytes that they decode to, as counts and digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe_encode(docs, VOCAB, public_tokenizers.PATTERN).drop("text")
+    return bpe_digest(bpe_decode(ids, VOCAB))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of whole texts; the largest doc_id of each group stays."""
     return exact_dedup(table(spark, sf_dir, "documents"),
@@ -26,5 +38,6 @@ WINDOW copies AS (PARTITION BY coalesce(text, ''))
 """
 
 REGISTRY = {
+    "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
 }
