@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_decode, bpe_digest, bpe_encode
 from .common import table, text_of
 from .exact_dedup import exact_dedup
+from .simhash import simhash_groups
 
 
 VOCAB = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,7 +38,15 @@ FROM documents
 WINDOW copies AS (PARTITION BY coalesce(text, ''))
 """
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every whole text: 3-word shingles, at most 2 bits."""
+    groups = simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.withColumn("fingerprint",
+                             F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 REGISTRY = {
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
+    "op10_simhash": (op10_simhash, None),
 }
