@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 from .bpe import bpe_decode, bpe_digest, bpe_encode
 from .common import table, text_of
 from .exact_dedup import exact_dedup
+from .html_extract import extract_main_text
 from .simhash import simhash_groups
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article text of every page, from its whole html."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 VOCAB = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -46,6 +52,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_html_extract": (op1_html_extract, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op10_simhash": (op10_simhash, None),
