@@ -11,6 +11,7 @@ from .common import table, text_of
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
 from .simhash import simhash_groups
+from .toxicity import fit_toxicity, score_toxicity
 
 
 def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,20 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def remainder(n: int, id_col: str = "doc_id"):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; labels of remainder 0 are not learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
+    return (score_toxicity(docs, model)
+            .select("doc_id", (remainder(5) == 0).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 VOCAB = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -53,6 +68,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_html_extract": (op1_html_extract, None),
+    "op3_toxicity": (op3_toxicity, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op10_simhash": (op10_simhash, None),
