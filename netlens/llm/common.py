@@ -71,3 +71,23 @@ def flag_members(df: DataFrame, key: str, bit_rows: DataFrame, flag: str,
               .join(F.broadcast(bit_rows), "__word", "left"))
     hit = F.expr(f"coalesce(__bits & shiftleft(1L, cast(pmod({key}, 64) as int)), 0L) <> 0L")
     return probed.withColumn(flag, hit).drop("__word", "__bits")
+
+
+def bit_array(keys: DataFrame, key: str, bits: int = BITS):
+    """The bit table of ``keys`` as a numpy array of ``bits / 64`` words (8 MB at 2**26 bits),
+    to be broadcast and probed with ``probe``."""
+    import numpy as np
+
+    rows = bit_table(keys, key, bits).toArrow()
+    words = np.zeros(bits // 64, np.uint64)
+    if rows.num_rows:
+        words[rows.column(0).to_numpy()] = rows.column(1).to_numpy().view(np.uint64)
+    return words
+
+
+def probe(words, hashes):
+    """For each uint64 hash whether its bit is set."""
+    import numpy as np
+
+    slot = hashes & np.uint64(len(words) * 64 - 1)
+    return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

@@ -10,6 +10,7 @@ from .bpe import bpe_decode, bpe_digest, bpe_encode
 from .common import table, text_of
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
+from .span_dedup import span_dedup
 from .simhash import simhash_groups
 from .toxicity import fit_toxicity, score_toxicity
 
@@ -59,6 +60,11 @@ FROM documents
 WINDOW copies AS (PARTITION BY coalesce(text, ''))
 """
 
+def op7_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences of repeated spans, but for their first place."""
+    return span_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every whole text: 3-word shingles, at most 2 bits."""
     groups = simhash_groups(table(spark, sf_dir, "documents"))
@@ -71,5 +77,6 @@ REGISTRY = {
     "op3_toxicity": (op3_toxicity, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
+    "op7_span_dedup": (op7_span_dedup, None),
     "op10_simhash": (op10_simhash, None),
 }
