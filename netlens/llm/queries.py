@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_digest, bpe_encode
 from .common import table, text_of
+from .decontam import contaminated_pairs
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
 from .span_dedup import span_dedup
@@ -65,6 +66,11 @@ def op7_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a benchmark item, exact or edited, with the item."""
+    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every whole text: 3-word shingles, at most 2 bits."""
     groups = simhash_groups(table(spark, sf_dir, "documents"))
@@ -78,5 +84,6 @@ REGISTRY = {
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_span_dedup": (op7_span_dedup, None),
+    "op9_decontamination": (op9_decontamination, None),
     "op10_simhash": (op10_simhash, None),
 }
