@@ -123,9 +123,9 @@ def node_pairs(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         at = F.least(F.col("depth"), F.lit(depth))
         return _prefix(F.col("prefix"), at), at
 
-    pairs = spark.range(1).select(*[F.lit(0).cast(t).alias(c) for c, t in
-                                    (("a", "long"), ("a_depth", "int"),
-                                     ("b", "long"), ("b_depth", "int"))])
+    zero = F.lit(0)
+    pairs = spark.range(1).select(F.col("id").alias("a"), zero.alias("a_depth"),
+                                  F.col("id").alias("b"), zero.alias("b_depth"))  # the root
     for depth in range(STEP_BITS, (deepest or 0) + STEP_BITS, STEP_BITS):
         up, _ = cut(depth - STEP_BITS)
         own, own_depth = cut(depth)
