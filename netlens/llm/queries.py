@@ -11,6 +11,7 @@ from .common import table, text_of
 from .decontam import contaminated_pairs
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
+from .line_dedup import line_dedup
 from .span_dedup import span_dedup
 from .simhash import simhash_groups
 from .toxicity import fit_toxicity, score_toxicity
@@ -35,6 +36,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of repeated line runs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs)
+
+
 VOCAB = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -81,6 +88,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_html_extract": (op1_html_extract, None),
     "op3_toxicity": (op3_toxicity, None),
+    "op4_line_dedup": (op4_line_dedup, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_span_dedup": (op7_span_dedup, None),
