@@ -12,6 +12,7 @@ from .decontam import contaminated_pairs
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
 from .line_dedup import line_dedup
+from .quality import fit_quality, score_quality
 from .span_dedup import span_dedup
 from .simhash import simhash_groups
 from .toxicity import fit_toxicity, score_toxicity
@@ -73,6 +74,15 @@ def op7_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text; labels of remainder 1 are not learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
+    return (score_quality(docs, model)
+            .select("doc_id", (remainder(3) == 1).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a copy of a benchmark item, exact or edited, with the item."""
     return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -92,6 +102,7 @@ REGISTRY = {
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_span_dedup": (op7_span_dedup, None),
+    "op8_quality_rules": (op8_quality_rules, None),
     "op9_decontamination": (op9_decontamination, None),
     "op10_simhash": (op10_simhash, None),
 }

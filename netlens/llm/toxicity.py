@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import stored, text_of, train_rows, train_texts
 
 MAX_PER_CLASS = 8000
 MIN_DOCS, MIN_WEIGHT = 4, 3.0
@@ -129,22 +129,6 @@ def evidence(model: ToxicityModel, text: str) -> tuple[float, int]:
 
 # --- learning ----------------------------------------------------------------------------
 
-def train_rows(labels: DataFrame, label_col: str, fold_of: Column, max_per_class: int,
-               id_col: str = "doc_id") -> DataFrame:
-    """(__id, __y): at most ``max_per_class`` ids of either label where ``fold_of`` holds."""
-    rows = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & fold_of)
-            .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("__y")))
-    by_hash = [F.xxhash64("__id"), F.col("__id")]
-    return (rows.filter("__y = 1").orderBy(*by_hash).limit(max_per_class)
-            .unionByName(rows.filter("__y <> 1").orderBy(*by_hash).limit(max_per_class)))
-
-
-def train_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(__y, __t): label and text of the chosen rows (a bounded sample, so broadcast)."""
-    texts = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__t"))
-    return texts.join(F.broadcast(chosen), "__id").select("__y", "__t")
-
-
 def _patterns(folded: str, known: frozenset | None = None) -> set[str]:
     out: set[str] = set()
     for word in set(folded.split()):
