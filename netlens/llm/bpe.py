@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import with_column
+
 MAX_VOCAB_BYTES = 64 << 20
 CACHED_RUNS = 400_000  # per Python worker; bounds memory, not results
 
@@ -209,20 +211,6 @@ def _vocab(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast(data)
 
 
-def _with_column(df: DataFrame, name: str, kind: T.DataType, add) -> DataFrame:
-    """``df`` with the Arrow column that ``add`` makes of each batch as its last column."""
-    kept = [c for c in df.columns if c != name]
-    schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(name, kind)])
-
-    def run(batches):
-        for b in batches:
-            made = add(b)
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c))
-                                                for c in kept), made], [*kept, name])
-
-    return df.mapInArrow(run, schema)
-
-
 def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text",
                ids_col: str = "token_ids") -> DataFrame:
     """``docs`` with ``ids_col`` (array of int), the ids of each whole text."""
@@ -238,7 +226,7 @@ def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "
                                         pa.array(np.frombuffer(ids, np.int32)
                                                  if ids else np.empty(0, np.int32)))
 
-    return _with_column(docs, ids_col, T.ArrayType(T.IntegerType()), add)
+    return with_column(docs, ids_col, T.ArrayType(T.IntegerType()), add)
 
 
 def bpe_decode(encoded: DataFrame, vocab_path: str, ids_col: str = "token_ids",
@@ -252,14 +240,15 @@ def bpe_decode(encoded: DataFrame, vocab_path: str, ids_col: str = "token_ids",
         return pa.array([coder.decode(x.values.to_numpy(zero_copy_only=False).tolist())
                          if x.is_valid and len(x) else b"" for x in col], pa.binary())
 
-    return _with_column(encoded, bytes_col, T.BinaryType(), add)
+    return with_column(encoded, bytes_col, T.BinaryType(), add)
 
 
 def bpe_digest(decoded: DataFrame, ids_col: str = "token_ids", bytes_col: str = "decoded",
-               id_col: str = "doc_id") -> DataFrame:
+               id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:
     """Counts and digests of the ids and of the bytes that they decode to."""
     ids = F.coalesce(F.col(ids_col), F.array().cast("array<int>"))
     return decoded.select(
         id_col, F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col(bytes_col), 256).alias("decoded_sha256"))
+        F.sha2(F.col(bytes_col), 256).alias("decoded_sha256"),
+        *([ids_col] if keep_ids else []))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netlens.session import materialize
 
@@ -42,6 +45,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name)
 
 
+def with_column(df: DataFrame, name: str, kind: T.DataType, add) -> DataFrame:
+    """``df`` with the Arrow column that ``add`` makes of each record batch as its last
+    column; a column of that name is replaced."""
+    kept = [c for c in df.columns if c != name]
+    schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(name, kind)])
+
+    def run(batches):
+        for b in batches:
+            columns = [b.column(b.schema.get_field_index(c)) for c in kept]
+            yield pa.RecordBatch.from_arrays([*columns, add(b)], [*kept, name])
+
+    return df.mapInArrow(run, schema)
+
+
 # --- bounded samples of labelled rows ----------------------------------------------------
 
 def train_rows(labels: DataFrame, label_col: str, fold_of: Column, max_per_class: int,
@@ -94,8 +111,6 @@ def flag_members(df: DataFrame, key: str, bit_rows: DataFrame, flag: str,
 def bit_array(keys: DataFrame, key: str, bits: int = BITS):
     """The bit table of ``keys`` as a numpy array of ``bits / 64`` words (8 MB at 2**26 bits),
     to be broadcast and probed with ``probe``."""
-    import numpy as np
-
     rows = bit_table(keys, key, bits).toArrow()
     words = np.zeros(bits // 64, np.uint64)
     if rows.num_rows:
@@ -105,7 +120,5 @@ def bit_array(keys: DataFrame, key: str, bits: int = BITS):
 
 def probe(words, hashes):
     """For each uint64 hash whether its bit is set."""
-    import numpy as np
-
     slot = hashes & np.uint64(len(words) * 64 - 1)
     return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

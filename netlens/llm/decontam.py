@@ -196,12 +196,13 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                        item_text_col: str = "text", ngram: int = NGRAM,
                        rare_contexts: int = RARE_CONTEXTS, least_seeds: int = LEAST_SEEDS,
                        min_score: float = MIN_SCORE) -> DataFrame:
-    """(id_col, item_col, score, first_word, end_word): documents that hold a copy of an
-    item, exact or edited; the best aligned passage of each pair, by word positions."""
+    """(id_col, item_col, score, first_word, end_word, text_hash): documents that hold a
+    copy of an item, exact or edited; the best aligned passage of each pair, by word
+    positions.  ``text_hash`` (xxhash64) tells rows of one id apart."""
     texts = docs.select(F.col(id_col).alias("doc"), text_of(text_col).alias("__t"))
     items = benchmark.select(F.col(item_col).alias("item"), text_of(item_text_col).alias("__item"))
     shortest, reach = _item_lengths(items)
-    sizes = range(min(shortest, ngram), ngram + 1)  # short items are n-grams of their own length
+    sizes = range(max(1, min(shortest, ngram)), ngram + 1)  # short items are n-grams of their own length
     grams = stored(_item_grams(items, ngram), "decontam_grams")
     counted = (grams.join(_contexts(texts, grams, sizes), "gram", "left")
                .fillna(0, subset=["contexts"]))
@@ -215,13 +216,13 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     same = [F.col(f"p.{c}").eqNullSafe(F.col(f"q.{c}")) for c in ("doc", "h", "start")]
     work = (pairs.alias("p").join(passages.alias("q"), same[0] & same[1] & same[2])
             .join(items.distinct().alias("i"), F.col("p.item").eqNullSafe(F.col("i.item")))
-            .select("p.doc", "p.item", "q.start", "q.words", "__item"))
+            .select("p.doc", "p.h", "p.item", "q.start", "q.words", "__item"))
     doc_kind, item_kind = (work.schema[c].dataType.simpleString() for c in ("doc", "item"))
 
     def align(batches):
         for b in batches:
             rows, scores, firsts, ends = [], [], [], []
-            for row, (start, words, item) in enumerate(zip(*b.columns[2:], strict=True)):
+            for row, (start, words, item) in enumerate(zip(*b.columns[3:], strict=True)):
                 own, other = words_of(item.as_py()), words.as_py().split(" ")
                 shared = (Counter(own) & Counter(other)).total()
                 if shared < min_score * len(own):
@@ -234,14 +235,14 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                     ends.append(start.as_py() + end)
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(at), b.column(1).take(at), pa.array(scores, pa.float64()),
+                [*(c.take(at) for c in b.columns[:3]), pa.array(scores, pa.float64()),
                  pa.array(firsts, pa.int64()), pa.array(ends, pa.int64())],
-                ["doc", "item", "score", "first", "end"])
+                ["doc", "h", "item", "score", "first", "end"])
 
-    found = work.mapInArrow(align, f"doc {doc_kind}, item {item_kind}, score double, "
+    found = work.mapInArrow(align, f"doc {doc_kind}, h long, item {item_kind}, score double, "
                                    "first long, end long")
     best = F.max(F.struct("score", (-F.col("first")).alias("f"), (-F.col("end")).alias("e")))
-    return (found.groupBy("doc", "item").agg(best.alias("best"))
+    return (found.groupBy("doc", "h", "item").agg(best.alias("best"))
             .select(F.col("doc").alias(id_col), F.col("item").alias(item_col),
                     F.col("best.score").alias("score"), (-F.col("best.f")).alias("first_word"),
-                    (-F.col("best.e")).alias("end_word")))
+                    (-F.col("best.e")).alias("end_word"), F.col("h").alias("text_hash")))

@@ -66,18 +66,20 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(__id, fp): the id and the signed fingerprint of every row."""
-    rows = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__t"))
+    """(__id, __h, fp): id, hash of the text and signed fingerprint of every row."""
+    text = text_of(text_col)
+    rows = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__h"),
+                       text.alias("__t"))
 
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle, seed) for t in b.column(1)],
+            fps = np.array([fingerprint(t.as_py(), shingle, seed) for t in b.column(2)],
                            np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))],
-                                             ["__id", "fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fps.view(np.int64))],
+                                             ["__id", "__h", "fp"])
 
     kind = rows.schema["__id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"__id {kind}, fp long")
+    return rows.mapInArrow(run, f"__id {kind}, __h long, fp long")
 
 
 # --- the top of the trie -----------------------------------------------------------------
@@ -265,8 +267,8 @@ def components(edges: DataFrame) -> DataFrame:
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                    seed: int = SEED) -> DataFrame:
-    """(id_col, fingerprint, component_id) for every row of ``docs``; fingerprint is a
-    signed long."""
+    """(id_col, fingerprint, component_id, text_hash) for every row of ``docs``; the
+    fingerprint is a signed long, ``text_hash`` (xxhash64) tells rows of one id apart."""
     rows = stored(fingerprints(docs, id_col, text_col, shingle, seed), "simhash")
     distinct = stored(rows.groupBy("fp").agg(F.min("__id").alias("least_id")), "simhash_fps")
     nodes = trie_nodes(distinct)
@@ -276,4 +278,5 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_fp = stored(rooted.join(least, "root").select("fp", "component_id"), "simhash_of")
     return rows.join(of_fp, "fp").select(F.col("__id").alias(id_col),
-                                         F.col("fp").alias("fingerprint"), "component_id")
+                                         F.col("fp").alias("fingerprint"), "component_id",
+                                         F.col("__h").alias("text_hash"))

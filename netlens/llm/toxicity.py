@@ -18,8 +18,8 @@ model is broadcast.  Labels, language, source and id are no inputs of a score.
 Defined results: null text counts as empty.  A text without matches, the empty one
 too, gets the score of no evidence (below 0.5).  Labels that are null are ignored;
 where a document is labelled more than once, toxic wins.  Without labelled rows, or
-without toxic ones, every score is 0.  Repeated rows get equal scores.  Only id and
-text are read, so further columns cannot clash; an empty table gives an empty result.
+without toxic ones, every score is 0.  Repeated rows get equal scores.  Other columns are
+kept; one that has the score's name is replaced.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,8 +36,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stored, text_of, train_rows, train_texts
+from .common import stored, train_rows, train_texts, with_column
 
 MAX_PER_CLASS = 8000
 MIN_DOCS, MIN_WEIGHT = 4, 3.0
@@ -280,18 +281,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_fold: Column,
     return ToxicityModel(entries, exceptions, power, slope, min(offset, -1e-6))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """(id_col, score) of every row."""
-    rows = docs.select(id_col, text_of(text_col).alias("__t"))
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
+                   score_col: str = "score") -> DataFrame:
+    """``docs`` with ``score_col``, the probability of every row; nothing is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand short patterns
 
-    def run(batches):
-        for b in batches:
-            m = shared.value
-            scores = [m.probability(*evidence(m, t.as_py())) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64())],
-                                             [id_col, "score"])
+    def add(b):
+        m, texts = shared.value, b.column(b.schema.get_field_index(text_col))
+        return pa.array([m.probability(*evidence(m, t.as_py() or "")) for t in texts], pa.float64())
 
-    kind = rows.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, score double")
+    return with_column(docs, score_col, T.DoubleType(), add)
