@@ -12,6 +12,7 @@ from .decontam import contaminated_pairs
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
 from .line_dedup import line_dedup
+from .lm_score import lm_scores
 from .quality import fit_quality, score_quality
 from .span_dedup import span_dedup
 from .simhash import simhash_groups
@@ -28,6 +29,12 @@ def remainder(n: int, id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
 
 
+def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every whole text; remainder 0 is held out, remainder 1 is the part
+    of the training documents on which the weights are learned."""
+    return lm_scores(table(spark, sf_dir, "documents"), remainder(10) == 0, remainder(10) == 1)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text; labels of remainder 0 are not learnt from."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,6 +104,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_html_extract": (op1_html_extract, None),
+    "op2_deleted_interpolation": (op2_deleted_interpolation, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_line_dedup": (op4_line_dedup, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
