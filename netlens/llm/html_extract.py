@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import with_column
+
 # Elements of the HTML standard by the way they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -245,16 +247,10 @@ def _chain(e: _Element | None):
 def extract_main_text(pages: DataFrame, html_col: str = "html",
                       text_col: str = "text") -> DataFrame:
     """``pages`` without ``html_col``, with ``text_col`` and ``n_chars``."""
-    rest = [c for c in pages.columns if c not in (html_col, text_col, "n_chars")]
-    rows = pages.select(*rest, F.col(html_col).cast("string").alias("__html"))
-    schema = T.StructType([rows.schema[c] for c in rest] + [T.StructField("__text", T.StringType())])
-
-    def run(batches):
-        for b in batches:
-            made = [main_text(h.as_py()) for h in b.column(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, pa.string())],
-                                             [*rest, "__text"])
-
-    return rows.mapInArrow(run, schema).select(
-        *rest, F.col("__text").alias(text_col),
-        F.char_length("__text").cast("long").alias("n_chars"))
+    def add(b):
+        return pa.array([main_text(h.as_py()) for h in b.column(b.schema.get_field_index(html_col))],
+                        pa.string())
+
+    kept = [c for c in pages.columns if c not in (text_col, "n_chars")]
+    return (with_column(pages.select(*kept), text_col, T.StringType(), add).drop(html_col)
+            .withColumn("n_chars", F.char_length(text_col).cast("long")))

@@ -113,16 +113,19 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = (repeated_runs(docs, id_col, text_col, min_chars).groupBy("__d", "__h")
             .agg(F.collect_list(F.struct("__from", "__to")).alias("__runs")))  # one document's
     rest = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    lines = lines_of(text_of(text_col))
+    text = text_of(text_col)
     gone = F.expr("array_distinct(flatten(transform(coalesce(__runs, array()),"
                   " r -> sequence(r.__from, r.__to))))")
-    joined = (docs.select(*rest, F.col(id_col).alias("__id"), F.xxhash64(text_of(text_col)).alias("__t"))
+    joined = (docs.select(F.struct(*[F.col(c) for c in rest]).alias("__doc"),  # names cannot clash
+                          F.col(id_col).alias("__id"), F.xxhash64(text).alias("__t"))
               .join(runs, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__h")),
                     "left")
-              .withColumns({"__gone": gone, "__lines": lines}))
+              .select("__doc", gone.alias("__gone"),
+                      lines_of(text_of(f"__doc.{text_col}")).alias("__lines")))
     left = F.expr("array_join(transform(array_except(sequence(0, size(__lines) - 1), __gone),"
-                  " i -> __lines[i]), '\\n')")
-    new = F.when(F.size("__gone") > 0, left).otherwise(F.col(text_col))
-    return joined.select(*[new.alias(c) if c == text_col else F.col(c) for c in rest],
+                  " i -> __lines[i]), '\n')")
+    kept = [F.col("__doc").getField(c) for c in rest]
+    return joined.select(*[(F.when(F.size("__gone") > 0, left).otherwise(k) if c == text_col else k)
+                           .alias(c) for c, k in zip(rest, kept, strict=True)],
                          F.size("__lines").cast("long").alias("n_lines"),
                          F.size("__gone").cast("long").alias("n_removed"))
