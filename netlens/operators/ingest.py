@@ -5,8 +5,7 @@ neighbour and location foreign keys), ``ne_location``, ``geo_l1..l4`` and the
 link tables (LLDP / OSPF / ISIS) plus ``lsp`` / ``lsp_hop``.
 
 Join strategy
-* geography levels 1–2 are bounded dimension tables (broadcast hint);
-  levels 3–4 and locations are left to AQE's measured-size broadcast.
+* geography levels and locations are left to AQE's measured-size broadcast.
 * element self joins (parent, neighbour) are equi joins on ids: shuffle joins
   at scale, never broadcast by hint.
 * "interface at either end of a link" is an OR join in SQL; here the link
@@ -28,6 +27,10 @@ from ..functions.expr import col_has_value
 PARENT_NE_TYPES = ["GNE", "ILA", "MDWDM", "NIC", "NODE", "OADM", "OTN", "ROUTER"]
 PARENT_NE_CATEGORIES = ["GATEWAY_INTERFACE", "OPTICAL_AMPLIFIERS", "DWDM", "OTN", "NODE", "ROUTER"]
 
+# identity columns that every element-shaped row carries
+IDENTITY = ["pm_ems_id", "fm_ems_id", "cm_ems_id", "ipv6", "model", "mac_address", "friendly_name",
+            "uuid", "serial_number"]
+
 
 def _ne(ne: DataFrame, alias: str, cols: list[str]) -> DataFrame:
     return ne.select(*[F.col(c).alias(f"{alias}_{c}") for c in cols])
@@ -50,8 +53,6 @@ def parent_vertices(ne: DataFrame, loc: DataFrame, geo: list[DataFrame], ne_type
     x = base.join(l, base.ne_location_id_fk == l.loc_id, "left")
     for i, g in enumerate(geo, start=1):
         gi = g.select(F.col("id").alias(f"g{i}_id"), F.col("geo_name").alias(f"geography_l{i}"))
-        if i <= 2:
-            gi = F.broadcast(gi)  # regions / states: bounded dimension
         x = x.join(gi, x[f"geography_l{i}_id_fk"] == gi[f"g{i}_id"], "left")
     par = _ne(ne, "par", ["id", "ne_name"])
     nb = _ne(ne, "nb", ["id", "ne_id", "ne_name", "latitude", "longitude", "parent_ne_id_fk"])
@@ -76,7 +77,7 @@ def parent_vertices(ne: DataFrame, loc: DataFrame, geo: list[DataFrame], ne_type
         F.col("nb_longitude").alias("neighbour_ne_long"), F.col("par_ne_name").alias("parent_ne"),
         F.col("nbp_ne_name").alias("neighbour_parent_ne_name"),
         F.col("nbp_longitude").alias("neighbour_parent_ne_long"),
-        F.col("nbp_latitude").alias("neighbour_parent_ne_lat"),
+        F.col("nbp_latitude").alias("neighbour_parent_ne_lat"), *IDENTITY,
     ]
     return x.select(*cols)
 
@@ -96,7 +97,7 @@ def interface_vertices(ne: DataFrame, link: DataFrame, relation: str, parent_typ
     src = ne.select(F.col("id").alias("if_id"), "ne_name", "ne_type", "latitude", "longitude",
                     F.col("capacity").alias("bandwidth"), "ne_source", "ne_status", "ckt_id",
                     "is_deleted", "ne_id", "ipv4", "hostname", "parent_ne_id_fk",
-                    F.col("modified_time").alias("if_modify_ts"))
+                    F.col("modified_time").alias("if_modify_ts"), *IDENTITY)
     par = ne.filter((F.col("is_deleted") == 0)
                     & ((F.col("ne_type") == parent_type) | (F.col("ne_category") == parent_type))
                     ).select(F.col("id").alias("p_id"), F.col("ne_name").alias("parent_ne"))
@@ -104,7 +105,7 @@ def interface_vertices(ne: DataFrame, link: DataFrame, relation: str, parent_typ
     host = F.col("link_name") if relation in (S.LLDP, S.LLDPSWITCH) else F.col("hostname")
     cols = [F.lit(relation).alias("relation"), F.col("if_id").alias("id"), "ne_name", "ne_type",
             "last_discovery_ts", "latitude", "longitude", "bandwidth", "ne_source", "ne_status",
-            "ckt_id", "is_deleted", "ne_id", "ipv4", host.alias("hostname"), "parent_ne"]
+            "ckt_id", "is_deleted", "ne_id", "ipv4", host.alias("hostname"), "parent_ne", *IDENTITY]
     if relation == S.LLDPSWITCH:
         cols += ["link_modify_ts", "if_modify_ts"]
     return j.select(*cols).distinct()
@@ -119,11 +120,11 @@ def interface_vertices_isis(ne: DataFrame, link: DataFrame) -> DataFrame:
     ends = _link_ends(l, [F.col("last_discovery_time").alias("last_discovery_ts"), "uuid"])
     it = ne.filter((F.col("is_deleted") == 0) & (F.col("ne_type") == "INTERFACE")).select(
         F.col("id").alias("if_id"), "ne_name", "ne_type", "ne_source", "bandwidth", "ne_status",
-        "is_deleted", "ne_id", "ipv4", "hostname")
+        "is_deleted", "ne_id", "ipv4", "hostname", *[c for c in IDENTITY if c != "uuid"])
     return ends.join(it, "if_id").select(
         F.lit(S.ISIS).alias("relation"), F.col("if_id").alias("id"), "ne_name", "ne_type",
-        "last_discovery_ts", "ne_source", "bandwidth", "ne_status", "uuid", "is_deleted", "ne_id",
-        "ipv4", "hostname").distinct()
+        "last_discovery_ts", "ne_source", "bandwidth", "ne_status", "is_deleted", "ne_id",
+        "ipv4", "hostname", *IDENTITY).distinct()
 
 
 def link_rows_lldp(ne: DataFrame, link: DataFrame, relation: str = S.LLDP,
@@ -133,7 +134,7 @@ def link_rows_lldp(ne: DataFrame, link: DataFrame, relation: str = S.LLDP,
     l = link.filter(F.col("is_deleted") == 0)
     live = ne.filter(F.col("is_deleted") == 0)
     s = _ne(live, "s", ["id", "ne_name", "ne_id", "ne_type", "capacity", "ne_source", "ne_status",
-                        "ckt_id", "is_deleted", "ipv4", "parent_ne_id_fk", "modified_time"])
+                        "ckt_id", "is_deleted", "ipv4", "parent_ne_id_fk", "modified_time", *IDENTITY])
     d = _ne(live, "d", ["id", "ne_name", "ne_id", "capacity", "latitude", "longitude", "parent_ne_id_fk"])
     pcols = ["id", "ne_name", "ne_type", "ne_category", "vendor", "technology", "domain", "latitude",
              "longitude"]
@@ -166,6 +167,7 @@ def link_rows_lldp(ne: DataFrame, link: DataFrame, relation: str = S.LLDP,
         F.col("pd_ne_name").alias("neighbour_parent_ne_name"),
         F.col("pd_longitude").alias("neighbour_parent_ne_long"),
         F.col("pd_latitude").alias("neighbour_parent_ne_lat"),
+        *[F.col(f"s_{c}").alias(c) for c in IDENTITY],
     ]
     if relation == S.LLDPSWITCH:
         cols += [F.col("modified_time").alias("link_modify_ts"),
@@ -181,7 +183,7 @@ def link_rows_routed(ne: DataFrame, link: DataFrame, relation: str) -> DataFrame
           "longitude"]
     src = _ne(ne, "r", rc)
     rem = _ne(ne, "m", rc)
-    ic = rc + ["ne_id", "capacity", "bandwidth", "ne_source", "ne_status", "is_deleted", "ipv4", "hostname"]
+    ic = rc + ["ne_id", "capacity", "bandwidth", "ne_source", "ne_status", "is_deleted", "ipv4", "hostname", *IDENTITY]
     live_if = ne.filter((F.col("is_deleted") == 0) & (F.col("ne_type") == "INTERFACE"))
     a = _ne(live_if, "a", ic)
     b = _ne(live_if, "b", ic)
@@ -218,9 +220,10 @@ def link_rows_routed(ne: DataFrame, link: DataFrame, relation: str) -> DataFrame
         co("m_ne_name", "b_ne_name").alias("neighbour_parent_ne_name"),
         co("m_latitude", "b_latitude").alias("neighbour_parent_ne_lat"),
         co("m_longitude", "b_longitude").alias("neighbour_parent_ne_long"),
+        *[F.col(f"a_{c}").alias(c) for c in IDENTITY],
     ]
     if isis:
-        cols += ["link_type", F.col("uuid").alias("link_uuid")]
+        cols += ["link_type", link["uuid"].alias("link_uuid")]
     else:
         cols += ["area_ip_address"]
     return j.select(*cols).distinct()
@@ -234,40 +237,55 @@ def lsp_hop_vertices(lsp: DataFrame, hop: DataFrame, ne: DataFrame) -> DataFrame
     h = hop.filter(F.col("is_deleted") == 0).select("lsp_id", "interface_ne_id")
     s = ne.select(F.col("id").alias("interface_ne_id"), "ne_name", "ne_type", "latitude", "longitude",
                   "bandwidth", "ne_source", "ne_status", "ckt_id", "is_deleted", "ne_id", "ipv4",
-                  "parent_ne_id_fk")
+                  "parent_ne_id_fk", *IDENTITY)
     p = ne.filter((F.col("is_deleted").isNull() | (F.col("is_deleted") == 0))
                   & ((F.col("ne_type") == "ROUTER") | (F.col("ne_category") == "ROUTER"))
                   ).select(F.col("id").alias("p_id"), F.col("ne_name").alias("parent_ne"))
     j = l.join(h, "lsp_id").join(s, "interface_ne_id").join(p, F.col("parent_ne_id_fk") == F.col("p_id"))
     return j.select(F.lit(S.LSP).alias("relation"), F.col("interface_ne_id").alias("id"), "ne_name",
                     "ne_type", "lsp_modify_ts", "latitude", "longitude", "bandwidth", "ne_source",
-                    "ne_status", "ckt_id", "is_deleted", "ne_id", "ipv4", "parent_ne").distinct()
+                    "ne_status", "ckt_id", "is_deleted", "ne_id", "ipv4", "parent_ne", *IDENTITY).distinct()
 
 
 def lsp_hop_edges(lsp: DataFrame, hop: DataFrame, ne: DataFrame) -> DataFrame:
-    """Consecutive hops of one LSP as an edge: equi self join on
-    ``(lsp_id, hop_sequence) = (lsp_id, hop_sequence + 1)``."""
-    l = lsp.select(F.col("id").alias("lsp_id"), "lsp_name")
-    h1 = hop.select("lsp_id", "hop_sequence", F.col("interface_ne_id").alias("src_if"))
-    h2 = hop.select("lsp_id", (F.col("hop_sequence") - 1).alias("hop_sequence"),
-                    F.col("interface_ne_id").alias("dst_if"))
+    """Consecutive live hops of one live LSP between live interfaces as an
+    edge: equi self join on ``(lsp_id, hop_sequence) = (lsp_id, hop_sequence + 1)``."""
+    def live(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("is_deleted") == 0)
+
+    l = live(lsp).select(F.col("id").alias("lsp_id"), "lsp_name",
+                         F.col("modification_time").alias("lsp_modify_ts"))
+    h1 = live(hop).select("lsp_id", "hop_sequence", F.col("interface_ne_id").alias("src_if"))
+    h2 = live(hop).select("lsp_id", (F.col("hop_sequence") - 1).alias("hop_sequence"),
+                          F.col("interface_ne_id").alias("dst_if"))
     pair = l.join(h1, "lsp_id").join(h2, ["lsp_id", "hop_sequence"])
-    s = _ne(ne, "s", ["id", "ne_name", "ne_id", "parent_ne_id_fk", "bandwidth"])
-    d = _ne(ne, "d", ["id", "ne_name", "ne_id", "parent_ne_id_fk", "bandwidth"])
-    pc = ["id", "ne_name", "ne_type", "vendor"]
-    ps = _ne(ne, "ps", pc)
-    pd = _ne(ne, "pd", pc)
+    own = ["id", "ne_name", "ne_id", "ne_type", "ne_source", "ne_status", "ckt_id", "is_deleted",
+           "ipv4", "hostname", "parent_ne_id_fk", "bandwidth", "latitude", "longitude"]
+    s = _ne(live(ne), "s", own + IDENTITY)
+    d = _ne(live(ne), "d", own)
+    pc = ["id", "ne_name", "ne_type", "ne_category", "vendor", "technology", "domain", "latitude",
+          "longitude"]
+    ps, pd = _ne(ne, "ps", pc), _ne(ne, "pd", pc)
     j = (pair.join(s, pair.src_if == s.s_id).join(d, pair.dst_if == d.d_id)
          .join(ps, F.col("s_parent_ne_id_fk") == ps.ps_id, "left")
          .join(pd, F.col("d_parent_ne_id_fk") == pd.pd_id, "left"))
+    ends = [F.col(f"{p}_{c}").alias(f"{out}_{name}")
+            for p, out in (("ps", "src"), ("pd", "dest"))
+            for c, name in (("ne_type", "type"), ("ne_category", "category"), ("vendor", "vendor"),
+                            ("technology", "technology"), ("domain", "domain"))]
     return j.select(
-        F.lit(S.LSP).alias("relation"), "lsp_name", "lsp_id", "hop_sequence",
+        F.lit(S.LSP).alias("relation"), "lsp_name", "lsp_id", "hop_sequence", "lsp_modify_ts",
         F.col("s_ne_name").alias("src_interface"), F.col("d_ne_name").alias("dest_interface"),
-        F.col("ps_ne_name").alias("start_ne"), F.col("pd_ne_name").alias("end_ne"),
-        F.col("ps_ne_type").alias("src_type"), F.col("pd_ne_type").alias("dest_type"),
-        F.col("ps_vendor").alias("src_vendor"), F.col("pd_vendor").alias("dest_vendor"),
+        F.col("ps_ne_name").alias("start_ne"), F.col("pd_ne_name").alias("end_ne"), *ends,
         F.col("s_bandwidth").alias("src_bandwidth"), F.col("d_bandwidth").alias("dest_bandwidth"),
-        F.col("s_ne_id").alias("start_ne_id"), F.col("d_ne_id").alias("end_ne_id"))
+        F.col("s_ne_id").alias("start_ne_id"), F.col("d_ne_id").alias("end_ne_id"),
+        F.col("s_id").alias("id"), *[F.col(f"s_{c}").alias(c) for c in (
+            "ne_type", "ne_source", "ne_status", "ckt_id", "is_deleted", "ipv4", "hostname")],
+        F.col("ps_latitude").alias("latitude"), F.col("ps_longitude").alias("longitude"),
+        F.col("d_latitude").alias("neighbour_ne_lat"), F.col("d_longitude").alias("neighbour_ne_long"),
+        F.col("pd_latitude").alias("neighbour_parent_ne_lat"),
+        F.col("pd_longitude").alias("neighbour_parent_ne_long"),
+        *[F.col(f"s_{c}").alias(c) for c in IDENTITY])
 
 
 def validate_rows(rows: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:

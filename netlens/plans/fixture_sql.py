@@ -117,11 +117,12 @@ view("lsp_hop", [], """
 SELECT l_orderkey AS lsp_id,
   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
                      l_extendedprice) AS hop_sequence,
-  3000000000000 + s_suppkey * 16 + l_linenumber AS interface_ne_id, s_name AS hop_ne_name, 0 AS is_deleted
+  3000000000000 + s_suppkey * 16 + l_linenumber AS interface_ne_id, s_name AS hop_ne_name,
+  CAST(l_partkey % 23 = 0 AS INTEGER) AS is_deleted
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
 
 view("lsp", [], """
-SELECT o_orderkey AS id, 'LSP_' || CAST(o_orderkey AS VARCHAR) AS lsp_name, 0 AS is_deleted,
+SELECT o_orderkey AS id, 'LSP_' || CAST(o_orderkey AS VARCHAR) AS lsp_name, CAST(o_orderkey % 19 = 0 AS INTEGER) AS is_deleted,
   o_orderdate AS modification_time, o_orderstatus, o_totalprice
 FROM orders""")
 
@@ -186,7 +187,8 @@ SELECT CASE ne_type WHEN 'ROUTER' THEN 1000000000000 WHEN 'SWITCH' THEN 20000000
   CASE WHEN ne_type IN ('ROUTER', 'SWITCH') THEN 100 + CAST(regexp_extract(geography_l2, 'NATION_([0-9]+)', 1) AS BIGINT)
        WHEN ne_type = 'AGG' THEN 1 + CAST((SELECT r_regionkey FROM region WHERE r_name = geography_l1) AS BIGINT)
   END AS parent_ne_id_fk,
-  CAST(NULL AS BIGINT) AS network_element_id_fk
+  CASE ne_type WHEN 'ROUTER' THEN 1000000000000 + CAST(substr(ne_id, 2) AS BIGINT) // 2
+               WHEN 'SWITCH' THEN 1000000000000 + CAST(substr(ne_id, 2) AS BIGINT) % 50 END AS network_element_id_fk
 FROM vertices""")
 
 view("ne_interfaces", [], """
@@ -195,7 +197,7 @@ SELECT id, 'I' || CAST(id AS VARCHAR) AS ne_id, owner || '_' || CAST(l_linenumbe
   'UP' AS ne_status, CAST(NULL AS VARCHAR) AS vendor, CAST(NULL AS VARCHAR) AS technology,
   CAST(NULL AS VARCHAR) AS domain, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
   CAST(l_linenumber * 100 AS DOUBLE) AS capacity, CAST(l_linenumber * 1000 AS DOUBLE) AS bandwidth,
-  'CKT_IF' || CAST(l_linenumber AS VARCHAR) AS ckt_id, 0 AS is_deleted, CAST(NULL AS VARCHAR) AS ipv4,
+  'CKT_IF' || CAST(l_linenumber AS VARCHAR) AS ckt_id, CAST(id % 29 = 0 AS INTEGER) AS is_deleted, CAST(NULL AS VARCHAR) AS ipv4,
   lower(owner || '_' || CAST(l_linenumber AS VARCHAR)) AS hostname,
   TIMESTAMP '2001-11-01 00:00:00' AS last_discovery_time, TIMESTAMP '2001-11-01 00:00:00' AS modified_time,
   CAST(NULL AS BIGINT) AS ne_location_id_fk, pid AS parent_ne_id_fk, CAST(NULL AS BIGINT) AS network_element_id_fk
@@ -209,7 +211,10 @@ FROM (
   JOIN customer ON o_custkey = c_custkey) z""")
 
 view("network_element", ["ne_elements", "ne_interfaces"], """
-SELECT * FROM ne_elements UNION ALL SELECT * FROM ne_interfaces""")
+SELECT *, 'PM' || (id % 97) AS pm_ems_id, 'FM' || (id % 89) AS fm_ems_id, 'CM' || (id % 83) AS cm_ems_id,
+  'fd00::' || (id % 9973) AS ipv6, 'MODEL-' || (id % 13) AS model, '02:' || id AS mac_address,
+  lower(ne_name) || ' unit' AS friendly_name, 'ne-' || id AS uuid, 'SN' || id AS serial_number
+FROM (SELECT * FROM ne_elements UNION ALL SELECT * FROM ne_interfaces) both_kinds""")
 
 view("ne_location", ["nation_region"], """
 SELECT CAST(n_nationkey AS BIGINT) * 4 + k + 1 AS id, CAST(n_nationkey AS BIGINT) + 1000 AS nel_id,
@@ -239,7 +244,8 @@ SELECT CASE WHEN {sw} THEN 2000000000000 + o_custkey ELSE 1000000000000 + l_supp
   CASE WHEN {sw} THEN 3000000000000 + l_suppkey * 16 + l_linenumber
        ELSE 4000000000000 + o_custkey * 16 + l_linenumber END AS destination_interface_ne_id,
   src_interface || '#' || dest_interface AS link_name, ckt_id, tag, area_ip_address, link_type,
-  'U' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS uuid, 0 AS is_deleted,
+  'U' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS uuid,
+  CAST(l_partkey % 17 = 0 AS INTEGER) AS is_deleted,
   last_discovery_ts AS last_discovery_time, modified_ts AS modified_time
 FROM link_rows WHERE relation = '{rel}'"""
 

@@ -37,25 +37,10 @@ AGG_ID = 100
 CORE_ID = 1
 
 
-# tables whose size grows with the scale factor
-GROWING = {"lineitem", "orders", "customer", "part", "events", "documents", "pages", "conversations"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one test table.
-
-    A growing table stored as fewer files than the cluster has cores (the
-    test data is one file with a single row group) would be read by one task
-    and keep every narrow operator after it single-threaded.  Such inputs are
-    spread round-robin over the default parallelism right after the scan
-    (filters and column pruning still reach the scan).  Real inputs at scale
-    are many files / row groups and are left untouched."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name in GROWING:
-        par = spark.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < par:
-            df = df.repartition(par)
-    return df
+    """Parquet scan of one test table.  Its split size is Spark's to choose
+    (``spark.sql.files.maxPartitionBytes``); a file with one row group is one task."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _s(c) -> Column:
@@ -320,14 +305,14 @@ class Fixtures:
                         (F.lit(ROUTER_IF_ID) + F.col("s_suppkey") * 16 + F.col("l_linenumber"))
                         .alias("interface_ne_id"),
                         F.col("s_name").alias("hop_ne_name"),
-                        F.lit(0).alias("is_deleted")))
+                        (F.col("l_partkey") % 23 == 0).cast("int").alias("is_deleted")))
 
     def lsp(self) -> DataFrame:
         o = self.t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice",
                                     "o_orderdate", "o_orderpriority")
         return o.select(F.col("o_orderkey").alias("id"),
                         F.concat(F.lit("LSP_"), _s("o_orderkey")).alias("lsp_name"),
-                        F.lit(0).alias("is_deleted"),
+                        (F.col("o_orderkey") % 19 == 0).cast("int").alias("is_deleted"),
                         F.col("o_orderdate").alias("modification_time"),
                         "o_orderstatus", "o_totalprice")
 
@@ -483,8 +468,22 @@ class Fixtures:
             F.col("last_discovery_ts").alias("modified_time"),
             F.when(F.col("ne_type") != "CORE", nation * 4 + loc_k + 1).alias("ne_location_id_fk"),
             parent_id.alias("parent_ne_id_fk"),
-            F.lit(None).cast("long").alias("network_element_id_fk"))
-        return elems.unionByName(self.interfaces())
+            # a router's neighbour is the router of half its number, a switch's the router of
+            # its number modulo 50; some do not exist
+            F.when(F.col("ne_type") == "ROUTER", F.lit(ROUTER_ID) + F.floor(keynum / 2))
+            .when(F.col("ne_type") == "SWITCH", F.lit(ROUTER_ID) + keynum % 50)
+            .cast("long").alias("network_element_id_fk"))
+        ident, text = F.col("id"), _s("id")
+        return elems.unionByName(self.interfaces()).withColumns({
+            "pm_ems_id": F.concat(F.lit("PM"), _s(ident % 97)),
+            "fm_ems_id": F.concat(F.lit("FM"), _s(ident % 89)),
+            "cm_ems_id": F.concat(F.lit("CM"), _s(ident % 83)),
+            "ipv6": F.concat(F.lit("fd00::"), _s(ident % 9973)),
+            "model": F.concat(F.lit("MODEL-"), _s(ident % 13)),
+            "mac_address": F.concat(F.lit("02:"), text),
+            "friendly_name": F.concat(F.lower("ne_name"), F.lit(" unit")),
+            "uuid": F.concat(F.lit("ne-"), text),
+            "serial_number": F.concat(F.lit("SN"), text)})
 
     def interfaces(self) -> DataFrame:
         """Interface elements: distinct (owner, line number) at both link ends.
@@ -519,7 +518,8 @@ class Fixtures:
             (F.col("l_linenumber") * 100).cast("double").alias("capacity"),
             (F.col("l_linenumber") * 1000).cast("double").alias("bandwidth"),
             F.concat(F.lit("CKT_IF"), _s("l_linenumber")).alias("ckt_id"),
-            F.lit(0).alias("is_deleted"), F.lit(None).cast("string").alias("ipv4"),
+            (F.col("id") % 29 == 0).cast("int").alias("is_deleted"),
+            F.lit(None).cast("string").alias("ipv4"),
             F.lower(name).alias("hostname"),
             F.lit("2001-11-01").cast("timestamp_ntz").alias("last_discovery_time"),
             F.lit("2001-11-01").cast("timestamp_ntz").alias("modified_time"),
@@ -572,7 +572,7 @@ class Fixtures:
             F.concat(F.col("src_interface"), F.lit("#"), F.col("dest_interface")).alias("link_name"),
             "ckt_id", "tag", "area_ip_address", "link_type",
             F.concat(F.lit("U"), _s("l_orderkey"), F.lit("-"), _s("l_linenumber")).alias("uuid"),
-            F.lit(0).alias("is_deleted"),
+            (F.col("l_partkey") % 17 == 0).cast("int").alias("is_deleted"),
             F.col("last_discovery_ts").alias("last_discovery_time"),
             F.col("modified_ts").alias("modified_time"),
         ]
