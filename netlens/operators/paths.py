@@ -7,15 +7,17 @@ and splits the result into finished paths (termination reached) and the next
 frontier.  All state is DataFrames; the driver only runs the bounded loop.
 
 Scale
-* rounds are bounded by ``max_depth``; the loop ends early when the frontier
-  is empty (``isEmpty`` reads one row).
-* the frontier is checkpointed (reliable checkpoint in the session's
-  ``spark.checkpoint.dir``) every round, so lineage and plan size stay flat
-  and a lost executor recomputes one round at most.
+* the depth of a path search (R1) is the caller's argument, as the number of
+  simple paths grows exponentially; ``require_complete`` raises if paths are
+  still open at that depth.  Reachability (R4, R5, R9) and the hierarchy (R7)
+  have no limit: they run until a round finds nothing new.
+* each round is written once to the shared checkpoint folder as Parquet and
+  read back (``materialize``), so lineage stays flat, a lost executor costs no
+  earlier round, and the empty test reads a footer.
 * hub vertices: the frontier ⋈ hops join is an ordinary shuffle join, which
   AQE splits when one vertex key is skewed.
-* reachability that needs no paths (R5) is a vertex-set BFS: the visited set
-  grows by anti joins, never enumerating paths.
+* reachability is a vertex-set BFS: the visited set grows by anti joins, never
+  enumerating paths.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 
 def hop_table(edges: DataFrame, parent_edges: DataFrame | None = None,
@@ -42,26 +44,24 @@ def hop_table(edges: DataFrame, parent_edges: DataFrame | None = None,
     return both.filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct()
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of one round into the shared checkpoint folder.
-    The input is persisted for the duration so the checkpoint job reads the
-    computed rows instead of recomputing them."""
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+def one_per_name(vertices: DataFrame, *cols: str) -> DataFrame:
+    """One row per element name (the vertex of the smallest relation): hops and
+    paths go by name, and a name can be stored under several relations."""
+    return (vertices.groupBy("ne_name")
+            .agg(F.min_by(F.struct(*cols), F.coalesce("relation", F.lit(""))).alias("_v"))
+            .select("ne_name", "_v.*"))
 
 
 def simple_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowed_types: list[str],
                  term_types: list[str] | None = None, term_names: DataFrame | None = None,
-                 same_attr: str | None = None, exclude: DataFrame | None = None,
-                 max_depth: int = 6) -> DataFrame:
+                 same_attr: str | None = None, exclude: DataFrame | None = None, *,
+                 max_depth: int, require_complete: bool = False) -> DataFrame:
     """Simple paths from each start; every hop's vertex must be of an
     allowed type (or the termination), optionally share ``same_attr`` with the
     start, and not be excluded; a path stops at the first vertex of a
     termination type (or name).  At least one hop (do-while).  Returns
-    ``(start_ne, end_ne, depth, path)``."""
+    ``(start_ne, end_ne, depth, path)`` of the paths of at most ``max_depth``
+    hops; with ``require_complete`` a path still open there is an error."""
     allowed = [t.upper() for t in allowed_types]
     terms = [t.upper() for t in (term_types or [])]
     # Hop filters that do not depend on the path are applied once, to the
@@ -70,8 +70,9 @@ def simple_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowe
     # (exact: every vertex on a path shares the start's value, so the hop's
     # source does too).  Each round then joins the frontier with this
     # smaller table only.
-    vb = vertices.select(F.col("ne_name").alias("_b"), F.upper("ne_type").alias("_bt"),
-                         *([F.col(same_attr).alias("_ba")] if same_attr else []))
+    names = one_per_name(vertices, "ne_type", *([same_attr] if same_attr else []))
+    vb = names.select(F.col("ne_name").alias("_b"), F.upper("ne_type").alias("_bt"),
+                      *([F.col(same_attr).alias("_ba")] if same_attr else []))
     if term_names is not None:
         tn = term_names.select(F.col("ne_name").alias("_b")).distinct().withColumn("_tn", F.lit(True))
         vb = vb.join(tn, "_b", "left")
@@ -83,39 +84,33 @@ def simple_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowe
         vb = vb.join(exclude.select(F.col("ne_name").alias("_b")), "_b", "left_anti")
     h = hops.select(F.col("a").alias("_last"), F.col("b").alias("_b")).join(vb, "_b")
     if same_attr:
-        va = vertices.select(F.col("ne_name").alias("_last"), F.col(same_attr).alias("_la"))
+        va = names.select(F.col("ne_name").alias("_last"), F.col(same_attr).alias("_la"))
         h = h.join(va, "_last").filter(F.col("_la") == F.col("_ba"))
-    # materialised once (reliable checkpoint), read by every round
-    h = _cut(h.select("_last", "_b", "_term"))
+    h = materialize(h.select("_last", "_b", "_term"), "hops")  # read by every round
     st = starts.select(F.col("ne_name").alias("start_ne")).distinct()
     frontier = st.select("start_ne", F.col("start_ne").alias("_last"), F.array(F.col("start_ne")).alias("path"))
-    # Each round is persisted (one job counts the open paths and fills the
-    # cache); lineage inside the loop is at most ``max_depth`` joins long.
-    # The finished paths are then cut off with one reliable checkpoint and
-    # the round caches released, so the result depends on no cache.
-    done_parts, cached = [], []
+    done_parts = []
     for depth in range(1, max_depth + 1):
-        step = (frontier.join(h, "_last")
-                .filter(~F.array_contains("path", F.col("_b")))
-                .select("start_ne", F.col("_b").alias("_last"),
-                        F.concat("path", F.array(F.col("_b"))).alias("path"), F.col("_term").alias("_done"))
-                .persist())
-        cached.append(step)
+        step = materialize(
+            frontier.join(h, "_last").filter(~F.array_contains("path", F.col("_b")))
+            .select("start_ne", F.col("_b").alias("_last"),
+                    F.concat("path", F.array(F.col("_b"))).alias("path"), F.col("_term").alias("_done")),
+            "paths")
         done_parts.append(step.filter("_done").select("start_ne", F.col("_last").alias("end_ne"),
                                                       F.lit(depth).alias("depth"), "path"))
         frontier = step.filter(~F.col("_done")).drop("_done")
-        if depth < max_depth and frontier.count() == 0:
+        if frontier.isEmpty():
             break
-    out = _cut(reduce(DataFrame.unionByName, done_parts))
-    for c in cached:
-        c.unpersist()
-    return out
+    else:
+        if require_complete and not frontier.isEmpty():
+            raise ValueError(f"paths are still open after {max_depth} hops")
+    return reduce(DataFrame.unionByName, done_parts)
 
 
 def affected_nodes(paths: DataFrame, vertices: DataFrame) -> DataFrame:
     """R2: distinct (name, type) of the vertices on the paths."""
     names = paths.select(F.explode("path").alias("ne_name")).distinct()
-    return names.join(vertices.select("ne_name", "ne_type"), "ne_name")
+    return names.join(one_per_name(vertices, "ne_type"), "ne_name")
 
 
 def backhaul(paths: DataFrame, edges: DataFrame, max_paths: int) -> tuple[DataFrame, DataFrame]:
@@ -146,75 +141,89 @@ def backhaul(paths: DataFrame, edges: DataFrame, max_paths: int) -> tuple[DataFr
 
 
 def level_reachable(vertices: DataFrame, hops: DataFrame, element: str, upper_types: list[str],
-                    allowed_types: list[str], avoid: str | None, max_depth: int,
-                    max_paths: int = S.LEVEL_CHECK_PATHS) -> DataFrame:
-    """Can ``element`` reach an upper-level type without passing
-    ``avoid``?  Returns one row (element, reachable, paths found, capped at
-    ``max_paths``)."""
-    starts = vertices.filter(F.col("ne_name") == element).select("ne_name")
-    excl = vertices.filter(F.col("ne_name") == avoid).select("ne_name") if avoid else None
-    p = simple_paths(vertices, hops, starts, allowed_types, term_types=upper_types, exclude=excl,
-                     max_depth=max_depth)
-    n = p.agg(F.count(F.lit(1)).alias("n"))
-    return n.select(F.lit(element).alias("element"), (F.col("n") > 0).alias("reachable"),
-                    F.least(F.col("n"), F.lit(max_paths)).alias("paths_found"))
-
-
-def reach(seeds: DataFrame, hops: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Vertex-set BFS: every vertex connected to a seed (seeds included)."""
-    frontier = _cut(seeds.select(F.col("ne_name").alias("v")).distinct())
-    # visited = union of the checkpointed rounds; compacted every few rounds
+                    allowed_types: list[str], avoid: str | None) -> DataFrame:
+    """Can ``element`` reach an upper-level type over allowed types without
+    passing ``avoid``?  One row (element, reachable, upper_reached: how many
+    upper-level vertices).  A vertex-set search at any distance; the upper
+    level ends it."""
+    upper, allowed = ([t.upper() for t in x] for x in (upper_types, allowed_types))
+    kind = F.upper("ne_type")
+    v = one_per_name(vertices, "ne_type").filter(kind.isin(upper + allowed))
+    if avoid:
+        v = v.filter(F.col("ne_name") != avoid)
+    via = v.select(F.col("ne_name").alias("b"), kind.isin(upper).alias("is_upper"))
+    known = hops.join(via, "b")
+    inner = known.filter(~F.col("is_upper")).select("a", "b")
+    starts = vertices.filter(F.col("ne_name") == element).select("ne_name").distinct()
+    inside = reach(starts, inner)
+    ends = (known.filter("is_upper").join(inside.select(F.col("ne_name").alias("a")), "a", "left_semi")
+            .select("b").distinct())
+    return ends.agg(F.count(F.lit(1)).alias("upper_reached")).select(
+        F.lit(element).alias("element"), (F.col("upper_reached") > 0).alias("reachable"), "upper_reached")
+
+
+def reach(seeds: DataFrame, hops: DataFrame) -> DataFrame:
+    """Vertex-set BFS: every vertex connected to a seed (seeds included), at any
+    distance.  The hops are written once; each round reads them."""
+    h = materialize(hops.select(F.col("a").alias("v"), F.col("b").alias("w")), "hops")
+    frontier = materialize(seeds.select(F.col("ne_name").alias("v")).distinct(), "reach")
     parts = [frontier]
-    h = hops.select(F.col("a").alias("v"), F.col("b").alias("w"))
-    for _ in range(max_rounds):
+    while not frontier.isEmpty():
         visited = reduce(DataFrame.unionByName, parts)
-        nxt = frontier.join(h, "v").select(F.col("w").alias("v")).distinct().join(visited, "v", "left_anti")
-        nxt = _cut(nxt)
-        if nxt.isEmpty():
-            break
-        parts.append(nxt)
-        if len(parts) > 4:
-            parts = [_cut(reduce(DataFrame.unionByName, parts))]
-        frontier = nxt
+        frontier = materialize(frontier.join(h, "v").select(F.col("w").alias("v")).distinct()
+                               .join(visited, "v", "left_anti"), "reach")
+        parts.append(frontier)
+        if len(parts) > 8:
+            parts = [materialize(reduce(DataFrame.unionByName, parts), "reach")]
     return reduce(DataFrame.unionByName, parts).select(F.col("v").alias("ne_name"))
 
 
-def impact(vertices: DataFrame, hops: DataFrame, element: str, upper_types: list[str],
-           max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
+def impact(vertices: DataFrame, hops: DataFrame, element: str,
+           upper_types: list[str]) -> tuple[DataFrame, DataFrame]:
     """Remove ``element``; the vertices still connected to an upper-level
     seed are served; of the vertices connected to the element's neighbours
     (without the element), the unserved ones are *dependent*.  Returns
     (nodes with a ``dependent`` flag, links among them)."""
+    hops = materialize(hops, "hops")
     g = hops.filter((F.col("a") != element) & (F.col("b") != element))
     seeds = vertices.filter(F.upper("ne_type").isin([t.upper() for t in upper_types])
                             & (F.col("ne_name") != element)).select("ne_name")
-    served = reach(seeds, g, max_rounds)
+    served = reach(seeds, g)
     nbrs = hops.filter(F.col("a") == element).select(F.col("b").alias("ne_name"))
-    around = reach(nbrs, g, max_rounds)
+    around = reach(nbrs, g)
     flagged = around.join(served.withColumn("_s", F.lit(True)), "ne_name", "left").select(
         "ne_name", F.col("_s").isNull().alias("dependent"))
-    nodes = vertices.select("ne_name", "ne_type").join(flagged, "ne_name")
+    nodes = one_per_name(vertices, "ne_type").join(flagged, "ne_name")
     dep = flagged.filter("dependent").select(F.col("ne_name").alias("a"))
     links = (hops.join(dep, "a", "left_semi")
              .unionByName(hops.filter(F.col("a") == element).select("a", "b")))
     return nodes, links
 
 
-def hierarchy(vertices: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
+def hierarchy(vertices: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Descendants of the roots by ``parent_ne``, depth by depth:
-    (ancestor, descendant, descendant type, depth).  Each round is one equi
-    join of the current level with the children table."""
-    child = vertices.select(F.col("parent_ne").alias("_p"), F.col("ne_name").alias("descendant"),
-                            F.col("ne_type").alias("descendant_type")).filter(F.col("_p").isNotNull())
+    (ancestor, descendant, descendant type, depth), down to the last level (or
+    to ``max_depth``, if the caller asks for that).  Each round is one equi
+    join of the current level with the children table; a pair that was found
+    before is not followed again, so a cycle ends."""
+    child = materialize(
+        vertices.select(F.col("parent_ne").alias("_p"), F.col("ne_name").alias("descendant"),
+                        F.col("ne_type").alias("descendant_type")).filter(F.col("_p").isNotNull()),
+        "children")
     level = roots.select(F.col("ne_name").alias("ancestor"), F.col("ne_name").alias("_p"))
-    parts = []
-    for d in range(1, max_depth + 1):
-        nxt = level.join(child, "_p").select("ancestor", "descendant", "descendant_type", F.lit(d).alias("depth"))
-        nxt = _cut(nxt)
+    parts, depth = [], 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        nxt = level.join(child, "_p").select("ancestor", "descendant", "descendant_type",
+                                             F.lit(depth).alias("depth"))
+        if parts:
+            nxt = nxt.join(reduce(DataFrame.unionByName, parts).select("ancestor", "descendant"),
+                           ["ancestor", "descendant"], "left_anti")
+        nxt = materialize(nxt, "hierarchy")
         parts.append(nxt)
-        level = nxt.select("ancestor", F.col("descendant").alias("_p"))
-        if d < max_depth and nxt.isEmpty():
+        if nxt.isEmpty():
             break
+        level = nxt.select("ancestor", F.col("descendant").alias("_p"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -251,14 +260,20 @@ def path_hops(paths: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def paths_to_target(vertices: DataFrame, hops: DataFrame, edges: DataFrame, element: str, target: str,
-                    hop_type: str, asked_port: str | None, max_depth: int) -> DataFrame:
-    """Simple paths from ``element`` over vertices of ``hop_type`` until
-    the vertex named ``target``; holds when some link touching the target
-    on a path uses a target port other than ``asked_port``."""
-    starts = vertices.filter(F.col("ne_name") == element).select("ne_name")
-    tn = vertices.filter(F.col("ne_name") == target).select("ne_name")
-    p = simple_paths(vertices, hops, starts, [hop_type], term_names=tn, max_depth=max_depth)
-    prev = p.select(F.element_at("path", -2).alias("prev")).distinct()
+                    hop_type: str, asked_port: str | None) -> DataFrame:
+    """Can ``element`` reach the vertex named ``target`` over vertices of
+    ``hop_type``, and does some link by which it gets there use a target port
+    other than ``asked_port`` (``holds``)?  ``last_hops`` counts the vertices
+    from which the target is reached.  A vertex-set search at any distance: a
+    vertex that is reached without the target is on a simple path to it."""
+    via = (one_per_name(vertices, "ne_type")
+           .filter((F.upper("ne_type") == hop_type.upper()) & (F.col("ne_name") != target))
+           .select(F.col("ne_name").alias("b")))
+    starts = vertices.filter(F.col("ne_name") == element).select("ne_name").distinct()
+    inside = reach(starts, hops.join(via, "b", "left_semi").select("a", "b"))
+    prev = materialize(hops.filter(F.col("b") == target)
+                       .join(inside.select(F.col("ne_name").alias("a")), "a", "left_semi")
+                       .select(F.col("a").alias("prev")), "last_hops")
     port = F.when(F.col("start_ne") == target, F.regexp_replace("src_interface", "^.*_", "")).otherwise(
         F.regexp_replace("dest_interface", "^.*_", ""))
     te = edges.filter((F.col("start_ne") == target) | (F.col("end_ne") == target)).select(
@@ -267,11 +282,8 @@ def paths_to_target(vertices: DataFrame, hops: DataFrame, edges: DataFrame, elem
     hit = te.join(prev, "prev", "left_semi")
     if asked_port:
         hit = hit.filter(F.col("target_port") != asked_port)
-    n = p.agg(F.count(F.lit(1)).alias("paths"))
-    h = hit.agg(F.count(F.lit(1)).alias("other_port_links"))
-    both = n.select("paths", F.lit(None).cast("long").alias("other_port_links")).unionByName(
-        h.select(F.lit(None).cast("long").alias("paths"), "other_port_links"))
-    return both.agg(F.max("paths").alias("paths"), F.max("other_port_links").alias("other_port_links")).select(
-        F.lit(element).alias("element"), F.lit(target).alias("target"), "paths",
-        (F.col("other_port_links") > 0).alias("holds"))
-
+    both = (prev.select(F.lit(1).alias("hop"), F.lit(0).alias("other"))
+            .unionByName(hit.select(F.lit(0).alias("hop"), F.lit(1).alias("other"))))
+    return both.agg(F.coalesce(F.sum("hop"), F.lit(0)).alias("n"), F.max("other").alias("o")).select(
+        F.lit(element).alias("element"), F.lit(target).alias("target"), F.col("n").alias("last_hops"),
+        (F.coalesce("o", F.lit(0)) > 0).alias("holds"))

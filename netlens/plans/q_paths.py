@@ -82,19 +82,19 @@ def r3_backhaul_links(fx):
 
 @query("r4_level_reachable", f"""
 WITH RECURSIVE {_HOPS},
-p(last, path, depth, done) AS (
-  SELECT ne_name, [ne_name], 0, false FROM vertices WHERE ne_name = 'Customer#000000001'
-  UNION ALL
-  SELECT h.b, list_append(p.path, h.b), p.depth + 1, upper(v.ne_type) IN ('AGG')
-  FROM p JOIN hops h ON h.a = p.last JOIN vertices v ON v.ne_name = h.b
-  WHERE NOT p.done AND p.depth < 3 AND NOT list_contains(p.path, h.b) AND h.b <> 'NATION_19'
-    AND upper(v.ne_type) IN ('ROUTER', 'AGG'))
-SELECT 'Customer#000000001' AS element, count(*) > 0 AS reachable, least(count(*), 10) AS paths_found
-FROM p WHERE done""", views=("vertices", "edges", "parent_edges"))
+inside(v) AS (
+  SELECT ne_name FROM vertices WHERE ne_name = 'Customer#000000001'
+  UNION
+  SELECT h.b FROM inside JOIN hops h ON h.a = inside.v JOIN vertices x ON x.ne_name = h.b
+  WHERE upper(x.ne_type) = 'ROUTER'),
+ends AS (SELECT DISTINCT h.b FROM hops h JOIN vertices x ON x.ne_name = h.b
+  WHERE h.a IN (SELECT v FROM inside) AND upper(x.ne_type) = 'AGG' AND h.b <> 'NATION_19')
+SELECT 'Customer#000000001' AS element, count(*) > 0 AS reachable, count(*) AS upper_reached FROM ends""",
+       views=("vertices", "edges", "parent_edges"))
 def r4_level_reachable(fx):
     """Can Customer#000000001 reach an AGG via routers without its own AGG (NATION_19)?"""
     hops = R.hop_table(fx.edges(), fx.parent_edges())
-    return R.level_reachable(fx.vertices(), hops, "Customer#000000001", ["AGG"], ["ROUTER"], "NATION_19", 3)
+    return R.level_reachable(fx.vertices(), hops, "Customer#000000001", ["AGG"], ["ROUTER"], "NATION_19")
 
 
 _R5_SQL = """
@@ -111,8 +111,7 @@ flag AS (SELECT v AS ne_name, v NOT IN (SELECT v FROM served) AS dependent FROM
 
 
 def _r5(fx):
-    pe = fx.parent_edges()
-    hops = R.hop_table(pe.limit(0), pe)
+    hops = R.hop_table(fx.parent_edges())
     return R.impact(fx.vertices(), hops, "NATION_3", ["CORE"])
 
 
@@ -137,18 +136,36 @@ def r5_impact_links(fx):
     return links
 
 
+@query("r5_impact_on_links", f"""
+WITH RECURSIVE g AS (SELECT DISTINCT a, b FROM (
+  SELECT start_ne AS a, end_ne AS b FROM edges WHERE relation = 'ISIS'
+  UNION ALL SELECT end_ne, start_ne FROM edges WHERE relation = 'ISIS') z
+  WHERE a <> b AND a <> 'Supplier#000000003' AND b <> 'Supplier#000000003'),
+served(v) AS (SELECT ne_name FROM vertices WHERE ne_type = 'ROUTER' AND ne_name <> 'Supplier#000000003'
+  UNION SELECT g.b FROM served JOIN g ON g.a = served.v),
+around(v) AS (SELECT end_ne FROM edges WHERE relation = 'ISIS' AND start_ne = 'Supplier#000000003'
+  UNION SELECT start_ne FROM edges WHERE relation = 'ISIS' AND end_ne = 'Supplier#000000003'
+  UNION SELECT g.b FROM around JOIN g ON g.a = around.v)
+SELECT x.ne_name, x.ne_type, x.ne_name NOT IN (SELECT v FROM served) AS dependent
+FROM vertices x JOIN around ON around.v = x.ne_name""", views=("vertices", "edges"))
+def r5_impact_on_links(fx):
+    """R5 on the link graph: who depends on Supplier#000000003 over ISIS links."""
+    nodes, _ = R.impact(fx.vertices(), R.hop_table(fx.edges(), relations=["ISIS"]),
+                        "Supplier#000000003", ["ROUTER"])
+    return nodes
+
+
 @query("r7_hierarchy", """
 WITH RECURSIVE d(ancestor, descendant, descendant_type, depth) AS (
   SELECT r.ne_name, c.ne_name, c.ne_type, 1 FROM vertices r JOIN vertices c ON c.parent_ne = r.ne_name
   WHERE r.ne_type = 'CORE'
   UNION ALL
-  SELECT d.ancestor, c.ne_name, c.ne_type, d.depth + 1 FROM d JOIN vertices c ON c.parent_ne = d.descendant
-  WHERE d.depth < 3)
+  SELECT d.ancestor, c.ne_name, c.ne_type, d.depth + 1 FROM d JOIN vertices c ON c.parent_ne = d.descendant)
 SELECT * FROM d""", views=("vertices",))
 def r7_hierarchy(fx):
-    """Descendants of every CORE site down to depth 3."""
+    """All descendants of every CORE site."""
     v = fx.vertices()
-    return R.hierarchy(v, v.filter(F.col("ne_type") == "CORE").select("ne_name"), 3)
+    return R.hierarchy(v, v.filter(F.col("ne_type") == "CORE").select("ne_name"))
 
 
 @query("r7_children_by_type", """
@@ -180,25 +197,23 @@ def r8_path_hops(fx):
 
 @query("r9_paths_to_target", f"""
 WITH RECURSIVE {_HOPS},
-p(last, path, depth, done) AS (
-  SELECT ne_name, [ne_name], 0, false FROM vertices WHERE ne_name = 'Customer#000000004'
-  UNION ALL
-  SELECT h.b, list_append(p.path, h.b), p.depth + 1, h.b = 'Supplier#000000007'
-  FROM p JOIN hops h ON h.a = p.last JOIN vertices v ON v.ne_name = h.b
-  WHERE NOT p.done AND p.depth < 3 AND NOT list_contains(p.path, h.b)
-    AND (upper(v.ne_type) IN ('SWITCH') OR h.b = 'Supplier#000000007')),
-prev AS (SELECT DISTINCT path[len(path) - 1] AS prev FROM p WHERE done),
+inside(v) AS (
+  SELECT ne_name FROM vertices WHERE ne_name = 'Customer#000000004'
+  UNION
+  SELECT h.b FROM inside JOIN hops h ON h.a = inside.v JOIN vertices x ON x.ne_name = h.b
+  WHERE upper(x.ne_type) = 'SWITCH' AND h.b <> 'Supplier#000000007'),
+prev AS (SELECT a AS prev FROM hops WHERE b = 'Supplier#000000007' AND a IN (SELECT v FROM inside)),
 te AS (SELECT CASE WHEN start_ne = 'Supplier#000000007' THEN end_ne ELSE start_ne END AS prev,
          CASE WHEN start_ne = 'Supplier#000000007' THEN regexp_replace(src_interface, '^.*_', '')
               ELSE regexp_replace(dest_interface, '^.*_', '') END AS target_port
        FROM edges WHERE start_ne = 'Supplier#000000007' OR end_ne = 'Supplier#000000007')
 SELECT 'Customer#000000004' AS element, 'Supplier#000000007' AS target,
-  (SELECT count(*) FROM p WHERE done) AS paths,
+  (SELECT count(*) FROM prev) AS last_hops,
   (SELECT count(*) FROM te WHERE prev IN (SELECT prev FROM prev) AND target_port <> '3') > 0 AS holds""",
        views=("vertices", "edges", "parent_edges"))
 def r9_paths_to_target(fx):
-    """Paths over switches from Customer#000000004 to Supplier#000000007;
-    holds when a path link meets the target on a port other than 3."""
+    """Does Customer#000000004 reach Supplier#000000007 over switches, and by
+    a link that meets the target on a port other than 3?"""
     hops = R.hop_table(fx.edges(), fx.parent_edges())
     return R.paths_to_target(fx.vertices(), hops, fx.edges(), "Customer#000000004", "Supplier#000000007",
-                             "SWITCH", "3", 3)
+                             "SWITCH", "3")

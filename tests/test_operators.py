@@ -121,7 +121,7 @@ def test_simple_paths_match_brute_force(fx):
 
 def test_reach_and_impact_on_hierarchy(fx):
     pe = fx.parent_edges()
-    hops = R.hop_table(pe.limit(0), pe)
+    hops = R.hop_table(pe)
     nodes, _ = R.impact(fx.vertices(), hops, "NATION_3", ["CORE"])
     dep = {r.ne_name for r in nodes.filter("dependent").collect()}
     children = {r.ne_name for r in fx.vertices().filter(F.col("parent_ne") == "NATION_3").collect()}
@@ -157,3 +157,38 @@ def test_type_normalisation(spark):
     df = df.withColumn("ts", F.col("s").cast("timestamp_ntz"))
     got = [r.ts for r in IO.to_api_types(df, ["ts"], []).orderBy("id").collect()]
     assert got == ["2024-01-01 10:00", "2024-01-01 10:00:05", "2024-01-01 10:00:05.120"]
+
+
+# ---------------------------------------------------------- long chains, names under two relations
+def _chain(spark, n):
+    v = spark.createDataFrame([(f"n{i}", "VERTEX", "AGG" if i == n else "ROUTER", f"n{i - 1}" if i else None, 1)
+                               for i in range(n + 1)]
+                              + [("n1", "OTHER", "ROUTER", None, 1)],
+                              "ne_name string, relation string, ne_type string, parent_ne string, pop_id int")
+    e = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(n)], "a string, b string")
+    return v, e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def test_nothing_is_cut_on_a_long_chain(spark):
+    v, hops = _chain(spark, 20)
+    assert R.reach(v.filter("ne_name = 'n0'"), hops).count() == 21
+    assert R.hierarchy(v, v.filter("ne_name = 'n0'")).count() == 20
+    row = R.level_reachable(v, hops, "n0", ["AGG"], ["ROUTER"], None).first()
+    assert row.reachable and row.upper_reached == 1
+    assert not R.level_reachable(v, hops, "n0", ["AGG"], ["ROUTER"], "n7").first().reachable
+
+
+def test_hierarchy_ends_on_a_cycle(spark):
+    v = spark.createDataFrame([("a", "b", "X"), ("b", "a", "X")], "ne_name string, parent_ne string, ne_type string")
+    assert R.hierarchy(v, v.filter("ne_name = 'a'")).count() == 2
+
+
+def test_paths_by_name_and_open_paths(spark):
+    import pytest
+    v, hops = _chain(spark, 4)
+    p = R.simple_paths(v, hops, v.filter("ne_name = 'n0'"), ["ROUTER"], term_types=["AGG"], max_depth=4)
+    assert [r.path for r in p.collect()] == [["n0", "n1", "n2", "n3", "n4"]]
+    assert R.affected_nodes(p, v).count() == 5
+    with pytest.raises(ValueError):
+        R.simple_paths(v, hops, v.filter("ne_name = 'n0'"), ["ROUTER"], term_types=["AGG"], max_depth=3,
+                       require_complete=True)
