@@ -105,11 +105,11 @@ def num_or_text_cmp(left: Column, op: str, right: str) -> Column:
 
 def num_or_text_sort(c: Column, descending: bool = False) -> list[Column]:
     """Sort keys for mixed numeric/text values: numbers first (by value), then
-    text (case-insensitive); nulls last ascending and first descending."""
+    text (case-insensitive), nulls last; descending is the exact reverse."""
     num = c.cast("string").try_cast("double")
     txt = F.lower(c.cast("string"))
     if descending:
-        return [c.isNull().desc(), num.isNull().asc(), num.desc(), txt.desc()]
+        return [c.isNull().desc(), num.isNull().desc(), num.desc(), txt.desc()]
     return [c.isNull().asc(), num.isNull().asc(), num.asc(), txt.asc()]
 
 

@@ -3,9 +3,7 @@
 Sample tables are long (one row per node / link, time and KPI); per-link and
 per-node reductions are map-side combined aggregates (``max``, ``max_by``,
 ``avg``), and enrichment is a left join *after* paging, so only the page's
-rows meet the KPI table.  KPI definitions and alarm priorities are small
-configuration tables (bounded by the number of KPI / category names), the
-only sides broadcast by hint here.
+rows meet the KPI table.  No side is broadcast by hint.
 """
 
 from __future__ import annotations
@@ -75,10 +73,10 @@ def kpi_ids_for_name(kpi_def: DataFrame, name: str, domain: str | None = None,
 
 
 def rename_kpis(samples: DataFrame, kpi_def: DataFrame) -> DataFrame:
-    """K4: replace KPI ids by names in every sample (small definitions table
-    broadcast; unknown ids keep the id)."""
+    """K4: replace KPI ids by names in every sample (unknown ids keep the id;
+    whether the definitions are small enough to broadcast is measured by AQE)."""
     d = kpi_def.select("kpi_id", "kpi_name").distinct()
-    return (samples.join(F.broadcast(d), "kpi_id", "left")
+    return (samples.join(d, "kpi_id", "left")
             .withColumn("kpi", F.coalesce("kpi_name", "kpi_id")).drop("kpi_name"))
 
 
@@ -98,15 +96,11 @@ def orient_links(links: DataFrame, vertices: DataFrame) -> DataFrame:
                     F.concat(si, F.lit("#"), di).alias("link_name"), swap.alias("swapped"))
 
 
-def preferred_granularity(samples: DataFrame, key: str = "link_name") -> DataFrame:
-    """K8: per link use hourly samples when it has any, else daily.  The
-    per-link choice is a tiny aggregate joined back (skew-safe)."""
-    choice = samples.groupBy(key).agg(
-        F.max(F.when(F.col("granularity") == "hourly", 1).otherwise(0)).alias("_has_hourly"))
-    j = samples.join(choice, key)
-    keep = F.when(F.col("_has_hourly") == 1, F.col("granularity") == "hourly").otherwise(
-        F.col("granularity") == "daily")
-    return j.filter(keep).drop("_has_hourly")
+def preferred_granularity(samples: DataFrame) -> DataFrame:
+    """K8: the hourly samples of a request if it has any, else the daily ones.
+    One decision for all its links (a scalar sub-query)."""
+    hourly = samples.agg(F.max(F.col("granularity") == "hourly").alias("h")).scalar()
+    return samples.filter(F.col("granularity") == F.when(hourly, "hourly").otherwise("daily"))
 
 
 def utilisation_max_latest(samples: DataFrame, key: str = "link_name") -> DataFrame:
@@ -148,41 +142,48 @@ def priority_table(spark) -> DataFrame:
 
 
 def top_alarm(alarms: DataFrame, priority: DataFrame, open_only: bool = True) -> DataFrame:
-    """Per node, the most urgent category among its alarms with its
-    count: counts per (node, category), priority by broadcast join (config
-    table), then ``min_by`` per node."""
+    """Per node, the most urgent priority among its alarms with the number
+    of alarms of that priority (and its first category).  A category without a
+    priority comes after all others, with a null priority."""
     a = alarms
     if open_only:
         a = a.filter(F.upper("alarm_status").isin("OPEN", "REOPENED"))
     per = a.groupBy("entity_name", "category").agg(F.count(F.lit(1)).alias("cnt"))
-    per = per.join(F.broadcast(priority), "category")
+    per = (per.join(priority, "category", "left").groupBy("entity_name", "priority")
+           .agg(F.sum("cnt").alias("cnt"), F.min("category").alias("category")))
+    known_first = F.struct(F.col("priority").isNull(), "priority")
     return per.groupBy("entity_name").agg(
-        F.min_by(F.struct("priority", "category", "cnt"), "priority").alias("t")).select(
+        F.min_by(F.struct("priority", "category", "cnt"), known_first).alias("t")).select(
         F.col("entity_name").alias("ne_name"), "t.priority", "t.category", F.col("t.cnt").alias("alarm_count"))
 
 
 def attach_alarms(nodes: DataFrame, alarms: DataFrame, priority: DataFrame, by: str = "node",
                   exclude_type: str = "ENODEB") -> DataFrame:
-    """Nodes (except ``exclude_type``) left joined to their top alarm
-    (node-wise) or to the open-alarm count of their location (``by='l3'``)."""
-    n = nodes.filter(F.col("ne_type") != exclude_type)
+    """All nodes, left joined to their top alarm (node-wise) or to the
+    open-alarm count of their location (``by='l3'``).  Alarms are not looked up
+    for nodes of ``exclude_type``; the nodes stay."""
+    asked = ~F.col("ne_type").eqNullSafe(exclude_type)
     if by == "node":
-        return n.join(top_alarm(alarms, priority), "ne_name", "left")
+        top = top_alarm(alarms, priority).withColumnRenamed("ne_name", "_n")
+        return nodes.join(top, (F.col("ne_name") == F.col("_n")) & asked, "left").drop("_n")
     open_a = alarms.filter(F.upper("alarm_status").isin("OPEN", "REOPENED"))
     loc = (open_a.join(nodes.select(F.col("ne_name").alias("entity_name"), "geography_l3"), "entity_name")
            .groupBy("geography_l3").agg(F.count(F.lit(1)).alias("location_alarms")))
-    return n.join(loc, "geography_l3", "left").withColumn(
+    loc = loc.withColumnRenamed("geography_l3", "_l3")
+    return nodes.join(loc, (F.col("geography_l3") == F.col("_l3")) & asked, "left").drop("_l3").withColumn(
         "location_alarms", F.coalesce("location_alarms", F.lit(0)))
 
 
-def cause_code(samples: DataFrame, key: str = "link_name") -> DataFrame:
+def cause_code(samples: DataFrame, key: str = "link_name",
+               kpis: dict[str, str] | None = None) -> DataFrame:
     """Per link the newest sample; of its KPI values the largest gives
-    the cause id and value (per link, not shared across links)."""
+    the cause id and value (per link, not shared across links).  ``kpis`` maps
+    each KPI column to its id."""
+    kpis = kpis or {"in_util": "IN_UTIL", "out_util": "OUT_UTIL"}
     newest = samples.groupBy(key).agg(
-        F.max_by(F.struct("in_util", "out_util"), F.struct("date", "granularity", "in_util", "out_util"))
-        .alias("s"))
-    entries = F.array(F.struct(F.col("s.in_util").alias("v"), F.lit("IN_UTIL").alias("k")),
-                      F.struct(F.col("s.out_util").alias("v"), F.lit("OUT_UTIL").alias("k")))
+        F.max_by(F.struct(*kpis), F.struct("date", "granularity", *kpis)).alias("s"))
+    entries = F.array(*[F.struct(F.col(f"s.{c}").alias("v"), F.lit(k).alias("k"))
+                        for c, k in kpis.items()])
     best = F.array_max(F.filter(entries, lambda e: e["v"].isNotNull()))
     return newest.select(key, best["k"].alias("cause_id"), best["v"].alias("cause_value"))
 

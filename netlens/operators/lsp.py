@@ -92,7 +92,7 @@ def lsp_detail(feed: DataFrame, lsp_name: str, source: str | None = None,
 
 
 # ------------------------------------------------------------ P4 / P5 / P6
-_META_RX = re.compile(r"^\s*([A-Za-z0-9_.\-]+)\s*(>=|<=|!=|=|>|<)\s*(.*?)\s*$")
+_META_RX = re.compile(r"^\s*([A-Za-z0-9_]+)\s*(>=|<=|!=|=|>|<)\s*(.*?)\s*$")
 
 
 def meta_predicate(expr: str | None, meta: str = "meta") -> Column:

@@ -9,7 +9,7 @@ Plan shape
   reduces map-side before the shuffle.
 * snapshot and increment meet in one full outer equi join on the key
   (sort-merge or shuffle-hash, AQE skew-split); no per-key lookups.
-* end-vertex existence for edges is two semi/anti joins on the names.
+* end-vertex existence for edges is two left joins on the names, as a flag.
 """
 
 from __future__ import annotations
@@ -24,10 +24,12 @@ from ..functions.expr import col_has_value, link_type_key
 
 
 def dedupe_last(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the last by ``order`` (a total order must be given)."""
+    """One row per key: the last by ``order``; rows equal in that are ordered by
+    all their other columns, so the result does not depend on the input's order."""
     others = [c for c in df.columns if c not in key]
+    ties = [c for c in others if c not in order and not df.schema[c].dataType.simpleString().startswith("map")]
     return (df.groupBy(*key)
-            .agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_r"))
+            .agg(F.max_by(F.struct(*others), F.struct(*order, *ties)).alias("_r"))
             .select(*key, "_r.*").select(*df.columns))
 
 
@@ -39,7 +41,9 @@ def merge_vertices(snapshot: DataFrame, incoming: DataFrame, order: list[str] |
     are dropped.  Returns ``(new_snapshot, outcomes)`` where outcomes has one
     row per incoming key with ``outcome`` created / updated."""
     key = key or S.VERTEX_KEY
-    order = order or ["last_discovery_ts", "ne_name"]
+    order = order or ["last_discovery_ts"]
+    if "relation" in key:  # a vertex without relation is one vertex, stored or incoming
+        snapshot = snapshot.withColumn("relation", F.coalesce("relation", F.lit("")))
     inc = incoming.drop(*[c for c in S.EDGE_ONLY_PROPERTIES if c in incoming.columns])
     inc = inc.withColumn("relation", F.coalesce(F.col("relation"), F.lit("")))
     inc = dedupe_last(inc, key, order)
@@ -74,40 +78,46 @@ def merge_edges(snapshot: DataFrame, incoming: DataFrame, vertices: DataFrame,
                 run_ts: str, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Upsert edges keyed by (src_interface, dest_interface, relation,
     link_type_key).  Incoming rows whose start or end element does not exist
-    are skipped.  Matched edges take every fixed column from the incoming row
-    (null included) except ``start_ne``/``end_ne`` which change only when
-    non-blank; new edges get status ACTIVE and ``created_at = run_ts``.
+    are skipped.  Matched edges take the incoming row's columns (null included),
+    but keep circuit id, link type, status and creation time; ``start_ne`` /
+    ``end_ne`` (and their ids) change only when non-blank.  New edges get status
+    ACTIVE and ``created_at = run_ts``.  Skipped rows go through the same join
+    without a match, so the batch is read once.
     Returns ``(new_snapshot, outcomes)`` with created / updated / skipped."""
-    order = order or ["last_discovery_ts", "bandwidth"]
+    order = order or ["last_discovery_ts"]
     inc = incoming.withColumn("link_type_key", link_type_key())
     keep = [c for c in snapshot.columns if c in inc.columns]
     inc = dedupe_last(inc.select(*keep, *[c for c in order if c not in keep]), S.EDGE_KEY, order).select(*keep)
-    names = vertices.select(F.col("ne_name").alias("_vn")).distinct()
-    ok = (inc.join(names, inc.start_ne == names._vn, "left_semi")
-          .join(names, inc.end_ne == names._vn, "left_semi"))
-    skipped = inc.join(ok.select(*S.EDGE_KEY), S.EDGE_KEY, "left_anti")
+    names = vertices.select("ne_name").distinct()
+    starts = names.select(F.col("ne_name").alias("_sn"))
+    ends = names.select(F.col("ne_name").alias("_en"))
+    inc = inc.join(starts, inc.start_ne == starts._sn, "left").join(ends, F.col("end_ne") == ends._en, "left")
+    inc = inc.withColumn("_ok", F.col("_sn").isNotNull() & F.col("_en").isNotNull()).drop("_sn", "_en")
     cols = [c for c in snapshot.columns if c not in S.EDGE_KEY]
     o = snapshot.select(*S.EDGE_KEY, *[F.col(c).alias(f"o_{c}") for c in cols], F.lit(True).alias("_old"))
-    n = ok.select(*S.EDGE_KEY, *[(F.col(c) if c in ok.columns else F.lit(None)).alias(f"n_{c}") for c in cols],
-                  F.lit(True).alias("_new"))
-    j = o.join(n, S.EDGE_KEY, "full_outer")
+    n = inc.select(*S.EDGE_KEY, *[(F.col(c) if c in inc.columns else F.lit(None)).alias(f"n_{c}") for c in cols],
+                   "_ok", F.lit(True).alias("_new"))
+    # a skipped row has no partner: its flag never equals the stored row's
+    j = o.withColumn("_ok", F.lit(True)).join(n, [*S.EDGE_KEY, "_ok"], "full_outer")
     is_new, is_old = F.col("_new").isNotNull(), F.col("_old").isNotNull()
 
     def pick(c: str) -> Column:
         new, old = F.col(f"n_{c}"), F.col(f"o_{c}")
-        if c in ("start_ne", "end_ne"):
+        if c in ("start_ne", "end_ne", "start_ne_id", "end_ne_id"):
             return F.when(is_new & col_has_value(new), new).otherwise(old)
         if c == "status":
             return F.when(is_new & ~is_old, F.lit("ACTIVE")).otherwise(old)
         if c == "created_at":
             return F.when(is_new & ~is_old, F.lit(run_ts).cast("timestamp_ntz")).otherwise(old)
+        if c in ("ckt_id", "link_type"):
+            return F.when(is_new & ~is_old, new).otherwise(old)
         if c == "is_deleted":
-            return F.when(is_new & ~is_old, F.lit(False)).otherwise(old)
+            return F.when(is_new, F.coalesce(new.cast("boolean"), F.lit(False))).otherwise(old)
         return F.when(is_new, new).otherwise(old)
 
-    merged = j.select(*S.EDGE_KEY, *[pick(c).cast(snapshot.schema[c].dataType).alias(c) for c in cols])
-    outcome = (j.filter(is_new).select(*S.EDGE_KEY, F.when(is_old, "updated").otherwise("created").alias("outcome"))
-               .unionByName(skipped.select(*S.EDGE_KEY, F.lit("skipped").alias("outcome"))))
+    merged = j.filter("_ok").select(*S.EDGE_KEY, *[pick(c).cast(snapshot.schema[c].dataType).alias(c) for c in cols])
+    outcome = j.filter(is_new).select(*S.EDGE_KEY, F.when(~F.col("_ok"), "skipped").when(
+        is_old, "updated").otherwise("created").alias("outcome"))
     return merged.select(*snapshot.columns), outcome
 
 
@@ -202,12 +212,13 @@ def classify_records(edge_outcomes: DataFrame, snapshot_edges: DataFrame) -> Dat
 def retain_recent(vertices: DataFrame, edges: DataFrame, run_date: str,
                   days: int = S.RETENTION_DAYS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Drop vertices and edges discovered on or before the end of day
-    ``run_date - days``; dropping a vertex drops its incident edges.  Null
+    ``run_date - days``; a name without any vertex left loses its links.  Null
     times are kept.  Returns (vertices, edges, counts)."""
     cutoff = F.date_add(F.lit(run_date).cast("date"), -days + 1).cast("timestamp_ntz")
     old_v = F.col("last_discovery_ts") < cutoff
     keep_v = vertices.filter(~F.coalesce(old_v, F.lit(False)))
-    dropped = vertices.filter(F.coalesce(old_v, F.lit(False))).select(F.col("ne_name").alias("_d"))
+    dropped = (vertices.filter(F.coalesce(old_v, F.lit(False))).join(keep_v.select("ne_name"), "ne_name", "left_anti")
+               .select(F.col("ne_name").alias("_d")).distinct())
     e = edges.filter(~F.coalesce(F.col("last_discovery_ts") < cutoff, F.lit(False)))
     e = (e.join(dropped, e.start_ne == dropped._d, "left_anti")
          .join(dropped, e.end_ne == dropped._d, "left_anti"))

@@ -14,15 +14,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schema as S
 from ..functions.expr import csv_list, has_coordinates, has_value, prefix_regex
 from .subgraph import links_from, links_touching, names_df, nodes_of_links, remove_reverse_duplicates
 
 
-def _base(vertices: DataFrame, edges: DataFrame, ne_types: str, relation: str | None) -> DataFrame:
+def _base(vertices: DataFrame, edges: DataFrame, ne_types: str, relation: str | None,
+          located: bool = True) -> DataFrame:
     types = csv_list(ne_types, upper=True)
     if not types:
         raise ValueError("ne_types is mandatory")
     v = vertices.filter(F.upper("ne_type").isin(types))
+    if located:  # searches answer with elements that can be drawn
+        v = v.filter(has_coordinates())
     rels = csv_list(relation, upper=True)
     if rels:
         e = edges.filter(F.upper("relation").isin(rels))
@@ -48,7 +52,7 @@ def _one_per(df: DataFrame, prop: str) -> DataFrame:
 def by_name(vertices, edges, ne_types, pattern, relation=None) -> DataFrame:
     """Q1: name starts with (case-insensitive, literal), coordinates present."""
     v = _base(vertices, edges, ne_types, relation)
-    return v.filter(F.col("ne_name").rlike(prefix_regex(pattern)) & has_coordinates())
+    return v.filter(F.col("ne_name").rlike(prefix_regex(pattern)))
 
 
 def by_pop_id(vertices, edges, ne_types, pop_id, relation=None) -> DataFrame:
@@ -167,25 +171,24 @@ def unified(vertices, edges, ne_types, relation=None, **dims):
     return links, nodes
 
 
-def or_search(vertices, edges, ne_types, text) -> DataFrame:
-    """Q11: one pass, OR over name / pop name / pop id regex, area ip and tag
-    (vertex text or an incident link with that exact value)."""
-    types = csv_list(ne_types, upper=True)
-    v = vertices.filter(F.upper("ne_type").isin(types))
+def or_search(vertices, edges, ne_types, text, relation=None) -> DataFrame:
+    """Q11: elements with coordinates, OR over name / pop name / pop id regex and
+    the area ip or tag of an incident link with that exact value; the relation
+    rule as in the other searches."""
+    v = _base(vertices, edges, ne_types, relation)
     rx = prefix_regex(text)
     e = edges.filter((F.col("area_ip_address") == text) | (F.col("tag") == text))
     ends = e.select(F.col("start_ne").alias("_e")).unionByName(
         e.select(F.col("end_ne").alias("_e"))).distinct().withColumn("_hit", F.lit(True))
     v = v.join(ends, v.ne_name == ends._e, "left")
     cond = (F.col("ne_name").rlike(rx) | F.col("pop_name").rlike(rx)
-            | F.col("pop_id").cast("string").rlike(rx) | F.col("ipv4").rlike(rx)
-            | F.col("_hit").isNotNull())
+            | F.col("pop_id").cast("string").rlike(rx) | F.col("_hit").isNotNull())
     return v.filter(cond).drop("_e", "_hit")
 
 
 def by_pop_id_prefix(vertices, edges, ne_types, prefix: str, relation=None) -> DataFrame:
     """Q12: pop id whose decimal text starts with the digits given."""
-    v = _base(vertices, edges, ne_types, relation)
+    v = _base(vertices, edges, ne_types, relation, located=False)
     p = str(prefix).strip()
     if not p.isdigit():
         return v.limit(0)
@@ -194,18 +197,18 @@ def by_pop_id_prefix(vertices, edges, ne_types, prefix: str, relation=None) -> D
 
 def scope_filter(vertices: DataFrame, scope: DataFrame) -> DataFrame:
     """Q14: keep vertices inside the caller's area of authority.  ``scope``
-    rows are (column, value); a vertex is allowed when any rule matches.
-    Each rule column becomes one semi join on that column; results unioned."""
-    cols = [r for r in ["geography_l1", "geography_l2", "geography_l3", "geography_l4", "domain",
-                        "vendor"] if r in vertices.columns]
-    parts = []
-    for c in cols:
-        allowed = scope.filter(F.col("column") == c).select(F.col("value").alias(c)).distinct()
-        parts.append(vertices.join(allowed, c, "left_semi"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.dropDuplicates(["ne_name", "relation"])
+    rows are (column, value); a vertex is allowed when any rule matches, on
+    whatever text column.  One pass: each vertex becomes its (column, value)
+    pairs, which meet the rules in one semi join on both; the keys that are
+    allowed are joined back."""
+    text = [f.name for f in vertices.schema.fields if f.dataType.simpleString() == "string"]
+    pairs = vertices.select(*S.VERTEX_KEY, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in text])).alias("_p"))
+    allowed = (pairs.select(*S.VERTEX_KEY, "_p.column", "_p.value").filter(F.col("value").isNotNull())
+               .join(scope.select("column", "value"), ["column", "value"], "left_semi")
+               .select(*[F.col(c).alias(f"_{c}") for c in S.VERTEX_KEY]).distinct())
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in S.VERTEX_KEY]
+    return vertices.join(allowed, same[0] & same[1], "left_semi")
 
 
 def by_property(vertices: DataFrame, prop: str, value, fields: list[str] | None = None,

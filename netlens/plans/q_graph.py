@@ -13,7 +13,7 @@ ALL_TYPES = "ROUTER,SWITCH,AGG,CORE"
 
 # ---------------------------------------------------------------- X1–X5, Q6
 _REGION_OSPF = f"""
-WITH names AS (SELECT DISTINCT ne_name FROM vertices WHERE {types_in(ALL_TYPES)} AND geography_l1 = 'ASIA'),
+WITH names AS (SELECT DISTINCT ne_name FROM vertices WHERE {types_in(ALL_TYPES)} AND geography_l1 = 'ASIA' AND {HAS_XY}),
 l AS (SELECT * FROM edges WHERE upper(relation) IN ('OSPF') AND start_ne IN (SELECT ne_name FROM names)),
 d AS ({revdedupe('l')})
 """
@@ -119,7 +119,8 @@ def q1_by_name_relation(fx):
 
 
 @query("q2_by_pop_id", f"""
-SELECT * FROM vertices WHERE {types_in(ALL_TYPES)} AND (pop_id = 1012 OR contains(CAST(pop_id AS VARCHAR), '1012'))""",
+SELECT * FROM vertices WHERE {types_in(ALL_TYPES)} AND (pop_id = 1012 OR contains(CAST(pop_id AS VARCHAR), '1012'))
+  AND {HAS_XY}""",
        views=("vertices",))
 def q2_by_pop_id(fx):
     """Q2: pop id 1012 (equal or text contains)."""
@@ -129,7 +130,7 @@ def q2_by_pop_id(fx):
 @query("q3_by_pop_name", f"""
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY pop_name ORDER BY ne_name) AS rn FROM vertices
-  WHERE {types_in('ROUTER,SWITCH')} AND regexp_matches(pop_name, '(?i)^pop\\s*nation_1'))
+  WHERE {types_in('ROUTER,SWITCH')} AND {HAS_XY} AND regexp_matches(pop_name, '(?i)^pop\\s*nation_1'))
 WHERE rn = 1""", views=("vertices",))
 def q3_by_pop_name(fx):
     """Q3: pop name 'pop  nation_1' (flexible spaces), one vertex per pop."""
@@ -137,7 +138,7 @@ def q3_by_pop_name(fx):
 
 
 @query("q4_by_ipv4", f"""
-SELECT * FROM vertices WHERE {types_in(ALL_TYPES)} AND regexp_matches(ipv4, '(?i)^172\\.1\\.')""",
+SELECT * FROM vertices WHERE {types_in(ALL_TYPES)} AND {HAS_XY} AND regexp_matches(ipv4, '(?i)^172\\.1\\.')""",
        views=("vertices",))
 def q4_by_ipv4(fx):
     """Q4: ipv4 starting with '172.1.'."""
@@ -147,7 +148,7 @@ def q4_by_ipv4(fx):
 @query("q5_by_pop_code", f"""
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY pop_code ORDER BY ne_name) AS rn FROM vertices
-  WHERE {types_in(ALL_TYPES)} AND regexp_matches(pop_code, '(?i)^pc1'))
+  WHERE {types_in(ALL_TYPES)} AND {HAS_XY} AND regexp_matches(pop_code, '(?i)^pc1'))
 WHERE rn = 1""", views=("vertices",))
 def q5_by_pop_code(fx):
     """Q5: pop code starting 'pc1', one vertex per pop code."""
@@ -173,7 +174,8 @@ def q7_area_tag_nodes(fx):
 
 
 _REGION_TAG = f"""
-WITH names AS (SELECT DISTINCT ne_name FROM vertices WHERE {types_in(ALL_TYPES)} AND geography_l1 = 'EUROPE'),
+WITH names AS (SELECT DISTINCT ne_name FROM vertices WHERE {types_in(ALL_TYPES)} AND {HAS_XY}
+          AND geography_l1 = 'EUROPE'),
 l AS (SELECT * FROM edges WHERE tag = '5-LOW'
       AND (start_ne IN (SELECT ne_name FROM names) OR end_ne IN (SELECT ne_name FROM names)))
 """
@@ -197,7 +199,8 @@ def q8_region_tag_nodes(fx):
 _UNIFIED = f"""
 WITH n1 AS (SELECT *, 0 AS rk FROM vertices WHERE {types_in(ALL_TYPES)}
             AND regexp_matches(ne_name, '(?i)^supplier#00000004') AND {HAS_XY}),
-n2 AS (SELECT *, 3 AS rk FROM vertices WHERE {types_in(ALL_TYPES)} AND regexp_matches(ipv4, '(?i)^10\\.4\\.')),
+n2 AS (SELECT *, 3 AS rk FROM vertices WHERE {types_in(ALL_TYPES)} AND {HAS_XY}
+       AND regexp_matches(ipv4, '(?i)^10\\.4\\.')),
 l5 AS (SELECT * FROM edges WHERE area_ip_address = '10.4.0.0'),
 n5 AS (SELECT *, 5 AS rk FROM ({nodes_of('l5')}) z),
 alln AS (SELECT * FROM n1 UNION ALL SELECT * FROM n2 UNION ALL SELECT * FROM n5)
@@ -226,10 +229,10 @@ def q10_unified_links(fx):
 @query("q11_or_search", f"""
 WITH e AS (SELECT start_ne AS n FROM edges WHERE area_ip_address = '10.7.0.0' OR tag = '10.7.0.0'
            UNION SELECT end_ne FROM edges WHERE area_ip_address = '10.7.0.0' OR tag = '10.7.0.0')
-SELECT * FROM vertices WHERE {types_in('ROUTER,AGG')} AND (
+SELECT * FROM vertices WHERE {types_in('ROUTER,AGG')} AND {HAS_XY} AND (
   regexp_matches(ne_name, '(?i)^10\\.7\\.0\\.0') OR regexp_matches(coalesce(pop_name, ''), '(?i)^10\\.7\\.0\\.0')
   OR regexp_matches(coalesce(CAST(pop_id AS VARCHAR), ''), '(?i)^10\\.7\\.0\\.0')
-  OR regexp_matches(coalesce(ipv4, ''), '(?i)^10\\.7\\.0\\.0') OR ne_name IN (SELECT n FROM e))""",
+  OR ne_name IN (SELECT n FROM e))""",
        views=("vertices", "edges"))
 def q11_or_search(fx):
     """Q11: OR search for '10.7.0.0' over routers and sites."""

@@ -113,12 +113,10 @@ def k7_utilisation_avg(fx):
 
 
 @query("k8_preferred_granularity", """
-WITH c AS (SELECT link_name, max(CASE WHEN granularity = 'hourly' THEN 1 ELSE 0 END) AS h FROM link_samples
-           GROUP BY link_name)
-SELECT s.* FROM link_samples s JOIN c USING (link_name)
-WHERE (c.h = 1 AND s.granularity = 'hourly') OR (c.h = 0 AND s.granularity = 'daily')""", views=("link_samples",))
+SELECT * FROM link_samples WHERE granularity = CASE
+  WHEN EXISTS (SELECT 1 FROM link_samples WHERE granularity = 'hourly') THEN 'hourly' ELSE 'daily' END""", views=("link_samples",))
 def k8_preferred_granularity(fx):
-    """K8: hourly samples of links that have any, daily otherwise."""
+    """K8: the hourly samples, as the response has any."""
     return K.preferred_granularity(fx.link_samples())
 
 
@@ -158,35 +156,37 @@ def k11_element_utilisation(fx):
 _PRIO = "(VALUES ('CRITICAL', 1), ('MAJOR', 2), ('MINOR', 3), ('WARNING', 4)) p(category, priority)"
 
 
-@query("k12_top_alarm", f"""
-SELECT ne_name, t.priority AS priority, t.category AS category, t.cnt AS alarm_count FROM (
-  SELECT entity_name AS ne_name, arg_min(struct_pack(priority := priority, category := category, cnt := cnt), priority) AS t
-  FROM (SELECT entity_name, category, count(*) AS cnt FROM alarms WHERE upper(alarm_status) IN ('OPEN', 'REOPENED')
-        GROUP BY ALL) a JOIN {_PRIO} USING (category) GROUP BY entity_name) z""", views=("alarms",))
+_TOP_ALARM = f"""
+SELECT entity_name AS ne_name, priority, category, alarm_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY entity_name ORDER BY priority NULLS LAST) AS urgency
+  FROM (SELECT entity_name, priority, min(category) AS category, count(*) AS alarm_count
+        FROM alarms LEFT JOIN {_PRIO} USING (category)
+        WHERE upper(alarm_status) IN ('OPEN', 'REOPENED') GROUP BY entity_name, priority) per_priority) ranked
+WHERE urgency = 1"""
+
+
+@query("k12_top_alarm", _TOP_ALARM, views=("alarms",))
 def k12_top_alarm(fx):
     """Most urgent open alarm category per node with its count."""
     return K.top_alarm(fx.alarms(), K.priority_table(fx.spark))
 
 
 @query("k13_attach_alarms", f"""
-WITH t AS (SELECT ne_name, t.priority AS priority, t.category AS category, t.cnt AS alarm_count FROM (
-  SELECT entity_name AS ne_name, arg_min(struct_pack(priority := priority, category := category, cnt := cnt), priority) AS t
-  FROM (SELECT entity_name, category, count(*) AS cnt FROM alarms WHERE upper(alarm_status) IN ('OPEN', 'REOPENED')
-        GROUP BY ALL) a JOIN {_PRIO} USING (category) GROUP BY entity_name) z)
-SELECT v.*, t.priority, t.category, t.alarm_count FROM vertices v LEFT JOIN t USING (ne_name)
-WHERE v.ne_type <> 'SWITCH'""", views=("alarms", "vertices"))
+WITH t AS ({_TOP_ALARM})
+SELECT v.*, t.priority, t.category, t.alarm_count
+FROM vertices v LEFT JOIN t ON t.ne_name = v.ne_name AND v.ne_type <> 'SWITCH'""", views=("alarms", "vertices"))
 def k13_attach_alarms(fx):
-    """K13 node-wise: non-switch vertices with their top alarm."""
+    """K13 node-wise: all vertices, those that are no switch with their top alarm."""
     return K.attach_alarms(fx.vertices(), fx.alarms(), K.priority_table(fx.spark), exclude_type="SWITCH")
 
 
 @query("k13_location_alarms", """
 WITH loc AS (SELECT v.geography_l3, count(*) AS location_alarms FROM alarms a JOIN vertices v ON a.entity_name = v.ne_name
              WHERE upper(a.alarm_status) IN ('OPEN', 'REOPENED') GROUP BY v.geography_l3)
-SELECT v.*, coalesce(loc.location_alarms, 0) AS location_alarms FROM vertices v LEFT JOIN loc USING (geography_l3)
-WHERE v.ne_type <> 'CORE'""", views=("alarms", "vertices"))
+SELECT v.*, coalesce(loc.location_alarms, 0) AS location_alarms
+FROM vertices v LEFT JOIN loc ON loc.geography_l3 = v.geography_l3 AND v.ne_type <> 'CORE'""", views=("alarms", "vertices"))
 def k13_location_alarms(fx):
-    """K13 location-wise: open alarms per city attached to every non-CORE vertex."""
+    """K13 location-wise: open alarms per city; not looked up for CORE vertices."""
     return K.attach_alarms(fx.vertices(), fx.alarms(), K.priority_table(fx.spark), by="l3", exclude_type="CORE")
 
 

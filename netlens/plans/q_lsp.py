@@ -86,7 +86,7 @@ def p3_lsp_detail_nodes(fx):
 def _num_or_text_sql(v: str, desc: bool) -> str:
     num = f"TRY_CAST({v} AS DOUBLE)"
     if desc:
-        return f"({v} IS NULL) DESC, ({num} IS NULL) ASC, {num} DESC, lower({v}) DESC"
+        return f"({v} IS NULL) DESC, ({num} IS NULL) DESC, {num} DESC, lower({v}) DESC"
     return f"({v} IS NULL) ASC, ({num} IS NULL) ASC, {num} ASC, lower({v}) ASC"
 
 

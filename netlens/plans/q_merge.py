@@ -154,13 +154,15 @@ j AS (SELECT o.src_interface AS o_key, n.src_interface AS n_key,
 
 
 def _pick_sql(c: str) -> str:
+    if c in ("ckt_id", "link_type"):
+        return f"CASE WHEN n_key IS NOT NULL AND o_key IS NULL THEN n_{c} ELSE o_{c} END AS {c}"
     if c in ("start_ne", "end_ne"):
         return (f"CASE WHEN n_key IS NOT NULL AND n_{c} IS NOT NULL AND trim(n_{c}) <> '' THEN n_{c} "
                 f"ELSE o_{c} END AS {c}")
     if c == "status":
         return f"CASE WHEN n_key IS NOT NULL AND o_key IS NULL THEN 'ACTIVE' ELSE o_{c} END AS {c}"
     if c == "is_deleted":
-        return f"CASE WHEN n_key IS NOT NULL AND o_key IS NULL THEN false ELSE o_{c} END AS {c}"
+        return f"CASE WHEN n_key IS NOT NULL THEN coalesce(n_{c}, false) ELSE o_{c} END AS {c}"
     return f"CASE WHEN n_key IS NOT NULL THEN n_{c} ELSE o_{c} END AS {c}"
 
 

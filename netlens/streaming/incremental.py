@@ -7,8 +7,10 @@ operator and written as a new snapshot version:
 
     files (link rows) --readStream--> foreachBatch(merge_edges) --> snapshot/v=<batch>
 
-* exactly-once: the sink folder is keyed by ``batch_id``; a replayed batch
-  overwrites the same version, and the checkpoint location records progress.
+* replay: the sink folder is keyed by ``batch_id``, and a batch reads the newest
+  complete version *before* its own.  A batch that is replayed, because it ended
+  before its commit was recorded, computes its version again from the same input
+  and overwrites it; it never reads what it overwrites.
 * the snapshot is read back from storage for every batch (never kept on the
   driver); lineage is cut by the write itself.
 * late / repeated discoveries of one edge within a batch are reduced by the
@@ -23,9 +25,10 @@ from pyspark.sql import types as T
 from ..operators.merge import merge_edges
 
 
-def latest_version(spark: SparkSession, snapshot_root: str) -> str | None:
-    """Path of the newest snapshot version under ``snapshot_root`` (listing
-    through the Hadoop file system of the session; no data is read)."""
+def latest_version(spark: SparkSession, snapshot_root: str, before: int | None = None) -> str | None:
+    """Path of the newest complete snapshot version under ``snapshot_root``,
+    below ``before`` if given (listing through the Hadoop file system of the
+    session; no data is read)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(snapshot_root)
@@ -37,9 +40,19 @@ def latest_version(spark: SparkSession, snapshot_root: str) -> str | None:
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             versions.append(int(name[2:]))
+    versions = [v for v in versions if before is None or v < before]
     return f"{snapshot_root}/v={max(versions)}" if versions else None
 
 
+def write_version(spark: SparkSession, batch: DataFrame, batch_id: int, snapshot_root: str,
+                  initial: DataFrame, vertices: DataFrame, run_ts: str, order: list[str]) -> None:
+    """Merge one micro-batch into the newest earlier version and write its own."""
+    cur = latest_version(spark, snapshot_root, before=batch_id)
+    snap = spark.read.schema(initial.schema).parquet(cur) if cur else initial
+    merged, _ = merge_edges(snap, batch, vertices, run_ts, order=order)
+    merged.write.mode("overwrite").parquet(f"{snapshot_root}/v={batch_id}")
+
+
 def start_edge_merge_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
                             vertices: DataFrame, snapshot_root: str, checkpoint_dir: str,
                             initial: DataFrame, run_ts: str, order: list[str],
@@ -50,13 +63,8 @@ def start_edge_merge_stream(spark: SparkSession, source_dir: str, schema: T.Stru
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.parquet(source_dir)
-    snap_schema = initial.schema
-
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        cur = latest_version(spark, snapshot_root)
-        snap = spark.read.schema(snap_schema).parquet(cur) if cur else initial
-        merged, _ = merge_edges(snap, batch, vertices, run_ts, order=order)
-        merged.write.mode("overwrite").parquet(f"{snapshot_root}/v={batch_id}")
+        write_version(spark, batch, batch_id, snapshot_root, initial, vertices, run_ts, order)
 
     w = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

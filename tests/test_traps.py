@@ -44,7 +44,8 @@ def test_null_sort_first_when_descending_and_mixed_numeric_text(spark):
     desc = [r.id for r in df.orderBy(*num_or_text_sort(F.col("v"), descending=True), "id").collect()]
     asc = [r.id for r in df.orderBy(*num_or_text_sort(F.col("v")), "id").collect()]
     assert desc[0] == "2"                        # null first in descending order
-    assert desc[1:3] == ["1", "3"]               # 10 > 9 numerically, not as text
+    # descending negates the comparison: text before numbers
+    assert desc[1:] == ["5", "4", "1", "3"]      # 10 > 9 numerically, not as text
     assert asc[:2] == ["3", "1"] and asc[-1] == "2"
     assert asc[2:4] == ["4", "5"]                # text case-insensitive after numbers
 
@@ -104,3 +105,65 @@ def test_golden_lsp_directionality(spark):
     assert sorted(r.lsp_name for r in P.links_for_names(links, names, direction="BOTH").collect()) == \
         ["lsp-a", "lsp-b"]
     assert P.links_for_names(links, names, direction="sideways").count() == 1   # unknown -> OUT
+
+
+# ---------------------------------------------------------------- rules that data of one kind hides
+def test_merge_without_relation_and_with_ties(spark):
+    from netlens.operators import merge as U
+    cols = "ne_name string, relation string, vendor string, last_discovery_ts timestamp_ntz"
+    import datetime
+    t = datetime.datetime(2024, 1, 1)
+    snap = spark.createDataFrame([("a", None, "old", t)], cols)
+    inc = [("a", None, "new", t), ("a", "", "other", t)]
+    got = [U.merge_vertices(snap, spark.createDataFrame(x, cols)) for x in (inc, inc[::-1])]
+    assert [[tuple(r) for r in m.collect()] for m, _ in got] == [[("a", "", "other", t)]] * 2
+    assert [r.outcome for r in got[0][1].collect()] == ["updated"]
+
+
+def test_retention_keeps_links_of_a_name_with_a_live_vertex(spark):
+    import datetime
+    from netlens.operators import merge as U
+    old, new = datetime.datetime(2024, 1, 1), datetime.datetime(2024, 2, 1)
+    v = spark.createDataFrame([("a", "X", old), ("a", "Y", new), ("b", "X", new), ("c", "X", old)],
+                              "ne_name string, relation string, last_discovery_ts timestamp_ntz")
+    e = spark.createDataFrame([("a", "b", new), ("c", "b", new)],
+                              "start_ne string, end_ne string, last_discovery_ts timestamp_ntz")
+    kept, links, _ = U.retain_recent(v, e, "2024-02-02")
+    assert kept.count() == 2 and [r.start_ne for r in links.collect()] == ["a"]
+
+
+def test_alarm_rules(spark):
+    from netlens.operators import kpi as K
+    alarms = spark.createDataFrame([("n", "A", "OPEN"), ("n", "B", "OPEN"), ("m", "ODD", "OPEN")],
+                                   "entity_name string, category string, alarm_status string")
+    prio = spark.createDataFrame([("A", 1), ("B", 1)], "category string, priority int")
+    top = {r.ne_name: r for r in K.top_alarm(alarms, prio).collect()}
+    assert (top["n"].priority, top["n"].alarm_count) == (1, 2)
+    assert (top["m"].priority, top["m"].category) == (None, "ODD")
+    nodes = spark.createDataFrame([("n", "ENODEB"), ("m", None), ("x", "ROUTER")], "ne_name string, ne_type string")
+    got = {r.ne_name: r.alarm_count for r in K.attach_alarms(nodes, alarms, prio).collect()}
+    assert got == {"n": None, "m": 1, "x": None}
+
+
+def test_hourly_of_the_whole_request(spark):
+    from netlens.operators import kpi as K
+    s = spark.createDataFrame([("l1", "hourly"), ("l1", "daily"), ("l2", "daily")], "link_name string, granularity string")
+    assert [tuple(r) for r in K.preferred_granularity(s).collect()] == [("l1", "hourly")]
+    daily = s.filter("granularity = 'daily'")
+    assert K.preferred_granularity(daily).count() == 2
+
+
+def test_scope_on_any_column(spark):
+    from netlens.operators import search as Q
+    v = spark.createDataFrame([("a", "X", "ROUTER"), ("b", None, "SWITCH")], "ne_name string, relation string, ne_type string")
+    scope = spark.createDataFrame([("ne_type", "SWITCH")], "column string, value string")
+    assert [r.ne_name for r in Q.scope_filter(v, scope).collect()] == ["b"]
+
+
+def test_descending_mixed_sort_reverses_ascending(spark):
+    from netlens.functions.expr import num_or_text_sort
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("10",), ("9",), ("b",), ("A",), (None,)], "x string")
+    up = [r.x for r in df.orderBy(*num_or_text_sort(F.col("x"))).collect()]
+    down = [r.x for r in df.orderBy(*num_or_text_sort(F.col("x"), descending=True)).collect()]
+    assert up == ["9", "10", "A", "b", None] and down == up[::-1]
