@@ -32,15 +32,23 @@ def pm_table(samples: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def links_with_kpi(links: DataFrame, pm: DataFrame, date: str, codes: list[str] | None,
-                   contains: str | None, lower: int, upper: int) -> DataFrame:
-    """K1: links filtered by ``start_ne`` contains (case-insensitive), ordered
-    by key and paged ``[lower, upper]`` inclusive, then each page row joined
-    to the start and end node KPI maps of ``date`` (missing -> empty map),
-    maps restricted to ``codes``."""
-    x = links
-    if contains:
-        x = x.filter(F.lower("start_ne").contains(contains.lower()))
-    pg = page(x, [F.col(c) for c in S.EDGE_KEY], lower, upper, inclusive=True)
+                   contains: str | None, lower: int, upper: int, filters: dict[str, str] | None = None,
+                   order_by: str | None = None, descending: bool = False,
+                   scope: dict[str, str] | None = None) -> DataFrame:
+    """K1: links filtered by ``start_ne`` contains and by ``filters`` (column ->
+    text that it contains, case-insensitive), ordered by ``order_by`` and the
+    key, paged ``[lower, upper]`` inclusive, then each page row joined to the
+    start and end node KPI maps of ``date`` (missing -> empty map), maps
+    restricted to ``codes``.  ``scope`` limits the KPI rows by domain, vendor or
+    technology (equal, case-insensitive)."""
+    x = _wanted(links, contains, filters)
+    key = [F.col(c) for c in S.EDGE_KEY]
+    if order_by:
+        first = F.col(order_by)
+        key = [first.desc_nulls_first() if descending else first.asc_nulls_last(), *key]
+    pg = page(x, key, lower, upper, inclusive=True)
+    for c, value in (scope or {}).items():
+        pm = pm.filter(F.lower(c) == value.lower())
     day = pm.filter(F.col("date") == date).select("nodename", "kpijson")
     if codes:
         keep = F.array(*[F.lit(c) for c in codes])
@@ -53,9 +61,16 @@ def links_with_kpi(links: DataFrame, pm: DataFrame, date: str, codes: list[str]
                     F.coalesce("end_kpi", empty).alias("end_kpi"))
 
 
-def count_links(links: DataFrame, contains: str | None) -> DataFrame:
+def _wanted(links: DataFrame, contains: str | None, filters: dict[str, str] | None) -> DataFrame:
+    tests = [*([("start_ne", contains)] if contains else []), *(filters or {}).items()]
+    for c, text in tests:
+        links = links.filter(F.lower(F.col(c).cast("string")).contains(text.lower()))
+    return links
+
+
+def count_links(links: DataFrame, contains: str | None, filters: dict[str, str] | None = None) -> DataFrame:
     """K2: count of the K1 link set."""
-    x = links if not contains else links.filter(F.lower("start_ne").contains(contains.lower()))
+    x = _wanted(links, contains, filters)
     return x.agg(F.count(F.lit(1)).alias("total"))
 
 
@@ -119,9 +134,10 @@ def utilisation_avg(samples: DataFrame, key: str = "link_name") -> DataFrame:
                                     F.round(F.avg("out_util"), 6).alias("avg_out_util"))
 
 
-def utilisation_chart(samples: DataFrame, link_name: str, descending: bool = False) -> DataFrame:
-    """K9: samples of one link in time order."""
-    x = samples.filter(F.col("link_name") == link_name)
+def utilisation_chart(samples: DataFrame, link_name: str | DataFrame, descending: bool = False) -> DataFrame:
+    """K9: samples of one link (or of the names in a DataFrame) in time order."""
+    x = (samples.filter(F.col("link_name") == link_name) if isinstance(link_name, str)
+         else samples.join(link_name.select("link_name"), "link_name", "left_semi"))
     return x.orderBy(F.col("date").desc() if descending else F.col("date").asc(), "granularity")
 
 

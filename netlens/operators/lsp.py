@@ -192,6 +192,7 @@ def links_for_names(links: DataFrame, names: DataFrame, mode: str | None = None,
 
 
 def nodes_for_links(nodes: DataFrame, links: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Node half of P9–P12: the nodes at the ends of the links and, if given, of the names."""
     ends = links.select(F.col("start_ne").alias("ne_name")).unionByName(links.select(F.col("end_ne").alias("ne_name")))
     if names is not None:
         ends = ends.unionByName(names.select("ne_name"))

@@ -40,6 +40,25 @@ def k1_links_with_kpi(fx):
     return _k1(fx)
 
 
+@query("k1_links_filtered_sorted", """
+WITH pg AS (SELECT * FROM edges WHERE relation = 'LLDP' AND contains(lower(end_ne), 'customer#00000')
+              AND contains(lower(tag), 'high')
+            ORDER BY bandwidth DESC NULLS FIRST, src_interface, dest_interface, relation, link_type_key
+            LIMIT 50 OFFSET 20),
+day AS (SELECT nodename, kpijson FROM pm WHERE date = '2024-01-05' AND lower(vendor) = 'juniper')
+SELECT pg.src_interface, pg.dest_interface, pg.bandwidth, s.kpijson['view'] AS start_view,
+  e.kpijson['view'] AS end_view
+FROM pg LEFT JOIN day s ON pg.start_ne = s.nodename LEFT JOIN day e ON pg.end_ne = e.nodename""",
+       views=("edges", "pm"))
+def k1_links_filtered_sorted(fx):
+    """K1 with a filter map, a sort column and a vendor limit: rows 20 to 69."""
+    out = K.links_with_kpi(fx.edges().filter(F.col("relation") == "LLDP"), _pm(fx), "2024-01-05", None, None, 20, 69,
+                           filters={"end_ne": "Customer#00000", "tag": "high"}, order_by="bandwidth",
+                           descending=True, scope={"vendor": "Juniper"})
+    return out.select("src_interface", "dest_interface", "bandwidth", F.col("start_kpi")["view"].alias("start_view"),
+                      F.col("end_kpi")["view"].alias("end_view"))
+
+
 @query("k2_link_count", """
 SELECT count(*) AS total FROM edges WHERE relation = 'LLDP' AND contains(lower(start_ne), 'supplier#0000000')""",
        views=("edges",))
@@ -128,7 +147,7 @@ def k9_utilisation_chart(fx):
     """K9: time-ordered samples of the first link of Supplier#000000003."""
     s = fx.link_samples()
     first = s.filter(F.col("link_name").startswith("Supplier#000000003_")).agg(F.min("link_name").alias("ln"))
-    return s.join(first, s.link_name == first.ln, "left_semi").orderBy("date", "granularity")
+    return K.utilisation_chart(s, first.withColumnRenamed("ln", "link_name"))
 
 
 @query("k10_attach_utilisation", """

@@ -185,6 +185,31 @@ def p9_links_for_names(fx):
     return _flat_links(P.links_for_names(_links(fx), names))
 
 
+@query("p9_nodes_for_names", f"""
+WITH n AS ({_N8}), l AS (SELECT * FROM lsp_links WHERE start_ne IN (SELECT ne_name FROM n))
+SELECT * FROM vertices WHERE ne_name IN (
+  SELECT ne_name FROM n UNION SELECT start_ne FROM l UNION SELECT end_ne FROM l)""",
+       views=("lsp_links", "vertices"))
+def p9_nodes_for_names(fx):
+    """P9 node half: the NATION_8 elements and the ends of their outgoing LSP links."""
+    v = fx.vertices()
+    names = v.filter(F.col("geography_l2") == "NATION_8").select("ne_name")
+    return P.nodes_for_links(v, P.links_for_names(_links(fx), names), names)
+
+
+@query("p10_region_nodes", """
+WITH n AS (SELECT ne_name FROM vertices WHERE upper(ne_type) IN ('ROUTER') AND lower(geography_l1) = 'asia'),
+l AS (SELECT * FROM lsp_links WHERE start_ne IN (SELECT ne_name FROM n) OR end_ne IN (SELECT ne_name FROM n))
+SELECT * FROM vertices WHERE ne_name IN (
+  SELECT ne_name FROM n UNION SELECT start_ne FROM l UNION SELECT end_ne FROM l)""",
+       views=("lsp_links", "vertices"))
+def p10_region_nodes(fx):
+    """P10 node half: ASIA routers and the ends of the LSP links that touch them."""
+    v = fx.vertices()
+    links = P.region_search(_links(fx), v, "Asia", "ROUTER", directional=False)
+    return P.nodes_for_links(v, links, P.region_names(v, "Asia", "ROUTER"))
+
+
 _N3 = "SELECT ne_name FROM vertices WHERE geography_l2 IN ('NATION_8', 'NATION_3', 'NATION_17')"
 
 

@@ -134,6 +134,36 @@ def x13_criteria_nodes(fx):
     return nodes
 
 
+_ONLY = "WITH v AS (SELECT * FROM vertices WHERE vendor = 'NOKIA'), e AS (SELECT * FROM edges WHERE relation = 'OSPF') "
+
+
+def _mode(fx, mode: str):
+    return X.criteria(fx.vertices(), fx.edges(), mode, F.col("vendor") == "NOKIA", F.col("relation") == "OSPF")
+
+
+@query("x13_vertex_mode", _ONLY + "SELECT * FROM v", views=("edges", "vertices"))
+def x13_vertex_mode(fx):
+    """X13 VERTEX: NOKIA elements only."""
+    return _mode(fx, "VERTEX")[1]
+
+
+@query("x13_edge_mode", _ONLY + "SELECT * FROM e", views=("edges", "vertices"))
+def x13_edge_mode(fx):
+    """X13 EDGE: OSPF links only."""
+    return _mode(fx, "EDGE")[0]
+
+
+@query("x13_both_mode", _ONLY + """
+SELECT 'link' AS kind, src_interface || '#' || dest_interface || '#' || link_type_key AS id FROM e
+UNION ALL SELECT 'node', ne_name FROM v""", views=("edges", "vertices"))
+def x13_both_mode(fx):
+    """X13 BOTH: OSPF links and NOKIA elements, each by its own filter."""
+    links, nodes = _mode(fx, "BOTH")
+    return (links.select(F.lit("link").alias("kind"),
+                         F.concat_ws("#", "src_interface", "dest_interface", "link_type_key").alias("id"))
+            .unionByName(nodes.select(F.lit("node").alias("kind"), F.col("ne_name").alias("id"))))
+
+
 def _direct_sql(a: str, b: str) -> str:
     return f"""
 WITH e AS (SELECT *, {SP} AS src_port, {DP} AS dest_port FROM edges WHERE NOT is_deleted),
