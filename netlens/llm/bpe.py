@@ -27,6 +27,7 @@ import re
 from array import array
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -47,29 +48,30 @@ class PrefixBPE:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
-        # Every suffix of a usable token: the token's id if it is one itself, or -1.
-        # A token that merging its own bytes does not end in never ends a prefix.
-        self._suffixes: dict[bytes, int] = {}
+        self._none = max(ranks.values(), default=0) + 1  # a rank behind all others
+        # All usable tokens that end at each byte, found in one pass over a piece.  A token
+        # that merging its own bytes does not end in never ends a prefix.
+        self._ending = ahocorasick.Automaton()
         for t, i in ranks.items():
             if self.merged(t) == [i]:
-                for k in range(1, len(t)):
-                    self._suffixes.setdefault(t[k:], -1)
-                self._suffixes[t] = i
+                self._ending.add_word(t.decode("latin-1"), (len(t), i))
+        if len(self._ending):
+            self._ending.make_automaton()
         self._kept: dict[tuple[int, int], bool] = {}
 
     def merged(self, piece: bytes) -> list[int]:
         """The definition: merge the pair of lowest rank, leftmost first, until none is left."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
-        rank = self.ranks.get
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = rank(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        rank, none = self.ranks.get, self._none
+        pairs = [rank(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while pairs and (best := min(pairs)) < none:
+            i = pairs.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], none)
         return [self.ranks[p] for p in parts]
 
     def _stays(self, a: int, b: int) -> bool:
@@ -79,20 +81,20 @@ class PrefixBPE:
         ok = self._kept[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
         return ok
 
-    def _last(self, piece: bytes, last: list[int], i: int) -> int:
-        """The last token of ``piece[:i]``, given those of all shorter prefixes."""
-        suffix, kept, ends, j = self._suffixes.get, self._kept.get, [], i - 1
-        while j >= 0 and (t := suffix(piece[j:i])) is not None:
-            if t >= 0:
-                ends.append((j, t))
-            j -= 1
-        while ends:
-            j, t = ends.pop()
-            if j == 0:
-                return t
-            if (ok := kept((last[j], t))) or ok is None and self._stays(last[j], t):
-                return t
-        raise ValueError(f"no valid encoding of {piece[:i]!r}")
+    def _fill(self, piece: bytes, last: list[int], start: int) -> None:
+        """Append the last tokens of the prefixes of ``piece`` longer than ``len(last) - 1``;
+        ``start``: a byte before which no token that ends in the new part begins."""
+        known, kept = len(last), self._kept.get
+        last += [-1] * (len(piece) + 1 - known)
+        for end, (size, t) in self._ending.iter(piece[start:].decode("latin-1")):
+            i = end + 1 + start
+            if i < known or last[i] >= 0:
+                continue
+            j = i - size
+            if j == 0 or (ok := kept((last[j], t))) or ok is None and self._stays(last[j], t):
+                last[i] = t
+        if min(last[known:], default=0) < 0:
+            raise ValueError(f"no valid encoding of {piece!r}")
 
     def prefixes(self, piece: bytes, last: list[int] | None = None) -> list[int]:
         """``last[i]``: the last token of ``piece[:i]`` (``last[0]`` is unused).
@@ -100,24 +102,23 @@ class PrefixBPE:
         Entries given in ``last`` are kept: they must be those of a prefix of ``piece``.
         """
         last = list(last) if last else [-1]
-        for i in range(len(last), len(piece) + 1):
-            last.append(self._last(piece, last, i))
+        self._fill(piece, last, max(0, len(last) - self.longest))
         return last
 
     def edited(self, old: bytes, last: list[int], start: int, end: int,
                new: bytes) -> tuple[bytes, list[int], int]:
         """Replace ``old[start:end]`` by ``new``: the piece, its table, entries computed."""
         piece = old[:start] + new + old[end:]
-        table, shift, same, done = last[:start + 1], len(new) - (end - start), 0, 0
-        for i in range(start + 1, len(piece) + 1):
-            table.append(self._last(piece, table, i))
-            done += 1
-            was = i - shift
-            same = same + 1 if was > end and last[was] == table[i] else 0
-            if same >= self.longest:
-                table += last[was + 1:]
-                break
-        return piece, table, done
+        table, shift, same = last[:start + 1], len(new) - (end - start), 0
+        while len(table) <= len(piece):
+            first = len(table)
+            self._fill(piece[:first + self.longest], table, max(0, first - self.longest))
+            for i in range(first, len(table)):
+                was = i - shift
+                same = same + 1 if was > end and last[was] == table[i] else 0
+                if same >= self.longest:
+                    return piece, table[:i + 1] + last[was + 1:], i - start
+        return piece, table, len(piece) - start
 
     def ids(self, piece: bytes, last: list[int]) -> list[int]:
         """Read the encoding of ``piece`` back from its prefix table."""
