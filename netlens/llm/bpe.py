@@ -38,7 +38,12 @@ from pyspark.sql import types as T
 from .common import with_column
 
 MAX_VOCAB_BYTES = 64 << 20
-CACHED_RUNS = 400_000  # per Python worker; bounds memory, not results
+#: Bounds on what a Python worker remembers; they bound memory, not results.
+CACHED_RUNS, KNOWN_PAIRS = 300_000, 300_000
+
+
+def read_ranks(vocab: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(t): int(r) for t, r in (x.split() for x in vocab.splitlines() if x)}
 
 
 class PrefixBPE:
@@ -76,7 +81,7 @@ class PrefixBPE:
 
     def _stays(self, a: int, b: int) -> bool:
         """Whether merging the bytes of ``a`` and ``b`` ends in just these two."""
-        if len(self._kept) > 1_000_000:
+        if len(self._kept) > KNOWN_PAIRS:
             self._kept.clear()
         ok = self._kept[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
         return ok
@@ -185,10 +190,7 @@ class TextBPE:
         return out.tolist()
 
     def decode(self, ids) -> bytes:
-        try:
-            return b"".join(map(self.bpe.tokens.__getitem__, ids))
-        except KeyError as e:
-            raise ValueError(f"id {e.args[0]} is not in the vocabulary") from None
+        return decoded(ids, self.bpe.tokens)
 
     def appended(self, pieces: list[str], more: str) -> list[str]:
         """Pieces of the text of ``pieces`` with ``more`` behind it.
@@ -200,8 +202,19 @@ class TextBPE:
 
 @lru_cache(maxsize=2)
 def _coder(vocab: bytes, pattern: str) -> TextBPE:
-    ranks = {base64.b64decode(t): int(r) for t, r in (x.split() for x in vocab.splitlines() if x)}
-    return TextBPE(ranks, pattern)
+    return TextBPE(read_ranks(vocab), pattern)
+
+
+@lru_cache(maxsize=2)
+def _tokens(vocab: bytes) -> dict[int, bytes]:
+    return {i: t for t, i in read_ranks(vocab).items()}
+
+
+def decoded(ids, tokens: dict[int, bytes]) -> bytes:
+    try:
+        return b"".join(map(tokens.__getitem__, ids))
+    except KeyError as e:
+        raise ValueError(f"id {e.args[0]} is not in the vocabulary") from None
 
 
 def _vocab(df: DataFrame, path: str):
@@ -236,9 +249,9 @@ def bpe_decode(encoded: DataFrame, vocab_path: str, ids_col: str = "token_ids",
     shared = _vocab(encoded, vocab_path)
 
     def add(b):
-        coder = _coder(shared.value, "")
+        tokens = _tokens(shared.value)
         col = b.column(b.schema.get_field_index(ids_col))
-        return pa.array([coder.decode(x.values.to_numpy(zero_copy_only=False).tolist())
+        return pa.array([decoded(x.values.to_numpy(zero_copy_only=False).tolist(), tokens)
                          if x.is_valid and len(x) else b"" for x in col], pa.binary())
 
     return with_column(encoded, bytes_col, T.BinaryType(), add)
