@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +43,18 @@ WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=200_000)
-def _word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+class _WordHashes(dict):
+    """Word -> hash; forgets all when it has become large."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_HASHES = _WordHashes()
+_word_hash = _HASHES.__getitem__
 
 
 def words_of(text: str) -> list[str]:
