@@ -60,8 +60,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           F.expr("if(__maybe, sha2(__t, 256), null)").alias("__full")),
                   "exact_dedup")
 
-    groups = (rows.filter("__full is not null").groupBy("__full")
-              .agg(F.max("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    # a table of its own, so that the join below deals both sides anew and a large group's
+    # partition can be split
+    groups = stored(rows.filter("__full is not null").groupBy("__full")
+                    .agg(F.max("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")),
+                    "exact_groups")
     shared = rows.filter("__full is not null").join(groups, "__full")
     alone = (rows.filter("__full is null")
              .withColumns({"keep_id": F.col("__id"), "group_size": F.lit(1).cast("long")}))
