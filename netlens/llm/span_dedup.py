@@ -133,8 +133,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = stored(texts.select("__id", F.xxhash64("__t").alias("__h"), "__t").mapInArrow(
         places, f"__id {kind}, __h long, hi long, lo long, first int, last int"), "spans")
     place = F.struct("__id", "__h", "first")
-    firsts = (found.groupBy("hi", "lo").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").drop("n"))
+    # a table of its own, so that the join below deals both sides anew and a frequent span's
+    # partition can be split
+    firsts = stored(found.groupBy("hi", "lo")
+                    .agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n"))
+                    .filter("n > 1").drop("n"), "span_firsts")
     return (found.join(firsts, ["hi", "lo"]).filter(~place.eqNullSafe(F.col("origin")))
             .select("__id", "__h", "first", "last"))
 
