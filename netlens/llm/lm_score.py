@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import stored, text_of
 
-CHUNK_BYTES = 8 << 20
-BUCKET_KEYS = 3_000_000
+CHUNK_BYTES = 4 << 20
+BUCKET_KEYS = 1_000_000
 ADD = 0.1
 END, BEGIN = b" ", b"  "  # no words, as words have no white space
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -50,7 +50,7 @@ class _Hashes(dict):
     """Word -> hash; forgets all when it has become large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
