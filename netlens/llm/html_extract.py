@@ -7,9 +7,13 @@ of linked text) and thresholded by the spread of the page's scores; blocks above
 are content.  The element that holds most of that content, an ``article`` or
 ``main`` by preference, is the region of the article: its blocks are the result, so
 that a short paragraph or a heading on a path of low ratio is not lost.  Elements
-that say themselves that they are no article text (``nav``, ``footer``, ``form``,
-class names such as ``sidebar`` or ``comments``) are left out before the ratios are
-taken.
+that say themselves that they are no article text (``nav``, ``footer``, ``form``) are
+left out before the ratios are taken, and so are those whose class or id says it
+(``sidebar``, ``comments``), unless they wrap the article: they hold an ``h1``, an
+``article`` or ``main`` that is not small beside the largest one, or more than half of
+the text around them (nine tenths for comments) with no ``article`` beside them.  A
+heading, a section and an id within the article count as named only if the whole name
+says it (``related-posts``, not ``related-work``).
 
 Pages are independent; Spark deals them out and a task parses one page at a time.
 
@@ -58,6 +62,12 @@ NOT_TEXT_NAMES = frozenset(
     "share sharing social related recommended recommendations comment comments reply replies "
     "disqus respond form pagination pager toolbar".split())
 HEADER_NAMES = frozenset("header topbar".split())
+COMMENT_NAMES = frozenset("comment comments reply replies disqus respond".split())
+LAYOUT_WORDS = frozenset(  # words that say nothing beside a name: "comments-area"
+    "area bar block body bottom box button buttons col column container content footer form group "
+    "header heading holder icons inner item items label left links list module outer panel post "
+    "posts articles stories region right section slot thread title top unit wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NOT_BEFORE = frozenset("has with no is".split())  # "has-sidebar" is not a sidebar
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
@@ -73,12 +83,15 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class _Element:
-    __slots__ = ("tag", "up", "out", "article")
+    __slots__ = ("tag", "up", "out", "article", "named", "size", "wraps")
 
     def __init__(self, tag: str, up: _Element | None, attrs: str):
         self.tag, self.up = tag, up
-        self.article = tag in ("article", "main") or bool(up and up.article)
-        self.out = bool(up and up.out) or _not_text(tag, attrs, bool(up and up.article))
+        in_article = bool(up and up.article)
+        self.article = tag in ("article", "main") or in_article
+        self.out = bool(up and up.out) or _not_text(tag, attrs, in_article)
+        self.named = _named(tag, attrs, in_article)  # the word that says "no article text", or ""
+        self.size, self.wraps = 0, False  # unlinked characters; holds an h1 or a large article
 
 
 def _not_text(tag: str, attrs: str, in_article: bool) -> bool:
@@ -92,32 +105,71 @@ def _not_text(tag: str, attrs: str, in_article: bool) -> bool:
             return True
         if key == "role" and value.lower().strip() in NOT_TEXT_ROLES:
             return True
-        if key in ("class", "id"):
-            for name in value.split():
-                parts = [x.lower() for x in NAME.findall(name)]
-                if any(p in NOT_TEXT_NAMES or not in_article and p in HEADER_NAMES
-                       for p, q in zip(parts, ["", *parts], strict=False) if q not in NOT_BEFORE):
-                    return True
     return False
 
 
+def _named(tag: str, attrs: str, in_article: bool) -> str:
+    """The word of a class or id that says that the element is no article text, or ""."""
+    if not attrs.strip() or tag in ("html", "body", "main"):
+        return ""
+    for key, *values in ATTR.findall(attrs):
+        key = key.lower()
+        if key not in ("class", "id"):
+            continue
+        slug = (tag in HEADINGS or tag == "section" and (in_article or key == "id")
+                or key == "id" and in_article)
+        for name in "".join(values).split():
+            parts = [x.lower() for x in NAME.findall(name)]
+            hits = [p for p, q in zip(parts, ["", *parts], strict=False) if q not in NOT_BEFORE
+                    and (p in NOT_TEXT_NAMES or not in_article and p in HEADER_NAMES)]
+            if hits and not (slug and any(p not in NOT_TEXT_NAMES and p not in LAYOUT_WORDS
+                                          and not p.isdigit() for p in parts)):
+                return next((p for p in hits if p in COMMENT_NAMES), hits[0])
+    return ""
+
+
+def _drop_named(elements: list[_Element], blocks: list[_Block]) -> None:
+    """Mark as out what its name says is no article text and what does not wrap the article."""
+    for b in blocks:
+        for at, (_, text, linked) in zip(b.within, b.nodes, strict=True):
+            n = 0 if linked else len(text.strip())
+            for e in _chain(at) if n else ():
+                e.size += n
+    comments = {e for e in elements if e.named in COMMENT_NAMES}
+    articles = [e for e in elements if e.tag in ("article", "main") and e.size and not (
+        e in comments and any(x in comments and x is not e for x in _chain(e)))]
+    least = max((e.size for e in articles), default=0) / 4
+    articles = [e for e in articles if e.size >= least]
+    for e in [*articles, *(e for e in elements if e.tag == "h1" and not e.out)]:
+        for x in _chain(e):
+            x.wraps = True
+    for e in elements:  # in page order, so after the element around it
+        if e.up is not None and e.up.out:
+            e.out = True
+        if e.out or not e.named or e.wraps or e.tag in ("article", "h1"):
+            continue
+        around = next((x for x in _chain(e.up) if x.tag in ("article", "main")), None)
+        most = e.size > (0.9 if e in comments else 0.5) * (around or elements[0]).size
+        if not most or around is None and articles:
+            e.out = True
+
+
 class _Block:
-    __slots__ = ("at", "nodes", "text")
+    __slots__ = ("at", "nodes", "within", "text")
 
     def __init__(self, at: _Element):
-        self.at, self.nodes, self.text = at, [], ""
+        self.at, self.nodes, self.within, self.text = at, [], [], ""
 
 
 def blocks_of(html: str) -> list[_Block]:
     """The blocks of running text outside what marks itself as something else; each with
     its innermost block element and its text nodes (tag path, text, whether linked)."""
     top = _Element("#", None, "")
-    stack, blocks, now = [top], [], _Block(top)
+    stack, blocks, now, elements = [top], [], _Block(top), [top]
 
     def end_block() -> None:
         nonlocal now
-        now.text = " ".join("".join(t for _, t, _ in now.nodes).split())
-        if now.text:
+        if now.nodes:
             blocks.append(now)
         now = _Block(next(e for e in reversed(stack) if e.tag in BLOCK or e is top))
 
@@ -135,6 +187,7 @@ def blocks_of(html: str) -> list[_Block]:
             if not here.out:
                 path = "/".join(e.tag for e in stack[1:])
                 now.nodes.append((path, unescape(text), any(e.tag == "a" for e in stack)))
+                now.within.append(here)
             continue
         if m["tag"] is None:
             continue
@@ -142,6 +195,7 @@ def blocks_of(html: str) -> list[_Block]:
         block = tag in BLOCK
         if tag == "br":
             now.nodes.append(("", " ", False))
+            now.within.append(stack[-1])
         elif m["end"]:
             if block:
                 if any(e.tag == tag for e in stack):
@@ -162,10 +216,16 @@ def blocks_of(html: str) -> list[_Block]:
                     stack.pop()  # formatting does not reach into a block it did not close before
             if tag not in VOID and not m["attrs"].endswith("/"):
                 stack.append(_Element(tag, stack[-1], m["attrs"]))
+                elements.append(stack[-1])
             if block:
                 now.at = next(e for e in reversed(stack) if e.tag in BLOCK or e is top)
     end_block()
-    return blocks
+    if any(e.named for e in elements):
+        _drop_named(elements, blocks)
+    for b in blocks:
+        b.nodes = [n for n, at in zip(b.nodes, b.within, strict=True) if not at.out]
+        b.text = " ".join("".join(t for _, t, _ in b.nodes).split())
+    return [b for b in blocks if b.text]
 
 
 def _smoothed(values: list[float]) -> list[float]:

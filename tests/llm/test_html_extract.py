@@ -35,6 +35,27 @@ def test_odd_pages(page, text):
     assert main_text(page) == text
 
 
+BODY = "<h1>Title</h1>" + "<p>A running text, with commas, and full stops. And more of it.</p>" * 3
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="content right-sidebar">{BODY}</div>',
+    f'<div class="page social"><article>{BODY}</article><div class="comments"><p>Me too, yes.</p></div></div>',
+    f'<div id="page" class="nav-fixed"><div class="ad-box"><p>Buy it, now.</p></div><main>{BODY}</main></div>',
+    f'<article>{BODY}</article><div class="related"><article><p>Read this, too.</p></article></div>',
+    f'<div><div class="post">{BODY}</div></div><div class="comments">{"<p>I like it, a lot. Bravo!</p>" * 20}</div>'])
+def test_names_of_what_wraps_the_article(page):
+    assert main_text(page) == main_text(f"<div>{BODY}</div>") != ""
+
+
+def test_names_of_sections():
+    page = ('<article><h1>T</h1><p>First, a text.</p><h2 id="related-work">Related work</h2><p>Others, too.</p>'
+            '<section id="social-impact"><p>It has some, yes.</p></section><div id="comments-on-x"><p>On x, well.</p></div>'
+            '<section id="comments-area"><p>Bravo, I say.</p></section></article>')
+    assert main_text(page).split("\n\n") == ["T", "First, a text.", "Related work", "Others, too.",
+                                            "It has some, yes.", "On x, well."]
+
+
 def test_long_page():
     body = "".join(f"<p>Sentence {i}, of the text.</p>" for i in range(20000))
     out = main_text(f"<body><nav><a>x</a></nav><div>{body}</div></body>")
