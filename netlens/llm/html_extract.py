@@ -4,9 +4,12 @@ Each text node lies on a root-to-leaf tag path.  Over all nodes of a path, the t
 length and the punctuation per node tell running text from menus and labels.  The
 two ratios are smoothed over the page order, fused (their product, less the share
 of linked text) and thresholded by the spread of the page's scores; blocks above it
-are content.  The element that holds most of that content, an ``article`` or
-``main`` by preference, is the region of the article: its blocks are the result, so
-that a short paragraph or a heading on a path of low ratio is not lost.  Elements
+are content and kept wherever they are.  The element that holds most of that content,
+or the outermost ``article`` and ``main`` elements if they hold half of it, are the
+region of the article: its other blocks are kept too, so that a short paragraph or a
+heading on a path of low ratio is not lost (items that are all link only within
+``article`` and ``main``).  Outside it an ``h1`` and the headings right before a kept
+block are kept, unless they are all link.  Elements
 that say themselves that they are no article text (``nav``, ``footer``, ``form``) are
 left out before the ratios are taken, and so are those whose class or id says it
 (``sidebar``, ``comments``), unless they wrap the article: they hold an ``h1``, an
@@ -276,26 +279,33 @@ def main_text(html: str | None) -> str:
             held[e] = held.get(e, 0) + len(b.text)
             e = e.up
     total = max(held.values(), default=0)
-    named = [e for e in held if e.article and held[e] >= 0.5 * total]
-    depth = {e: sum(1 for _ in _chain(e)) for e in held}
-    # The outermost element of a named article; else the innermost one with most content.
-    region = (min(named, key=depth.__getitem__) if named else
-              max((e for e in held if held[e] >= 0.8 * total), key=depth.__getitem__, default=None))
-    while region is not None and region.tag in TEXT_BLOCKS:
-        region = region.up
-    whole = region is not None and region.tag not in ("#", "html", "body")
-    kept = []
-    for b, is_content in zip(blocks, content, strict=True):
-        inside = whole and any(e is region for e in _chain(b.at))
-        if inside and not _only_links(b) or is_content and (inside or not whole):
-            kept.append(b.text)
-        elif not whole and b.at.tag in TEXT_BLOCKS and not _only_links(b):
+    # The outermost named articles; else the innermost element with most content.
+    regions = {e for e in held if e.article and not (e.up and e.up.article)}
+    if not regions or sum(held[e] for e in regions) < 0.5 * total:
+        depth = {e: sum(1 for _ in _chain(e)) for e in held}
+        region = max((e for e in held if held[e] >= 0.8 * total), key=depth.__getitem__, default=None)
+        while region is not None and region.tag in TEXT_BLOCKS:
+            region = region.up
+        regions = {region} if region is not None and region.tag not in ("#", "html", "body") else set()
+    kept: list[str] = []
+    next_kept = False
+    for b, is_content in zip(reversed(blocks), reversed(content), strict=True):
+        if is_content:
+            keep = True
+        elif any(e in regions for e in _chain(b.at)):
+            keep = b.at.article or not (b.at.tag == "li" and _all_linked(b))
+        elif b.at.tag in HEADINGS:
+            keep = (b.at.tag == "h1" or next_kept) and not _all_linked(b) or not regions
+        else:
+            keep = not regions and b.at.tag in TEXT_BLOCKS and not (b.at.tag == "li" and _all_linked(b))
+        next_kept = keep
+        if keep:
             kept.append(b.text)
-    return "\n\n".join(kept)
+    return "\n\n".join(reversed(kept))
 
 
-def _only_links(b: _Block) -> bool:
-    return b.at.tag == "li" and all(linked or not t.strip() for _, t, linked in b.nodes)
+def _all_linked(b: _Block) -> bool:
+    return all(linked or not t.strip() for _, t, linked in b.nodes)
 
 
 def _chain(e: _Element | None):

@@ -56,6 +56,20 @@ def test_names_of_sections():
                                             "It has some, yes.", "On x, well."]
 
 
+def test_text_outside_the_region():
+    lead, more = "<p>The lead of it, in short, and no more.</p>", "<p>Running text, with commas, and stops. More.</p>" * 6
+    assert main_text(f"<div><h1>Title</h1></div><div>{lead}</div><div>{more}</div>").startswith(
+        "Title\n\nThe lead of it, in short, and no more.\n\nRunning")
+    parts = main_text(f"<article><h2>One</h2>{more}</article><article><h2>Two</h2>{lead}<p>End</p></article>").split("\n\n")
+    assert len(parts) == 10 and parts[0] == "One" and parts[-3:] == ["Two", "The lead of it, in short, and no more.", "End"]
+
+
+def test_linked_items():
+    items = "<ul>" + "".join(f"<li><a href={i}>Source {i}</a></li>" for i in range(3)) + "</ul>"
+    text = "<p>Running text, with commas, and full stops. And more of it.</p>" * 4
+    assert main_text(f"<div>{items}</div><article>{text}{items}</article>").count("Source") == 3
+
+
 def test_long_page():
     body = "".join(f"<p>Sentence {i}, of the text.</p>" for i in range(20000))
     out = main_text(f"<body><nav><a>x</a></nav><div>{body}</div></body>")
