@@ -22,8 +22,11 @@ Pages are independent; Spark deals them out and a task parses one page at a time
 
 Defined results: null or empty html, and html without article text, give an empty
 text of 0 characters.  Broken markup is read like a browser does: an open tag at the
-end is dropped, missing end tags are implied, stray ones ignored.  Rows that repeat
-give equal rows; null ids and urls are passed on.  Further columns are kept; those
+end is dropped, missing end tags are implied, stray ones ignored; ``noscript``,
+``iframe``, ``select``, ``object`` and the like without an end tag end at the next block,
+``svg`` and ``math`` at any HTML block, ``head`` at the first tag or text of the body.
+Only ``script``, ``style``, ``textarea`` and ``title`` reach to the end of the page, as
+in a browser.  Rows that repeat give equal rows; null ids and urls are passed on.  Further columns are kept; those
 named like an output are replaced.  An empty table gives an empty result.
 """
 
@@ -31,6 +34,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from html import unescape
 
 import pyarrow as pa
@@ -50,8 +54,14 @@ TEXT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p li pre blockquote td th dt dd figca
 CLOSED_BY = {  # an open element of the value's kinds ends where one of the key's kind starts
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPES = frozenset("ul ol dl table select article section div body html".split())
-RAW = "script|style|noscript|template|textarea|select|svg|math|iframe|object|canvas|title|head"
+SCOPES = frozenset("ul ol dl table select article section div body html "
+                   "noscript template svg math iframe object canvas head".split())
+RAW = "script|style|textarea|title"  # no tags inside; without an end tag, or "/>", to the end
+# Elements that are no text whatever they hold; what they hold is read as elements.
+SKIPPED = frozenset("noscript template select svg math iframe object canvas head".split())
+NESTING = frozenset("template object".split())
+HEAD_TAGS = frozenset("base basefont bgsound link meta noscript template head".split())
+HTML_IN = frozenset("foreignobject desc annotation-xml".split())  # HTML within svg and math
 # Names by which pages mark what is not article text.
 NOT_TEXT_TAGS = frozenset("nav footer aside form button label dialog menu fieldset".split())
 NOT_TEXT_ROLES = frozenset(
@@ -76,7 +86,7 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)
-    | <(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
+    | <(?P<raw>{RAW})(?=[\s/>])(?:(?:[^>]*["'\s])?/>|[^>]*>.*?(?:</(?P=raw)\s*>|\Z))
     | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)>
     | <[a-z/!?][^>]*(?:>|\Z)
     | (?P<text>[^<]+|<)""", re.S | re.I | re.X)
@@ -86,7 +96,7 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class _Element:
-    __slots__ = ("tag", "up", "out", "article", "named", "size", "wraps")
+    __slots__ = ("tag", "up", "out", "article", "named", "size", "wraps", "skipped", "unclosed")
 
     def __init__(self, tag: str, up: _Element | None, attrs: str):
         self.tag, self.up = tag, up
@@ -94,6 +104,9 @@ class _Element:
         self.article = tag in ("article", "main") or in_article
         self.out = bool(up and up.out) or _not_text(tag, attrs, in_article)
         self.named = _named(tag, attrs, in_article)  # the word that says "no article text", or ""
+        self.skipped = tag in SKIPPED or bool(up and up.skipped)
+        self.out |= self.skipped
+        self.unclosed = False  # a skipped element without an end tag: ends at the next block
         self.size, self.wraps = 0, False  # unlinked characters; holds an h1 or a large article
 
 
@@ -169,6 +182,7 @@ def blocks_of(html: str) -> list[_Block]:
     its innermost block element and its text nodes (tag path, text, whether linked)."""
     top = _Element("#", None, "")
     stack, blocks, now, elements = [top], [], _Block(top), [top]
+    marks: dict[str, list[tuple[int, int]]] = {}  # where tags of skipped elements are
 
     def end_block() -> None:
         nonlocal now
@@ -176,6 +190,33 @@ def blocks_of(html: str) -> list[_Block]:
             blocks.append(now)
         now = _Block(next(e for e in reversed(stack) if e.tag in BLOCK or e is top))
 
+    def closed(tag: str, after: int) -> bool:
+        """Whether an end tag belongs to the start tag that ends at ``after``."""
+        if tag not in marks:
+            marks[tag] = [(m.start(), -1 if m[1] else 1) for m in
+                          re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*(?<!/)>", html, re.I)]
+        open_ = 1
+        for _, change in marks[tag][bisect_left(marks[tag], (after,)):]:
+            open_ += change
+            if not open_ or tag not in NESTING:
+                return not open_
+        return False
+
+    def end_skipped(tag: str) -> None:
+        """End the skipped elements that cannot hold a new element ``tag``."""
+        for i in range(1, len(stack)):
+            e = stack[i]
+            if (e.tag == "head" and tag not in HEAD_TAGS
+                    and (tag == "body" or i == len(stack) - 1)
+                    or e.tag in ("svg", "math") and tag in BLOCK
+                    and not any(x.tag in HTML_IN for x in stack[i:])
+                    or e.unclosed and tag in BLOCK and not (
+                        e.tag == "select" and tag in ("option", "hr"))):
+                del stack[i:]
+                if stack[-1].skipped:
+                    end_skipped(tag)
+                return
+
     def close(kinds, scope) -> None:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in kinds:
@@ -186,6 +227,8 @@ def blocks_of(html: str) -> list[_Block]:
 
     for m in TOKEN.finditer(html):
         if (text := m["text"]) is not None:
+            if stack[-1].tag == "head" and text.strip():
+                stack.pop()
             here = stack[-1]
             if not here.out:
                 path = "/".join(e.tag for e in stack[1:])
@@ -200,14 +243,24 @@ def blocks_of(html: str) -> list[_Block]:
             now.nodes.append(("", " ", False))
             now.within.append(stack[-1])
         elif m["end"]:
-            if block:
-                if any(e.tag == tag for e in stack):
+            if tag in SKIPPED:
+                close({tag}, ())
+            elif block:
+                open_ = next((e for e in reversed(stack) if e.tag == tag), None)
+                if open_ is not None and open_.skipped:
+                    close({tag}, ())
+                elif open_ is not None:
                     end_block()
                     close({tag}, ())
                     now.at = next(e for e in reversed(stack) if e.tag in BLOCK or e is top)
             else:
                 close({tag}, BLOCK)
         else:
+            if stack[-1].skipped:
+                end_skipped(tag)
+            block = block and not stack[-1].skipped  # what is skipped does not part a text
+            if stack[-1].skipped and tag in CLOSED_BY:
+                close(CLOSED_BY[tag], SCOPES)
             if block:
                 end_block()
                 close({"p"}, SCOPES)
@@ -220,6 +273,8 @@ def blocks_of(html: str) -> list[_Block]:
             if tag not in VOID and not m["attrs"].endswith("/"):
                 stack.append(_Element(tag, stack[-1], m["attrs"]))
                 elements.append(stack[-1])
+                if tag in SKIPPED and tag not in ("head", "svg", "math"):
+                    stack[-1].unclosed = not closed(tag, m.end())
             if block:
                 now.at = next(e for e in reversed(stack) if e.tag in BLOCK or e is top)
     end_block()

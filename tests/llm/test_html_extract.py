@@ -70,6 +70,20 @@ def test_linked_items():
     assert main_text(f"<div>{items}</div><article>{text}{items}</article>").count("Source") == 3
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<head><title>T</title><meta charset=x><p>a, b.", "a, b."), ("<html><head><title>T</title><body><p>a, b.", "a, b."),
+    ("<head><noscript><style>p{}</style><body><p>a, b.", "a, b."), ("<head><title>T</title>a, b.", "a, b."),
+    ('<div><svg width="1"/><p>a, b.</p></div>', "a, b."), ("<p>a, <svg><title/><path d=x></svg>b.", "a, b."),
+    ("<svg><g><p>a, b.</p>", "a, b."), ("<math><mi>x<div>a, b.</div>", "a, b."), ('<iframe src="x"/><p>a, b.', "a, b."),
+    ("<iframe src=x><p>a, b.</p><iframe>no</iframe>", "a, b."), ("<div><noscript>no</div><p>a, b.", "a, b."),
+    ("<object data=x><p>a, b.", "a, b."), ("<select><option>no<option>no<p>a, b.", "a, b."),
+    ("<p>a, <select><option>no</option></select>b.</p>", "a, b."), ("<p>a, <object><p>no</p></object>b.</p>", "a, b."),
+    ("<noscript><p>no</p><div>no</div></noscript><p>a, b.", "a, b."), ("<svg><desc><p>no</p></desc></svg><p>a, b.", "a, b."),
+    ("<template><div><template>no</template>no</div></template><p>a, b.", "a, b."), ("<canvas>no<p>a, b.", "a, b.")])
+def test_odd_pages_of_skipped_elements(page, text):
+    assert main_text(page) == text
+
+
 def test_long_page():
     body = "".join(f"<p>Sentence {i}, of the text.</p>" for i in range(20000))
     out = main_text(f"<body><nav><a>x</a></nav><div>{body}</div></body>")
