@@ -4,9 +4,12 @@ Text is folded first: lower case, homoglyphs and accented letters to plain ones,
 digits and signs that stand for letters to those (``1``, ``l`` and ``i`` become one
 letter, as ``1`` is used for both), everything else to a space.  The lexicon holds
 whole words and word beginnings with a weight, the logarithm of how much more often
-toxic documents hold them than others.  Exception phrases are longer words or two
-words around an entry that only documents which are not toxic hold; a match inside
-one does not count.  The weights found are added, divided by a power of the text's
+toxic documents hold them than others.  To hold an entry is to have it at a density,
+occurrences in 100 words; each entry has the level of ``LEVELS`` that separates the
+labels best, 0 where one occurrence says enough, so a word that long clean documents
+hold once can still be one.  It counts in a text from half of its level on.  Exception
+phrases are longer words or two words around an entry of level 0 that only documents
+which are not toxic hold; a match inside one does not count.  The weights found are added, divided by a power of the text's
 length, and turned into a probability.
 
 Learning reads at most ``max_per_class`` labelled documents of either label, those
@@ -27,6 +30,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -42,7 +46,8 @@ from .common import stored, train_rows, train_texts, with_column
 
 MAX_PER_CLASS = 8000
 MIN_DOCS, MIN_WEIGHT = 4, 3.0
-STEMS = range(4, 9)
+STEMS, SHORTEST = range(4, 9), 2  # letters of a beginning, of a whole word at least
+LEVELS = (0.0, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 2.0, 3.0)
 
 # Signs that are written for a letter, by the letter.
 LOOK_ALIKE = {
@@ -84,12 +89,14 @@ def fold(text: str) -> str:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """entries: (pattern, weight), ' word ' or ' beginning'; exceptions: patterns."""
+    """entries: (pattern, weight), ' word ' or ' beginning'; exceptions: patterns; levels:
+    (pattern, density) of the entries whose level is not 0."""
     entries: tuple[tuple[str, float], ...]
     exceptions: tuple[str, ...]
     power: float
     slope: float
     offset: float
+    levels: tuple[tuple[str, float], ...] = ()
 
     def probability(self, weight: float, n_words: int) -> float:
         if not self.entries:
@@ -102,9 +109,9 @@ class ToxicityModel:
 def automaton(entries: tuple, exceptions: tuple):
     found = ahocorasick.Automaton()
     for p, w in entries:
-        found.add_word(p, (len(p), w))
+        found.add_word(p, (len(p), w, p))
     for p in exceptions:
-        found.add_word(p, (len(p), None))
+        found.add_word(p, (len(p), None, p))
     if len(found):
         found.make_automaton()
     return found
@@ -114,34 +121,46 @@ def evidence(model: ToxicityModel, text: str) -> tuple[float, int]:
     """(sum of the weights that count, number of words)."""
     folded = fold(text)
     found = automaton(model.entries, model.exceptions)
-    best: dict[int, tuple[int, float]] = {}
+    best: dict[int, tuple[int, float, str]] = {}
     safe: list[tuple[int, int]] = []
     if len(found):
-        for end, (size, weight) in found.iter(folded):
+        for end, (size, weight, p) in found.iter(folded):
             start = end - size + 1
             if weight is None:
                 safe.append((start, end))
             elif weight > best.get(start, (0, 0.0))[1]:
-                best[start] = (end, weight)
-    total = sum(w for s, (e, w) in best.items()
-                if not any(a <= s and e <= b for a, b in safe))
-    return total, folded.count(" ") - 1
+                best[start] = (end, weight, p)
+    hits = [(w, p) for s, (e, w, p) in best.items() if not any(a <= s and e <= b for a, b in safe)]
+    n_words = folded.count(" ") - 1
+    if hits and model.levels:
+        times = Counter(p for _, p in hits)
+        low = {p for p, level in model.levels if times[p] * 100 < level / 2 * n_words}
+        hits = [h for h in hits if h[1] not in low]
+    return sum(w for w, _ in hits), n_words
 
 
 # --- learning ----------------------------------------------------------------------------
 
-def _patterns(folded: str, known: frozenset | None = None) -> set[str]:
-    out: set[str] = set()
-    for word in set(folded.split()):
-        if len(word) >= STEMS[0]:
-            out.add(f" {word} ")
-            out.update(f" {word[:n]}" for n in STEMS if n <= len(word))
-    return out if known is None else out & known
+def _patterns(folded: str, known: frozenset | None = None) -> dict[str, int]:
+    """Words and beginnings (those of ``known``), and how often they occur."""
+    out: Counter[str] = Counter()
+    for word, n in Counter(folded.split()).items():
+        if len(word) >= SHORTEST:
+            out[f" {word} "] += n
+        for k in STEMS:
+            if k <= len(word):
+                out[f" {word[:k]}"] += n
+    return out if known is None else {p: n for p, n in out.items() if p in known}
+
+
+def _level(occurrences: int, folded: str) -> int:
+    """The highest of ``LEVELS`` that so many occurrences reach."""
+    return bisect_right(LEVELS, 100 * occurrences / (folded.count(" ") - 1)) - 1
 
 
 def _phrases(folded: str, entries: tuple) -> set[str]:
     """Words and pairs of neighbours around the matches of ``entries``."""
-    words, found, out = folded.split(), automaton(entries, ()), set()
+    words, found, out = folded.split() if entries else [], automaton(entries, ()), set()
     for i, w in enumerate(words):
         if any(True for _ in found.iter(f" {w} ")):
             out.add(f" {w} ")
@@ -167,15 +186,33 @@ def _document_counts(rows: DataFrame, keys_of) -> DataFrame:
             .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
 
 
-def _lexicon(counts: list, n_toxic: int, n_other: int) -> tuple[tuple[str, float], ...]:
-    """Entries heavy enough, none the beginning of another; of the beginnings that stand
-    for nearly the same documents the longest."""
+@dataclass(frozen=True)
+class _Held:
+    """In how many documents of either label a pattern has at least a level's density."""
+    level: float
+    toxic: int
+    other: int
+
+
+def _lexicon(counts: list, n_toxic: int, n_other: int) -> tuple[tuple[tuple[str, float], ...], dict]:
+    """Entries heavy enough at some level, none the beginning of another, and their levels;
+    of the beginnings that stand for nearly the same documents the longest."""
     def weight(r) -> float:
         return (math.log((r.toxic + 0.5) / (n_toxic + 1))
                 - math.log((r.other + 0.5) / (n_other + 1)))
 
-    heavy = {r.key: r for r in counts
-             if weight(r) >= MIN_WEIGHT and r.other <= r.toxic / 4}
+    at: dict[str, list[list[int]]] = {}
+    for r in counts:
+        key, level = r.key.split("\t")
+        for sums in at.setdefault(key, [[0, 0] for _ in LEVELS])[:int(level) + 1]:
+            sums[0] += r.toxic
+            sums[1] += r.other
+    heavy = {}
+    for key, sums in at.items():
+        held = [r for r in (_Held(level, *n) for level, n in zip(LEVELS, sums, strict=True))
+                if r.toxic >= min(MIN_DOCS, n_toxic) and weight(r) >= MIN_WEIGHT and r.other <= r.toxic / 4]
+        if held:
+            heavy[key] = max(held, key=lambda r: (r.toxic - 2 * r.other, -r.level))
     longer: dict[str, list[str]] = {}
     for key in heavy:
         for n in STEMS:
@@ -189,7 +226,7 @@ def _lexicon(counts: list, n_toxic: int, n_other: int) -> tuple[tuple[str, float
                 and heavy[k].toxic >= 0.95 * heavy[key].toxic]
         best = max(same, key=lambda k: (len(k), k), default=key)
         chosen[best] = round(weight(heavy[best]), 6)
-    return tuple(sorted(chosen.items()))
+    return tuple(sorted(chosen.items())), {k: heavy[k].level for k in chosen}
 
 
 def _cover(entries: tuple, matched: list[list[str]]) -> tuple[tuple[str, float], ...]:
@@ -202,7 +239,7 @@ def _cover(entries: tuple, matched: list[list[str]]) -> tuple[tuple[str, float],
     open_, chosen = [frozenset(m) for m in matched], []
     while True:
         left = Counter(p for m in open_ for p in m)
-        best = max(left, key=lambda p: (left[p], weight[p], p), default=None)
+        best = max(left, key=lambda p: (left[p], weight[p], len(p), p), default=None)
         if best is None or left[best] < MIN_DOCS:
             return tuple(sorted(chosen)) or entries
         chosen.append((best, weight[best]))
@@ -239,24 +276,30 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_fold: Column,
 
     candidates = frozenset(r.key for r in _document_counts(sample.filter("__y = 1"), _patterns)
                            .filter(F.col("toxic") >= min(MIN_DOCS, n_toxic)).select("key").collect())
-    counts = _document_counts(sample, lambda f: _patterns(f, candidates)).collect()
-    entries = _lexicon(counts, n_toxic, n_other)
+    counts = _document_counts(sample, lambda f: [
+        f"{p}\t{_level(n, f)}" for p, n in _patterns(f, candidates).items()]).collect()
+    entries, level_of = _lexicon(counts, n_toxic, n_other)
     if not entries:
         return none
     def matches(batches):
         found = automaton(tuple((p, p) for p, _ in entries), ())
         for b in batches:
-            hits = [sorted({p for _, (_, p) in found.iter(fold(t))}) for t in b.column(1).to_pylist()]
+            hits = []
+            for f in map(fold, b.column(1).to_pylist()):
+                times = Counter(p for _, (_, p, _) in found.iter(f))
+                hits.append(sorted(p for p, n in times.items() if LEVELS[_level(n, f)] >= level_of[p]))
             yield pa.RecordBatch.from_arrays([pa.array(hits, pa.list_(pa.string()))], ["hits"])
 
     matched = sample.filter("__y = 1").mapInArrow(matches, "hits array<string>").collect()
     entries = _cover(entries, [r.hits for r in matched])
-    phrases = _document_counts(sample, lambda f: _phrases(f, entries))
+    levels = tuple((p, level_of[p]) for p, _ in entries if level_of[p])
+    single = tuple((p, w) for p, w in entries if not level_of[p])
+    phrases = _document_counts(sample, lambda f: _phrases(f, single))
     known = {p for p, _ in entries}
     exceptions = tuple(sorted(r.key for r in phrases.filter("toxic = 0 and other >= 2").collect()
                               if r.key not in known))
 
-    raw = ToxicityModel(entries, exceptions, 0.0, 0.0, 0.0)
+    raw = ToxicityModel(entries, exceptions, 0.0, 0.0, 0.0, levels)
 
     def weigh(batches):
         for b in batches:
@@ -278,7 +321,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_fold: Column,
         slope, offset, loss = _logistic(w / (1 + n / 100) ** power, y, share)
         fits.append((loss, power, slope, offset))
     _, power, slope, offset = min(fits)
-    return ToxicityModel(entries, exceptions, power, slope, min(offset, -1e-6))
+    return ToxicityModel(entries, exceptions, power, slope, min(offset, -1e-6), levels)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",

@@ -1,5 +1,7 @@
 """Toxicity and quality: folding, matching, rules, held-out accuracy, edge cases."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +51,40 @@ def test_toxicity_of_held_out_rows(spark):
     assert held_out(spark, "op3_toxicity", "toxic") > 0.93
 
 
+def test_toxicity_recall_by_language(spark):
+    sf = str(Path(SF01).parent / "sf0.1")
+    out = REGISTRY["op3_toxicity"][0](spark, sf).select("doc_id", "held_out", "predicted")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    found = {(r.lang, r.toxic): (r.right, r.n) for r in
+             out.join(docs, "doc_id").join(labels, "doc_id").filter("held_out").groupBy("lang", "toxic")
+             .agg(F.sum(F.expr("int(predicted = toxic)")).alias("right"), F.count("*").alias("n")).collect()}
+    for lang in ("en", "fr", "de", "es"):
+        right, n = found[lang, 1]
+        assert right >= 0.8 * n, (lang, found)
+        right, n = found[lang, 0]
+        assert right >= 0.97 * n, (lang, found)
+    print(found)
+
+
+def test_density_separates():
+    model = ToxicityModel(((" muck", 4.0),), (), 0.25, 1.0, -3.0, ((" muck", 2.0),))
+    assert evidence(model, "muck " + "word " * 99)[0] == 4.0 and evidence(model, "muck " + "word " * 100)[0] == 0
+
+
+def test_term_that_long_clean_documents_hold_once(spark):
+    docs = [(i, ("muck is my word for you ox " * 5 if i % 4 == 0 else "a calm text of many words and more " * 40
+                 + "muck ox"), "en", "s", 0) for i in range(80)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0), 1) for i in range(80)], LABELS)
+    model = fit_toxicity(docs, labels.filter("doc_id < 60"), F.lit(True))
+    assert score_toxicity(docs, model).filter("(score >= 0.5) <> (doc_id % 4 = 0)").count() == 0
+    short = docs.filter("doc_id % 4 = 0").withColumn("text", F.lit("ox ox ox"))
+    short = docs.filter("doc_id % 4 <> 0").unionByName(short)
+    model = fit_toxicity(short, labels, F.lit(True))
+    assert score_toxicity(short, model).filter("(score >= 0.5) <> (doc_id % 4 = 0)").count() == 0
+
+
 def test_quality_of_held_out_rows(spark):
     assert held_out(spark, "op8_quality_rules", "quality") > 0.95
 
