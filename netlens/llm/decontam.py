@@ -5,8 +5,10 @@
    different contexts (the word before and the word behind) are counted.  Copying a
    passage any number of times adds one context, so a leak that a third of the
    documents hold does not make its n-grams common.
-2. Seeds are the n-grams of at most ``rare_contexts`` contexts, and of every item its
-   ``least_seeds`` rarest ones whatever their count, so no item is without seeds.
+2. Seeds are the n-grams of at most ``rare_contexts`` contexts, and of every item,
+   whatever their counts, its ``least_seeds`` rarest ones and the rarer one of any two
+   n-grams that follow each other.  So the seeds cover an item however often edited
+   copies of it occur: a copy with one word more than an n-gram in a row has a seed.
 3. A second scan finds the seeds.  A passage is the words around seeds, an item's
    length to each side, joined where they overlap.  Passages meet items in a join on
    the seed.
@@ -117,20 +119,20 @@ def _item_lengths(items: DataFrame) -> tuple[int, int]:
 
 
 def _item_grams(items: DataFrame, n: int) -> DataFrame:
-    """(item, gram) of every item, each once."""
+    """(item, h, at, gram): the n-grams of every item by position; ``h`` tells texts apart."""
     kind = items.schema["item"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            grams = [np.unique(gram_hashes(words_of(t.as_py()), n)) for t in b.column(1)]
-            at = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+            grams = [gram_hashes(words_of(t.as_py()), n) for t in b.column(2)]
+            row = pa.array(np.repeat(np.arange(len(grams)), [len(g) for g in grams]))
+            at = np.concatenate([*map(np.arange, map(len, grams)), np.empty(0, np.int64)]).astype(np.int32)
             flat = np.concatenate([*grams, np.empty(0, np.uint64)])
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)),
-                                              pa.array(flat.view(np.int64))], ["item", "gram"])
-
-    return items.select("item", "__item").mapInArrow(run, f"item {kind}, gram long").distinct()
-
+            yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(at),
+                                              pa.array(flat.view(np.int64))], ["item", "h", "at", "gram"])
 
+    return items.select("item", F.xxhash64("__item").alias("h"), "__item").distinct().mapInArrow(
+        run, f"item {kind}, h long, at int, gram long")
 
 
 def _hits(words: list[str], sizes: range, bits: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -214,10 +216,12 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     grams = stored(_item_grams(items, ngram), "decontam_grams")
     counted = (grams.join(_contexts(texts, grams, sizes), "gram", "left")
                .fillna(0, subset=["contexts"]))
-    rank = F.row_number().over(Window.partitionBy("item").orderBy("contexts", "gram"))
-    seeds = stored(counted.withColumn("rank", rank)  # a window holds one item's n-grams
-                   .filter((F.col("contexts") <= rare_contexts) | (F.col("rank") <= least_seeds))
-                   .select("item", "gram"), "decontam_seeds")
+    rank = F.dense_rank().over(Window.partitionBy("item").orderBy("contexts", "gram"))
+    key, order = F.struct("contexts", "gram"), Window.partitionBy("item", "h").orderBy("at")
+    covers = (key <= F.lag(key).over(order)) | (key <= F.lead(key).over(order))
+    seeds = stored(counted.withColumns({"rank": rank, "covers": covers})  # windows of one item's n-grams
+                   .filter((F.col("contexts") <= rare_contexts) | (F.col("rank") <= least_seeds)
+                           | F.col("covers")).select("item", "gram").distinct(), "decontam_seeds")
     passages = stored(_passages(texts, seeds, sizes, reach), "decontam_passages")
     pairs = (passages.select("doc", "h", "start", F.explode("grams").alias("gram"))
              .join(seeds, "gram").select("doc", "h", "start", "item").distinct())

@@ -64,7 +64,6 @@ def test_toxicity_recall_by_language(spark):
         assert right >= 0.8 * n, (lang, found)
         right, n = found[lang, 0]
         assert right >= 0.97 * n, (lang, found)
-    print(found)
 
 
 def test_density_separates():

@@ -49,6 +49,15 @@ def test_copies(make_docs, benchmark):
     assert got == {(1, 1), (2, 1), (3, 1), (5, 2), (8, 1), (9, 1), (10, None), *((k, 1) for k in range(100, 200))}
 
 
+def test_edited_copies_of_a_hot_item(spark, make_docs):
+    rng, item = random.Random(5), [f"item{k}" for k in range(40)]
+    rows = [(i, " ".join(f"x{rng.randrange(10 ** 6)}" if rng.random() < 0.22 else w for w in item))
+            for i in range(1000)]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    want = {i for i, t in rows if alignment(item, t.split())[0] >= 0.5}
+    assert {r.doc_id for r in contaminated_pairs(make_docs(rows), items, least_seeds=2).collect()} == want
+
+
 def test_empty_tables(make_docs, benchmark):
     assert contaminated_pairs(make_docs([]), benchmark).count() == 0
     assert contaminated_pairs(make_docs(), benchmark.limit(0)).count() == 0
