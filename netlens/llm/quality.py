@@ -130,8 +130,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_fold: Column,
         of[r.y] = r["count"]
     chosen = train_rows(labels, label_col, train_fold, max_per_class, id_col)
     stats, names = statistics(train_texts(docs, chosen, id_col, text_col), "__t")
-    sample = stored(stats.select(F.col("__y").cast("double").alias("y"), *names).coalesce(4),
-                    "quality_sample")
+    # Written by the scan's own tasks first; only the small table is put together.
+    scanned = stored(stats.select(F.col("__y").cast("double").alias("y"), *names), "quality_scanned")
+    sample = stored(scanned.coalesce(4), "quality_sample")
     n_of = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     n1, n0 = n_of.get(1.0, 0), sum(n for y, n in n_of.items() if y != 1.0)
     if not n0 or not n1:

@@ -5,6 +5,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from netlens.llm import quality
 from netlens.llm.quality import RuleModel, fit_quality, holds, rules_of, score_quality, statistics
 from netlens.llm.queries import REGISTRY
 from netlens.llm.toxicity import ToxicityModel, evidence, fit_toxicity, fold, score_toxicity
@@ -109,6 +110,15 @@ def test_learned_lexicon_and_edge_cases(spark, make_docs):
     assert {r.score for r in score_toxicity(docs, none).collect()} == {0.0}
 
 
+def test_quality_sample_keeps_the_scan_partitions(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    docs = spark.sparkContext.parallelize([tuple(r) for r in docs.collect()], 12).toDF(docs.schema)
+    parts, write = [], quality.stored
+    monkeypatch.setattr(quality, "stored", lambda df, name: parts.append(df.rdd.getNumPartitions()) or write(df, name))
+    fit_quality(docs, labels.withColumn("quality", F.col("doc_id").cast("int") % 2), F.lit(True))
+    assert parts[0] == 12
+
+
 def test_quality_edge_cases(spark, make_docs):
     docs, labels = labelled(spark)
     one_kind = fit_quality(docs, labels, F.lit(True))
