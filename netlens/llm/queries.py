@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_decode, bpe_digest, bpe_encode
+from .collocation import collocations
 from .common import table, text_of
 from .decontam import contaminated_pairs
 from .exact_dedup import exact_dedup
@@ -102,6 +103,53 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best 2000 phrases of 2 to 5 words that occur 100 times or more."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+phrases AS (
+  SELECT lang, k, phrase, count(*) AS a
+  FROM (SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ')
+                                for i in range(1, len(w) - k + 2)]) AS phrase
+        FROM words, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)
+  GROUP BY lang, k, phrase HAVING count(*) >= 100),
+alone AS (
+  SELECT * FROM phrases p
+  WHERE k > 1 AND NOT EXISTS (
+    SELECT 1 FROM phrases q
+    WHERE q.lang = p.lang AND q.k > p.k AND 100 * q.a >= 100 * p.a
+      AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' '))),
+cuts AS (
+  SELECT lang, phrase, a, cut,
+         array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[cut + 1:k], ' ') AS tail
+  FROM alone, (SELECT unnest([1, 2, 3, 4]) AS cut) WHERE cut < k),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, h.a AS l, t.a AS r, n,
+         ((1000::HUGEINT * c.a * n) // (h.a::HUGEINT * t.a))::BIGINT AS score
+  FROM cuts c JOIN phrases h ON h.lang = c.lang AND h.phrase = c.head
+  JOIN phrases t ON t.lang = c.lang AND t.phrase = c.tail
+  JOIN totals s ON s.lang = c.lang),
+worst AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM worst
+QUALIFY rank <= 2000
+"""
+
+
 REGISTRY = {
     "op1_html_extract": (op1_html_extract, None),
     "op2_deleted_interpolation": (op2_deleted_interpolation, None),
@@ -113,4 +161,5 @@ REGISTRY = {
     "op8_quality_rules": (op8_quality_rules, None),
     "op9_decontamination": (op9_decontamination, None),
     "op10_simhash": (op10_simhash, None),
+    "op11_collocations": (op11_collocations, OP11_SQL),
 }
