@@ -15,6 +15,7 @@ from .html_extract import extract_main_text
 from .line_dedup import line_dedup
 from .lm_score import lm_scores
 from .quality import fit_quality, score_quality
+from .resample import resample
 from .span_dedup import span_dedup
 from .simhash import simhash_groups
 from .toxicity import fit_toxicity, score_toxicity
@@ -150,6 +151,61 @@ QUALIFY rank <= 2000
 """
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by how much their words are like the benchmark's."""
+    return (resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "n_features", "weight", "score", "rank"))
+
+
+OP12_SQL = """
+WITH RECURSIVE steps(i, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM steps WHERE k = 8),
+texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, 'corpus' AS kind FROM documents
+  UNION ALL SELECT NULL, NULL, coalesce(text, ''), 'target' FROM benchmark),
+words AS (
+  SELECT r, doc_id, kind, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM texts),
+occurrences AS (SELECT r, kind, unnest(w) AS word FROM words),
+vocabulary AS (SELECT DISTINCT word FROM occurrences),
+buckets AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes),
+                               lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])),
+                   4294967295::BIGINT) % 10000 AS bucket
+  FROM (SELECT word, [('0x' || substr(hex(word), 2 * i - 1, 2))::BIGINT
+                      for i in range(1, strlen(word) + 1)] AS bytes FROM vocabulary), crc_table),
+counts AS (
+  SELECT bucket, count(*) FILTER (kind = 'corpus') AS s, count(*) FILTER (kind = 'target') AS t
+  FROM occurrences JOIN buckets USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                                 / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM counts),
+weights AS (
+  SELECT r, sum(gain)::BIGINT AS weight
+  FROM occurrences JOIN buckets USING (word) JOIN gains USING (bucket)
+  WHERE kind = 'corpus' GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+           / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (r) WHERE kind = 'corpus'),
+ranked AS (
+  SELECT *, n_features >= 20 AS fit,
+         row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+         (10 * count(*) FILTER (n_features >= 20) OVER ()) // 100 AS quota
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= quota THEN place END AS rank
+FROM ranked
+"""
+
+
 REGISTRY = {
     "op1_html_extract": (op1_html_extract, None),
     "op2_deleted_interpolation": (op2_deleted_interpolation, None),
@@ -162,4 +218,5 @@ REGISTRY = {
     "op9_decontamination": (op9_decontamination, None),
     "op10_simhash": (op10_simhash, None),
     "op11_collocations": (op11_collocations, OP11_SQL),
+    "op12_resample": (op12_resample, OP12_SQL),
 }
