@@ -13,6 +13,7 @@ from .decontam import contaminated_pairs
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
 from .line_dedup import line_dedup
+from .line_labels import fit_line_model, line_quality
 from .lm_score import lm_scores
 from .quality import fit_quality, score_quality
 from .resample import resample
@@ -206,6 +207,16 @@ FROM ranked
 """
 
 
+def op13_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of every whole text and whether it is kept; labels of remainder 1 are
+    not learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_line_model(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
+    return (line_quality(docs, model)
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                    "n_repeat_words", "base_failed", "kept"))
+
+
 REGISTRY = {
     "op1_html_extract": (op1_html_extract, None),
     "op2_deleted_interpolation": (op2_deleted_interpolation, None),
@@ -219,4 +230,5 @@ REGISTRY = {
     "op10_simhash": (op10_simhash, None),
     "op11_collocations": (op11_collocations, OP11_SQL),
     "op12_resample": (op12_resample, OP12_SQL),
+    "op13_line_quality": (op13_line_quality, None),
 }
