@@ -39,17 +39,18 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bit_array, probe, stored, text_of
 
-SHARDS, MIN_COUNT, MAX_WORDS = 16, 100, 5
+SHARDS, MIN_COUNT, MAX_WORDS = 8, 100, 5
 MAX_BITS = 1 << 28
-CHUNK = 1 << 21  # bytes of text worked on at once
-BUFFER = 1 << 20  # counts that a task gathers before it hands them on
-VOCABULARY = 1 << 19  # words that a task remembers before it starts anew
+CHUNK = 1 << 22  # bytes of text worked on at once
+BUFFER = 1 << 21  # counts that a task gathers before it hands them on
+REMEMBERED = 1 << 18  # candidates that a task counts before it hands them on
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(_ENDS + b"\t", b"." * len(_ENDS) + b" ")
@@ -57,25 +58,25 @@ _END = re.compile(b"[" + re.escape(_ENDS) + b"]")
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-class _Words(dict):
-    """Word -> number; 0 is the end of a piece.  ``hashes`` and ``texts`` by number."""
+class _Tokens:
+    """The words of a chunk of text: ``ids`` by position (``end`` closes a piece), two
+    independent hashes by id."""
 
-    def __init__(self, lang: str):
-        super().__init__({b".": 0})
-        self.seed = xxhash.xxh3_64_intdigest(lang.encode())
-        self.texts, self.hashes = [b"."], [0]
+    def __init__(self, chunk: bytes, lang: str):
+        spaced = chunk.translate(_FOLD).lower().replace(b".", b" . ").strip(b" ")
+        column = pa.array([spaced or b"."], pa.binary()).cast(pa.string())
+        coded = pc.ascii_split_whitespace(column).flatten().dictionary_encode()
+        self.ids = coded.indices.to_numpy()
+        _, offsets, data = coded.dictionary.buffers()
+        self._data = data.to_pybytes()
+        self._at = np.frombuffer(offsets, np.int32)[:len(coded.dictionary) + 1].tolist()
+        seed, digest, data = xxhash.xxh3_64_intdigest(lang.encode()), xxhash.xxh3_128_digest, self._data
+        hashes = b"".join([digest(data[a:b], seed) for a, b in zip(self._at, self._at[1:], strict=False)])
+        self.hashes = np.frombuffer(hashes, np.uint64).reshape(-1, 2)
+        self.inside = self.ids != coded.dictionary.index(".").as_py()
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.texts)
-        self.texts.append(word)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word, self.seed))
-        return n
-
-
-def _words_of(lang: str, words: dict[str, _Words]) -> _Words:
-    if sum(map(len, words.values())) > VOCABULARY:
-        words.clear()
-    return words.setdefault(lang, _Words(lang))
+    def phrase(self, ids: list[int]) -> bytes:
+        return b" ".join([self._data[self._at[i]:self._at[i + 1]] for i in ids])
 
 
 def _chunks(texts: list[bytes]):
@@ -95,18 +96,13 @@ def _chunks(texts: list[bytes]):
         yield b".".join(part)
 
 
-def _numbers(chunk: bytes, words: _Words) -> np.ndarray:
-    tokens = chunk.translate(_FOLD).lower().replace(b".", b" . ").split()
-    return np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
-
-
-def _levels(ids: np.ndarray, words: _Words, up_to: int):
-    """For k = 1..up_to the starts of the phrases of k words and all positions' hashes."""
-    one = np.array(words.hashes, np.uint64)[ids]
-    inside, key = ids != 0, one
+def _levels(tokens: _Tokens, up_to: int, column: int = 0):
+    """(k, where a phrase of k words starts, hash from each position on), k = 1..up_to."""
+    one = tokens.hashes[tokens.ids, column]
+    inside, key = tokens.inside, one
     yield 1, inside, key
     for k in range(2, up_to + 1):
-        inside = inside[:-1] & (ids[k - 1:] != 0)
+        inside = inside[:-1] & tokens.inside[k - 1:]
         key = key[:-1] * _STEP + one[k - 1:]
         key ^= key >> np.uint64(29)
         yield k, inside, key
@@ -117,26 +113,28 @@ def _mixed(key: np.ndarray) -> np.ndarray:
     return key ^ (key >> np.uint64(32))
 
 
-def _frequent(ids, words, level: int, table):
-    """(starts, hashes) of the phrases of ``level`` words whose first and last ``level`` - 1
-    words ``table`` holds (of one word: all)."""
+def _frequent(tokens: _Tokens, level: int, table) -> np.ndarray:
+    """Hashes of the phrases of ``level`` words whose first and last ``level`` - 1 words
+    ``table`` holds (of one word: all), with repeats."""
     found = None
-    for k, inside, key in _levels(ids, words, level):
+    for k, inside, key in _levels(tokens, level):
         if k == level:
             ok = inside if found is None else inside & found[:-1] & found[1:]
-            at = np.flatnonzero(ok)
-            return at, _mixed(key[at])
+            return _mixed(key[ok])
         if k == level - 1:
-            found = np.zeros(len(ids) - k + 1 if len(ids) >= k else 0, bool)
+            found = np.zeros(len(key), bool)
             at = np.flatnonzero(inside)
             found[at] = probe(table, _mixed(key[at]))
+    return np.zeros(0, np.uint64)
 
 
-def _grouped(batch):
-    """(lang, shard, texts) of the groups of one batch of (lang, shard, text bytes)."""
-    frame = batch.to_pandas()
-    for (lang, shard), rows in frame.groupby(["lang", "shard"], sort=False):
-        yield lang, int(shard), rows["text"].tolist()
+def _tokens(batches):
+    """(lang, shard, tokens) of the chunks of batches of (lang, shard, text bytes)."""
+    for b in batches:
+        frame = b.to_pandas()
+        for (lang, shard), rows in frame.groupby(["lang", "shard"], sort=False):
+            for chunk in _chunks(rows["text"].tolist()):
+                yield lang, int(shard), _Tokens(chunk, lang)
 
 
 class _Counts:
@@ -182,61 +180,72 @@ def _shard_counts(texts: DataFrame, level: int, table) -> DataFrame:
     shared = None if table is None else texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        counts, words = _Counts(), {}
-        for b in batches:
-            for lang, shard, rows in _grouped(b):
-                for chunk in _chunks(rows):
-                    of = _words_of(lang, words)
-                    ids = _numbers(chunk, of)
-                    if len(ids) < level:
-                        continue
-                    _, keys = _frequent(ids, of, level, None if shared is None else shared.value)
-                    counts.add((lang, shard), keys)
-                    if counts.size > BUFFER and not counts.shrink():
-                        yield from counts.rows()
+        counts = _Counts()
+        for lang, shard, tokens in _tokens(batches):
+            counts.add((lang, shard), _frequent(tokens, level, shared and shared.value))
+            if counts.size > BUFFER and not counts.shrink():
+                yield from counts.rows()
         yield from counts.rows()
 
     return (texts.mapInArrow(run, "lang string, shard int, key long, n long")
             .groupBy("lang", "shard", "key").agg(F.sum("n").alias("n")))
 
 
+def _candidates(tokens: _Tokens, tables: list):
+    """(k, both hashes, occurrences, an example's position) of the phrases that the tables
+    let through, by their words (two phrases of one hash stay apart)."""
+    found = None
+    other = _levels(tokens, len(tables), 1)
+    for k, inside, key in _levels(tokens, len(tables)):
+        _, _, second = next(other)
+        at = np.flatnonzero(inside if found is None else inside & found[:-1] & found[1:])
+        mixed = _mixed(key[at])
+        hit = probe(tables[k - 1], mixed)
+        at, mixed = at[hit], mixed[hit]
+        if not len(at):
+            return
+        found = np.zeros(len(key), bool)
+        found[at] = True
+        order = np.argsort(mixed)
+        second = second[at]
+        new = np.flatnonzero(np.concatenate([[True], mixed[order][1:] != mixed[order][:-1]]))
+        if (np.repeat(second[order][new], np.diff([*new, len(at)])) != second[order]).any():
+            order = np.lexsort((second, mixed))
+            new = np.flatnonzero(np.concatenate([[True], (mixed[order][1:] != mixed[order][:-1])
+                                                 | (second[order][1:] != second[order][:-1])]))
+        first = order[new]
+        yield k, mixed[first], second[first], np.diff(np.concatenate([new, [len(at)]])), at[first]
+
+
 def _exact_counts(texts: DataFrame, tables: list) -> DataFrame:
-    """(lang, phrase, k, a): occurrences of every phrase that the tables let through, by its
-    words (two phrases of one hash stay apart)."""
+    """(lang, phrase, k, a): occurrences of every phrase that the tables let through; a task adds
+    up what has the same 128-bit hash, Spark what has the same words."""
     shared = texts.sparkSession.sparkContext.broadcast(tables)
 
-    def rows_of(lang, of, ids):
-        found = None
-        for k, inside, key in _levels(ids, of, len(shared.value)):
-            ok = inside if found is None else inside & found[:-1] & found[1:]
-            at = np.flatnonzero(ok)
-            at = at[probe(shared.value[k - 1], _mixed(key[at]))]
-            found = np.zeros(len(key), bool)
-            found[at] = True
-            if not len(at):
-                return
-            phrase = ids[at[:, None] + np.arange(k)]
-            order = np.lexsort((*phrase.T[::-1], key[at]))
-            phrase = phrase[order]
-            new = np.concatenate([[True], (phrase[1:] != phrase[:-1]).any(axis=1)])
-            first = np.flatnonzero(new)
-            n = np.diff(np.concatenate([first, [len(phrase)]]))
-            made = [b" ".join([of.texts[w] for w in p]) for p in phrase[first].tolist()]
+    def rows(counts):
+        for lang, of in counts.items():
+            found = list(of.values())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(made), pa.string()),
-                 pa.array(made, pa.binary()).cast(pa.string()),
-                 pa.array(np.full(len(made), k, np.int32)), pa.array(n.astype(np.int64))],
+                [pa.array([lang] * len(found), pa.string()),
+                 pa.array([f[0] for f in found], pa.binary()).cast(pa.string()),
+                 pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.int64())],
                 ["lang", "phrase", "k", "a"])
 
     def run(batches):
-        words = {}
-        for b in batches:
-            for lang, _, rows in _grouped(b):
-                for chunk in _chunks(rows):
-                    of = _words_of(lang, words)
-                    ids = _numbers(chunk, of)
-                    if len(ids):
-                        yield from rows_of(lang, of, ids)
+        counts: dict[str, dict] = {}
+        for lang, _, tokens in _tokens(batches):
+            of = counts.setdefault(lang, {})
+            for k, one, two, n, at in _candidates(tokens, shared.value):
+                for key, times, start in zip(zip(one.tolist(), two.tolist(), strict=True), n.tolist(),
+                                             at.tolist(), strict=True):
+                    if (seen := of.get(key)) is None:
+                        of[key] = [tokens.phrase(tokens.ids[start:start + k].tolist()), k, times]
+                    else:
+                        seen[2] += times
+            if sum(map(len, counts.values())) > REMEMBERED:
+                yield from rows(counts)
+                counts = {}
+        yield from rows(counts)
 
     return (texts.mapInArrow(run, "lang string, phrase string, k int, a long")
             .groupBy("lang", "phrase", "k").agg(F.sum("a").alias("a")))
