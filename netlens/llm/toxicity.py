@@ -14,8 +14,8 @@ length, and turned into a probability.
 
 Learning reads at most ``max_per_class`` labelled documents of either label, those
 with the smallest hash of their id (a documented bound; the same rows whatever the
-partitions).  Everything gathered on the driver (candidates, lexicon, two numbers a
-sample row) is bounded by that sample.  Scoring covers every row and whole text; the
+partitions).  Patterns are counted and chosen in Spark; the driver gets the heavy ones,
+the hits of the sample's toxic rows and two numbers a sample row.  Scoring covers every row and whole text; the
 model is broadcast.  Labels, language, source and id are no inputs of a score.
 
 Defined results: null text counts as empty.  A text without matches, the empty one
@@ -38,15 +38,18 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored, train_rows, train_texts, with_column
+from .common import bit_array, stored, train_rows, train_texts, with_column
 
 MAX_PER_CLASS = 8000
 MIN_DOCS, MIN_WEIGHT = 4, 3.0
+CERTAINTY, CONTEXT = 7.0, 10  # of an entry beside the cover; characters before a match
 STEMS, SHORTEST = range(4, 9), 2  # letters of a beginning, of a whole word at least
+REMEMBERED = 1 << 18  # patterns that a task keeps at once
 LEVELS = (0.0, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 2.0, 3.0)
 
 # Signs that are written for a letter, by the letter.
@@ -141,8 +144,8 @@ def evidence(model: ToxicityModel, text: str) -> tuple[float, int]:
 
 # --- learning ----------------------------------------------------------------------------
 
-def _patterns(folded: str, known: frozenset | None = None) -> dict[str, int]:
-    """Words and beginnings (those of ``known``), and how often they occur."""
+def _patterns(folded: str) -> dict[str, int]:
+    """Words and beginnings, and how often they occur."""
     out: Counter[str] = Counter()
     for word, n in Counter(folded.split()).items():
         if len(word) >= SHORTEST:
@@ -150,12 +153,84 @@ def _patterns(folded: str, known: frozenset | None = None) -> dict[str, int]:
         for k in STEMS:
             if k <= len(word):
                 out[f" {word[:k]}"] += n
-    return out if known is None else {p: n for p, n in out.items() if p in known}
+    return out
+
+
+def _level(occurrences: int, n_words: int) -> int:
+    """The highest of ``LEVELS`` that so many occurrences among so many words reach."""
+    return bisect_right(LEVELS, 100 * occurrences / n_words) - 1
+
+
+class _Known(dict):
+    """Whether a pattern's bit is set, worked out once."""
 
+    def __init__(self, words: np.ndarray):
+        super().__init__()
+        self.words, self.mask = words, len(words) * 64 - 1
 
-def _level(occurrences: int, folded: str) -> int:
-    """The highest of ``LEVELS`` that so many occurrences reach."""
-    return bisect_right(LEVELS, 100 * occurrences / (folded.count(" ") - 1)) - 1
+    def __missing__(self, pattern: str) -> bool:
+        if len(self) > REMEMBERED:
+            self.clear()
+        slot = xxhash.xxh64_intdigest(pattern.encode(), 42) & self.mask
+        self[pattern] = hit = bool(int(self.words[slot >> 6]) >> (slot & 63) & 1)
+        return hit
+
+
+def _level_counts(rows: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(key, toxic0, other0, toxic1...): in how many documents of either label a candidate has
+    at least each level's density.  Tasks leave out most other patterns by a bit table of the
+    candidates (16 bits a pattern, 8 MB at most); the join drops the rest."""
+    keys = candidates.select(F.xxhash64("key").alias("h"))
+    bits = min(1 << 26, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
+    shared = rows.sparkSession.sparkContext.broadcast(bit_array(keys, "h", bits))
+
+    def run(batches):
+        known, counts = _Known(shared.value), {}
+        for b in batches:
+            for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                folded = fold(t)
+                n_words, side = folded.count(" ") - 1, 0 if y == 1 else 1
+                for p, n in _patterns(folded).items():
+                    if known[p]:
+                        at = p, _level(n, n_words)
+                        if at not in counts:
+                            counts[at] = [0, 0]
+                        counts[at][side] += 1
+            if len(counts) > REMEMBERED:
+                yield _level_rows(counts)
+                counts = {}
+        yield _level_rows(counts)
+
+    sums = [F.sum(F.when(F.col("level") >= k, F.col(side)).otherwise(0)).alias(f"{side}{k}")
+            for k in range(len(LEVELS)) for side in ("toxic", "other")]
+    return (rows.mapInArrow(run, "key string, level int, toxic long, other long")
+            .groupBy("key").agg(*sums).join(candidates.select("key"), "key", "left_semi"))
+
+
+def _level_rows(counts: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()),
+         pa.array([v[0] for v in counts.values()], pa.int64()),
+         pa.array([v[1] for v in counts.values()], pa.int64())], ["key", "level", "toxic", "other"])
+
+
+def _weight(toxic, other, n_toxic: int, n_other: int):
+    return (F.log((toxic + 0.5) / F.lit(n_toxic + 1.0))
+            - F.log((other + 0.5) / F.lit(n_other + 1.0)))
+
+
+def _heavy(levels: DataFrame, n_toxic: int, n_other: int) -> DataFrame:
+    """(key, level, toxic, other, weight): the patterns that are heavy enough at some level, each
+    at the level that separates the labels best."""
+    at = [F.struct((F.col(f"toxic{k}") - 2 * F.col(f"other{k}")).alias("gain"), F.lit(-k).alias("low"),
+                   F.lit(float(level)).alias("level"), F.col(f"toxic{k}").alias("toxic"),
+                   F.col(f"other{k}").alias("other"),
+                   F.round(_weight(F.col(f"toxic{k}"), F.col(f"other{k}"), n_toxic, n_other), 6)
+                   .alias("weight")) for k, level in enumerate(LEVELS)]
+    fit = F.filter(F.array(*at), lambda r: (r["toxic"] >= min(MIN_DOCS, n_toxic))
+                   & (r["weight"] >= MIN_WEIGHT) & (r["other"] <= r["toxic"] / 4))
+    return (levels.select("key", F.array_max(fit).alias("best")).filter("best is not null")
+            .select("key", "best.level", "best.toxic", "best.other", "best.weight"))
 
 
 def _phrases(folded: str, entries: tuple) -> set[str]:
@@ -171,48 +246,31 @@ def _phrases(folded: str, entries: tuple) -> set[str]:
 
 def _document_counts(rows: DataFrame, keys_of) -> DataFrame:
     """(key, toxic, other): in how many documents of either label a key is."""
+    def rows_of(counts):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string()),
+             pa.array([v[0] for v in counts.values()], pa.int64()),
+             pa.array([v[1] for v in counts.values()], pa.int64())], ["key", "toxic", "other"])
+
     def run(batches):
+        counts: dict[str, list[int]] = {}
         for b in batches:
-            counts: dict[str, list[int]] = {}
             for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 for k in keys_of(fold(t)):
                     counts.setdefault(k, [0, 0])[0 if y == 1 else 1] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()),
-                 pa.array([v[0] for v in counts.values()], pa.int64()),
-                 pa.array([v[1] for v in counts.values()], pa.int64())], ["key", "toxic", "other"])
+            if len(counts) > REMEMBERED:
+                yield rows_of(counts)
+                counts = {}
+        yield rows_of(counts)
 
     return (rows.mapInArrow(run, "key string, toxic long, other long").groupBy("key")
             .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
 
 
-@dataclass(frozen=True)
-class _Held:
-    """In how many documents of either label a pattern has at least a level's density."""
-    level: float
-    toxic: int
-    other: int
-
-
-def _lexicon(counts: list, n_toxic: int, n_other: int) -> tuple[tuple[tuple[str, float], ...], dict]:
-    """Entries heavy enough at some level, none the beginning of another, and their levels;
-    of the beginnings that stand for nearly the same documents the longest."""
-    def weight(r) -> float:
-        return (math.log((r.toxic + 0.5) / (n_toxic + 1))
-                - math.log((r.other + 0.5) / (n_other + 1)))
-
-    at: dict[str, list[list[int]]] = {}
-    for r in counts:
-        key, level = r.key.split("\t")
-        for sums in at.setdefault(key, [[0, 0] for _ in LEVELS])[:int(level) + 1]:
-            sums[0] += r.toxic
-            sums[1] += r.other
-    heavy = {}
-    for key, sums in at.items():
-        held = [r for r in (_Held(level, *n) for level, n in zip(LEVELS, sums, strict=True))
-                if r.toxic >= min(MIN_DOCS, n_toxic) and weight(r) >= MIN_WEIGHT and r.other <= r.toxic / 4]
-        if held:
-            heavy[key] = max(held, key=lambda r: (r.toxic - 2 * r.other, -r.level))
+def _lexicon(rows: list) -> tuple[tuple[tuple[str, float], ...], dict]:
+    """Entries from the heavy patterns, none the beginning of another, and their levels; of the
+    beginnings that stand for nearly the same documents the longest."""
+    heavy = {r.key: r for r in rows}
     longer: dict[str, list[str]] = {}
     for key in heavy:
         for n in STEMS:
@@ -225,7 +283,7 @@ def _lexicon(counts: list, n_toxic: int, n_other: int) -> tuple[tuple[tuple[str,
         same = [k for k in longer.get(key, ()) if not k.endswith(" ")
                 and heavy[k].toxic >= 0.95 * heavy[key].toxic]
         best = max(same, key=lambda k: (len(k), k), default=key)
-        chosen[best] = round(weight(heavy[best]), 6)
+        chosen[best] = heavy[best].weight
     return tuple(sorted(chosen.items())), {k: heavy[k].level for k in chosen}
 
 
@@ -233,7 +291,8 @@ def _cover(entries: tuple, matched: list[list[str]]) -> tuple[tuple[str, float],
     """The entries that explain toxic documents that no stronger one explains.
 
     Words that only happen to stand in toxic documents, or in copies of one, stand
-    beside a real entry and are left with no documents of their own.
+    beside a real entry and are left with no documents of their own.  So are some real
+    ones, which ``_beyond_chance`` finds.
     """
     weight = dict(entries)
     open_, chosen = [frozenset(m) for m in matched], []
@@ -246,6 +305,38 @@ def _cover(entries: tuple, matched: list[list[str]]) -> tuple[tuple[str, float],
         open_ = [m for m in open_ if best not in m]
 
 
+def _contexts(toxic: DataFrame, entries: tuple) -> dict[str, int]:
+    """By entry after how many different pieces of text it stands in the toxic rows; copies of
+    a document, however many, count once."""
+    def run(batches):
+        found, seen = automaton(tuple((p, 0.0) for p, _ in entries), ()), set()
+        for b in batches:
+            for f in map(fold, b.column(1).to_pylist()):
+                for end, (size, _, p) in found.iter(f):
+                    start = end - size + 1
+                    seen.add((p, f[max(0, start - CONTEXT):start]))
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in seen], pa.string()),
+                                          pa.array([c for _, c in seen], pa.string())], ["key", "c"])
+
+    rows = toxic.mapInArrow(run, "key string, c string").groupBy("key").agg(F.countDistinct("c").alias("n"))
+    return {r.key: r.n for r in rows.collect()}  # one row an entry
+
+
+def _beyond_chance(entries: tuple, heavy: dict, contexts: dict[str, int], n_candidates: int,
+                   n_toxic: int, n_other: int) -> tuple[tuple[str, float], ...]:
+    """The entries whose share of toxic documents chance would hardly give to any of so many
+    candidates (Chernoff bound over their different contexts)."""
+    share = n_toxic / (n_toxic + n_other) if n_other else 0.5
+    out = []
+    for p, w in entries:
+        t, o = min(contexts.get(p, 0), heavy[p].toxic), heavy[p].other
+        n = t + o
+        bound = sum(k * math.log(k / n / q) for k, q in ((t, share), (o, 1 - share)) if k)
+        if t >= MIN_DOCS and bound >= math.log(max(1, n_candidates)) + CERTAINTY:
+            out.append((p, w))
+    return tuple(out)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
     """(slope, offset, loss) of a one-variable logistic fit, by Newton steps with a ridge."""
     beta, ridge = np.zeros(2), np.diag([1e-3, 1e-3]) * weight.sum()
@@ -274,11 +365,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_fold: Column,
     if not n_toxic:
         return none
 
-    candidates = frozenset(r.key for r in _document_counts(sample.filter("__y = 1"), _patterns)
-                           .filter(F.col("toxic") >= min(MIN_DOCS, n_toxic)).select("key").collect())
-    counts = _document_counts(sample, lambda f: [
-        f"{p}\t{_level(n, f)}" for p, n in _patterns(f, candidates).items()]).collect()
-    entries, level_of = _lexicon(counts, n_toxic, n_other)
+    candidates = stored(_document_counts(sample.filter("__y = 1"), _patterns)
+                        .filter(F.col("toxic") >= min(MIN_DOCS, n_toxic)), "toxicity_candidates")
+    heavy = _heavy(_level_counts(sample, candidates), n_toxic, n_other).collect()
+    entries, level_of = _lexicon(heavy)
     if not entries:
         return none
     def matches(batches):
@@ -286,12 +376,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_fold: Column,
         for b in batches:
             hits = []
             for f in map(fold, b.column(1).to_pylist()):
-                times = Counter(p for _, (_, p, _) in found.iter(f))
-                hits.append(sorted(p for p, n in times.items() if LEVELS[_level(n, f)] >= level_of[p]))
+                times, n_words = Counter(p for _, (_, p, _) in found.iter(f)), f.count(" ") - 1
+                hits.append(sorted(p for p, n in times.items()
+                                   if LEVELS[_level(n, n_words)] >= level_of[p]))
             yield pa.RecordBatch.from_arrays([pa.array(hits, pa.list_(pa.string()))], ["hits"])
 
     matched = sample.filter("__y = 1").mapInArrow(matches, "hits array<string>").collect()
-    entries = _cover(entries, [r.hits for r in matched])
+    sure = _beyond_chance(entries, {r.key: r for r in heavy}, _contexts(sample.filter("__y = 1"), entries),
+                          candidates.count(), n_toxic, n_other)
+    entries = tuple(sorted({*sure, *_cover(entries, [r.hits for r in matched])}))
     levels = tuple((p, level_of[p]) for p, _ in entries if level_of[p])
     single = tuple((p, w) for p, w in entries if not level_of[p])
     phrases = _document_counts(sample, lambda f: _phrases(f, single))
