@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..operators import subgraph as X
 from .catalog import query
+from .q_ingest import LIVE_HOPS
 from .sqlparts import EDGE_COLS, nodes_of
 
 PORT = "regexp_replace({c}, '^.*_', '')"
@@ -313,38 +314,38 @@ def x23_owner_enrich(fx):
     return X.owner_enrich(fx.edges(), fx.vertices())
 
 
-_LSP7 = """
-WITH l AS (
-SELECT 'LSP' AS relation, l.lsp_name, h1.lsp_id, h1.hop_sequence, s.ne_name AS src_interface,
-  d.ne_name AS dest_interface, ps.ne_name AS start_ne, pd.ne_name AS end_ne
-FROM lsp l JOIN lsp_hop h1 ON h1.lsp_id = l.id
-JOIN lsp_hop h2 ON h2.lsp_id = l.id AND h2.hop_sequence = h1.hop_sequence + 1
-JOIN network_element s ON h1.interface_ne_id = s.id JOIN network_element d ON h2.interface_ne_id = d.id
-LEFT JOIN network_element ps ON s.parent_ne_id_fk = ps.id
-LEFT JOIN network_element pd ON d.parent_ne_id_fk = pd.id
-WHERE l.lsp_name = 'LSP_7')
+_LSP_NAME = "LSP_359"  # of live and deleted hops
+_LSP_LINKS = f"""
+WITH port AS (SELECT e.*, up.ne_name AS up_name FROM network_element e
+              LEFT JOIN network_element up ON up.id = e.parent_ne_id_fk WHERE e.is_deleted = 0),
+hop AS ({LIVE_HOPS} WHERE t.lsp_name = '{_LSP_NAME}'),
+l AS (
+SELECT 'LSP' AS relation, hop.lsp_name, hop.lsp_id, hop.hop_sequence, near.ne_name AS src_interface,
+  far.ne_name AS dest_interface, near.up_name AS start_ne, far.up_name AS end_ne
+FROM hop JOIN hop nxt ON nxt.lsp_id = hop.lsp_id AND nxt.hop_sequence = hop.hop_sequence + 1
+JOIN port near ON near.id = hop.interface_ne_id JOIN port far ON far.id = nxt.interface_ne_id)
 """
 
 
 def _x6(fx):
     from ..operators.ingest import lsp_hop_edges
     e = lsp_hop_edges(fx.lsp(), fx.lsp_hop(), fx.network_element())
-    return X.by_lsp_name(fx.vertices(), e, "LSP_7")
+    return X.by_lsp_name(fx.vertices(), e, _LSP_NAME)
 
 
-@query("x6_lsp_links", _LSP7 + """
+@query("x6_lsp_links", _LSP_LINKS + """
 SELECT relation, lsp_name, lsp_id, hop_sequence, src_interface, dest_interface, start_ne, end_ne FROM l""",
        views=("network_element", "lsp", "lsp_hop", "vertices"))
 def x6_lsp_links(fx):
-    """Hop links of LSP_7."""
+    """Hop links of one LSP, live hops only."""
     links, _ = _x6(fx)
     return links.select("relation", "lsp_name", "lsp_id", "hop_sequence", "src_interface", "dest_interface",
                         "start_ne", "end_ne")
 
 
-@query("x6_lsp_nodes", _LSP7 + nodes_of("l"), views=("network_element", "lsp", "lsp_hop", "vertices"))
+@query("x6_lsp_nodes", _LSP_LINKS + nodes_of("l"), views=("network_element", "lsp", "lsp_hop", "vertices"))
 def x6_lsp_nodes(fx):
-    """Routers on LSP_7 (with coordinates)."""
+    """Routers on that LSP (with coordinates)."""
     _, nodes = _x6(fx)
     return nodes
 
