@@ -7,10 +7,11 @@ and splits the result into finished paths (termination reached) and the next
 frontier.  All state is DataFrames; the driver only runs the bounded loop.
 
 Scale
-* the depth of a path search (R1) is the caller's argument, as the number of
-  simple paths grows exponentially; ``require_complete`` raises if paths are
-  still open at that depth.  Reachability (R4, R5, R9) and the hierarchy (R7)
-  have no limit: they run until a round finds nothing new.
+* listing all simple paths (R1) takes a depth from the caller, as their number grows
+  exponentially; what is still open there is returned and flagged.  The shortest
+  paths (R3) and the vertices on paths (R2, by blocks and cut vertices) have no
+  limit, nor have reachability (R4, R5, R9) and the hierarchy (R7): they run until a
+  round finds nothing new.
 * each round is written once to the shared checkpoint folder as Parquet and
   read back (``materialize``), so lineage stays flat, a lost executor costs no
   earlier round, and the empty test reads a footer.
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -52,24 +53,14 @@ def one_per_name(vertices: DataFrame, *cols: str) -> DataFrame:
             .select("ne_name", "_v.*"))
 
 
-def simple_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowed_types: list[str],
-                 term_types: list[str] | None = None, term_names: DataFrame | None = None,
-                 same_attr: str | None = None, exclude: DataFrame | None = None, *,
-                 max_depth: int, require_complete: bool = False) -> DataFrame:
-    """Simple paths from each start; every hop's vertex must be of an
-    allowed type (or the termination), optionally share ``same_attr`` with the
-    start, and not be excluded; a path stops at the first vertex of a
-    termination type (or name).  At least one hop (do-while).  Returns
-    ``(start_ne, end_ne, depth, path)`` of the paths of at most ``max_depth``
-    hops; with ``require_complete`` a path still open there is an error."""
+def _steps(vertices: DataFrame, hops: DataFrame, allowed_types: list[str], term_types: list[str] | None,
+           term_names: DataFrame | None, same_attr: str | None, exclude: DataFrame | None) -> DataFrame:
+    """The hops a path may take: (_last, _b, _term).  The filters that do not depend on the
+    path are applied once: the target's type must be allowed (or terminal), it must not be
+    excluded, and with ``same_attr`` both ends must share the attribute (exact: every vertex
+    on a path shares the start's value, so the hop's source does too)."""
     allowed = [t.upper() for t in allowed_types]
     terms = [t.upper() for t in (term_types or [])]
-    # Hop filters that do not depend on the path are applied once, to the
-    # hop table: the target's type must be allowed (or terminal), it must not
-    # be excluded, and with ``same_attr`` both ends must share the attribute
-    # (exact: every vertex on a path shares the start's value, so the hop's
-    # source does too).  Each round then joins the frontier with this
-    # smaller table only.
     names = one_per_name(vertices, "ne_type", *([same_attr] if same_attr else []))
     vb = names.select(F.col("ne_name").alias("_b"), F.upper("ne_type").alias("_bt"),
                       *([F.col(same_attr).alias("_ba")] if same_attr else []))
@@ -86,55 +77,263 @@ def simple_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowe
     if same_attr:
         va = names.select(F.col("ne_name").alias("_last"), F.col(same_attr).alias("_la"))
         h = h.join(va, "_last").filter(F.col("_la") == F.col("_ba"))
-    h = materialize(h.select("_last", "_b", "_term"), "hops")  # read by every round
+    return materialize(h.select("_last", "_b", "_term"), "hops")  # read by every round
+
+
+def distances(steps: DataFrame) -> DataFrame:
+    """(v, dist): the fewest hops from every vertex that can reach a termination, found
+    backwards, a level a round."""
+    level = materialize(steps.filter("_term").select(F.col("_last").alias("v")).distinct()
+                        .withColumn("dist", F.lit(1)), "distances")
+    parts, dist = [level], 1
+    while not level.isEmpty():
+        dist += 1
+        known = reduce(DataFrame.unionByName, parts)
+        level = materialize(
+            steps.filter("not _term").join(level.select(F.col("v").alias("_b")), "_b", "left_semi")
+            .select(F.col("_last").alias("v")).distinct().join(known, "v", "left_anti")
+            .withColumn("dist", F.lit(dist)), "distances")
+        parts.append(level)
+        if len(parts) > 8:
+            parts = [materialize(reduce(DataFrame.unionByName, parts), "distances")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def simple_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowed_types: list[str],
+                 term_types: list[str] | None = None, term_names: DataFrame | None = None,
+                 same_attr: str | None = None, exclude: DataFrame | None = None, *,
+                 max_depth: int, require_complete: bool = False) -> DataFrame:
+    """Simple paths from each start; every hop's vertex must be of an
+    allowed type (or the termination), optionally share ``same_attr`` with the
+    start, and not be excluded; a path stops at the first vertex of a
+    termination type (or name).  At least one hop (do-while).  Returns
+    ``(start_ne, end_ne, depth, path, finished)``.  Nothing is cut in silence: a
+    path that has not ended after ``max_depth`` hops and from whose end a
+    termination can be reached (if only through the path itself) is returned with ``finished`` false (with
+    ``require_complete`` it is an error).  The search without a limit, for the
+    shortest paths, is ``shortest_paths``."""
+    h = _steps(vertices, hops, allowed_types, term_types, term_names, same_attr, exclude)
+    ways = distances(h).select(F.col("v").alias("_last"))
     st = starts.select(F.col("ne_name").alias("start_ne")).distinct()
     frontier = st.select("start_ne", F.col("start_ne").alias("_last"), F.array(F.col("start_ne")).alias("path"))
-    done_parts = []
+    parts = []
     for depth in range(1, max_depth + 1):
         step = materialize(
             frontier.join(h, "_last").filter(~F.array_contains("path", F.col("_b")))
             .select("start_ne", F.col("_b").alias("_last"),
-                    F.concat("path", F.array(F.col("_b"))).alias("path"), F.col("_term").alias("_done")),
+                    F.concat("path", F.array(F.col("_b"))).alias("path"), F.col("_term").alias("finished")),
             "paths")
-        done_parts.append(step.filter("_done").select("start_ne", F.col("_last").alias("end_ne"),
-                                                      F.lit(depth).alias("depth"), "path"))
-        frontier = step.filter(~F.col("_done")).drop("_done")
+        frontier = step.filter("not finished").drop("finished").join(ways, "_last", "left_semi")
+        parts.append(step.filter("finished").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
     else:
-        if require_complete and not frontier.isEmpty():
+        if require_complete:
             raise ValueError(f"paths are still open after {max_depth} hops")
-    return reduce(DataFrame.unionByName, done_parts)
+        parts.append(frontier.withColumn("finished", F.lit(False)).withColumn("depth", F.lit(max_depth)))
+    return reduce(DataFrame.unionByName, parts).select(
+        "start_ne", F.col("_last").alias("end_ne"), "depth", "path", "finished")
+
+
+def shortest_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowed_types: list[str],
+                   term_types: list[str] | None = None, term_names: DataFrame | None = None,
+                   same_attr: str | None = None, exclude: DataFrame | None = None, *,
+                   max_paths: int) -> DataFrame:
+    """The ``max_paths`` shortest simple paths of each start (ties by path text), of any
+    length: ``(start_ne, end_ne, depth, path)``.
+
+    Best first: an open path's bound is its hops so far and the distance of its end
+    to a termination.  A round extends, for each start, the open paths of the least
+    bound by a hop; the others wait.  Once a start has its paths, what is open with
+    a bound beyond its last one is dropped.  So only beginnings that may still be among the
+    shortest are ever made (all of them: ties are settled by text, so paths as long as a
+    start's last one are all found)."""
+    h = _steps(vertices, hops, allowed_types, term_types, term_names, same_attr, exclude)
+    dist = distances(h).select(F.col("v").alias("_last"), "dist")
+    st = starts.select(F.col("ne_name").alias("start_ne")).distinct()
+    waiting = materialize(
+        st.withColumn("_last", F.col("start_ne")).join(dist, "_last")
+        .select("start_ne", "_last", F.array("start_ne").alias("path"), F.col("dist").alias("bound")), "open_paths")
+    found = None
+    while not waiting.isEmpty():
+        least = waiting.groupBy("start_ne").agg(F.min("bound").alias("least"))
+        flagged = waiting.join(least, "start_ne")
+        step = materialize(
+            flagged.filter("bound = least").join(h, "_last")
+            .filter(~F.array_contains("path", F.col("_b")))
+            .select("start_ne", F.col("_b").alias("_last"), F.concat("path", F.array("_b")).alias("path"), "_term"),
+            "paths")
+        ended = step.filter("_term").select("start_ne", F.col("_last").alias("end_ne"),
+                                            (F.size("path") - 1).alias("depth"), "path")
+        found = materialize(_first_paths(ended if found is None else found.unionByName(ended), max_paths),
+                            "found_paths")
+        more = (step.filter("not _term").join(dist, "_last")
+                .select("start_ne", "_last", "path", (F.size("path") - 1 + F.col("dist")).alias("bound")))
+        full = (found.groupBy("start_ne").agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("limit"))
+                .filter(F.col("n") >= max_paths).select("start_ne", "limit"))
+        waiting = materialize(
+            flagged.filter("bound > least").drop("least").unionByName(more)
+            .join(full, "start_ne", "left").filter("limit is null or bound <= limit").drop("limit"), "open_paths")
+    if found is None:
+        found = waiting.select("start_ne", F.col("_last").alias("end_ne"), F.lit(0).alias("depth"), "path")
+    return found
+
+
+def _first_paths(paths: DataFrame, max_paths: int, buckets: int = 256) -> DataFrame:
+    """The first ``max_paths`` paths per start by (depth, text).  Two-phase, so a start with a
+    huge number of paths is never ranked in one task: paths are first ranked inside
+    (start, depth, hash bucket of the path) groups and only each group's first survive.
+    Exact, because every overall top-k path is in the top-k of its own bucket."""
+    columns = paths.columns
+    p = (paths.withColumn("_txt", F.array_join("path", ">"))
+         .withColumn("_b", F.pmod(F.xxhash64("_txt"), F.lit(buckets))))
+    w1 = Window.partitionBy("start_ne", "depth", "_b").orderBy("_txt")
+    w2 = Window.partitionBy("start_ne").orderBy("depth", "_txt")
+    return (p.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= max_paths)
+            .withColumn("_r", F.row_number().over(w2)).filter(F.col("_r") <= max_paths).select(*columns))
+
+
+# --- vertices on paths, without listing the paths ------------------------------------------
+
+def components(pairs: DataFrame) -> DataFrame:
+    """(v, label): connected components of the undirected pairs (x, y), labelled by their
+    least vertex: labels spread to neighbours and jump to their label's label."""
+    both = materialize(pairs.select("x", "y").unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
+                       .distinct(), "pairs")
+    labels = materialize(both.groupBy(F.col("x").alias("v")).agg(F.min("y").alias("m"))
+                         .select("v", F.least("v", "m").alias("label")), "labels")
+    while True:
+        near = (both.join(labels.select(F.col("v").alias("y"), "label"), "y")
+                .groupBy(F.col("x").alias("v")).agg(F.min("label").alias("near")))
+        spread = materialize(labels.join(near, "v").select(
+            "v", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")), "labels")
+        if spread.filter("moved").isEmpty():
+            return spread.select("v", "label")
+        jump = spread.select(F.col("v").alias("label"), F.col("label").alias("next"))
+        labels = materialize(spread.join(jump, "label").select("v", F.col("next").alias("label")), "labels")
+
+
+def blocks(edges: DataFrame, root: str) -> DataFrame:
+    """Blocks (two-connected parts, bridges included) of the undirected simple graph (a, b)
+    around ``root``: (v, parent, depth, block) for every other vertex that is connected to
+    it, where ``block`` names the block of the edge to the parent in a breadth-first tree.
+
+    An edge that is not in the tree closes a cycle through the nearest common
+    ancestor of its ends; the tree edges on a cycle are in one block.  Pairs of vertices of
+    equal depth climb together from each such edge, deepest level first, until they share
+    their parent; equal pairs merge on the way.  The blocks are the components
+    of the tree edges that were linked."""
+    e = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+                    .filter(F.col("a") != F.col("b")).distinct(), "block_edges")
+    spark = e.sparkSession
+    level = spark.createDataFrame([(root, None, 0)], "v string, parent string, depth int")
+    levels = []
+    while True:
+        known = reduce(DataFrame.unionByName, [level, *levels[-1:]])  # a neighbour is one level off at most
+        nxt = materialize(
+            e.join(level.select(F.col("v").alias("a")), "a").groupBy(F.col("b").alias("v"))
+            .agg(F.min("a").alias("parent")).join(known.select("v"), "v", "left_anti")
+            .withColumn("depth", F.lit(len(levels) + 1)), "tree")
+        if nxt.isEmpty():
+            break
+        levels.append(level)
+        level = nxt
+    levels.append(level)
+    if len(levels) == 1:
+        return level.filter("depth > 0").withColumn("block", F.col("v"))
+    tree = materialize(reduce(DataFrame.unionByName, levels[1:]), "tree")
+    up = tree.select("v", "parent", "depth")
+
+    # edges beside the tree, the deeper end (or the lesser name) first
+    ends = (e.join(up.select(F.col("v").alias("a"), F.col("parent").alias("pa"), F.col("depth").alias("da")), "a")
+            .join(up.select(F.col("v").alias("b"), F.col("parent").alias("pb"), F.col("depth").alias("db")), "b"))
+    beside = materialize(
+        ends.filter("a <> pb and b <> pa and (da > db or (da = db and a < b))").select("a", "pa", "da", "b", "db"),
+        "beside")
+    links = [beside.filter("da > db").select(F.col("a").alias("x"), F.col("pa").alias("y"))]
+    same = beside.select(F.when(F.col("da") > F.col("db"), F.col("pa")).otherwise(F.col("a")).alias("x"),
+                         F.col("b").alias("y"), F.col("db").alias("depth"))
+    carried = None
+    for depth in range(len(levels) - 1, 0, -1):
+        at = same.filter(F.col("depth") == depth).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        if carried is not None:
+            at = at.unionByName(carried)
+        on = up.filter(F.col("depth") == depth)
+        pairs = materialize(
+            at.distinct().join(on.select(F.col("v").alias("x"), F.col("parent").alias("px")), "x")
+            .join(on.select(F.col("v").alias("y"), F.col("parent").alias("py")), "y"), "cycle_pairs")
+        apart = pairs.filter("px <> py")
+        links += [pairs.select("x", "y"), apart.select("x", F.col("px").alias("y")),
+                  apart.select(F.col("y").alias("x"), F.col("py").alias("y"))]
+        carried = apart.select(F.least("px", "py").alias("x"), F.greatest("px", "py").alias("y"))
+    labels = components(reduce(DataFrame.unionByName, links))
+    return materialize(tree.join(labels, "v", "left").select(
+        "v", "parent", "depth", F.coalesce("label", "v").alias("block")), "blocks")
+
+
+TERMINATION = "\u0000termination"  # all terminations as one vertex; no element's name
 
 
 def affected_nodes(paths: DataFrame, vertices: DataFrame) -> DataFrame:
-    """R2: distinct (name, type) of the vertices on the paths."""
+    """Distinct (name, type) of the vertices on listed paths."""
     names = paths.select(F.explode("path").alias("ne_name")).distinct()
     return names.join(one_per_name(vertices, "ne_type"), "ne_name")
 
 
-def backhaul(paths: DataFrame, edges: DataFrame, max_paths: int) -> tuple[DataFrame, DataFrame]:
-    """Up to ``max_paths`` shortest paths per start (ties by path text),
-    their nodes, and the physical links (LLDP) touching any node on them.
-
-    The per-start top-k is two-phase so a start with a huge number of paths
-    is never ranked in one task: paths are first ranked inside
-    (start, depth, hash bucket of the path) groups and only each group's
-    first ``max_paths`` survive; the final per-start ranking then sees at
-    most ``max_depth * buckets * max_paths`` rows.  Exact, because every
-    overall top-k path is in the top-k of its own bucket."""
-    from pyspark.sql import Window
-    buckets = 256
-    txt = F.array_join("path", ">")
-    p = paths.withColumn("_txt", txt).withColumn("_b", F.pmod(F.xxhash64("_txt"), F.lit(buckets)))
-    w1 = Window.partitionBy("start_ne", "depth", "_b").orderBy("_txt")
-    cand = p.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= max_paths)
-    w2 = Window.partitionBy("start_ne").orderBy("depth", "_txt")
-    top = (cand.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") <= max_paths)
-           .drop("_rn", "_r1", "_b", "_txt"))
-    nodes = top.select(F.explode("path").alias("ne_name")).distinct()
+def vertices_on_paths(vertices: DataFrame, hops: DataFrame, starts: DataFrame, allowed_types: list[str],
+                      term_types: list[str] | None = None, term_names: DataFrame | None = None,
+                      same_attr: str | None = None, exclude: DataFrame | None = None) -> DataFrame:
+    """R2: distinct (ne_name, ne_type) of the vertices on R1's paths, of any length, without
+    listing them (hops go both ways).
+
+    With the terminations drawn together into one vertex, a vertex is on a simple
+    path from a start to it iff its block is on the way between them in the tree of blocks.
+    So the start's block is marked, and from each marked block the one above,
+    up to the termination.  A start whose type is not allowed is on no other path, so its
+    neighbours start for it.  Terminations count if a start reaches a neighbour of theirs.
+    A start that is a termination itself is an error: its paths end at others only."""
+    steps = _steps(vertices, hops, allowed_types, term_types, term_names, same_attr, exclude)
+    st = materialize(starts.select(F.col("ne_name").alias("v")).distinct(), "starts")
+    if not steps.filter("_term").join(st.select(F.col("v").alias("_b")), "_b", "left_semi").isEmpty():
+        raise ValueError("a start is a termination itself")
+    inner = steps.filter("not _term").select(F.col("_last").alias("a"), F.col("_b").alias("b"))
+    last = steps.filter("_term").select(F.col("_last").alias("a")).distinct().withColumn("b", F.lit(TERMINATION))
+    passed = inner.select(F.col("b").alias("v")).distinct()
+    apart = materialize(st.join(passed, "v", "left_anti").select(F.col("v").alias("a")), "apart")
+    of = blocks(inner.unionByName(last).join(passed.select(F.col("v").alias("a")), "a", "left_semi"), TERMINATION)
+    begin = st.unionByName(inner.join(apart, "a", "left_semi").select(F.col("b").alias("v")))
+    block_of = of.select("v", "block")
+    # The topmost vertices of a block hang below a vertex of the block above, or the termination.
+    above = materialize(
+        of.select("block", F.col("parent").alias("v")).join(block_of.withColumnRenamed("block", "upper"), "v")
+        .filter("block <> upper").select("block", "upper").distinct(), "above")
+    marked = materialize(block_of.join(begin, "v", "left_semi").select("block").distinct(), "marked")
+    parts = [marked]
+    while not marked.isEmpty():
+        seen = reduce(DataFrame.unionByName, parts)
+        marked = materialize(above.join(marked, "block", "left_semi").select(F.col("upper").alias("block"))
+                             .distinct().join(seen, "block", "left_anti"), "marked")
+        parts.append(marked)
+        if len(parts) > 8:
+            parts = [materialize(reduce(DataFrame.unionByName, parts), "marked")]
+    on = of.join(reduce(DataFrame.unionByName, parts), "block", "left_semi")
+    reached = reach(st.select(F.col("v").alias("ne_name")), inner)
+    ends = (steps.filter("_term").join(reached.select(F.col("ne_name").alias("_last")), "_last", "left_semi")
+            .select(F.col("_b").alias("v")))
+    useful = of.select(F.col("v").alias("b")).unionByName(last.select("b").distinct())
+    from_outside = (inner.unionByName(last).join(apart, "a", "left_semi").join(useful, "b", "left_semi")
+                    .select(F.col("a").alias("v")))
+    names = reduce(DataFrame.unionByName, [on.select("v"), on.select(F.col("parent").alias("v")), ends, from_outside])
+    return one_per_name(vertices, "ne_type").join(names.select(F.col("v").alias("ne_name")).distinct(), "ne_name")
+
+
+def backhaul(vertices: DataFrame, hops: DataFrame, edges: DataFrame, starts: DataFrame,
+             allowed_types: list[str], max_paths: int, **kwargs) -> tuple[DataFrame, DataFrame]:
+    """The ``max_paths`` shortest paths per start to a termination (``shortest_paths``, of
+    any length), and the physical links (LLDP) touching any node on them."""
+    top = shortest_paths(vertices, hops, starts, allowed_types, max_paths=max_paths, **kwargs)
+    n = top.select(F.explode("path").alias("_n")).distinct()
     phys = edges.filter(F.col("relation") == S.LLDP)
-    n = nodes.select(F.col("ne_name").alias("_n"))
     a = phys.join(n, phys.start_ne == n._n, "left_semi")
     b = phys.join(n, phys.end_ne == n._n, "left_semi").join(n, phys.start_ne == n._n, "left_anti")
     return top, a.unionByName(b)

@@ -1,7 +1,7 @@
 """Registered path / reachability queries.
 
-Oracles are depth-bounded recursive CTEs (paths) or recursive reachability
-(BFS); they enumerate the same path sets over the whole tables.
+Oracles are recursive CTEs: paths (R1 up to its depth, R3 until every start has its
+paths) and reachability (BFS; R2 with every vertex taken away in turn).
 """
 
 from __future__ import annotations
@@ -39,34 +39,88 @@ def _r1(fx):
 
 
 @query("r1_constrained_paths", _R1_SQL + """
-SELECT start_ne, last AS end_ne, depth, array_to_string(path, '>') AS path FROM p WHERE done""",
+, ways(v) AS (
+  SELECT DISTINCT h.a FROM hops h JOIN vertices v ON v.ne_name = h.b JOIN vertices u ON u.ne_name = h.a
+  WHERE upper(v.ne_type) = 'AGG' AND v.pop_id = u.pop_id
+  UNION
+  SELECT h.a FROM ways w JOIN hops h ON h.b = w.v JOIN vertices v ON v.ne_name = h.b JOIN vertices u ON u.ne_name = h.a
+  WHERE upper(v.ne_type) IN ('ROUTER', 'SWITCH') AND v.pop_id = u.pop_id)
+SELECT start_ne, last AS end_ne, depth, array_to_string(path, '>') AS path, done AS finished FROM p
+WHERE done OR (depth = 4 AND last IN (SELECT v FROM ways))""",
        views=("vertices", "edges", "parent_edges"))
 def r1_constrained_paths(fx):
-    """Simple paths from ASIA routers through same-pop routers / switches to an AGG site, depth <= 4."""
+    """Simple paths from ASIA routers through same-pop routers / switches to an AGG site: those that
+    end within 4 hops, and flagged those that are still open then."""
     p = _r1(fx)
-    return p.select("start_ne", "end_ne", "depth", F.array_join("path", ">").alias("path"))
+    return p.select("start_ne", "end_ne", "depth", F.array_join("path", ">").alias("path"), "finished")
+
+
+def _asia(fx):
+    v = fx.vertices()
+    starts = v.filter((F.col("ne_type") == "ROUTER") & (F.col("geography_l1") == "ASIA")).select("ne_name")
+    return v, R.hop_table(fx.edges(), fx.parent_edges()), starts
 
 
-@query("r2_affected_nodes", _R1_SQL + """
-SELECT DISTINCT n AS ne_name, v.ne_type FROM (SELECT unnest(path) AS n FROM p WHERE done) z
-JOIN vertices v ON v.ne_name = z.n""", views=("vertices", "edges", "parent_edges"))
+# A vertex is on a simple path from a start to a site T, of any length, iff no other vertex cuts it off
+# from what is left of {start, T}.  The twin takes every vertex of the pop away in turn.
+_R2_SQL = f"""
+WITH RECURSIVE {_HOPS},
+kind AS (SELECT ne_name, upper(ne_type) AS ne_type, pop_id, geography_l1 FROM vertices WHERE pop_id IS NOT NULL),
+one_way AS (SELECT h.a, CASE WHEN y.ne_type = 'AGG' THEN 'T' || y.pop_id ELSE h.b END AS b, x.pop_id
+  FROM hops h JOIN kind x ON x.ne_name = h.a JOIN kind y ON y.ne_name = h.b AND y.pop_id = x.pop_id
+  WHERE x.ne_type IN ('ROUTER', 'SWITCH') AND y.ne_type IN ('ROUTER', 'SWITCH', 'AGG')),
+g AS MATERIALIZED (SELECT a, b, pop_id FROM one_way UNION SELECT b, a, pop_id FROM one_way),
+v AS MATERIALIZED (SELECT DISTINCT a AS v, pop_id FROM g),
+st AS (SELECT ne_name AS s, pop_id FROM kind WHERE ne_type = 'ROUTER' AND geography_l1 = 'ASIA'),
+plain(s, pop_id, v) AS (SELECT s, pop_id, s FROM st
+  UNION SELECT p.s, p.pop_id, g.b FROM plain p JOIN g ON g.a = p.v WHERE NOT starts_with(p.v, 'T')),
+ok AS MATERIALIZED (SELECT DISTINCT s, pop_id, v AS t FROM plain WHERE starts_with(v, 'T')),
+walk(s, cut, v) AS (
+  SELECT ok.s, v.v, e.e FROM ok JOIN v ON v.pop_id = ok.pop_id, LATERAL (SELECT unnest([ok.s, ok.t]) AS e) e
+  WHERE v.v <> e.e
+  UNION SELECT w.s, w.cut, g.b FROM walk w JOIN g ON g.a = w.v WHERE g.b <> w.cut),
+on_path AS (SELECT w.s, w.v FROM walk w JOIN ok ON ok.s = w.s GROUP BY w.s, w.v, ok.pop_id
+  HAVING count(*) = (SELECT count(*) FROM v z WHERE z.pop_id = ok.pop_id) - 1)
+SELECT DISTINCT x.ne_name, x.ne_type FROM vertices x JOIN on_path o
+ON o.v = CASE WHEN upper(x.ne_type) = 'AGG' THEN 'T' || x.pop_id ELSE x.ne_name END"""
+
+
+@query("r2_affected_nodes", _R2_SQL, views=("vertices", "edges", "parent_edges"))
 def r2_affected_nodes(fx):
-    """R2: distinct elements on those paths."""
-    return R.affected_nodes(_r1(fx), fx.vertices())
+    """R2: distinct elements on the paths of any length from ASIA routers through same-pop routers /
+    switches to an AGG site."""
+    return R.vertices_on_paths(*_asia(fx), ["ROUTER", "SWITCH"], term_types=["AGG"], same_attr="pop_id")
 
 
-_R3_TOP = _R1_SQL + """
+# The twin goes on, hop by hop, with every start that has fewer than three paths so far.
+_R3_TOP = f"""
+WITH RECURSIVE {_HOPS},
+st AS (SELECT ne_name AS start_ne, pop_id AS sa FROM vertices WHERE ne_type = 'ROUTER' AND geography_l1 = 'ASIA'),
+p(start_ne, sa, last, path, depth, done, found) AS (
+  SELECT start_ne, sa, start_ne, [start_ne], 0, false, 0 FROM st
+  UNION ALL
+  SELECT start_ne, sa, last, path, depth, done, (found + sum(done::INT) OVER (PARTITION BY start_ne))::INT
+  FROM (SELECT p.start_ne, p.sa, h.b AS last, list_append(p.path, h.b) AS path, p.depth + 1 AS depth,
+               upper(v.ne_type) IN ('AGG') AS done, p.found
+        FROM p JOIN hops h ON h.a = p.last JOIN vertices v ON v.ne_name = h.b
+        WHERE NOT p.done AND p.found < 3 AND NOT list_contains(p.path, h.b)
+          AND upper(v.ne_type) IN ('ROUTER', 'SWITCH', 'AGG') AND v.pop_id = p.sa) z)
 , top AS (SELECT * FROM (SELECT start_ne, last AS end_ne, depth, path, row_number() OVER (
     PARTITION BY start_ne ORDER BY depth, array_to_string(path, '>')) AS rn FROM p WHERE done) z WHERE rn <= 3)
 """
 
 
+def _r3(fx):
+    v, hops, starts = _asia(fx)
+    return R.backhaul(v, hops, fx.edges(), starts, ["ROUTER", "SWITCH"], 3, term_types=["AGG"], same_attr="pop_id")
+
+
 @query("r3_backhaul_paths", _R3_TOP + """
 SELECT start_ne, end_ne, depth, array_to_string(path, '>') AS path FROM top""",
        views=("vertices", "edges", "parent_edges"))
 def r3_backhaul_paths(fx):
-    """The 3 shortest backhaul paths per start."""
-    top, _ = R.backhaul(_r1(fx), fx.edges(), 3)
+    """The 3 shortest backhaul paths per start, of any length."""
+    top, _ = _r3(fx)
     return top.select("start_ne", "end_ne", "depth", F.array_join("path", ">").alias("path"))
 
 
@@ -76,7 +130,7 @@ SELECT * FROM edges WHERE relation = 'LLDP' AND (start_ne IN (SELECT ne_name FRO
        views=("vertices", "edges", "parent_edges"))
 def r3_backhaul_links(fx):
     """Physical links touching any node on the chosen backhaul paths."""
-    _, links = R.backhaul(_r1(fx), fx.edges(), 3)
+    _, links = _r3(fx)
     return links
 
 
@@ -176,8 +230,8 @@ def r7_children_by_type(fx):
     return R.children_by_type(fx.vertices())
 
 
-@query("r8_path_hops", _R1_SQL + """
-, paths AS (SELECT array_to_string(path, '>') AS path_id, path FROM p WHERE done),
+@query("r8_path_hops", _R3_TOP + """
+, paths AS (SELECT array_to_string(path, '>') AS path_id, path FROM top),
 steps AS (SELECT path_id, i - 1 AS hop, path[i] AS ne_name, path[i + 1] AS next_ne
           FROM paths, range(1, len(path)) t(i)),
 k AS (SELECT start_ne AS ne_name, end_ne AS next_ne, src_interface, dest_interface, relation, link_type_key,
@@ -191,8 +245,9 @@ SELECT s.path_id, s.hop, s.ne_name, s.next_ne, b.relation, b.port, b.next_port
 FROM steps s LEFT JOIN best b ON s.ne_name = b.ne_name AND s.next_ne = b.next_ne""",
        views=("vertices", "edges", "parent_edges"))
 def r8_path_hops(fx):
-    """The R1 paths as ordered hop rows with oriented ports."""
-    return R.path_hops(_r1(fx), fx.edges())
+    """The R3 paths as ordered hop rows with oriented ports."""
+    top, _ = _r3(fx)
+    return R.path_hops(top, fx.edges())
 
 
 @query("r9_paths_to_target", f"""
