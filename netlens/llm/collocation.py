@@ -325,8 +325,11 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
              .groupBy("lang", "phrase", "a", "n")
              .agg(F.min(F.struct("score", "cut", "l", "r")).alias("__cut"))
              .select("lang", "phrase", "a", "__cut.l", "__cut.r", "n", "__cut.score"))
-    ranked = worst.withColumn("rank", F.expr(
-        "row_number() over (partition by lang order by score desc, a desc, phrase)").cast("long"))
+    best = "row_number() over (partition by {} order by score desc, a desc, phrase)"
+    if top is not None:  # first within parts of a language, so that no task ranks all its phrases
+        worst = (worst.withColumn("__part", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+                 .withColumn("__rank", F.expr(best.format("lang, __part"))).filter(F.col("__rank") <= top))
+    ranked = worst.withColumn("rank", F.expr(best.format("lang")).cast("long"))
     if top is not None:
         ranked = ranked.filter(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
