@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_array, probe, stored, text_of
+from .common import bit_array, bits_for, probe, stored, text_of
 
 SHARDS, MIN_COUNT, MAX_WORDS = 8, 100, 5
 MAX_BITS = 1 << 28
@@ -253,8 +253,7 @@ def _exact_counts(texts: DataFrame, tables: list) -> DataFrame:
 
 def _table(keys: DataFrame):
     """The bit table of the ``key`` column: 16 bits a key, 2**16 at least, ``MAX_BITS`` at most."""
-    bits = min(MAX_BITS, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
-    return bit_array(keys, "key", bits)
+    return bit_array(keys, "key", bits_for(keys.count(), MAX_BITS))
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS,

@@ -82,6 +82,11 @@ def train_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str)
 BITS = 1 << 23
 
 
+def bits_for(keys: int, most: int, least: int = 1 << 16) -> int:
+    """Bits of a table for so many keys: 16 each as a power of two, ``least`` to ``most``."""
+    return min(most, max(least, 1 << (16 * keys).bit_length()))
+
+
 def _slot(key: Column, bits: int) -> Column:
     return F.pmod(key, F.lit(bits))
 

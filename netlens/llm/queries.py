@@ -80,8 +80,8 @@ WINDOW copies AS (PARTITION BY coalesce(text, ''))
 """
 
 def op7_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the sentences of repeated spans, but for their first place."""
-    return span_dedup(table(spark, sf_dir, "documents"))
+    """Every document without the sentences of spans that stand in an earlier document."""
+    return span_dedup(table(spark, sf_dir, "documents"), within=False)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

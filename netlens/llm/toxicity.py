@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bit_array, stored, train_rows, train_texts, with_column
+from .common import bit_array, bits_for, stored, train_rows, train_texts, with_column
 
 MAX_PER_CLASS = 8000
 MIN_DOCS, MIN_WEIGHT = 4, 3.0
@@ -181,7 +181,7 @@ def _level_counts(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     at least each level's density.  Tasks leave out most other patterns by a bit table of the
     candidates (16 bits a pattern, 8 MB at most); the join drops the rest."""
     keys = candidates.select(F.xxhash64("key").alias("h"))
-    bits = min(1 << 26, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
+    bits = bits_for(keys.count(), 1 << 26)
     shared = rows.sparkSession.sparkContext.broadcast(bit_array(keys, "h", bits))
 
     def run(batches):
