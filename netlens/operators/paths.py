@@ -32,11 +32,22 @@ from .. import schema as S
 from ..session import materialize
 
 
+def without_bundles(edges: DataFrame) -> DataFrame:
+    """The links that are no part of a bundle (no ``src_bundle`` and no ``dest_bundle``)."""
+    for c in ("src_bundle", "dest_bundle"):
+        if c in edges.columns:
+            edges = edges.filter(F.coalesce(F.trim(F.col(c)), F.lit("")) == "")
+    return edges
+
+
 def hop_table(edges: DataFrame, parent_edges: DataFrame | None = None,
-              relations: list[str] | None = None) -> DataFrame:
+              relations: list[str] | None = None, skip_bundles: bool = False) -> DataFrame:
     """Undirected element adjacency ``(a, b)``, one row per distinct pair and
-    direction, from links (optionally of some relations) and parent edges."""
+    direction, from links (optionally of some relations, or none that is part of a
+    bundle) and parent edges."""
     e = edges if not relations else edges.filter(F.col("relation").isin(relations))
+    if skip_bundles:
+        e = without_bundles(e)
     parts = [e.select(F.col("start_ne").alias("a"), F.col("end_ne").alias("b"))]
     if parent_edges is not None:
         parts.append(parent_edges.select(F.col("start_ne").alias("a"), F.col("end_ne").alias("b")))
@@ -399,6 +410,104 @@ def impact(vertices: DataFrame, hops: DataFrame, element: str,
     return nodes, links
 
 
+def port_links(edges: DataFrame, parent_edges: DataFrame | None = None) -> DataFrame:
+    """Links seen from either end: (a, a_port, b, b_port, bundled).  Ports are the interface
+    suffixes; parent edges have none."""
+    def port(c):
+        return F.regexp_replace(c, "^.*_", "")
+
+    bundled = reduce(lambda x, y: x | y, [F.coalesce(F.trim(F.col(c)), F.lit("")) != ""
+                                          for c in ("src_bundle", "dest_bundle") if c in edges.columns], F.lit(False))
+    one = edges.select(F.col("start_ne").alias("a"), port("src_interface").alias("a_port"),
+                       F.col("end_ne").alias("b"), port("dest_interface").alias("b_port"), bundled.alias("bundled"))
+    if parent_edges is not None:
+        none = F.lit(None).cast("string")
+        one = one.unionByName(parent_edges.select(F.col("start_ne").alias("a"), none.alias("a_port"),
+                                                  F.col("end_ne").alias("b"), none.alias("b_port"),
+                                                  F.lit(False).alias("bundled")))
+    back = one.select(F.col("b").alias("a"), F.col("b_port").alias("a_port"), F.col("a").alias("b"),
+                      F.col("a_port").alias("b_port"), "bundled")
+    return one.unionByName(back).filter("a is not null and b is not null and a <> b").distinct()
+
+
+def correlated_connectivity(vertices: DataFrame, links: DataFrame, element: str, port: str | None = None,
+                            levels: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """R5 by the level rule: what hangs on ``element`` (or on one ``port`` of it).
+
+    ``links`` is ``port_links``; ``levels`` gives each type its level, 1 on top.
+
+    1. A neighbour (by a link on the port) is *served* if it still reaches a higher level
+       without the element: over vertices of its own level or higher and no bundle, up to the
+       first vertex of a higher type (the element's own type does not end it, if there
+       is another; at the top, another vertex of the same type does).  One that is
+       not is dependent.
+    2. Dependent vertices spread to neighbours of their own level or lower, except the element.
+       A hop to ``w`` counts if the element's level is not above ``w``'s, or no neighbour of
+       ``w`` is at the element's level or higher, or the element is such a neighbour (by
+       another port, if a port is asked for), or one of them reaches a level above its own.
+
+    Whether a hop counts is a fact of its end alone, so it is worked out once for all vertices
+    (a search per level, not per vertex); the spread is then one reachability search.
+
+    Returns (ne_name, ne_type, dependent) of the element, its neighbours and the dependent
+    vertices, and (a, a_port, b, b_port) of the links by which they were reached."""
+    levels = {t.upper(): n for t, n in (levels or S.DEVICE_LEVELS).items()}
+    level_of = F.create_map(*[F.lit(x) for t, n in levels.items() for x in (t, n)])
+    v = materialize(one_per_name(vertices, "ne_type").select(
+        "ne_name", "ne_type", F.upper("ne_type").alias("_t"), level_of[F.upper("ne_type")].alias("_l"))
+        .filter("_l is not null"), "levels")
+    own = v.filter(F.col("ne_name") == element).select("_t", "_l").first()
+    if own is None:
+        raise ValueError(f"no element {element} of a type with a level")
+    h = materialize(
+        links.join(v.select(F.col("ne_name").alias("a"), F.col("_t").alias("at"), F.col("_l").alias("al")), "a")
+        .join(v.select(F.col("ne_name").alias("b"), F.col("_t").alias("bt"), F.col("_l").alias("bl")), "b"), "level_links")
+    at = h.filter(F.col("a") == element)
+    if port:
+        at = at.filter(F.lower("a_port") == port.lower())
+    near = materialize(at.select(F.col("b").alias("ne_name"), F.col("bt").alias("_t"), F.col("bl").alias("_l"))
+                       .distinct(), "neighbours")
+
+    rest = h.filter((F.col("a") != element) & (F.col("b") != element))
+    served = []
+    for r in near.select("_l").distinct().collect():  # at most one row a level
+        higher = [t for t, n in levels.items() if n < r["_l"]]
+        ends = [t for t in higher if t != own["_t"]] if len(higher) > 1 else higher
+        ends = ends or [t for t, n in levels.items() if n == r["_l"]]
+        # backwards from the last hop: a hop to an end, then hops through what does not end the way
+        up = rest.filter(~F.col("bundled") & (F.col("bl") <= r["_l"]) & (F.col("al") <= r["_l"]))
+        last = up.filter(F.col("bt").isin(ends)).select(F.col("a").alias("ne_name"))
+        through = up.filter(~F.col("bt").isin(ends)).select(F.col("b").alias("a"), F.col("a").alias("b"))
+        served.append(reach(last, through).join(near.filter(F.col("_l") == r["_l"]), "ne_name", "left_semi"))
+    unserved = near if not served else near.join(reduce(DataFrame.unionByName, served), "ne_name", "left_anti")
+
+    # facts for step 2: who reaches a level above its own, and whose hops count
+    lifted = []
+    for n in sorted(x for x in set(levels.values()) if 1 < x <= own["_l"]):
+        same = h.filter((F.col("al") == n) & (F.col("bl") == n)).select("a", "b")
+        lifted.append(reach(h.filter((F.col("al") == n) & (F.col("bl") < n)).select(F.col("a").alias("ne_name")), same))
+    up = (reduce(DataFrame.unionByName, lifted) if lifted else v.limit(0).select("ne_name")).select(
+        F.col("ne_name").alias("b"), F.lit(True).alias("_up"))
+    other_port = F.lower(F.coalesce("b_port", F.lit(""))) != port.lower() if port else F.lit(True)
+    facts = (h.filter((F.col("al") > own["_l"]) & (F.col("bl") <= own["_l"])).join(up.distinct(), "b", "left")
+             .groupBy("a").agg(F.max(((F.col("b") == element) & other_port) | F.coalesce("_up", F.lit(False)))
+                               .alias("_ok")))
+    refused = facts.filter("not _ok").select(F.col("a").alias("b"))
+    spread = materialize(rest.filter(F.col("bl") >= F.col("al")).join(refused, "b", "left_anti")
+                         .select("a", "a_port", "b", "b_port"), "spread")
+    dependent = materialize(reach(unserved.select("ne_name"), spread.select("a", "b")), "dependent")
+
+    flagged = (dependent.withColumn("dependent", F.lit(True))
+               .unionByName(near.select("ne_name").join(dependent, "ne_name", "left_anti")
+                            .withColumn("dependent", F.lit(False)))
+               .unionByName(v.filter(F.col("ne_name") == element).select("ne_name", F.lit(True).alias("dependent"))))
+    nodes = v.select("ne_name", "ne_type").join(flagged, "ne_name")
+    out = (at.select("a", "a_port", "b", "b_port")
+           .unionByName(spread.join(dependent.select(F.col("ne_name").alias("a")), "a", "left_semi")
+                        .select("a", "a_port", "b", "b_port")))
+    return nodes, out
+
+
 def hierarchy(vertices: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Descendants of the roots by ``parent_ne``, depth by depth:
     (ancestor, descendant, descendant type, depth), down to the last level (or

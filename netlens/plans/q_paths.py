@@ -209,6 +209,64 @@ def r5_impact_on_links(fx):
     return nodes
 
 
+_R5_LEVEL_LINKS = """
+two_way AS (SELECT DISTINCT a, a_port, b, b_port FROM (
+  SELECT start_ne AS a, regexp_replace(src_interface, '^.*_', '') AS a_port, end_ne AS b,
+         regexp_replace(dest_interface, '^.*_', '') AS b_port FROM edges WHERE relation = 'LLDP' AND bandwidth >= 48
+  UNION ALL SELECT end_ne, regexp_replace(dest_interface, '^.*_', ''), start_ne,
+         regexp_replace(src_interface, '^.*_', '') FROM edges WHERE relation = 'LLDP' AND bandwidth >= 48
+  UNION ALL SELECT start_ne, NULL, end_ne, NULL FROM parent_edges WHERE src_type IN ('ROUTER', 'AGG')
+  UNION ALL SELECT end_ne, NULL, start_ne, NULL FROM parent_edges WHERE src_type IN ('ROUTER', 'AGG')) z WHERE a <> b),
+lvl AS (SELECT ne_name, ne_type, CASE ne_type WHEN 'CORE' THEN 1 WHEN 'AGG' THEN 2 WHEN 'ROUTER' THEN 3 ELSE 4 END AS l
+        FROM vertices),
+near AS (SELECT DISTINCT b AS v FROM two_way WHERE a = 'Supplier#000000003'),
+g AS (SELECT a, b, x.l AS al, y.l AS bl, y.ne_type AS bt FROM two_way JOIN lvl x ON x.ne_name = a JOIN lvl y ON y.ne_name = b
+      WHERE a <> 'Supplier#000000003' AND b <> 'Supplier#000000003'),
+switch_up(v) AS (SELECT a FROM g WHERE bt IN ('CORE', 'AGG')
+  UNION SELECT g.a FROM switch_up u JOIN g ON g.b = u.v WHERE g.bt NOT IN ('CORE', 'AGG')),
+agg_up(v) AS (SELECT a FROM g WHERE bt = 'CORE' AND al <= 2
+  UNION SELECT g.a FROM agg_up u JOIN g ON g.b = u.v WHERE g.bt <> 'CORE' AND g.al <= 2 AND g.bl <= 2),
+router_up(v) AS (SELECT a FROM two_way JOIN lvl x ON x.ne_name = a JOIN lvl y ON y.ne_name = b WHERE x.l = 3 AND y.l < 3),
+refused AS (SELECT a AS v FROM two_way JOIN lvl x ON x.ne_name = a JOIN lvl y ON y.ne_name = b
+  WHERE x.l > 3 AND y.l <= 3 GROUP BY a
+  HAVING NOT bool_or(b = 'Supplier#000000003' OR b IN (SELECT v FROM router_up) OR (y.l = 2 AND b IN (SELECT v FROM agg_up)))),
+dep(v) AS (
+  SELECT v FROM near JOIN lvl ON ne_name = v WHERE (l = 4 AND v NOT IN (SELECT v FROM switch_up))
+    OR (l = 2 AND v NOT IN (SELECT v FROM agg_up))
+  UNION SELECT g.b FROM dep JOIN g ON g.a = dep.v WHERE g.bl >= g.al AND g.b NOT IN (SELECT v FROM refused))"""
+
+
+def _r5_level(fx):
+    links = fx.edges().filter("relation = 'LLDP' and bandwidth >= 48")
+    up = fx.parent_edges().filter(F.col("src_type").isin("ROUTER", "AGG"))
+    return R.correlated_connectivity(fx.vertices(), R.port_links(links, up), "Supplier#000000003")
+
+
+@query("r5_correlated_nodes", f"""
+WITH RECURSIVE {_R5_LEVEL_LINKS}
+SELECT ne_name, ne_type, ne_name IN (SELECT v FROM dep) OR ne_name = 'Supplier#000000003' AS dependent FROM vertices
+WHERE ne_name IN (SELECT v FROM near UNION SELECT v FROM dep) OR ne_name = 'Supplier#000000003'""",
+       views=("vertices", "edges", "parent_edges"))
+def r5_correlated_nodes(fx):
+    """R5 by the level rule, over wide LLDP links and the routers' and sites' parents: what hangs on
+    Supplier#000000003."""
+    nodes, _ = _r5_level(fx)
+    return nodes
+
+
+@query("r5_correlated_links", f"""
+WITH RECURSIVE {_R5_LEVEL_LINKS}
+SELECT a, a_port, b, b_port FROM two_way WHERE a = 'Supplier#000000003'
+UNION ALL
+SELECT t.a, t.a_port, t.b, t.b_port FROM two_way t JOIN lvl x ON x.ne_name = t.a JOIN lvl y ON y.ne_name = t.b
+WHERE t.a IN (SELECT v FROM dep) AND y.l >= x.l AND t.b <> 'Supplier#000000003' AND t.b NOT IN (SELECT v FROM refused)""",
+       views=("vertices", "edges", "parent_edges"))
+def r5_correlated_links(fx):
+    """R5 by the level rule: the links of that."""
+    _, links = _r5_level(fx)
+    return links
+
+
 @query("r7_hierarchy", """
 WITH RECURSIVE d(ancestor, descendant, descendant_type, depth) AS (
   SELECT r.ne_name, c.ne_name, c.ne_type, 1 FROM vertices r JOIN vertices c ON c.parent_ne = r.ne_name

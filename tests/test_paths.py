@@ -108,3 +108,107 @@ def test_no_starts_and_no_termination(spark):
     for st in (v, v.limit(0)):
         assert R.shortest_paths(v, hops, st, ["ROUTER"], max_paths=3, **PICK).count() == 0
         assert R.vertices_on_paths(v, hops, st, ["ROUTER"], **PICK).count() == 0
+
+
+# ------------------------------------------------------------ R5 by the level rule, R4 over bundles
+LEVEL = {"C": ("CORE", 1), "A": ("AGG", 2), "R": ("ROUTER", 3), "S": ("SWITCH", 4)}
+
+
+def level_graph(spark, links):
+    """Links (a, b) or (a, a_port, b, b_port[, bundled]); a name's first letter is its type."""
+    rows = [(k[0], "1", k[1], "1", False) if len(k) == 2 else (*k, False)[:5] for k in links]
+    names = {n for r in rows for n in (r[0], r[2])}
+    v = spark.createDataFrame([(n, "VERTEX", LEVEL[n[0]][0], 1) for n in names], V).coalesce(1)
+    both = rows + [(b, q, a, p, x) for a, p, b, q, x in rows]
+    return v, spark.createDataFrame(both, "a string, a_port string, b string, b_port string, bundled boolean").coalesce(1)
+
+
+def hanging(spark, links, element, port=None):
+    nodes, out = R.correlated_connectivity(*level_graph(spark, links), element, port)
+    got = {r.ne_name: r.dependent for r in nodes.collect()}
+    assert got.pop(element) is True
+    return got, {frozenset((r.a, r.b)) for r in out.collect()}
+
+
+def brute_hanging(links, element):
+    near = defaultdict(set)
+    for a, b in links:
+        near[a].add(b)
+        near[b].add(a)
+
+    def l(n):
+        return LEVEL[n[0]][1]
+
+    def reaches(v, ends, allowed, without):
+        open_, seen = [v], {v}
+        while open_:
+            for w in near[open_.pop()]:
+                if w != without and w not in seen and l(w) <= allowed:
+                    if w[0] in ends:
+                        return True
+                    seen.add(w)
+                    open_.append(w)
+        return False
+
+    def served(v):
+        higher = [t for t in "CARS" if LEVEL[t][1] < l(v)]
+        ends = [t for t in higher if t != element[0]] if len(higher) > 1 else higher
+        return reaches(v, ends or [v[0]], l(v), element)
+
+    def counts(w):
+        if l(element) >= l(w):
+            return True
+        at = [x for x in near[w] if l(x) <= l(element)]
+        return not at or element in at or any(
+            reaches(x, [t for t in "CARS" if LEVEL[t][1] < l(x)], l(x), None) for x in at)
+    dependent = {v for v in near[element] if not served(v)}
+    open_ = list(dependent)
+    while open_:
+        u = open_.pop()
+        for w in near[u]:
+            if w != element and w not in dependent and l(w) >= l(u) and counts(w):
+                dependent.add(w)
+                open_.append(w)
+    return {v: v in dependent for v in dependent | near[element]}
+
+
+def test_level_rule_by_hand(spark):
+    # S2 has another router with a way up, S3's other router has none; S1 and what hangs on it have
+    # none but R1; S5 does not follow, as its router R3 is neither R1 nor leads up
+    links = [("C1", "A1"), ("A1", "R1"), ("A1", "R2"), ("R1", "S1"), ("R1", "S2"), ("R2", "S2"), ("R1", "S3"),
+             ("R3", "S3"), ("S1", "S4"), ("S4", "S5"), ("S5", "R3"), ("S4", "S6")]
+    got, out = hanging(spark, links, "R1")
+    assert got == brute_hanging(links, "R1")
+    assert got == {"A1": False, "S1": True, "S2": False, "S3": True, "S4": True, "S6": True}
+    assert out == {frozenset(k) for k in (("R1", "A1"), ("R1", "S1"), ("R1", "S2"), ("R1", "S3"), ("S1", "S4"),
+                                          ("S4", "S6"))}
+
+
+def test_level_rule_on_one_port_and_over_bundles(spark):
+    links = [("C1", "1", "A1", "1"), ("A1", "2", "R1", "1"), ("R1", "2", "S1", "1"), ("R1", "3", "S2", "1"),
+             ("A1", "3", "R2", "1"), ("R2", "2", "S2", "2", True)]
+    got, out = hanging(spark, links, "R1", "2")
+    assert got == {"S1": True} and out == {frozenset(("R1", "S1"))}
+    got, _ = hanging(spark, links, "R1", "3")
+    assert got == {"S2": True}  # its other way is a bundle
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_level_rule_on_random_graphs(spark, seed):
+    rng = random.Random(seed)
+    names = ["C1", "C2", "A1", "A2", "R1", "R2", "R3", "R4", "S1", "S2", "S3", "S4", "S5", "S6"]
+    links = sorted({tuple(sorted(rng.sample(names, 2))) for _ in range(18)})
+    for element in ("R1", "A1"):
+        if any(element in k for k in links):
+            got, _ = hanging(spark, links, element)
+            assert got == brute_hanging(links, element)
+
+
+def test_reach_through_a_bundle_only_is_no(spark):
+    v = spark.createDataFrame([(n, "VERTEX", t, 1) for n, t in (("s", "SWITCH"), ("r", "ROUTER"), ("t", "AGG"))], V)
+    edges = spark.createDataFrame(
+        [("LLDP", "s", "r", "b1", None), ("LLDP", "r", "t", None, " ")],
+        "relation string, start_ne string, end_ne string, src_bundle string, dest_bundle string")
+    for skip, want in ((False, True), (True, False)):
+        hops = R.hop_table(edges, skip_bundles=skip)
+        assert R.level_reachable(v, hops, "s", ["AGG"], ["ROUTER"], None).first().reachable is want
