@@ -1,10 +1,10 @@
 """Substring de-duplication by sliding sentence spans.
 
 A text is cut into sentences (after ``.``, ``!`` or ``?`` before white space, and at
-line ends), and a sentence of more than 50 characters into parts, after ``,``, ``;`` or
-``:`` and after words of eight characters or more.  The cuts depend on the words around
-them only, so a passage that begins and ends anywhere in other sentences is cut
-alike wherever it stands; "sentences" below are these parts.  A span is a shortest run of consecutive sentences, from a sentence
+line ends), and a sentence of more than 50 characters into parts of over 24, after
+``,``, ``;`` or ``:`` and after words of eight characters or more.  So a passage that
+begins and ends anywhere in other sentences is cut alike wherever it stands, but for its
+first part; "sentences" below are these parts.  A span is a shortest run of consecutive sentences, from a sentence
 onwards or back from one, that holds at least ``min_sentences`` sentences and
 ``min_words`` words, or ``long_words`` words however few its sentences.  Taking the
 shortest runs in both directions is enough: every longer repeated run is the union of
@@ -47,17 +47,18 @@ from .common import bit_array, bit_table, bits_for, flag_members, probe, stored,
 
 MIN_SENTENCES, MIN_WORDS, LONG_WORDS = 3, 25, 50
 MAX_BITS, MARK_BITS = 1 << 29, 1 << 25  # ceilings of the bit tables: 64 MB and 4 MB
-BREAK = re.compile(r"(?:[.!?]+(?=\s)|\n)\s*")
-PART, LONG_SENTENCE = re.compile(r"(?:[,;:]|\S{8})\s+"), 50
+BREAK = re.compile(r"[.!?\n](?:(?<=\n)|[.!?]*(?=\s))\s*")
+PART, LONG_SENTENCE, SHORT_PART = re.compile(r"(?:[,;:]|\S{8})\s+"), 50, 24
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """(start, end) of each sentence, or part of a long one, with the white space behind it;
     together the text."""
     ends, at = [], 0
-    for end in [*(m.end() for m in BREAK.finditer(text)), len(text)]:
-        if end - at > LONG_SENTENCE:
-            ends += [m.end() for m in PART.finditer(text, at, end) if m.end() < end]
+    for end in [*[m.end() for m in BREAK.finditer(text)], len(text)]:
+        while end - at > LONG_SENTENCE and (m := PART.search(text, at + SHORT_PART, end)) and m.end() < end:
+            at = m.end()
+            ends.append(at)
         if end > at:
             ends.append(end)
         at = end
@@ -69,7 +70,9 @@ class Spans:
 
     def __init__(self, text: str, min_sentences: int, min_words: int, long_words: int):
         self.cuts = sentences(text)
-        keys = [text[a:b].lower().split() for a, b in self.cuts]
+        lower = text.lower()
+        keys = ([lower[a:b].split() for a, b in self.cuts] if len(lower) == len(text) else
+                [text[a:b].lower().split() for a, b in self.cuts])
         words = np.cumsum([0, *map(len, keys)])
         joined = [" ".join(k).encode() for k in keys]
         self._at = np.cumsum([0, *(len(j) + 1 for j in joined)]).tolist()
