@@ -38,28 +38,59 @@ def merge_vertices(snapshot: DataFrame, incoming: DataFrame, order: list[str] |
     """Upsert vertices.  Matched keys take each incoming non-null value
     (``coalesce(new, old)``), unmatched incoming keys are inserted, snapshot
     rows without incoming keep as they are.  Edge-only columns of the input
-    are dropped.  Returns ``(new_snapshot, outcomes)`` where outcomes has one
-    row per incoming key with ``outcome`` created / updated."""
+    are dropped.  If the snapshot has a map ``attrs``, incoming columns that it
+    does not know are kept there as text, key by key under the same rule (no nulls).
+    Returns ``(new_snapshot, outcomes)`` where outcomes has one row per incoming
+    key with ``outcome`` created / updated."""
     key = key or S.VERTEX_KEY
     order = order or ["last_discovery_ts"]
     if "relation" in key:  # a vertex without relation is one vertex, stored or incoming
         snapshot = snapshot.withColumn("relation", F.coalesce("relation", F.lit("")))
-    inc = incoming.drop(*[c for c in S.EDGE_ONLY_PROPERTIES if c in incoming.columns])
+    inc = incoming.drop(*[c for c in S.EDGE_ONLY_PROPERTIES if c in incoming.columns and c not in order])
     inc = inc.withColumn("relation", F.coalesce(F.col("relation"), F.lit("")))
+    open_map = "attrs" in snapshot.columns
+    if open_map:
+        inc = _with_attrs(inc, [c for c in inc.columns if c not in snapshot.columns
+                                and c not in S.EDGE_ONLY_PROPERTIES], order)
     inc = dedupe_last(inc, key, order)
-    cols = [c for c in snapshot.columns if c not in key]
-    o = snapshot.select(*key, *[F.col(c).alias(f"o_{c}") for c in cols], F.lit(True).alias("_old"))
+    cols = [c for c in snapshot.columns if c not in key and c != "attrs"]
+    maps = ["attrs"] if open_map else []
+    o = snapshot.select(*key, *[F.col(c).alias(f"o_{c}") for c in cols + maps], F.lit(True).alias("_old"))
     n = inc.select(*key, *[F.col(c).alias(f"n_{c}") if c in inc.columns else
-                           F.lit(None).alias(f"n_{c}") for c in cols], F.lit(True).alias("_new"))
+                           F.lit(None).alias(f"n_{c}") for c in cols + maps], F.lit(True).alias("_new"))
     j = o.join(n, key, "full_outer")
-    merged = j.select(*key, *[F.coalesce(F.col(f"n_{c}"), F.col(f"o_{c}")).cast(snapshot.schema[c].dataType)
-                              .alias(c) for c in cols])
+    changed = changed_properties_expr(cols)
+    out = [F.coalesce(F.col(f"n_{c}"), F.col(f"o_{c}")).cast(snapshot.schema[c].dataType).alias(c) for c in cols]
+    if open_map:
+        old, new = _no_nulls("o_attrs"), _no_nulls("n_attrs")
+        out.append(F.map_zip_with(old, new, lambda k, a, b: F.coalesce(b, a)).alias("attrs"))
+        differs = F.map_filter(new, lambda k, b: ~b.eqNullSafe(F.try_element_at(old, k)))
+        changed = F.concat(changed, F.array_sort(F.map_keys(differs)))
+    merged = j.select(*key, *out)
     outcome = (j.filter(F.col("_new").isNotNull())
                .select(*key, F.when(F.col("_old").isNotNull(), "updated").otherwise("created").alias("outcome"),
-                       changed_properties_expr(cols).alias("changed")))
+                       changed.alias("changed")))
     return merged.select(*snapshot.columns), outcome
 
 
+def _no_nulls(attrs: str) -> Column:
+    """The map without null values; no map is an empty one."""
+    empty = F.create_map().cast("map<string,string>")
+    return F.map_filter(F.coalesce(F.col(attrs), empty), lambda k, v: v.isNotNull())
+
+
+def _with_attrs(df: DataFrame, extra: list[str], order: list[str]) -> DataFrame:
+    """``df`` with its ``extra`` columns as text in the map ``attrs`` (nulls left out, what it
+    already holds kept unless an extra column has its name)."""
+    pairs = [x for c in extra for x in (F.lit(c), F.col(c).cast("string"))]
+    made = F.create_map(*pairs).cast("map<string,string>")
+    if "attrs" in df.columns:
+        made = F.map_zip_with(F.coalesce(F.col("attrs"), F.create_map().cast("map<string,string>")), made,
+                              lambda k, a, b: F.coalesce(b, a))
+    return (df.withColumn("attrs", F.map_filter(made, lambda k, v: v.isNotNull()))
+            .drop(*[c for c in extra if c not in order]))
+
+
 def changed_properties_expr(cols: list[str], time_cols: tuple[str, ...] = ("last_discovery_ts",)) -> Column:
     """U4: names of columns whose incoming value is non-null and differs from
     the stored one; time columns count whenever non-null."""
@@ -75,10 +106,11 @@ def changed_properties_expr(cols: list[str], time_cols: tuple[str, ...] = ("last
 
 
 def merge_edges(snapshot: DataFrame, incoming: DataFrame, vertices: DataFrame,
-                run_ts: str, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                run_ts: str, order: list[str] | None = None,
+                ends: tuple[str, str] = ("start_ne", "end_ne")) -> tuple[DataFrame, DataFrame]:
     """Upsert edges keyed by (src_interface, dest_interface, relation,
-    link_type_key).  Incoming rows whose start or end element does not exist
-    are skipped.  Matched edges take the incoming row's columns (null included),
+    link_type_key).  Incoming rows whose ends (the elements; with ``ends`` the interfaces)
+    do not both exist are skipped.  Matched edges take the incoming row's columns (null included),
     but keep circuit id, link type, status and creation time; ``start_ne`` /
     ``end_ne`` (and their ids) change only when non-blank.  New edges get status
     ACTIVE and ``created_at = run_ts``.  Skipped rows go through the same join
@@ -90,8 +122,9 @@ def merge_edges(snapshot: DataFrame, incoming: DataFrame, vertices: DataFrame,
     inc = dedupe_last(inc.select(*keep, *[c for c in order if c not in keep]), S.EDGE_KEY, order).select(*keep)
     names = vertices.select("ne_name").distinct()
     starts = names.select(F.col("ne_name").alias("_sn"))
-    ends = names.select(F.col("ne_name").alias("_en"))
-    inc = inc.join(starts, inc.start_ne == starts._sn, "left").join(ends, F.col("end_ne") == ends._en, "left")
+    others = names.select(F.col("ne_name").alias("_en"))
+    inc = (inc.join(starts, F.col(ends[0]) == F.col("_sn"), "left")
+           .join(others, F.col(ends[1]) == F.col("_en"), "left"))
     inc = inc.withColumn("_ok", F.col("_sn").isNotNull() & F.col("_en").isNotNull()).drop("_sn", "_en")
     cols = [c for c in snapshot.columns if c not in S.EDGE_KEY]
     o = snapshot.select(*S.EDGE_KEY, *[F.col(c).alias(f"o_{c}") for c in cols], F.lit(True).alias("_old"))
@@ -121,56 +154,78 @@ def merge_edges(snapshot: DataFrame, incoming: DataFrame, vertices: DataFrame,
     return merged.select(*snapshot.columns), outcome
 
 
-# U5 column map: vertex column -> (edge column at source end, at destination end)
-PROPAGATE_MAP = {
-    "latitude": ("src_lat", "dest_lat"),
-    "longitude": ("src_long", "dest_long"),
-    "ne_category": ("src_category", "dest_category"),
-    "vendor": ("src_vendor", "dest_vendor"),
-    "technology": ("src_technology", "dest_technology"),
-    "domain": ("src_domain", "dest_domain"),
-    "ne_type": ("src_type", "dest_type"),
-    "ne_id": ("start_ne_id", "end_ne_id"),
+# U5 column map: vertex column -> edge column, by the end the vertex stands at
+SOURCE_COLUMNS = {
+    "tag": "tag", "area_ip_address": "area_ip_address", "src_bandwidth": "src_bandwidth",
+    "latitude": "src_lat", "longitude": "src_long", "is_deleted": "is_deleted",
+    "ne_category": "src_category", "vendor": "src_vendor", "technology": "src_technology",
+    "domain": "src_domain", "ne_type": "src_type", "hostname": "line_name", "ne_status": "status",
+    "ne_id": "start_ne_id", "parent_ne": "start_ne", "ckt_id": "ckt_id",
+}
+DESTINATION_COLUMNS = {
+    "dest_bandwidth": "dest_bandwidth", "latitude": "dest_lat", "longitude": "dest_long",
+    "is_deleted": "is_deleted", "ne_category": "dest_category", "vendor": "dest_vendor",
+    "technology": "dest_technology", "domain": "dest_domain", "ne_type": "dest_type",
+    "hostname": "line_name", "ne_status": "status", "ne_id": "end_ne_id", "parent_ne": "end_ne",
+    "ckt_id": "ckt_id",
 }
 
 
+def change_table(changed: DataFrame) -> DataFrame:
+    """(ne_name, relation, column, value): each changed vertex's new values as text, one row a
+    column that is in ``changed`` and not null, and its discovery time."""
+    known = sorted({*SOURCE_COLUMNS, *DESTINATION_COLUMNS} & set(changed.columns))
+    attrs = {c for c in {*SOURCE_COLUMNS, *DESTINATION_COLUMNS} - set(known)} if "attrs" in changed.columns else set()
+
+    def pair(name: str, value: Column, counts: Column) -> Column:
+        return F.when(counts & value.isNotNull(), F.struct(F.lit(name).alias("column"),
+                                                           value.cast("string").alias("value")))
+
+    listed = F.col("changed")
+    pairs = [pair(c, F.col(c), F.array_contains(listed, c)) for c in known]
+    pairs += [pair(c, F.try_element_at(F.col("attrs"), F.lit(c)), F.array_contains(listed, c)) for c in sorted(attrs)]
+    pairs.append(pair("last_discovery_ts", F.col("last_discovery_ts"), F.lit(True)))
+    return (changed.select("ne_name", F.coalesce("relation", F.lit("")).alias("relation"),
+                           F.inline(F.array_compact(F.array(*pairs)))))
+
+
 def propagate_vertex_changes(edges: DataFrame, changed: DataFrame) -> DataFrame:
-    """U5 + U6: push changed vertex values onto the links whose source (or
-    destination) end is that vertex.  ``changed`` has ``ne_name``, a
-    ``changed`` array of column names and the new values; a value is copied
-    only when it is in ``changed`` and non-null.  Links touching a changed
-    vertex take its discovery time.  Two equi joins (source side, destination
-    side) on the element name."""
-    e = edges
-    for src_c, dst_c in PROPAGATE_MAP.values():
-        for c in (src_c, dst_c):
-            if c not in e.columns:
-                e = e.withColumn(c, F.lit(None).cast("string"))
-    vcols = [c for c in PROPAGATE_MAP if c in changed.columns]
-
-    def side(prefix: str) -> DataFrame:
-        return changed.select(F.col("ne_name").alias(f"{prefix}_name"), F.col("changed").alias(f"{prefix}_chg"),
-                              F.col("last_discovery_ts").alias(f"{prefix}_ts"),
-                              *[F.col(c).alias(f"{prefix}_{c}") for c in vcols])
-
-    s, d = side("s"), side("d")
-    j = e.join(s, e.start_ne == s.s_name, "left").join(d, e.end_ne == d.d_name, "left")
+    """U5 + U6: push changed vertex values onto the links of the same relation whose source (or
+    destination) interface is that vertex.  ``changed`` has the vertex key, a ``changed`` array
+    of column names and the new values; a value is copied only when it is listed and not
+    null.  Links at a changed vertex take its discovery time.  Where both ends of a link
+    set one column, the source end's value stays.
+
+    The changes are a narrow table of (name, relation, column, value).  Both ends of the links,
+    as keys only, meet it in one join; what hits is gathered per link (at most a value a
+    column and end) and joined back, so untouched links pass one join with a small side."""
+    table = change_table(changed)
+    at = F.coalesce("relation", F.lit(""))
+
+    def end(interface: str, names: dict, rank: int) -> DataFrame:
+        column = F.create_map(*[F.lit(x) for k, v in {**names, "last_discovery_ts": "last_discovery_ts"}.items()
+                                for x in (k, v)])
+        return edges.select(*S.EDGE_KEY, F.col(interface).alias("_name"), at.alias("_relation"),
+                            F.lit(rank).alias("_rank"), column.alias("_to"))
+
+    ends = end("src_interface", SOURCE_COLUMNS, 0).unionByName(end("dest_interface", DESTINATION_COLUMNS, 1))
+    hits = (ends.join(table.select(F.col("ne_name").alias("_name"), F.col("relation").alias("_relation"),
+                                   "column", "value"), ["_name", "_relation"])
+            .select(*S.EDGE_KEY, F.try_element_at("_to", F.col("column")).alias("_column"), "_rank", "value")
+            .filter("_column is not null")
+            .groupBy(*S.EDGE_KEY, "_column").agg(F.min_by("value", "_rank").alias("value"))
+            .groupBy(*S.EDGE_KEY).agg(F.map_from_entries(F.collect_list(F.struct("_column", "value"))).alias("_new")))
+    key = [c for c in S.EDGE_KEY]
+    mine = hits.select(*[F.col(c).alias(f"_k_{c}") for c in key], "_new")
+    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key]
+    j = edges.join(mine, on, "left")
+    targets = {*SOURCE_COLUMNS.values(), *DESTINATION_COLUMNS.values(), "last_discovery_ts"}
     out = []
-    for c in e.columns:
-        expr = F.col(c)
-        for v, (src_c, dst_c) in PROPAGATE_MAP.items():
-            if v not in vcols:
-                continue
-            if c == src_c:
-                take = F.array_contains(F.col("s_chg"), v) & F.col(f"s_{v}").isNotNull()
-                expr = F.when(take, F.col(f"s_{v}").cast("string")).otherwise(expr.cast("string"))
-            elif c == dst_c:
-                take = F.array_contains(F.col("d_chg"), v) & F.col(f"d_{v}").isNotNull()
-                expr = F.when(take, F.col(f"d_{v}").cast("string")).otherwise(expr.cast("string"))
-        if c == "last_discovery_ts":
-            expr = F.coalesce(F.col("s_ts"), F.col("d_ts"), expr)
-        out.append(expr.cast(e.schema[c].dataType).alias(c) if c not in [x for p in PROPAGATE_MAP.values()
-                                                                              for x in p] else expr.alias(c))
+    for c in [*edges.columns, *sorted(targets - set(edges.columns))]:
+        kind = edges.schema[c].dataType if c in edges.columns else "string"
+        new = F.try_element_at("_new", F.lit(c)).cast(kind)
+        out.append((F.coalesce(new, F.col(c)) if c in edges.columns else new).alias(c)
+                   if c in targets else F.col(c))
     return j.select(*out)
 
 
@@ -189,6 +244,16 @@ def link_child_to_parent(children: DataFrame, vertices: DataFrame, parent_edges:
                       F.col("parent_ne").alias("end_ne"))
 
 
+def row_outcomes(rows: DataFrame, outcomes: DataFrame, key: list[str]) -> DataFrame:
+    """(outcome, rows): what became of every row of a batch, from the outcomes of its keys.  Of the
+    rows of a created key the first creates and the others update it."""
+    per_key = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).join(outcomes.select(*key, "outcome"), key)
+    made = F.col("outcome") == "created"
+    both = F.array(F.struct(F.col("outcome"), F.when(made, 1).otherwise(F.col("_n")).cast("long").alias("rows")),
+                   F.struct(F.lit("updated").alias("outcome"), F.when(made, F.col("_n") - 1).otherwise(0).alias("rows")))
+    return per_key.select(F.inline(both)).groupBy("outcome").agg(F.sum("rows").alias("rows")).filter("rows > 0")
+
+
 def merge_summary(outcomes: dict[str, DataFrame]) -> DataFrame:
     """U8: rows per (stage, outcome) and a TOTAL stage."""
     parts = [df.select(F.lit(stage).alias("stage"), "outcome") for stage, df in outcomes.items()]

@@ -81,26 +81,57 @@ def u4_vertex_outcomes(fx):
     return out.withColumn("changed", F.array_join("changed", ","))
 
 
-@query("u5_propagate_vertex_changes", _V_SQL + f"""
-, ch AS (SELECT k_ne_name AS ne_name, {_changed_sql()} AS changed, coalesce(n_last_discovery_ts, o_last_discovery_ts) AS ts,
-         coalesce(n_vendor, o_vendor) AS vendor, coalesce(n_ne_type, o_ne_type) AS ne_type
-         FROM j WHERE n_key IS NOT NULL AND o_key IS NOT NULL)
-SELECT e.src_interface, e.dest_interface, e.relation, e.link_type, e.link_type_key, e.start_ne, e.end_ne,
-  CASE WHEN list_contains(s.changed, 'ne_type') AND s.ne_type IS NOT NULL THEN s.ne_type ELSE e.src_type END AS src_type,
-  CASE WHEN list_contains(d.changed, 'ne_type') AND d.ne_type IS NOT NULL THEN d.ne_type ELSE e.dest_type END AS dest_type,
-  e.bandwidth, coalesce(s.ts, d.ts, e.last_discovery_ts) AS last_discovery_ts, e.tag, e.area_ip_address, e.ckt_id,
-  e.link_count, e.status, e.is_deleted,
-  CASE WHEN list_contains(s.changed, 'vendor') AND s.vendor IS NOT NULL THEN s.vendor END AS src_vendor,
-  CASE WHEN list_contains(d.changed, 'vendor') AND d.vendor IS NOT NULL THEN d.vendor END AS dest_vendor
-FROM edges e LEFT JOIN ch s ON e.start_ne = s.ne_name LEFT JOIN ch d ON e.end_ne = d.ne_name""",
-       views=("vertices", "edges"))
+_U5_LISTED = ["latitude", "vendor", "ne_type", "ne_status", "hostname", "ne_id", "parent_ne", "tag", "dest_bandwidth",
+              "ckt_id", "is_deleted"]
+
+
+def _targets(names: dict) -> dict[str, str]:
+    return {edge: vertex for vertex, edge in names.items()}
+
+
+def _u5_sql() -> str:
+    source, far = _targets(U.SOURCE_COLUMNS), _targets(U.DESTINATION_COLUMNS)
+    kinds = {"is_deleted": "BOOLEAN", "last_discovery_ts": "TIMESTAMP"}
+    out = []
+    for c in S.EDGE_COLUMNS + sorted({*source, *far} - set(S.EDGE_COLUMNS)):
+        new = [f"{end}.{names[c]}" for end, names in (("s", source), ("d", far)) if names.get(c) in _U5_LISTED]
+        if c == "last_discovery_ts":
+            new = ["s.last_discovery_ts", "d.last_discovery_ts"]
+        if c in S.EDGE_COLUMNS:
+            new = [f"CAST({x} AS {kinds.get(c, 'VARCHAR')})" for x in new]
+            out.append(f"coalesce({', '.join([*new, 'e.' + c])}) AS {c}")
+        else:
+            out.append(f"{'coalesce(' + ', '.join(f'CAST({x} AS VARCHAR)' for x in new) + ')' if new else 'NULL'} AS {c}")
+    return f"""
+WITH ch AS (SELECT ne_name, r.relation, CAST(id % 90 AS INT) AS latitude,
+    CASE WHEN id % 2 = 0 THEN 'V_' || r.relation END AS vendor, 'PORT' AS ne_type,
+    CASE WHEN id % 3 = 0 THEN 'DOWN' END AS ne_status, 'host-' || ne_name AS hostname, ne_id,
+    CASE WHEN id % 10 = 0 THEN 'moved' END AS parent_ne, 't' || r.relation AS tag, CAST(id % 7 AS INT) AS dest_bandwidth,
+    CAST(NULL AS VARCHAR) AS ckt_id, id % 5 = 0 AND id % 4 = 0 AS is_deleted,
+    CASE r.relation WHEN 'LLDP' THEN TIMESTAMP '2002-01-01' ELSE TIMESTAMP '2002-02-02' END AS last_discovery_ts
+  FROM network_element, (SELECT unnest(['LLDP', 'ISIS']) AS relation) r WHERE ne_type = 'INTERFACE' AND id % 5 = 0)
+SELECT {", ".join(out)} FROM edges e
+LEFT JOIN ch s ON s.ne_name = e.src_interface AND s.relation = e.relation
+LEFT JOIN ch d ON d.ne_name = e.dest_interface AND d.relation = e.relation"""
+
+
+@query("u5_propagate_vertex_changes", _u5_sql(), views=("network_element", "edges"))
 def u5_propagate_vertex_changes(fx):
-    """U5 + U6: changed vendor / type and discovery time pushed onto links."""
-    merged, out = _vertex_merge(fx)
-    changed = (out.filter(F.col("outcome") == "updated").select("ne_name", "changed")
-               .join(merged.select("ne_name", "vendor", "ne_type", "last_discovery_ts"), "ne_name"))
-    e = U.propagate_vertex_changes(fx.edges(), changed)
-    return e.select(*S.EDGE_COLUMNS, "src_vendor", "dest_vendor")
+    """U5 + U6: changed interfaces, each under two relations, pushed onto the links of that relation."""
+    when = F.when
+    ch = (fx.network_element().filter("ne_type = 'INTERFACE' and id % 5 = 0")
+          .select("ne_name", F.explode(F.array(F.lit("LLDP"), F.lit("ISIS"))).alias("relation"), "id", "ne_id")
+          .withColumns({
+              "latitude": (F.col("id") % 90).cast("int"),
+              "vendor": when(F.col("id") % 2 == 0, F.concat(F.lit("V_"), "relation")),
+              "ne_type": F.lit("PORT"), "ne_status": when(F.col("id") % 3 == 0, "DOWN"),
+              "hostname": F.concat(F.lit("host-"), "ne_name"), "parent_ne": when(F.col("id") % 10 == 0, "moved"),
+              "tag": F.concat(F.lit("t"), "relation"), "dest_bandwidth": (F.col("id") % 7).cast("int"),
+              "ckt_id": F.lit(None).cast("string"), "is_deleted": F.col("id") % 4 == 0,
+              "domain": F.lit("not listed"),
+              "last_discovery_ts": when(F.col("relation") == "LLDP", "2002-01-01").otherwise("2002-02-02")
+              .cast("timestamp_ntz"), "changed": F.array(*[F.lit(c) for c in _U5_LISTED])}).drop("id"))
+    return U.propagate_vertex_changes(fx.edges(), ch)
 
 
 # -------------------------------------------------------------------- edges

@@ -89,6 +89,44 @@ EDGE_COLUMNS = [
     "status", "is_deleted",
 ]
 
+# columns of the stored graph as the ingestion writes it; whatever else a vertex row holds goes
+# into ``attrs``
+STORED_VERTEX = {
+    "ne_name": "string", "relation": "string", "ne_type": "string", "ne_id": "string",
+    "ne_category": "string", "ne_status": "string", "ne_source": "string", "vendor": "string",
+    "technology": "string", "domain": "string", "parent_ne": "string", "latitude": "double",
+    "longitude": "double", "pop_id": "bigint", "pop_code": "string", "pop_name": "string",
+    "geography_l1": "string", "geography_l2": "string", "geography_l3": "string",
+    "geography_l4": "string", "ipv4": "string", "ipv6": "string", "model": "string",
+    "mac_address": "string", "serial_number": "string", "friendly_name": "string",
+    "hostname": "string", "uuid": "string", "pm_ems_id": "string", "fm_ems_id": "string",
+    "cm_ems_id": "string", "bandwidth": "double", "is_deleted": "boolean",
+    "last_discovery_ts": "timestamp_ntz", "ne_modify_ts": "timestamp_ntz",
+    "if_modify_ts": "timestamp_ntz", "link_modify_ts": "timestamp_ntz", "attrs": "map<string,string>",
+}
+STORED_EDGE = {
+    "src_interface": "string", "dest_interface": "string", "relation": "string", "link_type": "string",
+    "link_type_key": "string", "label": "string", "start_ne": "string", "end_ne": "string",
+    "start_id": "string", "end_id": "string", "start_ne_id": "string", "end_ne_id": "string",
+    "src_type": "string", "dest_type": "string", "src_category": "string", "dest_category": "string",
+    "src_vendor": "string", "dest_vendor": "string", "src_technology": "string",
+    "dest_technology": "string", "src_domain": "string", "dest_domain": "string",
+    "src_lat": "double", "src_long": "double", "dest_lat": "double", "dest_long": "double",
+    "src_bandwidth": "double", "dest_bandwidth": "double", "neighbour_vendor": "string",
+    "neighbour_domain": "string", "neighbour_technology": "string", "ckt_id": "string",
+    "line_name": "string", "tag": "string", "area_ip_address": "string", "lsp_name": "string",
+    "lsp_id": "bigint", "hop_sequence": "int", "status": "string", "is_deleted": "boolean",
+    "created_at": "timestamp_ntz", "last_discovery_ts": "timestamp_ntz",
+}
+# link row column -> stored edge column, where the names differ
+EDGE_FROM_ROW = {
+    "src_interface": "ne_name", "dest_interface": "neighbour_ne_name", "label": "ne_type",
+    "start_ne": "parent_ne", "end_ne": "neighbour_parent_ne_name", "start_ne_id": "ne_id",
+    "end_ne_id": "neighbour_ne_id", "src_lat": "latitude", "src_long": "longitude",
+    "dest_lat": "neighbour_parent_ne_lat", "dest_long": "neighbour_parent_ne_long",
+    "line_name": "hostname",
+}
+
 EDGE_KEY = ["src_interface", "dest_interface", "relation", "link_type_key"]
 VERTEX_KEY = ["ne_name", "relation"]
 
