@@ -515,9 +515,9 @@ def hierarchy(vertices: DataFrame, roots: DataFrame, max_depth: int | None = Non
     join of the current level with the children table; a pair that was found
     before is not followed again, so a cycle ends."""
     child = materialize(
-        vertices.select(F.col("parent_ne").alias("_p"), F.col("ne_name").alias("descendant"),
-                        F.col("ne_type").alias("descendant_type")).filter(F.col("_p").isNotNull()),
-        "children")
+        one_per_name(vertices.filter(F.col("parent_ne").isNotNull()), "parent_ne", "ne_type")
+        .select(F.col("parent_ne").alias("_p"), F.col("ne_name").alias("descendant"),
+                F.col("ne_type").alias("descendant_type")), "children")
     level = roots.select(F.col("ne_name").alias("ancestor"), F.col("ne_name").alias("_p"))
     parts, depth = [], 0
     while max_depth is None or depth < max_depth:
@@ -539,7 +539,7 @@ def children_by_type(vertices: DataFrame) -> DataFrame:
     """R7 (one level): number of children per parent and child type (the
     children themselves are the rows of ``hierarchy`` at depth 1; they are
     not gathered into one list per parent)."""
-    return (vertices.filter(F.col("parent_ne").isNotNull())
+    return (one_per_name(vertices.filter(F.col("parent_ne").isNotNull()), "parent_ne", "ne_type")
             .groupBy(F.col("parent_ne"), F.col("ne_type").alias("child_type"))
             .agg(F.count(F.lit(1)).alias("children")))
 

@@ -198,12 +198,13 @@ def by_pop_id_prefix(vertices, edges, ne_types, prefix: str, relation=None) -> D
 def scope_filter(vertices: DataFrame, scope: DataFrame) -> DataFrame:
     """Q14: keep vertices inside the caller's area of authority.  ``scope``
     rows are (column, value); a vertex is allowed when any rule matches, on
-    whatever text column.  One pass: each vertex becomes its (column, value)
+    whatever column (numbers and times by their text).  One pass: each vertex becomes its (column, value)
     pairs, which meet the rules in one semi join on both; the keys that are
     allowed are joined back."""
-    text = [f.name for f in vertices.schema.fields if f.dataType.simpleString() == "string"]
+    plain = [f.name for f in vertices.schema.fields if not hasattr(f.dataType, "elementType")
+             and not hasattr(f.dataType, "valueType") and not hasattr(f.dataType, "fields")]
     pairs = vertices.select(*S.VERTEX_KEY, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in text])).alias("_p"))
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in plain])).alias("_p"))
     allowed = (pairs.select(*S.VERTEX_KEY, "_p.column", "_p.value").filter(F.col("value").isNotNull())
                .join(scope.select("column", "value"), ["column", "value"], "left_semi")
                .select(*[F.col(c).alias(f"_{c}") for c in S.VERTEX_KEY]).distinct())

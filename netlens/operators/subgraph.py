@@ -264,10 +264,10 @@ def by_ring(vertices: DataFrame, edges: DataFrame, ring_col: str, ring_id: str)
     return links, nodes_of_links(vertices, links)
 
 
-def by_view_port(vertices: DataFrame, edges: DataFrame, level: int, lat_min: float, lat_max: float,
+def by_view_port(vertices: DataFrame, edges: DataFrame, level: int | list[int], lat_min: float, lat_max: float,
                  lng_min: float, lng_max: float) -> tuple[DataFrame, DataFrame]:
-    """Vertices of one device level inside a box, links between them."""
-    v = vertices.filter((F.col("device_level") == level)
+    """Vertices of a device level (or several) inside a box, links between them."""
+    v = vertices.filter(F.col("device_level").isin(level)
                         & F.col("latitude").between(lat_min, lat_max)
                         & F.col("longitude").between(lng_min, lng_max))
     names = names_df(v)

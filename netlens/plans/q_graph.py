@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import search as Q
 from ..operators import subgraph as X
 from .catalog import query
-from .sqlparts import HAS_XY, HAS_XY_STRICT, nodes_of, revdedupe, types_in
+from .sqlparts import EDGE_COLS, HAS_XY, HAS_XY_STRICT, nodes_of, revdedupe, types_in
 
 ALL_TYPES = "ROUTER,SWITCH,AGG,CORE"
 
@@ -64,7 +64,13 @@ def x1_parent_nodes(fx):
     return nodes
 
 
-@query("x5_reverse_dedupe", f"WITH e AS (SELECT * FROM edges) {revdedupe('e')}", views=("edges",))
+@query("x5_reverse_dedupe", f"""
+WITH e AS MATERIALIZED (SELECT *, least(start_ne, end_ne) AS lo, greatest(start_ne, end_ne) AS hi FROM edges),
+w AS (SELECT *, first_value(start_ne) OVER pair AS f_start, row_number() OVER pair AS rn
+      FROM e WHERE start_ne IS NOT NULL AND end_ne IS NOT NULL
+      WINDOW pair AS (PARTITION BY lo, hi ORDER BY src_interface, dest_interface, relation, link_type_key))
+SELECT {EDGE_COLS} FROM w WHERE start_ne = f_start AND (start_ne <> end_ne OR rn = 1)
+UNION ALL SELECT {EDGE_COLS} FROM e WHERE start_ne IS NULL OR end_ne IS NULL""", views=("edges",))
 def x5_reverse_dedupe(fx):
     """X5 over the whole edge table."""
     return X.remove_reverse_duplicates(fx.edges())
@@ -89,6 +95,25 @@ def x7_alarm_links(fx):
     return links
 
 
+def _all_alarms(fx):
+    """The fixture's alarms stand at routers only; here the same error events stand at switches too."""
+    events = fx.t("events").filter(F.col("event_type") == "error").select("user_id")
+    c = fx.t("customer").select("c_custkey", "c_name")
+    switches = events.join(c, events.user_id == c.c_custkey).select(F.col("c_name").alias("entity_name"))
+    return fx.alarms().select("entity_name").unionByName(switches)
+
+
+@query("x7_alarm_links_any_element", """
+WITH names AS (SELECT DISTINCT entity_name AS ne_name FROM alarms
+  UNION SELECT c_name FROM events JOIN customer ON c_custkey = user_id WHERE event_type = 'error')
+SELECT * FROM edges WHERE start_ne IN (SELECT ne_name FROM names) AND end_ne IN (SELECT ne_name FROM names)""",
+       views=("alarms", "edges"))
+def x7_alarm_links_any_element(fx):
+    """Links with alarms at both ends, where switches raise alarms as well."""
+    links, _ = X.with_alarms(fx.vertices(), fx.edges(), _all_alarms(fx))
+    return links
+
+
 @query("x7_alarm_nodes", f"""
 SELECT * FROM vertices WHERE {HAS_XY} AND ne_name IN (SELECT entity_name FROM alarms)""",
        views=("alarms", "vertices"))
@@ -261,6 +286,18 @@ def q14_scope_filter(fx):
     return Q.scope_filter(fx.vertices(), r.unionByName(n).unionByName(c))
 
 
+@query("q14_scope_by_number", """
+SELECT * FROM vertices WHERE pop_id = 1004 OR device_level = 1 OR is_deleted""", views=("vertices",))
+def q14_scope_by_number(fx):
+    """Q14: rules on columns that hold no text."""
+    n = fx.t("nation").filter(F.col("n_nationkey") == 4).select(
+        F.lit("pop_id").alias("column"), (F.col("n_nationkey") + 1000).cast("string").alias("value"))
+    rest = fx.t("region").limit(1).select(F.inline(F.array(
+        F.struct(F.lit("device_level").alias("column"), F.lit("1").alias("value")),
+        F.struct(F.lit("is_deleted").alias("column"), F.lit("true").alias("value")))))
+    return Q.scope_filter(fx.vertices(), n.unionByName(rest))
+
+
 @query("q15_by_property", """
 SELECT ne_name, ne_type, vendor, ipv4 FROM vertices WHERE vendor = 'JUNIPER'""", views=("vertices",))
 def q15_by_property(fx):

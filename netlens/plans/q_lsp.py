@@ -302,11 +302,12 @@ def s7_feed_at(fx):
 
 
 @query("s8_watermark", """
-SELECT min(config_value) AS watermark FROM config WHERE starts_with(config_key, 'PM_WATERMARK_')""",
+SELECT min(config_value) AS watermark FROM config
+WHERE config_key IN ('PM_WATERMARK_CISCO', 'PM_WATERMARK_JUNIPER', 'PM_WATERMARK_NOKIA')""",
        views=("config",))
 def s8_watermark(fx):
     """Time all vendors' KPI feeds have reached."""
-    return IO.watermark(fx.config(), "PM_WATERMARK_")
+    return IO.watermark(fx.config(), [f"PM_WATERMARK_{v}" for v in ("CISCO", "JUNIPER", "NOKIA")])
 
 
 @query("s9_config_codes", """

@@ -253,6 +253,19 @@ def x18_view_port_links(fx):
     return links
 
 
+_BOTH_LEVELS = _BOX.replace("device_level = 4", "device_level IN (3, 4)")
+
+
+@query("x18_view_port_links_two_levels", f"""
+WITH n AS (SELECT ne_name FROM vertices WHERE {_BOTH_LEVELS})
+SELECT * FROM edges WHERE start_ne IN (SELECT ne_name FROM n) AND end_ne IN (SELECT ne_name FROM n)""",
+       views=("vertices", "edges"))
+def x18_view_port_links_two_levels(fx):
+    """Links between the view port's routers and switches."""
+    links, _ = X.by_view_port(fx.vertices(), fx.edges(), [3, 4], -40, 40, -60, 60)
+    return links
+
+
 @query("x19_range_read", f"""
 SELECT {EDGE_COLS} FROM edges WHERE relation = 'ISIS'
 ORDER BY src_interface, dest_interface, relation, link_type_key LIMIT 100 OFFSET 500""", views=("edges",))

@@ -146,9 +146,9 @@ def export_merge_result(classified: DataFrame, path: str, header: list[str],
     return written
 
 
-def watermark(config: DataFrame, key_prefix: str) -> DataFrame:
-    """The time every vendor has reached = min over the per-vendor keys."""
-    return (config.filter(F.col("config_key").startswith(key_prefix))
+def watermark(config: DataFrame, keys: list[str]) -> DataFrame:
+    """The time every vendor has reached = min over the given per-vendor keys."""
+    return (config.filter(F.col("config_key").isin(keys))
             .agg(F.min("config_value").alias("watermark")))
 
 
