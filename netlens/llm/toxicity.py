@@ -49,7 +49,7 @@ MAX_PER_CLASS = 8000
 MIN_DOCS, MIN_WEIGHT = 4, 3.0
 CERTAINTY, CONTEXT = 7.0, 10  # of an entry beside the cover; characters before a match
 STEMS, SHORTEST = range(4, 9), 2  # letters of a beginning, of a whole word at least
-REMEMBERED = 1 << 18  # patterns that a task keeps at once
+REMEMBERED = 1 << 16  # patterns that a task keeps at once
 LEVELS = (0.0, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 2.0, 3.0)
 
 # Signs that are written for a letter, by the letter.
@@ -108,7 +108,7 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def automaton(entries: tuple, exceptions: tuple):
     found = ahocorasick.Automaton()
     for p, w in entries:
@@ -196,9 +196,9 @@ def _level_counts(rows: DataFrame, candidates: DataFrame) -> DataFrame:
                         if at not in counts:
                             counts[at] = [0, 0]
                         counts[at][side] += 1
-            if len(counts) > REMEMBERED:
-                yield _level_rows(counts)
-                counts = {}
+                if len(counts) > REMEMBERED:
+                    yield _level_rows(counts)
+                    counts = {}
         yield _level_rows(counts)
 
     sums = [F.sum(F.when(F.col("level") >= k, F.col(side)).otherwise(0)).alias(f"{side}{k}")
@@ -258,9 +258,9 @@ def _document_counts(rows: DataFrame, keys_of) -> DataFrame:
             for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 for k in keys_of(fold(t)):
                     counts.setdefault(k, [0, 0])[0 if y == 1 else 1] += 1
-            if len(counts) > REMEMBERED:
-                yield rows_of(counts)
-                counts = {}
+                if len(counts) > REMEMBERED:
+                    yield rows_of(counts)
+                    counts = {}
         yield rows_of(counts)
 
     return (rows.mapInArrow(run, "key string, toxic long, other long").groupBy("key")
