@@ -11,10 +11,12 @@
    copies of it occur: a copy with one word more than an n-gram in a row has a seed.
 3. A second scan finds the seeds.  A passage is the words around seeds, an item's
    length to each side, joined where they overlap.  Passages meet items in a join on
-   the seed.
+   the seed, which drops at once the pairs that share too few words to reach ``min_score``:
+   a passage brings 1,024 bits of its words, an item the bits of its own, so what is
+   dropped is sure (each aligned word adds at most ``MATCH``).  A phrase that many items and
+   documents share makes no pairs by itself.
 4. A pair is aligned word by word (match +2, mismatch -1, gap -1); its score is the
-   best local alignment over that of the whole item with itself.  Pairs that share
-   too few words to reach ``min_score`` are left out first; this loses none.
+   best local alignment over that of the whole item with itself.
 
 Items are never all sent to a task: both joins are shuffles by seed and by item.
 
@@ -40,7 +42,7 @@ from .common import bit_array, probe, stored, text_of
 
 NGRAM, RARE_CONTEXTS, LEAST_SEEDS, MIN_SCORE = 3, 32, 8, 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-BITS = 1 << 26
+BITS, WORD_BITS = 1 << 26, 1024
 WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -170,13 +172,14 @@ def _contexts(docs: DataFrame, grams: DataFrame, sizes: range) -> DataFrame:
 
 
 def _passages(docs: DataFrame, seeds: DataFrame, sizes: range, reach: int) -> DataFrame:
-    """(doc, h, start, words, grams): the words around seeds and the seeds among them."""
+    """(doc, h, start, words, grams, bits): the words around seeds, the seeds among them and a
+    bit set of the words."""
     kind, n = docs.schema["doc"].dataType.simpleString(), max(sizes, default=0)
     bits = docs.sparkSession.sparkContext.broadcast(bit_array(seeds, "gram", BITS))
 
     def run(batches):
         for b in batches:
-            rows, starts, texts, grams = [], [], [], []
+            rows, starts, texts, grams, masks = [], [], [], [], []
             for row, t in enumerate(b.column(2)):
                 words = words_of(t.as_py())
                 found = sorted((i, k, g) for k, at, f in _hits(words, sizes, bits.value)
@@ -187,18 +190,51 @@ def _passages(docs: DataFrame, seeds: DataFrame, sizes: range, reach: int) -> Da
                         a = max(0, group[0][0] - reach)
                         rows.append(row)
                         starts.append(a)
-                        texts.append(" ".join(words[a:group[-1][0] + n + reach]))
+                        inside = words[a:group[-1][0] + n + reach]
+                        texts.append(" ".join(inside))
+                        mask = 0
+                        for w in set(inside):
+                            mask |= 1 << _word_hash(w) % WORD_BITS
+                        masks.append(mask.to_bytes(WORD_BITS // 8, "little"))
                         grams.append(sorted({g for _, _, g in group}))
                         group = []
                     group.append(hit)
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(at), b.column(1).take(at), pa.array(starts, pa.int32()),
-                 pa.array(texts, pa.string()), pa.array(grams, pa.list_(pa.int64()))],
-                ["doc", "h", "start", "words", "grams"])
+                 pa.array(texts, pa.string()), pa.array(grams, pa.list_(pa.int64())),
+                 pa.array(list(np.frombuffer(b"".join(masks), np.int64).reshape(-1, WORD_BITS // 64)),
+                          pa.list_(pa.int64()))],
+                ["doc", "h", "start", "words", "grams", "bits"])
 
     return docs.select("doc", F.xxhash64("__t").alias("h"), "__t").mapInArrow(
-        run, f"doc {kind}, h long, start int, words string, grams array<long>")
+        run, f"doc {kind}, h long, start int, words string, grams array<long>, bits array<long>")
+
+
+def _item_marks(items: DataFrame, min_score: float) -> DataFrame:
+    """(item, marks, need): the bits of an item's words, one a word, and how many words a passage
+    must share."""
+    kind = items.schema["item"].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            words = [words_of(t.as_py()) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([[_word_hash(w) % WORD_BITS for w in ws] for ws in words],
+                                       pa.list_(pa.int32())),
+                 pa.array([min_score * len(ws) for ws in words], pa.float64())], ["item", "marks", "need"])
+
+    return items.distinct().mapInArrow(run, f"item {kind}, marks array<int>, need double")
+
+
+def _pairs(passages: DataFrame, seeds: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
+    """(doc, h, start, item): passages and items that share a seed and may share enough words."""
+    marks = _item_marks(items, min_score).select(F.col("item").alias("__item_id"), "marks", "need")
+    known = seeds.join(marks, F.col("item").eqNullSafe(F.col("__item_id"))).drop("__item_id")
+    shared = "size(filter(marks, m -> bit_get(bits[cast(m div 64 as int)], m % 64) = 1))"
+    return (passages.select("doc", "h", "start", "bits", F.explode("grams").alias("gram"))
+            .join(known, "gram").filter(F.expr(f"{shared} >= need"))
+            .select("doc", "h", "start", "item").distinct())
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -223,8 +259,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                    .filter((F.col("contexts") <= rare_contexts) | (F.col("rank") <= least_seeds)
                            | F.col("covers")).select("item", "gram").distinct(), "decontam_seeds")
     passages = stored(_passages(texts, seeds, sizes, reach), "decontam_passages")
-    pairs = (passages.select("doc", "h", "start", F.explode("grams").alias("gram"))
-             .join(seeds, "gram").select("doc", "h", "start", "item").distinct())
+    pairs = _pairs(passages, seeds, items, min_score)
     same = [F.col(f"p.{c}").eqNullSafe(F.col(f"q.{c}")) for c in ("doc", "h", "start")]
     work = (pairs.alias("p").join(passages.alias("q"), same[0] & same[1] & same[2])
             .join(items.distinct().alias("i"), F.col("p.item").eqNullSafe(F.col("i.item")))

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from netlens.llm import decontam
 from netlens.llm.decontam import alignment, contaminated_pairs, words_of
 from netlens.llm.queries import op9_decontamination
 from tests.conftest import SF001
@@ -58,6 +59,27 @@ def test_edited_copies_of_a_hot_item(spark, make_docs):
     assert {r.doc_id for r in contaminated_pairs(make_docs(rows), items, least_seeds=2).collect()} == want
 
 
+def test_a_phrase_that_all_share_makes_few_pairs(spark, make_docs, monkeypatch):
+    """40 items and 300 documents with one phrase in common: 6 documents hold a copy."""
+    rng = random.Random(9)
+
+    def text(n):
+        return " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    items = [(i, f"{text(10)} in the end of the day {text(10)}") for i in range(40)]
+    rows = [(d, f"{text(30)} in the end of the day {text(30)}") for d in range(300)]
+    rows += [(1000 + d, f"{text(20)} {items[d][1]} {text(20)}") for d in range(6)]
+    made, plain = [], decontam._pairs
+
+    def counted(*args):
+        made.append(plain(*args))
+        return made[-1]
+    monkeypatch.setattr(decontam, "_pairs", counted)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated_pairs(make_docs(rows), bench).collect()}
+    assert got == {(1000 + d, d) for d in range(6)}
+    assert made[0].count() <= 0.01 * 40 * len(rows)
+
+
 def test_empty_tables(make_docs, benchmark):
     assert contaminated_pairs(make_docs([]), benchmark).count() == 0
     assert contaminated_pairs(make_docs(), benchmark.limit(0)).count() == 0
