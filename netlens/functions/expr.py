@@ -61,11 +61,6 @@ def link_type_key(relation="relation", link_type="link_type") -> Column:
     return F.when(F.upper(rel) == S.ISIS, F.coalesce(F.trim(lt), F.lit(""))).otherwise(F.lit(""))
 
 
-def edge_key(prefix: str = "") -> Column:
-    """Edge identity as one string (for display / export only; joins use the
-    key columns directly)."""
-    return F.concat_ws("|", *[F.col(prefix + c) for c in S.EDGE_KEY])
-
 
 def extracting_id(c) -> Column:
     """Last '_'-separated segment of a name."""
@@ -125,10 +120,3 @@ def page(df: DataFrame, order: list[Column], lower: int, upper: int,
     if n <= 0:
         return df.limit(0)
     return df.orderBy(*order).offset(lower).limit(n)
-
-
-def isin_or_all(c: str, values: list[str], upper: bool = True) -> Column:
-    if not values:
-        return F.lit(True)
-    col = F.upper(F.col(c)) if upper else F.col(c)
-    return col.isin(*values)

@@ -29,6 +29,13 @@ def feed_at(feed: DataFrame, ts: str | None = None, lsp_name: str | None = None)
     return f
 
 
+def feed_at_watermark(feed: DataFrame, watermark: DataFrame) -> DataFrame:
+    """S8 -> S7: the LSP rows at the configured time (``watermark``: one row with a text
+    ``yyyyMMddHHmm``).  A broadcast of one row; without a time there are no rows."""
+    at = watermark.limit(1).select(F.to_timestamp_ntz("watermark", F.lit("yyyyMMddHHmm")).alias("timestamp"))
+    return feed.join(F.broadcast(at), "timestamp", "left_semi")
+
+
 def default_list(feed: DataFrame) -> DataFrame:
     """One row per LSP with its nested nodes, links and meta fields."""
     return feed.select("mpls_lsp_name", "source_ip", "destination_ip", "node_details", "link_details",
@@ -67,6 +74,7 @@ def aggregate_nodes(feed: DataFrame) -> DataFrame:
 
 
 def aggregate_time(feed: DataFrame) -> DataFrame:
+    """P2 time: the newest row's."""
     return feed.agg(F.max("timestamp").alias("timestamp"))
 
 

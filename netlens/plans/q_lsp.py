@@ -58,6 +58,27 @@ def p2_aggregate_nodes(fx):
     return P.aggregate_nodes(_feed(fx))
 
 
+_AT = """strptime((SELECT min(config_value) FROM config WHERE config_key = 'LSP_WATERMARK'), '%Y%m%d%H%M')"""
+
+
+def _feed_now(fx):
+    return P.feed_at_watermark(_feed(fx), IO.watermark(fx.config(), ["LSP_WATERMARK"]))
+
+
+@query("p2_links_at_watermark", f"SELECT {_FLAT} FROM lsp_links WHERE timestamp = {_AT}",
+       views=("lsp_links", "config"))
+def p2_links_at_watermark(fx):
+    """P2 at the configured time (S8 -> S7): the links of the LSPs in that feed."""
+    return _flat_links(P.aggregate_links(_feed_now(fx)))
+
+
+@query("p2_time_at_watermark", f"SELECT max(timestamp) AS timestamp FROM mpls_lsp_link WHERE timestamp = {_AT}",
+       views=("mpls_lsp_link", "config"))
+def p2_time_at_watermark(fx):
+    """The time of that feed."""
+    return P.aggregate_time(_feed_now(fx))
+
+
 @query("p3_lsp_detail_links", """
 SELECT l.mpls_lsp_name AS lsp_name, l.src_ne_id AS start_ne_id, l.dest_ne_id AS end_ne_id,
   l.src_ne_name AS src_interface, l.dest_ne_name AS dest_interface, l.src_parent_ne_name AS start_ne,

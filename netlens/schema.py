@@ -12,8 +12,6 @@ Fixed values that must equal the service being replaced are kept together
 here, in natural order.
 """
 
-from pyspark.sql import types as T
-
 # --- fixed values -----------------------------------------------------------
 # relation names
 VERTEX = "VERTEX"
@@ -23,7 +21,6 @@ ISIS = "ISIS"
 LLDPSWITCH = "LLDPSWITCH"
 PARENT = "PARENT"
 LSP = "LSP"
-LINK_RELATIONS = [LLDP, OSPF, ISIS, LLDPSWITCH]
 
 # device levels used by hierarchy / impact operators (1 = top)
 DEVICE_LEVELS = {"CORE": 1, "AGG": 2, "ROUTER": 3, "SWITCH": 4}
@@ -36,15 +33,10 @@ GEO_LEVEL_COLUMN = {
     "L4": "geography_l4",
 }
 
-# metaInfo comparison operators, longest first so '>=' wins over '>'
-META_OPERATORS = [">=", "<=", "!=", "=", ">", "<"]
-
 # default page size of LSP listing
 LSP_DEFAULT_PAGE = 25
 # retention window in days
 RETENTION_DAYS = 7
-# paths kept in level reachability check
-LEVEL_CHECK_PATHS = 10
 
 # edge-only property names (snake_case of the source names): never stored on
 # a vertex, fixed values
@@ -130,21 +122,4 @@ EDGE_FROM_ROW = {
 EDGE_KEY = ["src_interface", "dest_interface", "relation", "link_type_key"]
 VERTEX_KEY = ["ne_name", "relation"]
 
-LSP_NODE = T.StructType([
-    T.StructField("ne_id", T.StringType()),
-    T.StructField("ne_name", T.StringType()),
-    T.StructField("hostname", T.StringType()),
-    T.StructField("ipv4", T.StringType()),
-    T.StructField("ne_type", T.StringType()),
-    T.StructField("ne_category", T.StringType()),
-    T.StructField("geo_l1_name", T.StringType()),
-    T.StructField("geo_l2_name", T.StringType()),
-    T.StructField("latitude", T.StringType()),
-    T.StructField("longitude", T.StringType()),
-    T.StructField("pop_id", T.StringType()),
-    T.StructField("pop_name", T.StringType()),
-    T.StructField("vendor", T.StringType()),
-])
-
 KPI_NAMES = ["view", "click", "purchase"]
-ALARM_CATEGORIES = ["CRITICAL", "MAJOR", "MINOR", "WARNING"]

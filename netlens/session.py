@@ -3,8 +3,8 @@
 The library never creates data on the driver; it only needs a session with
 sensible shuffle settings and a *shared* checkpoint folder for the iterative
 path operators.  On a cluster ``spark.checkpoint.dir`` is set by the platform
-and must be used as-is; a private folder is only picked when it is unset
-(local tests).
+and must be used as-is; a private folder is only picked where it is unset and
+the master is ``local`` (tests); any other master without it is an error.
 """
 
 from __future__ import annotations

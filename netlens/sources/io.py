@@ -31,13 +31,14 @@ def read_inventory_jdbc(spark: SparkSession, url: str, table: str, partition_col
 
 
 def normalise_types(df: DataFrame) -> DataFrame:
-    """S2 (read side): decimals -> double, integral decimals of scale 0 ->
-    long; everything else unchanged."""
+    """S2 (read side): decimals -> double, integral decimals that a long can
+    hold (up to 18 digits) -> long; everything else unchanged."""
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("long") if f.dataType.scale == 0 else c.cast("double")
+            small = f.dataType.scale == 0 and f.dataType.precision <= 18
+            c = c.cast("long") if small else c.cast("double")
         out.append(c.alias(f.name))
     return df.select(*out)
 

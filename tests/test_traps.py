@@ -167,3 +167,12 @@ def test_descending_mixed_sort_reverses_ascending(spark):
     up = [r.x for r in df.orderBy(*num_or_text_sort(F.col("x"))).collect()]
     down = [r.x for r in df.orderBy(*num_or_text_sort(F.col("x"), descending=True)).collect()]
     assert up == ["9", "10", "A", "b", None] and down == up[::-1]
+
+
+def test_decimals_that_no_long_holds(spark):
+    from netlens.sources.io import normalise_types
+    df = spark.sql("select cast(12345678901234567890123 as decimal(38,0)) big, cast(7 as decimal(18,0)) small, "
+                   "cast(1.5 as decimal(9,2)) part, 'x' text")
+    out = normalise_types(df)
+    assert [t for _, t in out.dtypes] == ["double", "bigint", "double", "string"]
+    assert tuple(out.first()) == (1.2345678901234568e22, 7, 1.5, "x")
