@@ -1,7 +1,7 @@
 """Registry of named queries: ``name -> (spark_fn(spark, sf_dir), oracle_sql)``.
 
-Each Spark callable builds a lazy DataFrame over the test tables (through
-``Fixtures``); the oracle is the DuckDB SQL twin over the raw tables (through
+Each Spark callable builds a lazy DataFrame over the graph derived from the test tables and
+stored once (``stored_graph``); the oracle is the DuckDB SQL twin over the raw tables (through
 ``fixture_sql.with_views``) or ``None`` where SQL cannot express the operator
 (iterative / streaming), in which case a test checks it against a brute-force
 answer on a small fixture.
@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.testdata import Fixtures
+from ..sources.testdata import stored_graph
 from .fixture_sql import with_views
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,11 +21,11 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
-    """Register ``fn(fx: Fixtures) -> DataFrame`` under ``name``."""
+    """Register ``fn(fx: Fixtures) -> DataFrame`` under ``name``; it reads the stored graph."""
 
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Fixtures(spark, sf_dir))
+            return fn(stored_graph(spark, sf_dir))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
