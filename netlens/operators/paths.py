@@ -59,8 +59,9 @@ def hop_table(edges: DataFrame, parent_edges: DataFrame | None = None,
 def one_per_name(vertices: DataFrame, *cols: str) -> DataFrame:
     """One row per element name (the vertex of the smallest relation): hops and
     paths go by name, and a name can be stored under several relations."""
+    first = F.coalesce("relation", F.lit("")) if "relation" in vertices.columns else F.struct(*cols)
     return (vertices.groupBy("ne_name")
-            .agg(F.min_by(F.struct(*cols), F.coalesce("relation", F.lit(""))).alias("_v"))
+            .agg(F.min_by(F.struct(*cols), first).alias("_v"))
             .select("ne_name", "_v.*"))
 
 
