@@ -166,6 +166,7 @@ def _contexts(docs: DataFrame, grams: DataFrame, sizes: range) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(flat[:, 0].copy().view(np.int64)),
                                               pa.array(flat[:, 1].copy().view(np.int64))],
                                              ["gram", "context"])
+        _HASHES.clear()  # a worker goes on to other stages
 
     found = docs.select("__t").mapInArrow(run, "gram long, context long").distinct()
     return found.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts"))
@@ -206,6 +207,7 @@ def _passages(docs: DataFrame, seeds: DataFrame, sizes: range, reach: int) -> Da
                  pa.array(list(np.frombuffer(b"".join(masks), np.int64).reshape(-1, WORD_BITS // 64)),
                           pa.list_(pa.int64()))],
                 ["doc", "h", "start", "words", "grams", "bits"])
+        _HASHES.clear()
 
     return docs.select("doc", F.xxhash64("__t").alias("h"), "__t").mapInArrow(
         run, f"doc {kind}, h long, start int, words string, grams array<long>, bits array<long>")
