@@ -5,19 +5,21 @@ the interfaces, then the links).  Every row of a stage is a vertex row (a link r
 describes its source interface); the rows of link stages are edge rows as well, merged
 after the stage's vertices, so an edge finds the vertices made before it and by its own
 stage.  Each stage reads the snapshot that the stage before it wrote to the shared folder:
-a chain of dependent merges whose lineage is cut at every link.
+a chain of dependent merges whose lineage is cut at every link.  A key holds its relation, so a
+merge reads and writes only the snapshot's rows of its batch's relations.
 
 Outcomes of rows: created, updated, skipped (an end vertex does not exist) and failed (a key
 or type is missing: I14, with the reason).  For every stage and kind they add up to the rows
 read.
 
 Inventories change little between runs, so a stage's batch is reduced to its keys before it
-meets the snapshot (``merge``), and one pass counts its rows.
+meets the snapshot (``merge``).  The outcome and the number of rows of each key are written with the
+merged rows, so that they are counted without a second merge.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import PySparkException
@@ -28,7 +30,7 @@ from .. import schema as S
 from ..functions.expr import link_type_key
 from ..session import materialize
 from . import ingest as I
-from .merge import merge_edges, merge_vertices, row_outcomes
+from .merge import counted_outcomes, merged_edges, merged_vertices, stored_edges
 
 # which of several rows of a key in a batch is the last one
 ROW_ORDER = ["last_discovery_ts", "id", "hostname", "neighbour_ne_name", "ckt_id", "tag", "area_ip_address",
@@ -64,6 +66,25 @@ STAGES = [
 ]
 
 
+@dataclass(frozen=True)
+class _Snapshot:
+    """A stored table of which a merge rewrites the relations of its batch (a few fixed names)."""
+    stored: DataFrame
+    written: dict[str, DataFrame] = field(default_factory=dict)
+
+    def of(self, relations: list[str]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [
+            self.written[r] if r in self.written else self.stored.filter(F.col("relation") == r) for r in relations])
+
+    def after(self, relations: list[str], made: DataFrame) -> _Snapshot:
+        return _Snapshot(self.stored, self.written | {
+            r: made if len(relations) == 1 else made.filter(F.col("relation") == r) for r in relations})
+
+    def whole(self) -> DataFrame:
+        kept = self.stored.filter(~F.coalesce(F.col("relation").isin(list(self.written)), F.lit(False)))
+        return reduce(DataFrame.unionByName, self.written.values(), kept)
+
+
 def empty(spark: SparkSession, columns: dict[str, str]) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in columns.items()))
 
@@ -93,7 +114,8 @@ def ingest(inventory: Inventory, run_ts: str, vertices: DataFrame | None = None,
     Without ``summary`` rows are not counted and None is returned for it."""
     spark = inventory.network_element.sparkSession
     vertices = empty(spark, S.STORED_VERTEX) if vertices is None else vertices
-    edges = empty(spark, S.STORED_EDGE) if edges is None else edges
+    vertices = _Snapshot(vertices.withColumn("relation", F.coalesce("relation", F.lit(""))))
+    edges = _Snapshot(empty(spark, S.STORED_EDGE) if edges is None else edges)
     counted = []
     for name, links, rows_of in stages or STAGES:
         try:
@@ -106,6 +128,7 @@ def ingest(inventory: Inventory, run_ts: str, vertices: DataFrame | None = None,
         else:
             vertices, edges = v, e
         counted += [counts] if summary else []
+    vertices, edges = vertices.whole(), edges.whole()
     if not summary:
         return vertices, edges, None
     per = materialize(reduce(DataFrame.unionByName, counted), "ingest_summary")
@@ -114,27 +137,30 @@ def ingest(inventory: Inventory, run_ts: str, vertices: DataFrame | None = None,
     return vertices, edges, per.unionByName(total)
 
 
-def _stage(name, links, rows, vertices, edges, run_ts, summary):
-    rows = materialize(rows, "stage_rows")
+def _stage(name, links, rows, vertices: _Snapshot, edges: _Snapshot, run_ts, summary):
+    rows = materialize(rows, "stage_rows", large=True)
+    relation = F.coalesce("relation", F.lit(""))
+    relations = sorted(r[0] for r in rows.select(relation).distinct().collect()) or [""]
     order = [c for c in ROW_ORDER if c in rows.columns]
     valid, rejects = I.validate_rows(rows, "vertex")
-    made, outcomes = merge_vertices(
-        vertices, valid.withColumn("is_deleted", F.col("is_deleted").cast("boolean")), order=order)
-    vertices = materialize(made, "vertices")
-    counted = valid.withColumn("relation", F.coalesce("relation", F.lit("")))
-    parts = [_counts(name, "vertex", rows, rejects, row_outcomes(counted, outcomes, S.VERTEX_KEY))]
+    made = materialize(merged_vertices(
+        vertices.of(relations), valid.withColumn("is_deleted", F.col("is_deleted").cast("boolean")),
+        order=order).drop("_changed"), "vertices", large=True)
+    vertices = vertices.after(relations, made.drop("_outcome", "_n"))
+    parts = [_counts(name, "vertex", rows, rejects, made)]
     if links:
         valid, rejects = I.validate_rows(rows, "edge")
-        batch = edge_rows(valid)
-        made, outcomes = merge_edges(edges, batch, vertices, run_ts, order=order,
-                                     ends=("src_interface", "dest_interface"))
-        edges = materialize(made, "edges")
-        parts.append(_counts(name, "edge", rows, rejects, row_outcomes(batch, outcomes, S.EDGE_KEY)))
+        made = materialize(merged_edges(edges.of(relations), edge_rows(valid), vertices.whole(), run_ts, order=order,
+                                        ends=("src_interface", "dest_interface")), "edges", large=True)
+        edges = edges.after(relations, stored_edges(made).drop("_outcome", "_n"))
+        parts.append(_counts(name, "edge", rows, rejects, made))
     counts = materialize(reduce(DataFrame.unionByName, parts), "stage_counts") if summary else None
     return vertices, edges, counts
 
 
-def _counts(stage: str, kind: str, rows: DataFrame, rejects: DataFrame, outcomes: DataFrame) -> DataFrame:
+def _counts(stage: str, kind: str, rows: DataFrame, rejects: DataFrame, merged: DataFrame) -> DataFrame:
+    outcomes = counted_outcomes(merged.filter("_outcome is not null").select(F.col("_outcome").alias("outcome"), "_n"))
+
     def all_of(df, outcome):
         return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(outcome).alias("outcome"), "rows")
 

@@ -23,14 +23,20 @@ from .. import schema as S
 from ..functions.expr import col_has_value, link_type_key
 
 
-def dedupe_last(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+def dedupe_last(df: DataFrame, key: list[str], order: list[str], last: list[str] | None = None) -> DataFrame:
     """One row per key: the last by ``order``; rows equal in that are ordered by
-    all their other columns, so the result does not depend on the input's order."""
+    all their other columns (``last`` after the rest), so the result does not depend on the input's
+    order.  ``_n`` is the number of the key's rows.  Without maps, which have no order, a row
+    is its own order: a struct of it, kept once."""
     others = [c for c in df.columns if c not in key]
-    ties = [c for c in others if c not in order and not df.schema[c].dataType.simpleString().startswith("map")]
-    return (df.groupBy(*key)
-            .agg(F.max_by(F.struct(*others), F.struct(*order, *ties)).alias("_r"))
-            .select(*key, "_r.*").select(*df.columns))
+    plain = [c for c in others if "map<" not in df.schema[c].dataType.simpleString()]
+    ranked = [c for c in order if c in plain]
+    ranked += [c for c in plain if c not in ranked and c not in (last or [])]
+    ranked += [c for c in plain if c not in ranked]
+    row = F.max(F.struct(*ranked)) if ranked and len(plain) == len(others) else F.max_by(
+        F.struct(*others), F.struct(*order, *[c for c in ranked if c not in order]))
+    return (df.groupBy(*key).agg(row.alias("_r"), F.count(F.lit(1)).alias("_n"))
+            .select(*key, "_r.*", "_n").select(*df.columns, "_n"))
 
 
 def merge_vertices(snapshot: DataFrame, incoming: DataFrame, order: list[str] | None = None,
@@ -43,21 +49,34 @@ def merge_vertices(snapshot: DataFrame, incoming: DataFrame, order: list[str] |
     Returns ``(new_snapshot, outcomes)`` where outcomes has one row per incoming
     key with ``outcome`` created / updated."""
     key = key or S.VERTEX_KEY
+    both = merged_vertices(snapshot, incoming, order, key)
+    return (both.select(*snapshot.columns),
+            both.filter("_outcome is not null").select(*key, F.col("_outcome").alias("outcome"),
+                                                       F.col("_changed").alias("changed")))
+
+
+def merged_vertices(snapshot: DataFrame, incoming: DataFrame, order: list[str] | None = None,
+                    key: list[str] | None = None) -> DataFrame:
+    """The new snapshot of ``merge_vertices`` with, on keys of the batch, ``_outcome``, ``_changed`` and
+    ``_n`` (rows of the key): what a caller stores to have both at the cost of one merge."""
+    key = key or S.VERTEX_KEY
     order = order or ["last_discovery_ts"]
     if "relation" in key:  # a vertex without relation is one vertex, stored or incoming
         snapshot = snapshot.withColumn("relation", F.coalesce("relation", F.lit("")))
     inc = incoming.drop(*[c for c in S.EDGE_ONLY_PROPERTIES if c in incoming.columns and c not in order])
     inc = inc.withColumn("relation", F.coalesce(F.col("relation"), F.lit("")))
     open_map = "attrs" in snapshot.columns
-    if open_map:
-        inc = _with_attrs(inc, [c for c in inc.columns if c not in snapshot.columns
-                                and c not in S.EDGE_ONLY_PROPERTIES], order)
-    inc = dedupe_last(inc, key, order)
+    extra = [c for c in inc.columns if open_map and c not in snapshot.columns and c not in S.EDGE_ONLY_PROPERTIES]
+    if "attrs" in inc.columns and open_map:
+        inc = dedupe_last(_with_attrs(inc, extra, order), key, order)
+    else:  # only the rows that stay get a map
+        inc = dedupe_last(inc, key, order, last=extra)
+        inc = _with_attrs(inc, extra, order) if open_map else inc
     cols = [c for c in snapshot.columns if c not in key and c != "attrs"]
     maps = ["attrs"] if open_map else []
     o = snapshot.select(*key, *[F.col(c).alias(f"o_{c}") for c in cols + maps], F.lit(True).alias("_old"))
     n = inc.select(*key, *[F.col(c).alias(f"n_{c}") if c in inc.columns else
-                           F.lit(None).alias(f"n_{c}") for c in cols + maps], F.lit(True).alias("_new"))
+                           F.lit(None).alias(f"n_{c}") for c in cols + maps], "_n", F.lit(True).alias("_new"))
     j = o.join(n, key, "full_outer")
     changed = changed_properties_expr(cols)
     out = [F.coalesce(F.col(f"n_{c}"), F.col(f"o_{c}")).cast(snapshot.schema[c].dataType).alias(c) for c in cols]
@@ -66,11 +85,9 @@ def merge_vertices(snapshot: DataFrame, incoming: DataFrame, order: list[str] |
         out.append(F.map_zip_with(old, new, lambda k, a, b: F.coalesce(b, a)).alias("attrs"))
         differs = F.map_filter(new, lambda k, b: ~b.eqNullSafe(F.try_element_at(old, k)))
         changed = F.concat(changed, F.array_sort(F.map_keys(differs)))
-    merged = j.select(*key, *out)
-    outcome = (j.filter(F.col("_new").isNotNull())
-               .select(*key, F.when(F.col("_old").isNotNull(), "updated").otherwise("created").alias("outcome"),
-                       changed.alias("changed")))
-    return merged.select(*snapshot.columns), outcome
+    outcome = F.when(F.col("_new").isNotNull(), F.when(F.col("_old").isNotNull(), "updated").otherwise("created"))
+    return (j.select(*key, *out, outcome.alias("_outcome"), changed.alias("_changed"), "_n")
+            .select(*snapshot.columns, "_outcome", "_changed", "_n"))
 
 
 def _no_nulls(attrs: str) -> Column:
@@ -116,10 +133,24 @@ def merge_edges(snapshot: DataFrame, incoming: DataFrame, vertices: DataFrame,
     ACTIVE and ``created_at = run_ts``.  Skipped rows go through the same join
     without a match, so the batch is read once.
     Returns ``(new_snapshot, outcomes)`` with created / updated / skipped."""
+    both = merged_edges(snapshot, incoming, vertices, run_ts, order, ends)
+    return (stored_edges(both).select(*snapshot.columns),
+            both.filter("_outcome is not null").select(*S.EDGE_KEY, F.col("_outcome").alias("outcome")))
+
+
+def stored_edges(both: DataFrame) -> DataFrame:
+    """The rows of ``merged_edges`` that belong to the new snapshot."""
+    return both.filter("_outcome is null or _outcome <> 'skipped'")
+
+
+def merged_edges(snapshot: DataFrame, incoming: DataFrame, vertices: DataFrame, run_ts: str,
+                 order: list[str] | None = None, ends: tuple[str, str] = ("start_ne", "end_ne")) -> DataFrame:
+    """The new snapshot of ``merge_edges`` and its skipped rows, with, on keys of the batch, ``_outcome``
+    and ``_n`` (rows of the key)."""
     order = order or ["last_discovery_ts"]
     inc = incoming.withColumn("link_type_key", link_type_key())
     keep = [c for c in snapshot.columns if c in inc.columns]
-    inc = dedupe_last(inc.select(*keep, *[c for c in order if c not in keep]), S.EDGE_KEY, order).select(*keep)
+    inc = dedupe_last(inc.select(*keep, *[c for c in order if c not in keep]), S.EDGE_KEY, order).select(*keep, "_n")
     names = vertices.select("ne_name").distinct()
     starts = names.select(F.col("ne_name").alias("_sn"))
     others = names.select(F.col("ne_name").alias("_en"))
@@ -129,7 +160,7 @@ def merge_edges(snapshot: DataFrame, incoming: DataFrame, vertices: DataFrame,
     cols = [c for c in snapshot.columns if c not in S.EDGE_KEY]
     o = snapshot.select(*S.EDGE_KEY, *[F.col(c).alias(f"o_{c}") for c in cols], F.lit(True).alias("_old"))
     n = inc.select(*S.EDGE_KEY, *[(F.col(c) if c in inc.columns else F.lit(None)).alias(f"n_{c}") for c in cols],
-                   "_ok", F.lit(True).alias("_new"))
+                   "_ok", "_n", F.lit(True).alias("_new"))
     # a skipped row has no partner: its flag never equals the stored row's
     j = o.withColumn("_ok", F.lit(True)).join(n, [*S.EDGE_KEY, "_ok"], "full_outer")
     is_new, is_old = F.col("_new").isNotNull(), F.col("_old").isNotNull()
@@ -148,10 +179,9 @@ def merge_edges(snapshot: DataFrame, incoming: DataFrame, vertices: DataFrame,
             return F.when(is_new, F.coalesce(new.cast("boolean"), F.lit(False))).otherwise(old)
         return F.when(is_new, new).otherwise(old)
 
-    merged = j.filter("_ok").select(*S.EDGE_KEY, *[pick(c).cast(snapshot.schema[c].dataType).alias(c) for c in cols])
-    outcome = j.filter(is_new).select(*S.EDGE_KEY, F.when(~F.col("_ok"), "skipped").when(
-        is_old, "updated").otherwise("created").alias("outcome"))
-    return merged.select(*snapshot.columns), outcome
+    outcome = F.when(is_new, F.when(~F.col("_ok"), "skipped").when(is_old, "updated").otherwise("created"))
+    return (j.select(*S.EDGE_KEY, *[pick(c).cast(snapshot.schema[c].dataType).alias(c) for c in cols],
+                     outcome.alias("_outcome"), "_n").select(*snapshot.columns, "_outcome", "_n"))
 
 
 # U5 column map: vertex column -> edge column, by the end the vertex stands at
@@ -247,7 +277,12 @@ def link_child_to_parent(children: DataFrame, vertices: DataFrame, parent_edges:
 def row_outcomes(rows: DataFrame, outcomes: DataFrame, key: list[str]) -> DataFrame:
     """(outcome, rows): what became of every row of a batch, from the outcomes of its keys.  Of the
     rows of a created key the first creates and the others update it."""
-    per_key = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).join(outcomes.select(*key, "outcome"), key)
+    return counted_outcomes(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+                            .join(outcomes.select(*key, "outcome"), key))
+
+
+def counted_outcomes(per_key: DataFrame) -> DataFrame:
+    """``row_outcomes`` of keys with their ``outcome`` and number of rows ``_n``."""
     made = F.col("outcome") == "created"
     both = F.array(F.struct(F.col("outcome"), F.when(made, 1).otherwise(F.col("_n")).cast("long").alias("rows")),
                    F.struct(F.lit("updated").alias("outcome"), F.when(made, F.col("_n") - 1).otherwise(0).alias("rows")))
