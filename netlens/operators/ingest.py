@@ -11,6 +11,9 @@ Join strategy
 * "interface at either end of a link" is an OR join in SQL; here the link
   ends are unioned first (one row per end) and joined once on the id — the
   equivalent of a union of two equi joins, with no nested-loop join.
+* distinct interfaces at link ends (I4–I7, I12): the link ends are made distinct as narrow
+  rows, the elements as element rows, before they meet on the id that stays in the
+  result; so no wide row is compared or shuffled once per link.
 * the consecutive-hop self join (I13) joins on ``(lsp_id, hop_sequence)``,
   which spreads even a very long LSP over many tasks.
 """
@@ -93,22 +96,29 @@ def interface_vertices(ne: DataFrame, link: DataFrame, relation: str, parent_typ
     live element of ``parent_type`` (by type or category)."""
     extra = [F.col("last_discovery_time").alias("last_discovery_ts"), F.col("link_name"),
              F.col("modified_time").alias("link_modify_ts")]
+    host = "link_name" if relation in (S.LLDP, S.LLDPSWITCH) else "hostname"
     ends = _link_ends(link, extra)
+    mine = ["if_id", "last_discovery_ts", *(["link_name"] if host == "link_name" else []),
+            *(["link_modify_ts"] if relation == S.LLDPSWITCH else [])]
+    ends = ends.select(*mine).repartition("if_id").distinct()
     src = ne.select(F.col("id").alias("if_id"), "ne_name", "ne_type", "latitude", "longitude",
                     F.col("capacity").alias("bandwidth"), "ne_source", "ne_status", "ckt_id",
                     "is_deleted", "ne_id", "ipv4", "hostname", "parent_ne_id_fk",
                     F.col("modified_time").alias("if_modify_ts"), *IDENTITY)
+    src = src.drop(*(["hostname"] if host == "link_name" else []),
+                   *([] if relation == S.LLDPSWITCH else ["if_modify_ts"]))
     par = ne.filter((F.col("is_deleted") == 0)
                     & ((F.col("ne_type") == parent_type) | (F.col("ne_category") == parent_type))
                     ).select(F.col("id").alias("p_id"), F.col("ne_name").alias("parent_ne"))
-    j = ends.join(src, "if_id").join(par, F.col("parent_ne_id_fk") == F.col("p_id"))
-    host = F.col("link_name") if relation in (S.LLDP, S.LLDPSWITCH) else F.col("hostname")
+    owned = (src.join(par, F.col("parent_ne_id_fk") == F.col("p_id")).drop("parent_ne_id_fk", "p_id")
+             .repartition("if_id").distinct())
+    j = ends.join(owned, "if_id")
     cols = [F.lit(relation).alias("relation"), F.col("if_id").alias("id"), "ne_name", "ne_type",
             "last_discovery_ts", "latitude", "longitude", "bandwidth", "ne_source", "ne_status",
-            "ckt_id", "is_deleted", "ne_id", "ipv4", host.alias("hostname"), "parent_ne", *IDENTITY]
+            "ckt_id", "is_deleted", "ne_id", "ipv4", F.col(host).alias("hostname"), "parent_ne", *IDENTITY]
     if relation == S.LLDPSWITCH:
         cols += ["link_modify_ts", "if_modify_ts"]
-    return j.select(*cols).distinct()
+    return j.select(*cols)
 
 
 def interface_vertices_isis(ne: DataFrame, link: DataFrame) -> DataFrame:
@@ -117,14 +127,14 @@ def interface_vertices_isis(ne: DataFrame, link: DataFrame) -> DataFrame:
     ids = ne.select(F.col("id").alias("_rid"))
     l = (link.join(ids, link.source_ne_id == ids._rid, "left_semi")
          .join(ids, link.destination_ne_id == ids._rid, "left_semi"))
-    ends = _link_ends(l, [F.col("last_discovery_time").alias("last_discovery_ts"), "uuid"])
+    ends = _link_ends(l, [F.col("last_discovery_time").alias("last_discovery_ts"), "uuid"]).repartition("if_id").distinct()
     it = ne.filter((F.col("is_deleted") == 0) & (F.col("ne_type") == "INTERFACE")).select(
         F.col("id").alias("if_id"), "ne_name", "ne_type", "ne_source", "bandwidth", "ne_status",
-        "is_deleted", "ne_id", "ipv4", "hostname", *[c for c in IDENTITY if c != "uuid"])
+        "is_deleted", "ne_id", "ipv4", "hostname", *[c for c in IDENTITY if c != "uuid"]).repartition("if_id").distinct()
     return ends.join(it, "if_id").select(
         F.lit(S.ISIS).alias("relation"), F.col("if_id").alias("id"), "ne_name", "ne_type",
         "last_discovery_ts", "ne_source", "bandwidth", "ne_status", "is_deleted", "ne_id",
-        "ipv4", "hostname", *IDENTITY).distinct()
+        "ipv4", "hostname", *IDENTITY)
 
 
 def link_rows_lldp(ne: DataFrame, link: DataFrame, relation: str = S.LLDP,
@@ -241,10 +251,12 @@ def lsp_hop_vertices(lsp: DataFrame, hop: DataFrame, ne: DataFrame) -> DataFrame
     p = ne.filter((F.col("is_deleted").isNull() | (F.col("is_deleted") == 0))
                   & ((F.col("ne_type") == "ROUTER") | (F.col("ne_category") == "ROUTER"))
                   ).select(F.col("id").alias("p_id"), F.col("ne_name").alias("parent_ne"))
-    j = l.join(h, "lsp_id").join(s, "interface_ne_id").join(p, F.col("parent_ne_id_fk") == F.col("p_id"))
+    owned = (s.join(p, F.col("parent_ne_id_fk") == F.col("p_id")).drop("parent_ne_id_fk", "p_id")
+             .repartition("interface_ne_id").distinct())
+    j = l.join(h, "lsp_id").select("interface_ne_id", "lsp_modify_ts").distinct().join(owned, "interface_ne_id")
     return j.select(F.lit(S.LSP).alias("relation"), F.col("interface_ne_id").alias("id"), "ne_name",
                     "ne_type", "lsp_modify_ts", "latitude", "longitude", "bandwidth", "ne_source",
-                    "ne_status", "ckt_id", "is_deleted", "ne_id", "ipv4", "parent_ne", *IDENTITY).distinct()
+                    "ne_status", "ckt_id", "is_deleted", "ne_id", "ipv4", "parent_ne", *IDENTITY)
 
 
 def lsp_hop_edges(lsp: DataFrame, hop: DataFrame, ne: DataFrame) -> DataFrame:
