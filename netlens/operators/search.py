@@ -19,8 +19,9 @@ from ..functions.expr import csv_list, has_coordinates, has_value, prefix_regex
 from .subgraph import links_from, links_touching, names_df, nodes_of_links, remove_reverse_duplicates
 
 
-def _base(vertices: DataFrame, edges: DataFrame, ne_types: str, relation: str | None,
+def _base(vertices: DataFrame, edges: DataFrame | None, ne_types: str, relation: str | None,
           located: bool = True) -> DataFrame:
+    """Elements of the types; only a search by relation reads ``edges`` (else it may be None)."""
     types = csv_list(ne_types, upper=True)
     if not types:
         raise ValueError("ne_types is mandatory")

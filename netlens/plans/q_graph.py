@@ -129,7 +129,7 @@ SELECT * FROM vertices WHERE {types_in('ROUTER,SWITCH')}
   AND regexp_matches(ne_name, '(?i)^customer#00000012') AND {HAS_XY}""", views=("vertices",))
 def q1_by_name(fx):
     """Q1: name starts with 'customer#00000012' (case-insensitive), with coordinates."""
-    return Q.by_name(fx.vertices(), fx.edges(), "ROUTER,SWITCH", "customer#00000012")
+    return Q.by_name(fx.vertices(), None, "ROUTER,SWITCH", "customer#00000012")
 
 
 @query("q1_by_name_relation", f"""
@@ -149,7 +149,7 @@ SELECT * FROM vertices WHERE {types_in(ALL_TYPES)} AND (pop_id = 1012 OR contain
        views=("vertices",))
 def q2_by_pop_id(fx):
     """Q2: pop id 1012 (equal or text contains)."""
-    return Q.by_pop_id(fx.vertices(), fx.edges(), ALL_TYPES, "1012")
+    return Q.by_pop_id(fx.vertices(), None, ALL_TYPES, "1012")
 
 
 @query("q3_by_pop_name", f"""
@@ -159,7 +159,7 @@ SELECT * EXCLUDE (rn) FROM (
 WHERE rn = 1""", views=("vertices",))
 def q3_by_pop_name(fx):
     """Q3: pop name 'pop  nation_1' (flexible spaces), one vertex per pop."""
-    return Q.by_pop_name(fx.vertices(), fx.edges(), "ROUTER,SWITCH", "pop  nation_1")
+    return Q.by_pop_name(fx.vertices(), None, "ROUTER,SWITCH", "pop  nation_1")
 
 
 @query("q4_by_ipv4", f"""
@@ -167,7 +167,7 @@ SELECT * FROM vertices WHERE {types_in(ALL_TYPES)} AND {HAS_XY} AND regexp_match
        views=("vertices",))
 def q4_by_ipv4(fx):
     """Q4: ipv4 starting with '172.1.'."""
-    return Q.by_ipv4(fx.vertices(), fx.edges(), ALL_TYPES, "172.1.")
+    return Q.by_ipv4(fx.vertices(), None, ALL_TYPES, "172.1.")
 
 
 @query("q5_by_pop_code", f"""
@@ -177,7 +177,7 @@ SELECT * EXCLUDE (rn) FROM (
 WHERE rn = 1""", views=("vertices",))
 def q5_by_pop_code(fx):
     """Q5: pop code starting 'pc1', one vertex per pop code."""
-    return Q.by_pop_code(fx.vertices(), fx.edges(), ALL_TYPES, "pc1")
+    return Q.by_pop_code(fx.vertices(), None, ALL_TYPES, "pc1")
 
 
 # ------------------------------------------------------------------ Q7, Q8
@@ -269,7 +269,7 @@ SELECT * FROM vertices WHERE {types_in(ALL_TYPES)} AND starts_with(CAST(pop_id A
        views=("vertices",))
 def q12_pop_id_prefix(fx):
     """Q12: pop ids whose digits start with 101."""
-    return Q.by_pop_id_prefix(fx.vertices(), fx.edges(), ALL_TYPES, "101")
+    return Q.by_pop_id_prefix(fx.vertices(), None, ALL_TYPES, "101")
 
 
 @query("q14_scope_filter", """

@@ -2,10 +2,12 @@
 
 import datetime as dt
 
-import pytest
-from pyspark.sql import functions as F
-
+from netlens import schema as S
+from netlens.operators import ingest as I
+from netlens.operators import load as L
 from netlens.plans.catalog import load_all
+from netlens.session import materialize
+from netlens.sources.testdata import Fixtures, stored_graph
 
 REG = load_all()
 DAY = dt.datetime(1998, 6, 1)
@@ -49,3 +51,58 @@ def test_hops_of_every_constrained_path(spark, tmp_path):
     assert len([p for p, finished in paths.items() if finished]) == 6
     assert {(r.path_id, r.finished) for r in hops} == set(paths.items())
     assert all(sum(r.path_id == p for r in hops) == p.count(">") for p in paths)
+
+
+def two_rows(spark, folder):
+    return store(spark, folder, **GEO, supplier=[(1, "R1", 0), (2, None, 1)],
+                 customer=[(1, "S1", 0, "X"), (2, None, 1, "X")],
+                 orders=[order(1, 1), order(2, 2, "1-URGENT"), order(3, 1, "5-LOW")],
+                 lineitem=[line(1, 1, 1, "R", "F"), line(1, 1, 1, "R", "F ", quantity=3.0), line(3, 1, 2), line(3, 1, 1, "R", "F"),
+                           *[line(2, 2, n) for n in (1, 2, 3, 5)]])
+
+
+def test_edges_are_built_without_storing_link_rows(spark, tmp_path):
+    """The edge table alone stores no link rows, and elements without names are grouped by direction."""
+    at = two_rows(spark, tmp_path)
+    fx = Fixtures(spark, at, materialize=True)
+    rows = {(r.src_interface, r.dest_interface, r.relation, r.src_type): r for r in fx.edges().collect()}
+    assert "link_rows" not in fx._stored
+    assert {k: r.link_count for k, r in rows.items()} == {
+        ("R1_1", "S1_1", "ISIS", "ROUTER"): 3, ("S1_2", "R1_2", "OSPF", "SWITCH"): 1,
+        (None, None, "OSPF", "ROUTER"): 3, (None, None, "OSPF", "SWITCH"): 1}
+    merged = rows["R1_1", "S1_1", "ISIS", "ROUTER"]
+    assert (merged.link_type, merged.link_type_key, merged.tag, merged.bandwidth, merged.ckt_id) == (
+        "F ", "F", "5-LOW", 3.0, "CKT1")
+    assert fx.edges(fx.link_rows()).exceptAll(fx.edges()).count() == 0
+
+
+def test_a_search_without_relation_builds_no_edges(spark, tmp_path):
+    at = two_rows(spark, tmp_path)
+    REG["q2_by_pop_id"][0](spark, at).collect()
+    assert set(stored_graph(spark, at)._stored) == {"vertices"}
+
+
+def test_a_stage_rewrites_only_its_relations(spark, fx):
+    """Rows of other relations stay in the files where they were."""
+    other = materialize(L.empty(spark, S.STORED_VERTEX).unionByName(
+        spark.createDataFrame([("x", "LLDP")], "ne_name string, relation string"), allowMissingColumns=True), "other")
+    links = fx.link_table("OSPF").limit(20)
+    inventory = L.Inventory(fx.network_element(), fx.ne_location(), [fx.geo(i) for i in range(1, 5)], links, links, links)
+    stage = [s for s in L.STAGES if s[0] == "lldp_ospf.ospf_interfaces"]
+    v, _, summary = L.ingest(inventory, "2002-01-01 00:00:00", other, stages=stage)
+    assert set(other.inputFiles()) <= set(v.inputFiles())
+    assert v.filter("ne_name = 'x'").count() == 1 and v.count() > 1
+    counts = {r.outcome: r["rows"] for r in summary.filter("stage = 'TOTAL' and kind = 'vertex'").collect()}
+    assert counts["read"] == counts["created"] + counts.get("updated", 0)
+
+
+def test_interfaces_are_made_distinct_before_they_meet_their_links(spark, fx):
+    """Repeated elements and links give one row, without comparing wide rows once per link."""
+    ne, links = fx.network_element(), fx.link_table("ISIS").limit(30)
+    for rows in (lambda n, l: I.interface_vertices(n, l, S.OSPF), I.interface_vertices_isis):
+        twice = rows(ne.unionByName(ne), links.unionByName(links))
+        once = rows(ne, links)
+        assert twice.exceptAll(once).count() == 0 and once.exceptAll(twice).count() == 0
+        assert once.count() == once.distinct().count() > 0
+        plan = twice._jdf.queryExecution().optimizedPlan().toString()
+        assert not plan.startswith("Aggregate")
