@@ -100,7 +100,7 @@ def interface_vertices(ne: DataFrame, link: DataFrame, relation: str, parent_typ
     ends = _link_ends(link, extra)
     mine = ["if_id", "last_discovery_ts", *(["link_name"] if host == "link_name" else []),
             *(["link_modify_ts"] if relation == S.LLDPSWITCH else [])]
-    ends = ends.select(*mine).repartition("if_id").distinct()
+    ends = ends.select(*mine).distinct()
     src = ne.select(F.col("id").alias("if_id"), "ne_name", "ne_type", "latitude", "longitude",
                     F.col("capacity").alias("bandwidth"), "ne_source", "ne_status", "ckt_id",
                     "is_deleted", "ne_id", "ipv4", "hostname", "parent_ne_id_fk",
@@ -111,7 +111,7 @@ def interface_vertices(ne: DataFrame, link: DataFrame, relation: str, parent_typ
                     & ((F.col("ne_type") == parent_type) | (F.col("ne_category") == parent_type))
                     ).select(F.col("id").alias("p_id"), F.col("ne_name").alias("parent_ne"))
     owned = (src.join(par, F.col("parent_ne_id_fk") == F.col("p_id")).drop("parent_ne_id_fk", "p_id")
-             .repartition("if_id").distinct())
+             .distinct())
     j = ends.join(owned, "if_id")
     cols = [F.lit(relation).alias("relation"), F.col("if_id").alias("id"), "ne_name", "ne_type",
             "last_discovery_ts", "latitude", "longitude", "bandwidth", "ne_source", "ne_status",
@@ -127,10 +127,10 @@ def interface_vertices_isis(ne: DataFrame, link: DataFrame) -> DataFrame:
     ids = ne.select(F.col("id").alias("_rid"))
     l = (link.join(ids, link.source_ne_id == ids._rid, "left_semi")
          .join(ids, link.destination_ne_id == ids._rid, "left_semi"))
-    ends = _link_ends(l, [F.col("last_discovery_time").alias("last_discovery_ts"), "uuid"]).repartition("if_id").distinct()
+    ends = _link_ends(l, [F.col("last_discovery_time").alias("last_discovery_ts"), "uuid"]).distinct()
     it = ne.filter((F.col("is_deleted") == 0) & (F.col("ne_type") == "INTERFACE")).select(
         F.col("id").alias("if_id"), "ne_name", "ne_type", "ne_source", "bandwidth", "ne_status",
-        "is_deleted", "ne_id", "ipv4", "hostname", *[c for c in IDENTITY if c != "uuid"]).repartition("if_id").distinct()
+        "is_deleted", "ne_id", "ipv4", "hostname", *[c for c in IDENTITY if c != "uuid"]).distinct()
     return ends.join(it, "if_id").select(
         F.lit(S.ISIS).alias("relation"), F.col("if_id").alias("id"), "ne_name", "ne_type",
         "last_discovery_ts", "ne_source", "bandwidth", "ne_status", "is_deleted", "ne_id",
@@ -252,7 +252,7 @@ def lsp_hop_vertices(lsp: DataFrame, hop: DataFrame, ne: DataFrame) -> DataFrame
                   & ((F.col("ne_type") == "ROUTER") | (F.col("ne_category") == "ROUTER"))
                   ).select(F.col("id").alias("p_id"), F.col("ne_name").alias("parent_ne"))
     owned = (s.join(p, F.col("parent_ne_id_fk") == F.col("p_id")).drop("parent_ne_id_fk", "p_id")
-             .repartition("interface_ne_id").distinct())
+             .distinct())
     j = l.join(h, "lsp_id").select("interface_ne_id", "lsp_modify_ts").distinct().join(owned, "interface_ne_id")
     return j.select(F.lit(S.LSP).alias("relation"), F.col("interface_ne_id").alias("id"), "ne_name",
                     "ne_type", "lsp_modify_ts", "latitude", "longitude", "bandwidth", "ne_source",
