@@ -9,6 +9,9 @@ bytes before it only, appending computes the new entries and keeps the old ones;
 after an edit, entries are computed until they agree with the old ones over the
 length of the longest token, from where all later ones agree.
 
+Of a short pre-token only the entries are made that reading it back comes upon.  They are
+remembered by the prefix's bytes, so words that begin alike share them.
+
 Spark deals out the documents; each task encodes its Arrow batches.  The vocabulary
 is one file with a fixed number of tokens.  The driver reads it (``MAX_VOCAB_BYTES``
 is checked) and broadcasts the bytes.
@@ -26,6 +29,7 @@ import base64
 import re
 from array import array
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -39,7 +43,9 @@ from .common import with_column
 
 MAX_VOCAB_BYTES = 64 << 20
 #: Bounds on what a Python worker remembers; they bound memory, not results.
-CACHED_RUNS, KNOWN_PAIRS = 300_000, 300_000
+CACHED_RUNS, KNOWN_PAIRS, KNOWN_PREFIXES = 300_000, 300_000, 100_000
+#: Bytes up to which a pre-token's prefixes are remembered.
+SHORT = 64
 
 
 def read_ranks(vocab: bytes) -> dict[bytes, int]:
@@ -57,46 +63,96 @@ class PrefixBPE:
         # All usable tokens that end at each byte, found in one pass over a piece.  A token
         # that merging its own bytes does not end in never ends a prefix.
         self._ending = ahocorasick.Automaton()
+        self._usable: dict[bytes, int] = {}
+        self._reach: dict[bytes, int] = {}  # last three bytes -> the longest token that ends so
+        self._halves: dict[int, tuple[int, int]] = {}  # the two tokens that a token's last merge joins
         for t, i in ranks.items():
-            if self.merged(t) == [i]:
+            parts, halves = self._merge(t)
+            if parts == [t]:
                 self._ending.add_word(t.decode("latin-1"), (len(t), i))
+                self._usable[t] = i
+                self._reach[t[-3:]] = max(len(t), self._reach.get(t[-3:], 2))
+                if halves:
+                    self._halves[i] = ranks[halves[0]], ranks[halves[1]]
         if len(self._ending):
             self._ending.make_automaton()
-        self._kept: dict[tuple[int, int], bool] = {}
+        self._kept: dict[int, bool] = {}  # by first token * self._none + second
+        self._last_of: dict[bytes, int] = {}
 
     def merged(self, piece: bytes) -> list[int]:
         """The definition: merge the pair of lowest rank, leftmost first, until none is left."""
-        parts = [piece[i:i + 1] for i in range(len(piece))]
+        return [self.ranks[p] for p in self._merge(piece)[0]]
+
+    def _merge(self, piece: bytes) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
+        """The parts that merging ends in, and the two that the last merge joined."""
+        parts, joined = [piece[i:i + 1] for i in range(len(piece))], None
         rank, none = self.ranks.get, self._none
         pairs = [rank(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
         while pairs and (best := min(pairs)) < none:
             i = pairs.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            joined = parts[i], parts[i + 1]
+            parts[i:i + 2] = [joined[0] + joined[1]]
             del pairs[i]
             if i:
                 pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
             if i < len(pairs):
                 pairs[i] = rank(parts[i] + parts[i + 1], none)
-        return [self.ranks[p] for p in parts]
+        return parts, joined
 
     def _stays(self, a: int, b: int) -> bool:
         """Whether merging the bytes of ``a`` and ``b`` ends in just these two."""
         if len(self._kept) > KNOWN_PAIRS:
             self._kept.clear()
-        ok = self._kept[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
+        ok = self._kept[a * self._none + b] = self._apart(a, b)
         return ok
 
+    def _apart(self, a: int, b: int) -> bool:
+        """Whether no merge ever joins bytes of ``a`` with bytes of ``b``: their merges are taken
+        back, the last one first, and at each state what meets at the border must not have been
+        joined before the merge that was taken back (of equal ranks the left one came first)."""
+        rank, tokens, halves, none = self.ranks.get, self.tokens, self._halves.get, self._none
+        before = none
+        while rank(tokens[a] + tokens[b], none) >= before:
+            left, right = halves(a), halves(b)
+            if left and (a > b or not right):
+                before, a = a, left[1]
+            elif right:
+                before, b = b + 1, right[0]
+            else:
+                return True
+        return False
+
+    def _last(self, prefix: bytes) -> int:
+        """The last token of a short prefix, the longest one first tried."""
+        usable, known, kept, none = self._usable.get, self._last_of.get, self._kept.get, self._none
+        end = len(prefix)
+        for at in range(max(0, end - self._reach.get(prefix[-3:], 2)), end):
+            t = usable(prefix[at:])
+            if t is None:
+                continue
+            if at:
+                before = prefix[:at]
+                if (a := known(before)) is None:
+                    a = self._last(before)
+                    if len(self._last_of) >= KNOWN_PREFIXES:
+                        self._last_of.clear()
+                    self._last_of[before] = a
+                if not ((ok := kept(a * none + t)) or ok is None and self._stays(a, t)):
+                    continue
+            return t
+        raise ValueError(f"no valid encoding of {prefix!r}")
+
     def _fill(self, piece: bytes, last: list[int], start: int) -> None:
         """Append the last tokens of the prefixes of ``piece`` longer than ``len(last) - 1``;
         ``start``: a byte before which no token that ends in the new part begins."""
-        known, kept = len(last), self._kept.get
+        known, kept, none = len(last), self._kept.get, self._none
         last += [-1] * (len(piece) + 1 - known)
         for end, (size, t) in self._ending.iter(piece[start:].decode("latin-1")):
             i = end + 1 + start
             if i < known or last[i] >= 0:
                 continue
             j = i - size
-            if j == 0 or (ok := kept((last[j], t))) or ok is None and self._stays(last[j], t):
+            if j == 0 or (ok := kept(last[j] * none + t)) or ok is None and self._stays(last[j], t):
                 last[i] = t
         if min(last[known:], default=0) < 0:
             raise ValueError(f"no valid encoding of {piece!r}")
@@ -135,7 +191,17 @@ class PrefixBPE:
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)  # a whole pre-token in the vocabulary is not merged
-        return [whole] if whole is not None else self.ids(piece, self.prefixes(piece))
+        if whole is not None:
+            return [whole]
+        if len(piece) > SHORT:
+            return self.ids(piece, self.prefixes(piece))
+        out, known, tokens = [], self._last_of.get, self.tokens
+        while piece:
+            if (t := known(piece)) is None:
+                t = self._last(piece)
+            out.append(t)
+            piece = piece[:-len(tokens[t])]
+        return out[::-1]
 
 
 #: The public split pattern of the vocabularies this is used with (a fixed value).
@@ -143,47 +209,48 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 _TWO_SPACES = re.compile(r"\s\s")
 
 
+class _Runs(dict):
+    """Part of a text -> ids of the part with ``lead`` before it; remembers short parts."""
+
+    def __init__(self, encode, lead: str):
+        self._encode, self._lead = encode, lead
+
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        ids = self._encode(self._lead + part)
+        if len(part) <= SHORT:
+            if len(self) >= CACHED_RUNS:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class TextBPE:
     """Encoder of texts: each match of ``pattern`` is encoded by itself."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.bpe, self.split = PrefixBPE(ranks), regex.compile(pattern)
         self._by_line = pattern == WORDS
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._known, self._spaced = _Runs(self._run, ""), _Runs(self._run, " ")
 
     def _run(self, run: str) -> tuple[int, ...]:
         """Ids of the matches in ``run``."""
-        ids: list[int] = []
-        for p in self.split.findall(run):
-            if (known := self._known.get(p)) is None:
-                known = self._keep(p, self.bpe.encode(p.encode()))
-            ids += known
-        return self._keep(run, ids)
-
-    def _keep(self, run: str, ids: list[int]) -> tuple[int, ...]:
-        out = tuple(ids)
-        if len(run) <= 64:
-            if len(self._known) >= CACHED_RUNS:
-                self._known.clear()
-            self._known[run] = out
-        return out
+        encode = self.bpe.encode
+        return tuple(chain.from_iterable([encode(p.encode()) for p in self.split.findall(run)]))
 
     def encode_into(self, text: str, out: array) -> None:
-        known, run = self._known.get, self._run
+        known, spaced = self._known.__getitem__, self._spaced.__getitem__
         if not self._by_line or _TWO_SPACES.search(text):
-            for p in self.split.findall(text):
-                out.extend(known(p) or run(p))
+            out.extend(chain.from_iterable(map(known, self.split.findall(text))))
             return
         # Where no two white spaces follow each other, no match of WORDS reaches over
         # a line end or the start of " word", so these parts can be split by themselves.
         for n, line in enumerate(text.split("\n")):
             if n:
-                out.extend(known("\n") or run("\n"))
+                out.extend(known("\n"))
             first, *rest = line.split(" ")
             if first:
-                out.extend(known(first) or run(first))
-            for word in rest:
-                out.extend(known(" " + word) or run(" " + word))
+                out.extend(known(first))
+            out.extend(chain.from_iterable(map(spaced, rest)))
 
     def encode(self, text: str) -> list[int]:
         self.encode_into(text, out := array("i"))

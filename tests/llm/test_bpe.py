@@ -99,3 +99,45 @@ def test_query(spark, library):
 def test_unknown_id():
     with pytest.raises(ValueError):
         TextBPE({bytes([i]): i for i in range(256)}, WORDS).decode([999])
+
+
+def test_pairs_stay_as_merging_says(coder):
+    """The quick test of a pair equals merging its bytes, also for pairs of equal tokens."""
+    bpe, rng = coder.bpe, random.Random(7)
+    usable = sorted(bpe._usable.values())
+    pairs = [(a, a) for a in usable[:400]] + [(rng.choice(usable[:800]), rng.choice(usable)) for _ in range(4000)]
+    for a, b in pairs:
+        assert bpe._apart(a, b) == (bpe.merged(bpe.tokens[a] + bpe.tokens[b]) == [a, b])
+
+
+def test_short_pieces_share_prefixes(ranks, library):
+    """Words that begin alike make the entries of the common prefix once, and forgetting does not matter."""
+    bpe = PrefixBPE(ranks)
+    bpe.encode(b" onntingthe")
+    known = dict(bpe._last_of)
+    assert known and all(b" onntingthe".startswith(p) for p in known)
+    assert bpe.encode(b" onntingthexq") == library.encode_ordinary(" onntingthexq")
+    assert known.items() <= bpe._last_of.items()
+
+
+def test_caches_are_bounded(ranks, library, monkeypatch):
+    from netlens.llm import bpe as module
+    for name in ("CACHED_RUNS", "KNOWN_PAIRS", "KNOWN_PREFIXES"):
+        monkeypatch.setattr(module, name, 3)
+    own, rng = TextBPE(ranks, WORDS), random.Random(9)
+    for _ in range(200):
+        text = " ".join("".join(rng.choice("aeinorst") for _ in range(rng.randrange(1, 18))) for _ in range(8))
+        assert own.encode(text) == library.encode_ordinary(text)
+    assert max(len(own._known), len(own._spaced), len(own.bpe._last_of)) <= 3
+
+
+def test_columns_are_made_for_parts_of_a_batch(spark):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from netlens.llm.common import with_column
+    made = with_column(spark.range(0, 2500, 1, 1), "rows", T.LongType(),
+                       lambda b: pa.array([b.num_rows] * b.num_rows, pa.int64()))
+    rows = made.collect()
+    assert sorted(r.id for r in rows) == list(range(2500))
+    assert {r.rows for r in rows} == {1000, 500}
