@@ -36,6 +36,7 @@ other columns, whatever their names, do not matter.  An empty table gives no row
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +50,9 @@ from .common import bit_array, bits_for, probe, stored, text_of
 SHARDS, MIN_COUNT, MAX_WORDS = 8, 100, 5
 MAX_BITS = 1 << 28
 CHUNK = 1 << 22  # bytes of text worked on at once
-BUFFER = 1 << 21  # counts that a task gathers before it hands them on
+BUFFER = 1 << 20  # counts that a task gathers before it hands them on
 REMEMBERED = 1 << 18  # candidates that a task counts before it hands them on
+ROWS = 1 << 16  # counts in a record batch
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(_ENDS + b"\t", b"." * len(_ENDS) + b" ")
@@ -160,11 +162,13 @@ class _Counts:
 
     def rows(self):
         for (lang, shard), keys, n in self.merged():
-            size = len(keys)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang], pa.string()).take(pa.array(np.zeros(size, np.int64))),
-                 pa.array(np.full(size, shard, np.int32)), pa.array(keys.view(np.int64)),
-                 pa.array(n.astype(np.int64))], ["lang", "shard", "key", "n"])
+            for at in range(0, len(keys), ROWS):
+                part, times = keys[at:at + ROWS], n[at:at + ROWS]
+                size = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()).take(pa.array(np.zeros(size, np.int64))),
+                     pa.array(np.full(size, shard, np.int32)), pa.array(part.view(np.int64)),
+                     pa.array(times.astype(np.int64))], ["lang", "shard", "key", "n"])
         self.__init__()
 
     def shrink(self):
@@ -223,26 +227,29 @@ def _exact_counts(texts: DataFrame, tables: list) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(tables)
 
     def rows(counts):
-        for lang, of in counts.items():
-            found = list(of.values())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(found), pa.string()),
-                 pa.array([f[0] for f in found], pa.binary()).cast(pa.string()),
-                 pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.int64())],
-                ["lang", "phrase", "k", "a"])
+        for lang, (_, phrases, sizes, totals) in counts.items():
+            for at in range(0, len(phrases), ROWS):
+                part = phrases[at:at + ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(part), pa.string()), pa.array(part, pa.binary()).cast(pa.string()),
+                     pa.array(sizes[at:at + ROWS], pa.int32()), pa.array(totals[at:at + ROWS], pa.int64())],
+                    ["lang", "phrase", "k", "a"])
 
     def run(batches):
-        counts: dict[str, dict] = {}
+        counts: dict[str, tuple] = {}  # by language: hash -> place, and by place: phrase, k, occurrences
         for lang, _, tokens in _tokens(batches):
-            of = counts.setdefault(lang, {})
+            places, phrases, sizes, totals = counts.setdefault(lang, ({}, [], array("i"), array("q")))
             for k, one, two, n, at in _candidates(tokens, shared.value):
-                for key, times, start in zip(zip(one.tolist(), two.tolist(), strict=True), n.tolist(),
-                                             at.tolist(), strict=True):
-                    if (seen := of.get(key)) is None:
-                        of[key] = [tokens.phrase(tokens.ids[start:start + k].tolist()), k, times]
+                keys = np.column_stack((one, two)).view("V16").ravel().tolist()
+                for key, times, start in zip(keys, n.tolist(), at.tolist(), strict=True):
+                    if (place := places.get(key)) is None:
+                        places[key] = len(phrases)
+                        phrases.append(tokens.phrase(tokens.ids[start:start + k].tolist()))
+                        sizes.append(k)
+                        totals.append(times)
                     else:
-                        seen[2] += times
-            if sum(map(len, counts.values())) > REMEMBERED:
+                        totals[place] += times
+            if sum(len(c[1]) for c in counts.values()) > REMEMBERED:
                 yield from rows(counts)
                 counts = {}
         yield from rows(counts)

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 from netlens.llm import collocation
 from netlens.llm.collocation import collocations, frequent_phrases
 from netlens.llm.queries import REGISTRY
@@ -131,3 +132,17 @@ def test_query_matches_sql(spark):
                   for r in cur.fetchall())
     got = result(fn(spark, SF01))
     assert got == want and len(got) > 20
+
+
+def test_counts_leave_a_task_in_small_batches(monkeypatch):
+    from netlens.llm import collocation as module
+    monkeypatch.setattr(module, "ROWS", 4)
+    counts = module._Counts()
+    counts.add(("en", 1), np.array([5, 5, 7, 9, 11, 13, 15], np.uint64))
+    counts.add(("en", 1), np.array([7, 1], np.uint64))
+    batches = list(counts.rows())
+    assert [b.num_rows for b in batches] == [4, 3]
+    rows = [r for b in batches for r in b.to_pylist()]
+    assert {r["key"]: r["n"] for r in rows} == {1: 1, 5: 2, 7: 2, 9: 1, 11: 1, 13: 1, 15: 1}
+    assert {(r["lang"], r["shard"]) for r in rows} == {("en", 1)}
+    assert not counts.parts and not counts.size
