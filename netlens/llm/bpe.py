@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import with_column
+from .common import taken_over, with_column
 
 MAX_VOCAB_BYTES = 64 << 20
 #: Bounds on what a Python worker remembers; they bound memory, not results.
@@ -277,6 +277,11 @@ def _tokens(vocab: bytes) -> dict[int, bytes]:
     return {i: t for t, i in read_ranks(vocab).items()}
 
 
+def _forget() -> None:
+    _coder.cache_clear()
+    _tokens.cache_clear()
+
+
 def decoded(ids, tokens: dict[int, bytes]) -> bytes:
     try:
         return b"".join(map(tokens.__getitem__, ids))
@@ -298,6 +303,7 @@ def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "
     shared = _vocab(docs, vocab_path)
 
     def add(b):
+        taken_over("bpe", _forget)
         coder = _coder(shared.value, pattern)
         ids, ends = array("i"), array("i", [0])
         for text in b.column(b.schema.get_field_index(text_col)):
@@ -316,6 +322,7 @@ def bpe_decode(encoded: DataFrame, vocab_path: str, ids_col: str = "token_ids",
     shared = _vocab(encoded, vocab_path)
 
     def add(b):
+        taken_over("bpe", _forget)
         tokens = _tokens(shared.value)
         col = b.column(b.schema.get_field_index(ids_col))
         return pa.array([decoded(x.values.to_numpy(zero_copy_only=False).tolist(), tokens)

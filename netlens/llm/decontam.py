@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,33 +40,70 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_array, probe, stored, text_of
+from .common import bit_array, probe, stored, taken_over, text_of
 
 NGRAM, RARE_CONTEXTS, LEAST_SEEDS, MIN_SCORE = 3, 32, 8, 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BITS, WORD_BITS = 1 << 26, 1024
 WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-class _WordHashes(dict):
-    """Word -> hash; forgets all when it has become large."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_HASHES = _WordHashes()
-_word_hash = _HASHES.__getitem__
+_BASE = np.uint64(0xD6E8FEB86659FD93)  # by place in a word; 3 modulo 8, so that places count
+_NO_WORD = np.uint64(0)  # before the first and behind the last word of a text
+CHUNK = 1 << 18  # characters that are cut into words and hashed at once
 
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def _word_bit(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word) % WORD_BITS
+
+
+@lru_cache(maxsize=1)
+def _word_signs() -> np.ndarray:
+    """By code point whether ``WORD`` takes it (1 MB)."""
+    signs = np.fromiter((chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+    signs[ord("_")] = True
+    return signs
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text): a hash of every word of the texts, cut as by ``words_of``, and which text it
+    is of.  All words are hashed together, as sums over their characters."""
+    lowered = [t.lower() for t in texts]
+    chars = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le"), np.uint32)
+    inside = _word_signs()[chars]
+    edges = np.flatnonzero(np.diff(inside, prepend=False))  # a text ends with a line end, so ends are there
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    firsts = np.cumsum(sizes) - sizes
+    place = np.arange(firsts[-1] + sizes[-1]) - np.repeat(firsts, sizes)
+    powers = np.multiply.accumulate(np.full(sizes.max(), _BASE, np.uint64))
+    sign = (chars[inside].astype(np.uint64) + np.uint64(1)) * _MIX
+    sign ^= sign >> np.uint64(32)
+    sign *= _MIX
+    h = np.add.reduceat(sign * powers[place], firsts)
+    h ^= h >> np.uint64(32)
+    h *= _MIX
+    text_ends = np.cumsum([len(t) + 1 for t in lowered])
+    return h ^ (h >> np.uint64(29)), np.searchsorted(text_ends, starts, "right")
+
+
+def _chunks(column) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts): the rows in parts of ``CHUNK`` characters, but for their last text."""
+    first, texts, size = 0, [], 0
+    for row, t in enumerate(column, 1):
+        texts.append(t.as_py())
+        size += len(texts[-1])
+        if size >= CHUNK:
+            yield first, texts
+            first, texts, size = row, [], 0
+    if texts:
+        yield first, texts
+
+
 def _rolled(h: np.ndarray, n: int) -> np.ndarray:
     """One hash for every ``n`` consecutive word hashes."""
     out = np.full(max(0, len(h) - n + 1), n, np.uint64)
@@ -74,10 +113,10 @@ def _rolled(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def gram_hashes(words: list[str], n: int) -> np.ndarray:
-    """Hashes of the n-grams of ``words``; of all of them if they are fewer than ``n``."""
-    h = np.fromiter(map(_word_hash, words), np.uint64, len(words))
-    return _rolled(h, min(n, len(words))) if words else np.empty(0, np.uint64)
+def gram_hashes(text: str, n: int) -> np.ndarray:
+    """Hashes of the n-grams of ``text``; of all its words if they are fewer than ``n``."""
+    h, _ = word_hashes([text])
+    return _rolled(h, min(n, len(h))) if len(h) else h
 
 
 def alignment(item: list[str], passage: list[str]) -> tuple[float, int, int]:
@@ -126,7 +165,7 @@ def _item_grams(items: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            grams = [gram_hashes(words_of(t.as_py()), n) for t in b.column(2)]
+            grams = [gram_hashes(t.as_py(), n) for t in b.column(2)]
             row = pa.array(np.repeat(np.arange(len(grams)), [len(g) for g in grams]))
             at = np.concatenate([*map(np.arange, map(len, grams)), np.empty(0, np.int64)]).astype(np.int32)
             flat = np.concatenate([*grams, np.empty(0, np.uint64)])
@@ -137,16 +176,23 @@ def _item_grams(items: DataFrame, n: int) -> DataFrame:
         run, f"item {kind}, h long, at int, gram long")
 
 
-def _hits(words: list[str], sizes: range, bits: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each n-gram length: (length, positions, hashes) that hit the table."""
-    h = np.fromiter(map(_word_hash, words), np.uint64, len(words))
-    out = []
+def _hits(texts: list[str], sizes: range, bits: np.ndarray) -> Iterator[tuple]:
+    """For each n-gram length: (length, first words, hashes) of the n-grams within a text that hit
+    the table, and the word hashes of all texts and which text each is of."""
+    h, text = word_hashes(texts)
     for k in sizes:
         rolled = _rolled(h, k)
-        at = np.flatnonzero(probe(bits, rolled))
-        if len(at):
-            out.append((k, at, rolled[at]))
-    return out
+        hit = probe(bits, rolled)
+        hit &= text[:len(rolled)] == text[k - 1:]
+        if len(at := np.flatnonzero(hit)):
+            yield k, at, rolled[at], h, text
+
+
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    """The different columns of the parts, which have two rows each."""
+    both = np.concatenate([*parts, np.empty((2, 0), np.uint64)], axis=1)
+    both = both[:, np.lexsort(both)]
+    return both[:, np.concatenate(([True], (both[:, 1:] != both[:, :-1]).any(axis=0)))[:both.shape[1]]]
 
 
 def _contexts(docs: DataFrame, grams: DataFrame, sizes: range) -> DataFrame:
@@ -154,19 +200,20 @@ def _contexts(docs: DataFrame, grams: DataFrame, sizes: range) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(bit_array(grams, "gram", BITS))
 
     def run(batches):
+        taken_over("decontam")
         for b in batches:
-            pairs: set[tuple[int, int]] = set()
-            for t in b.column(0):
-                words = words_of(t.as_py())
-                around = ["", *words, ""]
-                for k, at, found in _hits(words, sizes, bits.value):
-                    pairs.update((g, _word_hash(around[i]) ^ (_word_hash(around[i + k + 1]) >> 1))
-                                 for i, g in zip(at.tolist(), found.tolist(), strict=True))
-            flat = np.array(sorted(pairs), np.uint64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[:, 0].copy().view(np.int64)),
-                                              pa.array(flat[:, 1].copy().view(np.int64))],
-                                             ["gram", "context"])
-        _HASHES.clear()  # a worker goes on to other stages
+            pairs: list[np.ndarray] = []
+            for _, texts in _chunks(b.column(0)):
+                for k, at, found, h, text in _hits(texts, sizes, bits.value):
+                    around = np.concatenate(([_NO_WORD], h, [_NO_WORD]))
+                    of = np.concatenate(([-1], text, [-1]))
+                    before = np.where(of[at] == text[at], around[at], _NO_WORD)
+                    behind = np.where(of[at + k + 1] == text[at], around[at + k + 1], _NO_WORD)
+                    pairs.append(np.stack([found, before ^ (behind >> np.uint64(1))]))
+                if sum(p.shape[1] for p in pairs[1:]) > CHUNK:
+                    pairs = [_distinct(pairs)]
+            flat = _distinct(pairs).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat[0]), pa.array(flat[1])], ["gram", "context"])
 
     found = docs.select("__t").mapInArrow(run, "gram long, context long").distinct()
     return found.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts"))
@@ -178,36 +225,44 @@ def _passages(docs: DataFrame, seeds: DataFrame, sizes: range, reach: int) -> Da
     kind, n = docs.schema["doc"].dataType.simpleString(), max(sizes, default=0)
     bits = docs.sparkSession.sparkContext.broadcast(bit_array(seeds, "gram", BITS))
 
+    def seeds_by_text(texts: list[str]) -> dict[int, list[tuple[int, int, int]]]:
+        """Text -> (first word in it, length, n-gram) of its seeds."""
+        out: dict[int, list[tuple[int, int, int]]] = {}
+        for k, at, found, _, text in _hits(texts, sizes, bits.value):
+            own = text[at]
+            first = at - np.searchsorted(text, own)
+            for t, i, g in zip(own.tolist(), first.tolist(), found.view(np.int64).tolist(), strict=True):
+                out.setdefault(t, []).append((i, k, g))
+        return out
+
     def run(batches):
+        taken_over("decontam")
         for b in batches:
-            rows, starts, texts, grams, masks = [], [], [], [], []
-            for row, t in enumerate(b.column(2)):
-                words = words_of(t.as_py())
-                found = sorted((i, k, g) for k, at, f in _hits(words, sizes, bits.value)
-                               for i, g in zip(at.tolist(), f.view(np.int64).tolist(), strict=True))
-                group: list = []
-                for hit in [*found, None]:
-                    if group and (hit is None or hit[0] - reach > group[-1][0] + n + reach):
-                        a = max(0, group[0][0] - reach)
-                        rows.append(row)
-                        starts.append(a)
-                        inside = words[a:group[-1][0] + n + reach]
-                        texts.append(" ".join(inside))
-                        mask = 0
-                        for w in set(inside):
-                            mask |= 1 << _word_hash(w) % WORD_BITS
-                        masks.append(mask.to_bytes(WORD_BITS // 8, "little"))
-                        grams.append(sorted({g for _, _, g in group}))
-                        group = []
-                    group.append(hit)
+            rows, starts, passages, grams, masks = [], [], [], [], []
+            for top, texts in _chunks(b.column(2)):
+                for t, found in sorted(seeds_by_text(texts).items()):
+                    words, group = words_of(texts[t]), []
+                    for hit in [*sorted(found), None]:
+                        if group and (hit is None or hit[0] - reach > group[-1][0] + n + reach):
+                            a = max(0, group[0][0] - reach)
+                            rows.append(top + t)
+                            starts.append(a)
+                            inside = words[a:group[-1][0] + n + reach]
+                            passages.append(" ".join(inside))
+                            mask = 0
+                            for w in set(inside):
+                                mask |= 1 << _word_bit(w)
+                            masks.append(mask.to_bytes(WORD_BITS // 8, "little"))
+                            grams.append(sorted({g for _, _, g in group}))
+                            group = []
+                        group.append(hit)
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(at), b.column(1).take(at), pa.array(starts, pa.int32()),
-                 pa.array(texts, pa.string()), pa.array(grams, pa.list_(pa.int64())),
+                 pa.array(passages, pa.string()), pa.array(grams, pa.list_(pa.int64())),
                  pa.array(list(np.frombuffer(b"".join(masks), np.int64).reshape(-1, WORD_BITS // 64)),
                           pa.list_(pa.int64()))],
                 ["doc", "h", "start", "words", "grams", "bits"])
-        _HASHES.clear()
 
     return docs.select("doc", F.xxhash64("__t").alias("h"), "__t").mapInArrow(
         run, f"doc {kind}, h long, start int, words string, grams array<long>, bits array<long>")
@@ -222,7 +277,7 @@ def _item_marks(items: DataFrame, min_score: float) -> DataFrame:
         for b in batches:
             words = [words_of(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([[_word_hash(w) % WORD_BITS for w in ws] for ws in words],
+                [b.column(0), pa.array([[_word_bit(w) for w in ws] for ws in words],
                                        pa.list_(pa.int32())),
                  pa.array([min_score * len(ws) for ws in words], pa.float64())], ["item", "marks", "need"])
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import stored, taken_over, text_of
 
 LEAF = 1024  # fingerprints of one trie node of the top, at most
 SPLIT_BITS, STEP_BITS = 2, 4
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        text.alias("__t"))
 
     def run(batches):
+        taken_over("simhash")
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), shingle, seed) for t in b.column(2)],
                            np.uint64)

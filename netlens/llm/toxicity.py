@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bit_array, bits_for, stored, train_rows, train_texts, with_column
+from .common import bit_array, bits_for, stored, taken_over, train_rows, train_texts, with_column
 
 MAX_PER_CLASS = 8000
 MIN_DOCS, MIN_WEIGHT = 4, 3.0
@@ -185,6 +185,7 @@ def _level_counts(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(bit_array(keys, "h", bits))
 
     def run(batches):
+        taken_over("toxicity")
         known, counts = _Known(shared.value), {}
         for b in batches:
             for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -253,6 +254,7 @@ def _document_counts(rows: DataFrame, keys_of) -> DataFrame:
              pa.array([v[1] for v in counts.values()], pa.int64())], ["key", "toxic", "other"])
 
     def run(batches):
+        taken_over("toxicity")
         counts: dict[str, list[int]] = {}
         for b in batches:
             for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -423,6 +425,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand short patterns
 
     def add(b):
+        taken_over("toxicity")
         m, texts = shared.value, b.column(b.schema.get_field_index(text_col))
         return pa.array([m.probability(*evidence(m, t.as_py() or "")) for t in texts], pa.float64())
 

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from netlens.llm import decontam
@@ -92,3 +93,31 @@ def test_query(spark):
         words = words_of(r.text)
         want |= {(r.doc_id, i) for i, w in items if alignment(w, words)[0] >= 0.5}
     assert want and {(r.doc_id, r.item_id) for r in op9_decontamination(spark, SF001).collect()} == want
+
+
+def test_words_are_hashed_together():
+    """Texts of a chunk are cut as words_of cuts each, and equal words only have equal hashes."""
+    rng = random.Random(4)
+    signs = "aAbZ09_ \n\t.,-'ßéÉİΣσςİ́­дЖ漢字٣½²\U0001f600\U00010400\0"
+    texts = ["", "ΟΔΟΣ", "\n", "x", *("".join(rng.choices(signs, k=rng.randrange(60))) for _ in range(500)), ""]
+    words = [(t, w) for t, text in enumerate(texts) for w in words_of(text)]
+    h, of = decontam.word_hashes(texts)
+    assert of.tolist() == [t for t, _ in words]
+    assert len(set(zip(h.tolist(), (w for _, w in words), strict=True))) == len(set(h.tolist())) == len({w for _, w in words})
+    alone = [x for t in texts for x in decontam.word_hashes([t])[0].tolist()]
+    assert h.tolist() == alone
+
+
+def test_chunks_and_ends_of_texts(make_docs, benchmark, monkeypatch):
+    """Chunks of any size keep every row once; no n-gram reaches over the end of a text."""
+    column = pa.array(["", "a b", "c" * 30, "", "d e f", ""])
+    for size in (1, 5, 32, 1 << 18):
+        monkeypatch.setattr(decontam, "CHUNK", size)
+        assert [(top + i, t) for top, texts in decontam._chunks(column) for i, t in enumerate(texts)] == list(
+            enumerate(column.to_pylist()))
+    words = ITEM.split()
+    halves = [(k, " ".join(words[:9] if k % 2 else words[9:])) for k in range(20)]
+    rows = [*halves, (100, f"one two {ITEM}"), *halves, (101, ITEM)]
+    got = {(r.doc_id, r.item_id, r.first_word, r.end_word)
+           for r in contaminated_pairs(make_docs(rows).coalesce(1), benchmark, min_score=0.9).collect()}
+    assert got == {(100, 1, 2, 2 + len(words)), (101, 1, 0, len(words))}

@@ -1,7 +1,10 @@
 """The stages against what the operators' own tests establish, each on its own input."""
 
+import base64
+
 import corpus_pipeline as P
-from netlens.llm.common import stored
+from netlens.llm import bpe
+from netlens.llm.common import stored, taken_over
 from tests.conftest import SF01
 
 from .conftest import with_clashes
@@ -49,3 +52,14 @@ def test_empty_table(spark, make_docs):
     for _, stage in P.STAGES:
         docs = stored(stage(spark, docs, SF01), "t")
     assert docs.count() == 0
+
+
+def test_workers_forget_other_operators():
+    """A Python worker that goes on to another operator drops the token coder."""
+    vocab = b"".join(b"%s %d\n" % (base64.b64encode(bytes([i])), i) for i in range(256))
+    coder = bpe._coder(vocab, r"\S+|\s+")
+    taken_over("bpe", bpe._forget)
+    taken_over("bpe", bpe._forget)
+    assert bpe._coder(vocab, r"\S+|\s+") is coder
+    taken_over("decontam")
+    assert bpe._coder.cache_info().currsize == 0
