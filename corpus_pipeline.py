@@ -64,7 +64,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids = bpe_encode(docs.select("doc_id", "text"), VOCAB, public_tokenizers.PATTERN)
-    return bpe_digest(bpe_decode(ids.drop("text"), VOCAB), keep_ids=True)
+    # stored between, so that no task runs an encoding and a decoding Python worker at once
+    return bpe_digest(bpe_decode(stored(ids.drop("text"), "pipeline_ids"), VOCAB), keep_ids=True)
 
 
 STAGES = [
