@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.expr import csv_list, has_coordinates, has_value
+from ..session import materialize
 
 LINK_COLUMNS = S.EDGE_COLUMNS
 
@@ -190,7 +191,14 @@ def adjacency(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """X11: per live vertex, its neighbours (case-insensitive), with ports and
     link counts; ports are oriented to the vertex.  Both directions are made
     by a union (no self join), then reduced by (vertex, neighbour): a hub
-    vertex is spread over as many groups as it has neighbours."""
+    vertex is spread over as many groups as it has neighbours.  Rows are dealt by
+    that pair first, whose links are few: sets of ports cannot be held in a hash
+    map before the shuffle, and the aggregate would sort all rows of a task.
+    The result is stored, in as many parts as keep those sorts in memory."""
+    return materialize(_adjacency(vertices, edges), "adjacency", large=True)
+
+
+def _adjacency(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     live = vertices.filter(~F.col("is_deleted")).select("ne_name")
     e = _ports(edges)
     fwd = e.select(F.col("start_ne").alias("ne_name"), F.col("end_ne").alias("neighbour"),
@@ -199,8 +207,9 @@ def adjacency(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     rev = e.select(F.col("end_ne").alias("ne_name"), F.col("start_ne").alias("neighbour"),
                    F.col("dest_port").alias("port"), F.col("src_port").alias("neighbour_port"),
                    "relation")
-    both = fwd.unionByName(rev).join(live, "ne_name", "left_semi")
-    return both.groupBy("ne_name", F.lower("neighbour").alias("neighbour_key")).agg(
+    both = (fwd.unionByName(rev).join(live, "ne_name", "left_semi")
+            .withColumn("neighbour_key", F.lower("neighbour")).repartition("ne_name", "neighbour_key"))
+    return both.groupBy("ne_name", "neighbour_key").agg(
         F.min("neighbour").alias("neighbour"),
         F.array_sort(F.collect_set("port")).alias("ports"),
         F.array_sort(F.collect_set("neighbour_port")).alias("neighbour_ports"),
