@@ -224,4 +224,4 @@ def test_repeated_hops_give_each_path_once(spark):
     assert rows.count() == 12 and R.hop_table(edges).count() == 6
     assert [r.path for r in R.simple_paths(v, rows, st, ["ROUTER"], max_depth=3, **PICK).collect()] == [["r", "s", "t"]]
     assert [r.path for r in R.shortest_paths(v, rows, st, ["ROUTER"], max_paths=3, **PICK).collect()] == [["r", "s", "t"]]
-    assert R._steps(v, rows, ["ROUTER"], ["AGG"], None, "pop_id", None).count() == 3
+    assert R._steps(v, rows, ["ROUTER"], ["AGG"], None, "pop_id", None).count() == 5
