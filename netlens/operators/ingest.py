@@ -14,6 +14,10 @@ Join strategy
 * distinct interfaces at link ends (I4–I7, I12): the link ends are made distinct as narrow
   rows, the elements as element rows, before they meet on the id that stays in the
   result; so no wide row is compared or shuffled once per link.
+* links meet elements that have met their parent (I8, I11, I13): an element is fewer rows than
+  its links, which are so dealt once per end only, the end with the wide columns last.
+* link rows of routers (I9, I10) meet the source interface last, whose id is in the result: what
+  is dealt by that id holds all equal rows, so they are made distinct where they are.
 * the consecutive-hop self join (I13) joins on ``(lsp_id, hop_sequence)``,
   which spreads even a very long LSP over many tasks.
 """
@@ -39,6 +43,12 @@ def _ne(ne: DataFrame, alias: str, cols: list[str]) -> DataFrame:
     return ne.select(*[F.col(c).alias(f"{alias}_{c}") for c in cols])
 
 
+def _with_parent(elements: DataFrame, alias: str, parents: DataFrame, above: str) -> DataFrame:
+    """``elements`` (columns ``{alias}_*``) with the columns ``{above}_*`` of their parent, if it exists."""
+    return elements.join(parents, F.col(f"{alias}_parent_ne_id_fk") == F.col(f"{above}_id"), "left").drop(
+        f"{alias}_parent_ne_id_fk", f"{above}_id")
+
+
 def parent_vertices(ne: DataFrame, loc: DataFrame, geo: list[DataFrame], ne_types=None,
                     categories=None, source: str | None = None, switch: bool = False) -> DataFrame:
     """I1 (I2 with ``source='SDN'``, I3 with ``switch=True``): live elements of
@@ -148,12 +158,10 @@ def link_rows_lldp(ne: DataFrame, link: DataFrame, relation: str = S.LLDP,
     d = _ne(live, "d", ["id", "ne_name", "ne_id", "capacity", "latitude", "longitude", "parent_ne_id_fk"])
     pcols = ["id", "ne_name", "ne_type", "ne_category", "vendor", "technology", "domain", "latitude",
              "longitude"]
-    ps = _ne(ne, "ps", pcols)
-    pd = _ne(ne, "pd", pcols)
-    j = (l.join(s, l.source_interface_ne_id == s.s_id)
-         .join(d, l.destination_interface_ne_id == d.d_id)
-         .join(ps, F.col("s_parent_ne_id_fk") == ps.ps_id, "left")
-         .join(pd, F.col("d_parent_ne_id_fk") == pd.pd_id, "left"))
+    s = _with_parent(s, "s", _ne(ne, "ps", pcols), "ps")
+    d = _with_parent(d, "d", _ne(ne, "pd", pcols), "pd")
+    j = (l.join(d, l.destination_interface_ne_id == d.d_id)
+         .join(s, l.source_interface_ne_id == s.s_id))
     if switch_rule:
         st, dt = F.col("ps_ne_type"), F.col("pd_ne_type")
         j = j.filter(((st == "SWITCH") & dt.isin("SWITCH", "ROUTER"))

@@ -96,7 +96,8 @@ def edge_rows(rows: DataFrame) -> DataFrame:
         "end_id", F.regexp_replace("dest_interface", "^.*_", ""))
     if "link_type" not in made.columns:
         made = made.withColumn("link_type", F.lit(None).cast("string"))
-    made = made.withColumn("link_type_key", link_type_key())
+    if "link_type_key" not in made.columns:
+        made = made.withColumn("link_type_key", link_type_key())
     return made.select(*[F.col(c).cast(t) if c in made.columns else F.lit(None).cast(t).alias(c)
                          for c, t in S.STORED_EDGE.items()], *[c for c in ROW_ORDER if c in made.columns
                                                                and c not in S.STORED_EDGE])
@@ -138,20 +139,23 @@ def ingest(inventory: Inventory, run_ts: str, vertices: DataFrame | None = None,
 
 
 def _stage(name, links, rows, vertices: _Snapshot, edges: _Snapshot, run_ts, summary):
+    if links:  # stored like the other key columns: a constant is no part of what rows are dealt by
+        link_type = "link_type" if "link_type" in rows.columns else F.lit(None).cast("string")
+        rows = rows.withColumn("link_type_key", link_type_key(link_type=link_type))
     rows = materialize(rows, "stage_rows", large=True)
     relation = F.coalesce("relation", F.lit(""))
     relations = sorted(r[0] for r in rows.select(relation).distinct().collect()) or [""]
     order = [c for c in ROW_ORDER if c in rows.columns]
     valid, rejects = I.validate_rows(rows, "vertex")
     made = materialize(merged_vertices(
-        vertices.of(relations), valid.withColumn("is_deleted", F.col("is_deleted").cast("boolean")),
+        vertices.of(relations), valid.drop("link_type_key").withColumn("is_deleted", F.col("is_deleted").cast("boolean")),
         order=order).drop("_changed"), "vertices", large=True)
     vertices = vertices.after(relations, made.drop("_outcome", "_n"))
     parts = [_counts(name, "vertex", rows, rejects, made)]
     if links:
         valid, rejects = I.validate_rows(rows, "edge")
         made = materialize(merged_edges(edges.of(relations), edge_rows(valid), vertices.whole(), run_ts, order=order,
-                                        ends=("src_interface", "dest_interface")), "edges", large=True)
+                                        ends=("src_interface", "dest_interface"), keyed=True), "edges", large=True)
         edges = edges.after(relations, stored_edges(made).drop("_outcome", "_n"))
         parts.append(_counts(name, "edge", rows, rejects, made))
     counts = materialize(reduce(DataFrame.unionByName, parts), "stage_counts") if summary else None

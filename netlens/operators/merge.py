@@ -28,6 +28,17 @@ def dedupe_last(df: DataFrame, key: list[str], order: list[str], last: list[str]
     all their other columns (``last`` after the rest), so the result does not depend on the input's
     order.  ``_n`` is the number of the key's rows.  Without maps, which have no order, a row
     is its own order: a struct of it, kept once."""
+    return _last_rows(df, key, order, last).drop("_h")
+
+
+def _hashed(df: DataFrame, key: list[str]) -> DataFrame:
+    """``df`` with ``_h``, a hash of the key, to go before it in groups and joins: names begin alike, and
+    sorting wide rows by them compares whole texts; the hash decides before."""
+    return df.withColumn("_h", F.xxhash64(*key))
+
+
+def _last_rows(df: DataFrame, key: list[str], order: list[str], last: list[str] | None = None) -> DataFrame:
+    """``dedupe_last`` with ``_h``, dealt by ``_h`` and the key."""
     others = [c for c in df.columns if c not in key]
     plain = [c for c in others if "map<" not in df.schema[c].dataType.simpleString()]
     ranked = [c for c in order if c in plain]
@@ -35,8 +46,8 @@ def dedupe_last(df: DataFrame, key: list[str], order: list[str], last: list[str]
     ranked += [c for c in plain if c not in ranked]
     row = F.max(F.struct(*ranked)) if ranked and len(plain) == len(others) else F.max_by(
         F.struct(*others), F.struct(*order, *[c for c in ranked if c not in order]))
-    return (df.groupBy(*key).agg(row.alias("_r"), F.count(F.lit(1)).alias("_n"))
-            .select(*key, "_r.*", "_n").select(*df.columns, "_n"))
+    return (_hashed(df, key).groupBy("_h", *key).agg(row.alias("_r"), F.count(F.lit(1)).alias("_n"))
+            .select("_h", *key, "_r.*", "_n").select("_h", *df.columns, "_n"))
 
 
 def merge_vertices(snapshot: DataFrame, incoming: DataFrame, order: list[str] | None = None,
@@ -68,16 +79,17 @@ def merged_vertices(snapshot: DataFrame, incoming: DataFrame, order: list[str] |
     open_map = "attrs" in snapshot.columns
     extra = [c for c in inc.columns if open_map and c not in snapshot.columns and c not in S.EDGE_ONLY_PROPERTIES]
     if "attrs" in inc.columns and open_map:
-        inc = dedupe_last(_with_attrs(inc, extra, order), key, order)
+        inc = _last_rows(_with_attrs(inc, extra, order), key, order)
     else:  # only the rows that stay get a map
-        inc = dedupe_last(inc, key, order, last=extra)
+        inc = _last_rows(inc, key, order, last=extra)
         inc = _with_attrs(inc, extra, order) if open_map else inc
     cols = [c for c in snapshot.columns if c not in key and c != "attrs"]
     maps = ["attrs"] if open_map else []
-    o = snapshot.select(*key, *[F.col(c).alias(f"o_{c}") for c in cols + maps], F.lit(True).alias("_old"))
-    n = inc.select(*key, *[F.col(c).alias(f"n_{c}") if c in inc.columns else
+    o = _hashed(snapshot, key).select("_h", *key, *[F.col(c).alias(f"o_{c}") for c in cols + maps],
+                                      F.lit(True).alias("_old"))
+    n = inc.select("_h", *key, *[F.col(c).alias(f"n_{c}") if c in inc.columns else
                            F.lit(None).alias(f"n_{c}") for c in cols + maps], "_n", F.lit(True).alias("_new"))
-    j = o.join(n, key, "full_outer")
+    j = o.join(n, ["_h", *key], "full_outer")
     changed = changed_properties_expr(cols)
     out = [F.coalesce(F.col(f"n_{c}"), F.col(f"o_{c}")).cast(snapshot.schema[c].dataType).alias(c) for c in cols]
     if open_map:
@@ -144,25 +156,35 @@ def stored_edges(both: DataFrame) -> DataFrame:
 
 
 def merged_edges(snapshot: DataFrame, incoming: DataFrame, vertices: DataFrame, run_ts: str,
-                 order: list[str] | None = None, ends: tuple[str, str] = ("start_ne", "end_ne")) -> DataFrame:
+                 order: list[str] | None = None, ends: tuple[str, str] = ("start_ne", "end_ne"),
+                 keyed: bool = False) -> DataFrame:
     """The new snapshot of ``merge_edges`` and its skipped rows, with, on keys of the batch, ``_outcome``
-    and ``_n`` (rows of the key)."""
+    and ``_n`` (rows of the key).  With ``keyed`` the batch has whole keys without nulls and the ends are columns
+    of them: then the keys alone are looked up among the vertices, and the rows are dealt once."""
     order = order or ["last_discovery_ts"]
-    inc = incoming.withColumn("link_type_key", link_type_key())
+    inc = incoming if keyed else incoming.withColumn("link_type_key", link_type_key())
     keep = [c for c in snapshot.columns if c in inc.columns]
-    inc = dedupe_last(inc.select(*keep, *[c for c in order if c not in keep]), S.EDGE_KEY, order).select(*keep, "_n")
+    rows = inc.select(*keep, *[c for c in order if c not in keep])
+    inc = _last_rows(rows, S.EDGE_KEY, order).select("_h", *keep, "_n")
     names = vertices.select("ne_name").distinct()
     starts = names.select(F.col("ne_name").alias("_sn"))
     others = names.select(F.col("ne_name").alias("_en"))
-    inc = (inc.join(starts, F.col(ends[0]) == F.col("_sn"), "left")
-           .join(others, F.col(ends[1]) == F.col("_en"), "left"))
-    inc = inc.withColumn("_ok", F.col("_sn").isNotNull() & F.col("_en").isNotNull()).drop("_sn", "_en")
+    if keyed:
+        found = (rows.select(*S.EDGE_KEY).join(starts, F.col(ends[0]) == F.col("_sn"), "left_semi")
+                 .join(others, F.col(ends[1]) == F.col("_en"), "left_semi"))
+        found = _hashed(found, S.EDGE_KEY).select("_h", *S.EDGE_KEY).distinct().withColumn("_found", F.lit(True))
+        inc = inc.join(found, ["_h", *S.EDGE_KEY], "left").withColumn("_ok", F.col("_found").isNotNull()).drop("_found")
+    else:
+        inc = (inc.join(starts, F.col(ends[0]) == F.col("_sn"), "left")
+               .join(others, F.col(ends[1]) == F.col("_en"), "left"))
+        inc = inc.withColumn("_ok", F.col("_sn").isNotNull() & F.col("_en").isNotNull()).drop("_sn", "_en")
     cols = [c for c in snapshot.columns if c not in S.EDGE_KEY]
-    o = snapshot.select(*S.EDGE_KEY, *[F.col(c).alias(f"o_{c}") for c in cols], F.lit(True).alias("_old"))
-    n = inc.select(*S.EDGE_KEY, *[(F.col(c) if c in inc.columns else F.lit(None)).alias(f"n_{c}") for c in cols],
+    o = _hashed(snapshot, S.EDGE_KEY).select("_h", *S.EDGE_KEY, *[F.col(c).alias(f"o_{c}") for c in cols],
+                                             F.lit(True).alias("_old"))
+    n = inc.select("_h", *S.EDGE_KEY, *[(F.col(c) if c in inc.columns else F.lit(None)).alias(f"n_{c}") for c in cols],
                    "_ok", "_n", F.lit(True).alias("_new"))
     # a skipped row has no partner: its flag never equals the stored row's
-    j = o.withColumn("_ok", F.lit(True)).join(n, [*S.EDGE_KEY, "_ok"], "full_outer")
+    j = o.withColumn("_ok", F.lit(True)).join(n, ["_h", *S.EDGE_KEY, "_ok"], "full_outer")
     is_new, is_old = F.col("_new").isNotNull(), F.col("_old").isNotNull()
 
     def pick(c: str) -> Column:

@@ -40,7 +40,7 @@ def _graph(fx):
     """The ingested graph: its tables are stored, so one run serves all queries of an application.  The
     inventory tables are stored tables that every stage reads."""
     if "ingested" not in fx._stored:
-        inv = Inventory(materialize(fx.network_element(), "network_element", large=True), fx.ne_location(),
+        inv = Inventory(fx.network_element(), fx.ne_location(),
                         [fx.geo(i) for i in range(1, 5)],
                         *(materialize(fx.link_table(x), "links", large=True) for x in ("LLDP", "OSPF", "ISIS")))
         fx._stored["ingested"] = ingest(inv, RUN_TS)
