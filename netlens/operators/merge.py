@@ -224,8 +224,9 @@ DESTINATION_COLUMNS = {
 
 
 def change_table(changed: DataFrame) -> DataFrame:
-    """(ne_name, relation, column, value): each changed vertex's new values as text, one row a
-    column that is in ``changed`` and not null, and its discovery time."""
+    """(ne_name, relation, values): each changed vertex's new values as a map of text, of the columns
+    that are in ``changed`` and not null, and its discovery time.  Of several rows of a vertex the
+    smallest value of a column counts."""
     known = sorted({*SOURCE_COLUMNS, *DESTINATION_COLUMNS} & set(changed.columns))
     attrs = {c for c in {*SOURCE_COLUMNS, *DESTINATION_COLUMNS} - set(known)} if "attrs" in changed.columns else set()
 
@@ -237,8 +238,11 @@ def change_table(changed: DataFrame) -> DataFrame:
     pairs = [pair(c, F.col(c), F.array_contains(listed, c)) for c in known]
     pairs += [pair(c, F.try_element_at(F.col("attrs"), F.lit(c)), F.array_contains(listed, c)) for c in sorted(attrs)]
     pairs.append(pair("last_discovery_ts", F.col("last_discovery_ts"), F.lit(True)))
-    return (changed.select("ne_name", F.coalesce("relation", F.lit("")).alias("relation"),
-                           F.inline(F.array_compact(F.array(*pairs)))))
+    rows = changed.filter("ne_name is not null").select(
+        "ne_name", F.coalesce("relation", F.lit("")).alias("relation"), F.array_compact(F.array(*pairs)).alias("_pairs"))
+    per = rows.groupBy("ne_name", "relation").agg(F.array_sort(F.flatten(F.collect_list("_pairs"))).alias("_pairs"))
+    first = F.filter("_pairs", lambda x, i: (i == 0) | (x["column"] != F.get("_pairs", i - 1)["column"]))
+    return per.select("ne_name", "relation", F.map_from_entries(first).alias("values"))
 
 
 def propagate_vertex_changes(edges: DataFrame, changed: DataFrame) -> DataFrame:
@@ -248,36 +252,36 @@ def propagate_vertex_changes(edges: DataFrame, changed: DataFrame) -> DataFrame:
     null.  Links at a changed vertex take its discovery time.  Where both ends of a link
     set one column, the source end's value stays.
 
-    The changes are a narrow table of (name, relation, column, value).  Both ends of the links,
-    as keys only, meet it in one join; what hits is gathered per link (at most a value a
-    column and end) and joined back, so untouched links pass one join with a small side."""
+    The changes are one row a vertex, which the links meet at their source and at their
+    destination: a link is dealt once per end, whatever the number of changed columns, and not at
+    all if no vertex of its relation (a few fixed names) changed.  Links without an interface
+    at an end are spread by their key there."""
     table = change_table(changed)
     at = F.coalesce("relation", F.lit(""))
-
-    def end(interface: str, names: dict, rank: int) -> DataFrame:
-        column = F.create_map(*[F.lit(x) for k, v in {**names, "last_discovery_ts": "last_discovery_ts"}.items()
-                                for x in (k, v)])
-        return edges.select(*S.EDGE_KEY, F.col(interface).alias("_name"), at.alias("_relation"),
-                            F.lit(rank).alias("_rank"), column.alias("_to"))
-
-    ends = end("src_interface", SOURCE_COLUMNS, 0).unionByName(end("dest_interface", DESTINATION_COLUMNS, 1))
-    hits = (ends.join(table.select(F.col("ne_name").alias("_name"), F.col("relation").alias("_relation"),
-                                   "column", "value"), ["_name", "_relation"])
-            .select(*S.EDGE_KEY, F.try_element_at("_to", F.col("column")).alias("_column"), "_rank", "value")
-            .filter("_column is not null")
-            .groupBy(*S.EDGE_KEY, "_column").agg(F.min_by("value", "_rank").alias("value"))
-            .groupBy(*S.EDGE_KEY).agg(F.map_from_entries(F.collect_list(F.struct("_column", "value"))).alias("_new")))
-    key = [c for c in S.EDGE_KEY]
-    mine = hits.select(*[F.col(c).alias(f"_k_{c}") for c in key], "_new")
-    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key]
-    j = edges.join(mine, on, "left")
-    targets = {*SOURCE_COLUMNS.values(), *DESTINATION_COLUMNS.values(), "last_discovery_ts"}
+    some = F.broadcast(changed.select(at.alias("_some")).distinct())
+    plain = edges.join(some, at == F.col("_some"), "left_anti")
+    j = edges.join(some, at == F.col("_some"), "left_semi")
+    for interface, values in (("src_interface", "_src"), ("dest_interface", "_dest")):
+        # a name with a sign before it never equals a number
+        name = F.coalesce(F.concat(F.lit("="), interface), F.xxhash64(*S.EDGE_KEY).cast("string"))
+        mine = table.select(F.concat(F.lit("="), "ne_name").alias("_name"), F.col("relation").alias("_at"),
+                            F.col("values").alias(values))
+        j = j.join(mine, (name == F.col("_name")) & (at == F.col("_at")), "left").drop("_name", "_at")
+    # the untouched links are those without values
+    none = F.lit(None).cast(table.schema["values"].dataType)
+    j = j.unionByName(plain.withColumns({"_src": none, "_dest": none}))
+    time = {"last_discovery_ts": "last_discovery_ts"}
+    source = {edge: vertex for vertex, edge in (SOURCE_COLUMNS | time).items()}
+    far = {edge: vertex for vertex, edge in (DESTINATION_COLUMNS | time).items()}
     out = []
-    for c in [*edges.columns, *sorted(targets - set(edges.columns))]:
-        kind = edges.schema[c].dataType if c in edges.columns else "string"
-        new = F.try_element_at("_new", F.lit(c)).cast(kind)
-        out.append((F.coalesce(new, F.col(c)) if c in edges.columns else new).alias(c)
-                   if c in targets else F.col(c))
+    for c in [*edges.columns, *sorted({*source, *far} - set(edges.columns))]:
+        new = [F.try_element_at(end, F.lit(names[c])) for end, names in (("_src", source), ("_dest", far)) if c in names]
+        if not new:
+            out.append(F.col(c))
+        elif c in edges.columns:
+            out.append(F.coalesce(F.coalesce(*new).cast(edges.schema[c].dataType), F.col(c)).alias(c))
+        else:
+            out.append(F.coalesce(*new).alias(c))
     return j.select(*out)
 
 
