@@ -196,54 +196,56 @@ def link_rows_lldp(ne: DataFrame, link: DataFrame, relation: str = S.LLDP,
 def link_rows_routed(ne: DataFrame, link: DataFrame, relation: str) -> DataFrame:
     """I9 (OSPF) / I10 (ISIS): link joined to both routers (inner) and both
     live INTERFACE ends; router value first, interface as fallback, for the
-    location / type / vendor columns; distinct."""
-    rc = ["id", "ne_name", "ne_type", "ne_category", "vendor", "technology", "domain", "latitude",
-          "longitude"]
-    src = _ne(ne, "r", rc)
-    rem = _ne(ne, "m", rc)
-    ic = rc + ["ne_id", "capacity", "bandwidth", "ne_source", "ne_status", "is_deleted", "ipv4", "hostname", *IDENTITY]
-    live_if = ne.filter((F.col("is_deleted") == 0) & (F.col("ne_type") == "INTERFACE"))
-    a = _ne(live_if, "a", ic)
-    b = _ne(live_if, "b", ic)
-    j = (link.join(src, link.source_ne_id == src.r_id)
-         .join(rem, link.destination_ne_id == rem.m_id)
-         .join(a, link.source_interface_ne_id == a.a_id)
-         .join(b, link.destination_interface_ne_id == b.b_id))
+    location / type / vendor columns; distinct.  The source interface comes last: its join has dealt the rows
+    by its id, so equal rows are together and the distinct deals them no more."""
     isis = relation == S.ISIS
     bw = "bandwidth" if isis else "capacity"
 
     def co(x: str, y: str) -> Column:
         return F.coalesce(F.col(x), F.col(y))
 
+    shared = ["ne_name", "ne_type", "ne_category", "vendor", "technology", "domain", "latitude", "longitude"]
+    src = _ne(ne, "r", ["id", *shared])
+    rem = _ne(ne, "m", ["id", *shared])
+    live_if = ne.filter((F.col("is_deleted") == 0) & (F.col("ne_type") == "INTERFACE"))
+    a = _ne(live_if, "a", ["id", *shared, "ne_id", bw, "ne_source", "ne_status", "is_deleted", "ipv4", "hostname",
+                           *IDENTITY])
+    b = _ne(live_if, "b", ["id", *shared, "ne_id", bw])
+    own = [link[c] for c in ["ckt_id", "tag", "last_discovery_time", *(["link_type"] if isis else ["area_ip_address"])]]
+    own += [link["uuid"].alias("link_uuid")] if isis else []
+    l = link.select("source_ne_id", "destination_ne_id", "source_interface_ne_id", "destination_interface_ne_id", *own)
+    far = [co(f"m_{c}", f"b_{c}").alias(out) for c, out in (
+        ("ne_type", "dest_type"), ("ne_category", "dest_category"), ("vendor", "dest_vendor"),
+        ("technology", "dest_technology"), ("domain", "dest_domain"), ("ne_name", "neighbour_parent_ne_name"),
+        ("latitude", "neighbour_parent_ne_lat"), ("longitude", "neighbour_parent_ne_long"))]
+    far += [F.col("b_ne_id").alias("neighbour_ne_id"), F.col("b_ne_name").alias("neighbour_ne_name"),
+            co("b_latitude", "m_latitude").alias("neighbour_ne_lat"),
+            co("b_longitude", "m_longitude").alias("neighbour_ne_long"), F.col(f"b_{bw}").alias("dest_bandwidth")]
+    far_end = (l.join(rem, l.destination_ne_id == rem.m_id)
+               .join(b, l.destination_interface_ne_id == b.b_id)
+               .select(*[c for c in l.columns if not c.startswith("destination_")], *far))
+    j = (far_end.join(src, far_end.source_ne_id == src.r_id)
+         .join(a, far_end.source_interface_ne_id == a.a_id))
     cols = [
         F.lit(relation).alias("relation"), "ckt_id", F.col("a_id").alias("id"),
         F.col("a_ne_name").alias("ne_name"), co("r_latitude", "a_latitude").alias("latitude"),
         co("r_longitude", "a_longitude").alias("longitude"), F.col("a_ne_type").alias("ne_type"),
         "tag", F.col("last_discovery_time").alias("last_discovery_ts"),
-        F.col(f"a_{bw}").alias("src_bandwidth"), F.col(f"b_{bw}").alias("dest_bandwidth"),
+        F.col(f"a_{bw}").alias("src_bandwidth"), "dest_bandwidth",
         F.col("a_ne_source").alias("ne_source"), F.col("a_ne_status").alias("ne_status"),
-        co("r_ne_type", "a_ne_type").alias("src_type"), co("m_ne_type", "b_ne_type").alias("dest_type"),
-        co("r_ne_category", "a_ne_category").alias("src_category"),
-        co("m_ne_category", "b_ne_category").alias("dest_category"),
-        co("r_vendor", "a_vendor").alias("src_vendor"), co("m_vendor", "b_vendor").alias("dest_vendor"),
+        co("r_ne_type", "a_ne_type").alias("src_type"), "dest_type",
+        co("r_ne_category", "a_ne_category").alias("src_category"), "dest_category",
+        co("r_vendor", "a_vendor").alias("src_vendor"), "dest_vendor",
         F.col("a_is_deleted").alias("is_deleted"),
-        co("r_technology", "a_technology").alias("src_technology"),
-        co("m_technology", "b_technology").alias("dest_technology"),
-        co("r_domain", "a_domain").alias("src_domain"), co("m_domain", "b_domain").alias("dest_domain"),
+        co("r_technology", "a_technology").alias("src_technology"), "dest_technology",
+        co("r_domain", "a_domain").alias("src_domain"), "dest_domain",
         F.col("a_ne_id").alias("ne_id"), F.col("a_ipv4").alias("ipv4"), F.col("a_hostname").alias("hostname"),
-        F.col("b_ne_id").alias("neighbour_ne_id"), F.col("b_ne_name").alias("neighbour_ne_name"),
-        co("b_latitude", "m_latitude").alias("neighbour_ne_lat"),
-        co("b_longitude", "m_longitude").alias("neighbour_ne_long"),
+        "neighbour_ne_id", "neighbour_ne_name", "neighbour_ne_lat", "neighbour_ne_long",
         co("r_ne_name", "a_ne_name").alias("parent_ne"),
-        co("m_ne_name", "b_ne_name").alias("neighbour_parent_ne_name"),
-        co("m_latitude", "b_latitude").alias("neighbour_parent_ne_lat"),
-        co("m_longitude", "b_longitude").alias("neighbour_parent_ne_long"),
+        "neighbour_parent_ne_name", "neighbour_parent_ne_lat", "neighbour_parent_ne_long",
         *[F.col(f"a_{c}").alias(c) for c in IDENTITY],
     ]
-    if isis:
-        cols += ["link_type", link["uuid"].alias("link_uuid")]
-    else:
-        cols += ["area_ip_address"]
+    cols += ["link_type", "link_uuid"] if isis else ["area_ip_address"]
     return j.select(*cols).distinct()
 
 
