@@ -280,17 +280,14 @@ def lsp_hop_edges(lsp: DataFrame, hop: DataFrame, ne: DataFrame) -> DataFrame:
     h1 = live(hop).select("lsp_id", "hop_sequence", F.col("interface_ne_id").alias("src_if"))
     h2 = live(hop).select("lsp_id", (F.col("hop_sequence") - 1).alias("hop_sequence"),
                           F.col("interface_ne_id").alias("dst_if"))
-    pair = l.join(h1, "lsp_id").join(h2, ["lsp_id", "hop_sequence"])
-    own = ["id", "ne_name", "ne_id", "ne_type", "ne_source", "ne_status", "ckt_id", "is_deleted",
-           "ipv4", "hostname", "parent_ne_id_fk", "bandwidth", "latitude", "longitude"]
-    s = _ne(live(ne), "s", own + IDENTITY)
-    d = _ne(live(ne), "d", own)
+    pair = h1.join(h2, ["lsp_id", "hop_sequence"]).join(l, "lsp_id")
+    s = _ne(live(ne), "s", ["id", "ne_name", "ne_id", "ne_type", "ne_source", "ne_status", "ckt_id", "is_deleted",
+                            "ipv4", "hostname", "parent_ne_id_fk", "bandwidth", *IDENTITY])
+    d = _ne(live(ne), "d", ["id", "ne_name", "ne_id", "parent_ne_id_fk", "bandwidth", "latitude", "longitude"])
     pc = ["id", "ne_name", "ne_type", "ne_category", "vendor", "technology", "domain", "latitude",
           "longitude"]
-    ps, pd = _ne(ne, "ps", pc), _ne(ne, "pd", pc)
-    j = (pair.join(s, pair.src_if == s.s_id).join(d, pair.dst_if == d.d_id)
-         .join(ps, F.col("s_parent_ne_id_fk") == ps.ps_id, "left")
-         .join(pd, F.col("d_parent_ne_id_fk") == pd.pd_id, "left"))
+    s, d = _with_parent(s, "s", _ne(ne, "ps", pc), "ps"), _with_parent(d, "d", _ne(ne, "pd", pc), "pd")
+    j = pair.join(d, pair.dst_if == d.d_id).join(s, pair.src_if == s.s_id)
     ends = [F.col(f"{p}_{c}").alias(f"{out}_{name}")
             for p, out in (("ps", "src"), ("pd", "dest"))
             for c, name in (("ne_type", "type"), ("ne_category", "category"), ("vendor", "vendor"),
